@@ -116,24 +116,29 @@ def child_table(df: DataFrame, parent_id: str, array_col: str, rename_id: str |
     return exploded.filter(F.col("_e").isNotNull()).withColumnRenamed("_e", rename_id or "value")
 
 
-def dedupe(df: DataFrame, cols: list[str] | None = None, order: list | None = None) -> DataFrame:
+def dedupe(df: DataFrame, cols: list[str] | None = None, order: list[str] | None = None,
+           desc: bool = False) -> DataFrame:
     """Whole-row distinct, or one row per key.
 
-    On keys the kept row is fixed by ``order`` (default: every other column
-    ascending) instead of being whichever arrives first.  The map-side
-    partial aggregation keeps the shuffle to one row per key per partition.
+    On keys the kept row is fixed - the row with the least (or, with
+    ``desc``, greatest) ``order`` columns, ties broken by the remaining
+    columns - instead of whichever row arrives first.  It is computed with
+    ``min``/``max_by`` over structs, a partial aggregate: a hot key sends
+    one row per partition through the shuffle instead of all its rows into
+    one window task.
     """
     if not cols:
         return df.distinct()
+    rest = [c for c in df.columns if c not in cols]
+    if not rest:
+        return df.distinct()
+    packed = F.struct(*[F.col(f"`{c}`") for c in rest])
     if order is None:
-        rest = [c for c in df.columns if c not in cols]
-        if not rest:
-            return df.dropDuplicates(cols)
-        # min of a struct ordered by the remaining columns: a partial aggregate
-        packed = F.min(F.struct(*[F.col(f"`{c}`") for c in rest])).alias("_k")
-        return df.groupBy(*cols).agg(packed).select(*cols, "_k.*").select(*df.columns)
-    w = Window.partitionBy(*cols).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+        agg = F.min(packed) if not desc else F.max(packed)
+    else:
+        key = F.struct(*[F.col(f"`{c}`") for c in order], packed)
+        agg = F.max_by(packed, key) if desc else F.min_by(packed, key)
+    return df.groupBy(*cols).agg(agg.alias("_k")).select(*cols, "_k.*").select(*df.columns)
 
 
 def drop_sentinels(df: DataFrame, id_col: str | None = None, end_col: str | None = None,

@@ -49,18 +49,17 @@ def left_outer_distinct(left: DataFrame, right: DataFrame, on: list[str]) -> Dat
     return left.join(right, on, "left").distinct()
 
 
-def inner_unique(left: DataFrame, right: DataFrame, on: list[str], order: list | None = None) -> DataFrame:
+def inner_unique(left: DataFrame, right: DataFrame, on: list[str], order: list[str] | None = None,
+                 reduce_on: list[str] | None = None) -> DataFrame:
     """KQL ``innerunique``: the left side is reduced to one row per key
-    (the kept row is fixed by ``order``, default all columns ascending),
-    then inner-joined.  The reduction is a partial aggregate, so a hot key
-    sends one row per partition through the shuffle."""
-    rest = [c for c in left.columns if c not in on]
-    if order is None and rest:
-        one = left.groupBy(*on).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in rest])).alias("_k")) \
-                  .select(*on, "_k.*")
-    else:
-        from .flatten import dedupe
-        one = dedupe(left, on, order)
+    (``reduce_on``, default the join key; the kept row is fixed by
+    ``order``, default the least remaining columns), then inner-joined.
+    The reduction is a partial aggregate, so a hot key sends one row per
+    partition through the shuffle."""
+    keys = reduce_on or on
+    rest = [c for c in left.columns if c not in keys]
+    from .flatten import dedupe
+    one = dedupe(left, keys, order) if rest else left.distinct()
     return one.join(right, on, "inner")
 
 

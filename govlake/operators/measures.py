@@ -180,7 +180,8 @@ def month_over_month(df: DataFrame, date_col: str, aggs: dict[str, Column], by:
 
 
 # A17 / W2 ----------------------------------------------------------------------
-def trailing_average(df: DataFrame, item_col: str, date_col: str, value: Column, days: int = 30) -> DataFrame:
+def trailing_average(df: DataFrame, item_col: str, date_col: str, value: Column, days: int = 30,
+                     decimals: int | None = None) -> DataFrame:
     """Daily sums per item, the trailing ``days`` average of the item's
     daily sums (dates ``d-days .. d``) and the ratio ``(trailing - daily) /
     trailing``.
@@ -189,10 +190,15 @@ def trailing_average(df: DataFrame, item_col: str, date_col: str, value: Column,
     partition is bounded by the number of days, not by its raw rows.
     """
     daily = (df.groupBy(item_col, F.to_date(F.col(date_col)).alias("Date"))
-             .agg(F.sum(value).alias("daily_value")))
+             .agg(exact_sum(value, decimals).alias("daily_value")))
     daynum = F.unix_date(F.col("Date"))
     w = Window.partitionBy(item_col).orderBy(daynum).rangeBetween(-days, 0)
-    out = daily.withColumn("trailing_avg", F.avg("daily_value").over(w))
+    if decimals is None:
+        avg = F.avg("daily_value").over(w)
+    else:
+        q = float(10 ** decimals)
+        avg = (F.floor(F.sum("daily_value").over(w) * q + 0.5) / q) / F.count("daily_value").over(w)
+    out = daily.withColumn("trailing_avg", avg)
     return out.withColumn("trend_ratio", ddivide(F.col("trailing_avg") - F.col("daily_value"), F.col("trailing_avg")))
 
 
@@ -226,7 +232,7 @@ def refresh_slot_counts(slots: DataFrame, by: list | None = None, enabled_col: s
 
 
 # A21 ---------------------------------------------------------------------------
-def outliers(df: DataFrame, item_col: str, date_col: str, value: Column) -> DataFrame:
+def outliers(df: DataFrame, item_col: str, date_col: str, value: Column, decimals: int | None = None) -> DataFrame:
     """Outlier analysis per item and day.
 
     ``avg_all_days`` = the item's average daily sum; ``daily_vs_avg`` = daily
@@ -236,8 +242,8 @@ def outliers(df: DataFrame, item_col: str, date_col: str, value: Column) -> Data
     The per-item average is a grouped aggregate joined back by item.
     """
     daily = (df.groupBy(item_col, F.to_date(F.col(date_col)).alias("Date"))
-             .agg(F.sum(value).alias("daily_value")))
-    avg = daily.groupBy(item_col).agg(F.avg("daily_value").alias("avg_all_days"))
+             .agg(exact_sum(value, decimals).alias("daily_value")))
+    avg = daily.groupBy(item_col).agg(exact_avg(F.col("daily_value"), decimals).alias("avg_all_days"))
     j = daily.join(avg, item_col)
     diff = F.col("daily_value") - F.col("avg_all_days")
     return j.select(item_col, "Date", "daily_value", "avg_all_days", diff.alias("daily_vs_avg"),
@@ -270,17 +276,22 @@ def first_value(df: DataFrame, by: list[str], col: str, default: str, name: str)
 
 
 # A24 ---------------------------------------------------------------------------
-def run_comparison(df: DataFrame, model_col: str, run_col: str, metrics: dict[str, Column]) -> DataFrame:
+def run_comparison(df: DataFrame, model_col: str, run_col: str, metrics: dict[str, Column],
+                   decimals: dict[str, int] | None = None) -> DataFrame:
     """Per model: last run id, previous run id (last - 1, null when <= 0),
-    each metric at both runs and the difference previous - last."""
+    each metric at both runs and the difference previous - last.
+
+    The last run per model is a grouped max joined back by model (one row
+    per model on the small side), then one conditional aggregate."""
+    decimals = decimals or {}
     last = df.groupBy(model_col).agg(F.max(run_col).alias("last_run"))
     j = df.join(last, model_col)
     prev = F.when(F.col("last_run") - 1 > 0, F.col("last_run") - 1)
     aggs = []
     cols = [F.max("last_run").alias("last_run"), F.max(prev).alias("previous_run")]
     for n, m in metrics.items():
-        cols.append(F.sum(F.when(F.col(run_col) == F.col("last_run"), m)).alias(f"{n}_last"))
-        cols.append(F.sum(F.when(F.col(run_col) == prev, m)).alias(f"{n}_previous"))
+        cols.append(exact_sum(F.when(F.col(run_col) == F.col("last_run"), m), decimals.get(n)).alias(f"{n}_last"))
+        cols.append(exact_sum(F.when(F.col(run_col) == prev, m), decimals.get(n)).alias(f"{n}_previous"))
     out = j.groupBy(model_col).agg(*aggs, *cols)
     return out.withColumns({f"{n}_diff": F.col(f"{n}_previous") - F.col(f"{n}_last") for n in metrics})
 
@@ -313,13 +324,20 @@ def storage_breakdown(df: DataFrame, table_id: str = "TABLE_ID", size: str = "US
                                               "relationship_size", "dictionary_size"]), F.lit(0)))
 
 
-def distribution_stats(df: DataFrame, col: str, by: list | None = None, prefix: str | None = None) -> DataFrame:
-    """avg / exact median / min / max / sum / count of a column."""
+def distribution_stats(df: DataFrame, col: str, by: list | None = None, prefix: str | None = None,
+                       decimals: int | None = None) -> DataFrame:
+    """avg / exact median / min / max / sum / count of a column.
+
+    The exact median needs every value of a group in one place; Spark's
+    ``median`` keeps a per-group value buffer that is partially aggregated
+    per partition first.  For a very hot group prefer
+    ``percentile_approx`` (bounded sketch) - the exact form is kept because
+    the measure is defined as exact."""
     p = prefix or col
     c = F.col(col)
-    return df.groupBy(*(by or [])).agg(F.avg(c).alias(f"{p}_avg"), F.median(c).alias(f"{p}_median"),
+    return df.groupBy(*(by or [])).agg(exact_avg(c, decimals).alias(f"{p}_avg"), F.median(c).alias(f"{p}_median"),
                                        F.min(c).alias(f"{p}_min"), F.max(c).alias(f"{p}_max"),
-                                       F.sum(c).alias(f"{p}_sum"), F.count(c).alias(f"{p}_count"))
+                                       exact_sum(c, decimals).alias(f"{p}_sum"), F.count(c).alias(f"{p}_count"))
 
 
 # A28 / A29 ----------------------------------------------------------------------
@@ -409,10 +427,15 @@ def item_vs_all(df: DataFrame, item_col: str, date_col: str, value: Column, toda
 
 
 # A39 ---------------------------------------------------------------------------
-def usage_rollup(df: DataFrame, by: list[str], sums: dict[str, str], cu_col: str, date_col: str = "Date") -> DataFrame:
+def usage_rollup(df: DataFrame, by: list[str], sums: dict, cu_col: str, date_col: str = "Date") -> DataFrame:
     """Usage rolled up by ``by``: named sums, rows with CU > 0 only, a
-    ``yyyyMMdd`` DateKey; callers order by CU descending when presenting."""
-    out = df.groupBy(*by).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    ``yyyyMMdd`` DateKey; callers order by CU descending when presenting.
+    ``sums`` maps output name to a column, or to ``(column, decimals)``."""
+    aggs = []
+    for n, spec in sums.items():
+        c, d = spec if isinstance(spec, tuple) else (spec, None)
+        aggs.append(exact_sum(_c(c), d).alias(n))
+    out = df.groupBy(*by).agg(*aggs)
     out = out.filter(F.col(cu_col) > 0)
     if date_col in by:
         out = out.withColumn("DateKey", F.date_format(F.col(date_col), "yyyyMMdd"))

@@ -178,3 +178,354 @@ def q_orders_calendar(spark, sf):
     # DateKey, Date(text), Date2Key ... : keep the ones not already present
     keep = [extra[0], extra[6], extra[8]] + extra[9:]
     return cal.select("*", *keep).withColumnRenamed("Date", "Date")
+
+
+# =========================================================================== lineitem / orders measures
+REV = "l_extendedprice * (1 - l_discount)"
+
+
+def _rev() -> F.Column:
+    return F.col("l_extendedprice") * (1 - F.col("l_discount"))
+
+
+@register("supplier_trailing_avg", "A17, W2", sql=f"""
+WITH d AS (SELECT l_suppkey, CAST(l_shipdate AS DATE) AS Date, {rnd_sql(f'sum({REV})', 4)} AS daily_value
+           FROM lineitem GROUP BY 1, 2),
+w AS (SELECT *, {rnd_sql('sum(daily_value) OVER win', 4)} / count(daily_value) OVER win AS trailing_avg
+      FROM d WINDOW win AS (PARTITION BY l_suppkey ORDER BY Date RANGE BETWEEN INTERVAL 30 DAYS PRECEDING AND CURRENT ROW))
+SELECT l_suppkey, Date, daily_value, trailing_avg,
+       CASE WHEN trailing_avg <> 0 THEN (trailing_avg - daily_value) / trailing_avg END AS trend_ratio FROM w
+""")
+def q_supplier_trailing_avg(spark, sf):
+    """Daily revenue per supplier, trailing 30-day average and trend ratio."""
+    return A.trailing_average(load(spark, sf, "lineitem"), "l_suppkey", "l_shipdate", _rev(), 30, decimals=4)
+
+
+@register("supplier_outliers", "A21", sql=f"""
+WITH d AS (SELECT l_suppkey, CAST(l_shipdate AS DATE) AS Date, {rnd_sql(f'sum({REV})', 4)} AS daily_value
+           FROM lineitem GROUP BY 1, 2),
+a AS (SELECT l_suppkey, {rnd_sql('sum(daily_value)', 4)} / count(daily_value) AS avg_all_days FROM d GROUP BY 1)
+SELECT d.l_suppkey, Date, daily_value, avg_all_days, daily_value - avg_all_days AS daily_vs_avg,
+       CASE WHEN avg_all_days <> 0 THEN (daily_value - avg_all_days - avg_all_days) / avg_all_days END AS outlier_factor,
+       CASE WHEN avg_all_days <> 0 THEN (daily_value - avg_all_days) / avg_all_days END AS outlier_factor_intended
+FROM d JOIN a USING (l_suppkey)
+""")
+def q_supplier_outliers(spark, sf):
+    """Daily revenue per supplier against its all-days average (outlier factor)."""
+    return A.outliers(load(spark, sf, "lineitem"), "l_suppkey", "l_shipdate", _rev(), decimals=4)
+
+
+@register("customer_unused", "A22", sql=f"""
+WITH o AS (SELECT * FROM orders WHERE CAST(o_orderdate AS DATE) > DATE '{ORDERS_TODAY}' - INTERVAL 180 DAY),
+c AS (SELECT DISTINCT c_custkey FROM customer),
+m1 AS (SELECT o_custkey AS c_custkey, count(*) AS v FROM o GROUP BY 1),
+m2 AS (SELECT o_custkey AS c_custkey, count(*) AS v FROM o WHERE o_orderpriority = '1-URGENT' GROUP BY 1),
+m3 AS (SELECT o_custkey AS c_custkey, count(*) AS v FROM o WHERE o_orderstatus = 'O' GROUP BY 1),
+i AS (SELECT c.c_custkey,
+        CASE WHEN coalesce(m1.v, 0) < 1 THEN 1 END AS unused_recent,
+        CASE WHEN coalesce(m2.v, 0) < 1 THEN 1 END AS unused_urgent,
+        CASE WHEN coalesce(m3.v, 0) < 1 THEN 1 END AS unused_open
+      FROM c LEFT JOIN m1 USING (c_custkey) LEFT JOIN m2 USING (c_custkey) LEFT JOIN m3 USING (c_custkey))
+SELECT *, CASE WHEN coalesce(unused_recent, 0) + coalesce(unused_urgent, 0) + coalesce(unused_open, 0) > 0
+               THEN (coalesce(unused_recent, 0) + coalesce(unused_urgent, 0) + coalesce(unused_open, 0)) / 3.0 END AS unused_score
+FROM i
+""")
+def q_customer_unused(spark, sf):
+    """Unused-customer indicators (no recent / urgent / open orders) and score."""
+    o = load(spark, sf, "orders").filter(F.to_date("o_orderdate") > F.date_sub(F.lit(ORDERS_TODAY).cast("date"), 180))
+    mk = lambda df: df.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("v"))
+    return A.unused_indicators(load(spark, sf, "customer"), "c_custkey", {
+        "recent": mk(o), "urgent": mk(o.filter(F.col("o_orderpriority") == "1-URGENT")),
+        "open": mk(o.filter(F.col("o_orderstatus") == "O"))})
+
+
+@register("nation_first_customer", "A23", sql="""
+SELECT n_nationkey, coalesce(min(c_name), 'No customer') AS first_customer
+FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY n_nationkey
+""")
+def q_nation_first_customer(spark, sf):
+    """First customer name per nation, with a default text."""
+    j = load(spark, sf, "nation").join(load(spark, sf, "customer"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    return A.first_value(j, ["n_nationkey"], "c_name", "No customer", "first_customer")
+
+
+@register("customer_run_comparison", "A24", sql=f"""
+WITH r AS (SELECT o_custkey, year(o_orderdate) - 1994 AS run, o_totalprice FROM orders),
+l AS (SELECT o_custkey, max(run) AS last_run FROM r GROUP BY 1),
+j AS (SELECT r.*, l.last_run, CASE WHEN l.last_run - 1 > 0 THEN l.last_run - 1 END AS prev FROM r JOIN l USING (o_custkey))
+SELECT o_custkey, max(last_run) AS last_run, max(prev) AS previous_run,
+       {rnd_sql('sum(CASE WHEN run = last_run THEN o_totalprice END)', 2)} AS revenue_last,
+       {rnd_sql('sum(CASE WHEN run = prev THEN o_totalprice END)', 2)} AS revenue_previous,
+       count(CASE WHEN run = last_run THEN 1 END) AS orders_last,
+       count(CASE WHEN run = prev THEN 1 END) AS orders_previous,
+       {rnd_sql('sum(CASE WHEN run = prev THEN o_totalprice END)', 2)} - {rnd_sql('sum(CASE WHEN run = last_run THEN o_totalprice END)', 2)} AS revenue_diff,
+       count(CASE WHEN run = prev THEN 1 END) - count(CASE WHEN run = last_run THEN 1 END) AS orders_diff
+FROM j GROUP BY o_custkey
+""")
+def q_customer_run_comparison(spark, sf):
+    """Per customer: last and previous yearly run and the change between them."""
+    o = load(spark, sf, "orders").withColumn("run", F.year("o_orderdate") - 1994)
+    out = A.run_comparison(o, "o_custkey", "run", {"revenue": F.col("o_totalprice"), "orders": F.lit(1)},
+                           decimals={"revenue": 2})
+    return out.withColumns({"orders_last": F.coalesce("orders_last", F.lit(0)).cast("long"),
+                            "orders_previous": F.coalesce("orders_previous", F.lit(0)).cast("long")}) \
+              .withColumn("orders_diff", F.col("orders_previous") - F.col("orders_last"))
+
+
+@register("lineitem_storage_breakdown", "A26", sql="""
+WITH s AS (SELECT l_returnflag,
+             CASE l_linenumber WHEN 1 THEN 'H$' WHEN 2 THEN 'U$' WHEN 3 THEN 'R$' ELSE 'T' END || CAST(l_partkey AS VARCHAR) AS TABLE_ID,
+             CAST(l_quantity AS BIGINT) AS USED_SIZE, l_linenumber % 2 AS SEGMENT_NUMBER,
+             CASE WHEN l_linestatus = 'F' THEN 'BASIC_DATA' ELSE 'OTHER' END AS COLUMN_TYPE,
+             CAST(l_partkey % 100 AS BIGINT) AS DICTIONARY_SIZE FROM lineitem)
+SELECT l_returnflag,
+  sum(CASE WHEN substr(TABLE_ID, 2, 1) <> '$' THEN USED_SIZE END)::BIGINT AS data_size,
+  sum(CASE WHEN substr(TABLE_ID, 1, 2) = 'H$' AND SEGMENT_NUMBER = 0 THEN USED_SIZE END)::BIGINT AS hierarchy_size,
+  sum(CASE WHEN substr(TABLE_ID, 1, 2) = 'U$' THEN USED_SIZE END)::BIGINT AS user_hierarchy_size,
+  sum(CASE WHEN substr(TABLE_ID, 1, 2) = 'R$' THEN USED_SIZE END)::BIGINT AS relationship_size,
+  sum(CASE WHEN COLUMN_TYPE = 'BASIC_DATA' THEN DICTIONARY_SIZE END)::BIGINT AS dictionary_size,
+  (coalesce(sum(CASE WHEN substr(TABLE_ID, 2, 1) <> '$' THEN USED_SIZE END), 0)
+   + coalesce(sum(CASE WHEN substr(TABLE_ID, 1, 2) = 'H$' AND SEGMENT_NUMBER = 0 THEN USED_SIZE END), 0)
+   + coalesce(sum(CASE WHEN substr(TABLE_ID, 1, 2) = 'U$' THEN USED_SIZE END), 0)
+   + coalesce(sum(CASE WHEN substr(TABLE_ID, 1, 2) = 'R$' THEN USED_SIZE END), 0)
+   + coalesce(sum(CASE WHEN COLUMN_TYPE = 'BASIC_DATA' THEN DICTIONARY_SIZE END), 0))::BIGINT AS total_size
+FROM s GROUP BY l_returnflag
+""")
+def q_lineitem_storage_breakdown(spark, sf):
+    """Storage size breakdown by table-id prefix (lineitem as segment rows)."""
+    li = load(spark, sf, "lineitem")
+    seg = li.select("l_returnflag",
+                    F.concat(F.when(F.col("l_linenumber") == 1, "H$").when(F.col("l_linenumber") == 2, "U$")
+                             .when(F.col("l_linenumber") == 3, "R$").otherwise("T"),
+                             F.col("l_partkey").cast("string")).alias("TABLE_ID"),
+                    F.col("l_quantity").cast("long").alias("USED_SIZE"),
+                    (F.col("l_linenumber") % 2).alias("SEGMENT_NUMBER"),
+                    F.when(F.col("l_linestatus") == "F", "BASIC_DATA").otherwise("OTHER").alias("COLUMN_TYPE"),
+                    (F.col("l_partkey") % 100).cast("long").alias("DICTIONARY_SIZE"))
+    return A.storage_breakdown(seg, by=["l_returnflag"])
+
+
+@register("lineitem_quantity_stats", "A27, A10, A9, A11", sql=f"""
+SELECT l_returnflag, l_linestatus,
+  {rnd_sql('sum(l_quantity)', 2)} / count(l_quantity) AS l_quantity_avg, median(l_quantity) AS l_quantity_median,
+  min(l_quantity) AS l_quantity_min, max(l_quantity) AS l_quantity_max, {rnd_sql('sum(l_quantity)', 2)} AS l_quantity_sum,
+  count(l_quantity) AS l_quantity_count, min(l_shipdate) AS first_ship, max(l_shipdate) AS last_ship
+FROM lineitem GROUP BY 1, 2
+""")
+def q_lineitem_quantity_stats(spark, sf):
+    """Average, exact median, min, max, sum, count of quantities; first/last ship dates."""
+    li = load(spark, sf, "lineitem")
+    st = A.distribution_stats(li, "l_quantity", by=["l_returnflag", "l_linestatus"], decimals=2)
+    mm = li.groupBy("l_returnflag", "l_linestatus").agg(F.min("l_shipdate").alias("first_ship"),
+                                                        F.max("l_shipdate").alias("last_ship"))
+    return st.join(mm, ["l_returnflag", "l_linestatus"])
+
+
+@register("usage_rollup", "A39, A8", sql=f"""
+SELECT l_suppkey AS CapacityId, o_custkey AS WorkspaceId, CAST(l_shipdate AS DATE) AS Date, l_returnflag AS ItemKind,
+  {rnd_sql('sum(l_quantity)', 2)} AS quantity, {rnd_sql('sum(l_extendedprice)', 2)} AS gross,
+  {rnd_sql(f'sum({REV})', 4)} AS cu, count(*) AS operations, strftime(CAST(l_shipdate AS DATE), '%Y%m%d') AS DateKey
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+GROUP BY 1, 2, 3, 4 HAVING {rnd_sql(f'sum({REV})', 4)} > 0
+""")
+def q_usage_rollup(spark, sf):
+    """Usage rolled up by (supplier, customer, day, kind): sums, CU > 0, DateKey."""
+    li = load(spark, sf, "lineitem")
+    o = load(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    j = li.join(o, li["l_orderkey"] == o["o_orderkey"]).select(
+        F.col("l_suppkey").alias("CapacityId"), F.col("o_custkey").alias("WorkspaceId"),
+        F.to_date("l_shipdate").alias("Date"), F.col("l_returnflag").alias("ItemKind"),
+        "l_quantity", "l_extendedprice", _rev().alias("rev"))
+    return A.usage_rollup(j, ["CapacityId", "WorkspaceId", "Date", "ItemKind"],
+                          {"quantity": ("l_quantity", 2), "gross": ("l_extendedprice", 2), "cu": ("rev", 4),
+                           "operations": (F.lit(1), None)}, "cu")
+
+
+# =========================================================================== joins
+from ..operators import joins as J  # noqa: E402
+from ..operators import windows as W  # noqa: E402
+from ..operators.flatten import dedupe  # noqa: E402
+from ..operators.setops import union_distinct  # noqa: E402
+
+
+@register("star_join_revenue", "J6, A7", sql=f"""
+SELECT p.p_type AS part_p_type, s.s_nationkey AS supplier_s_nationkey, c.c_mktsegment AS customer_c_mktsegment,
+       {rnd_sql(f'sum({REV})', 4)} AS revenue, count(*) AS lines
+FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
+LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+GROUP BY 1, 2, 3
+""")
+def q_star_join_revenue(spark, sf):
+    """Lineitem fact through its relationship list (customer via an inactive
+    relationship switched on) - revenue by part type, supplier nation, segment."""
+    li = load(spark, sf, "lineitem")
+    o = load(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    fact = li.join(o, li["l_orderkey"] == o["o_orderkey"], "left")
+    dims = [("part", load(spark, sf, "part").select("p_partkey", "p_type"), "l_partkey", "p_partkey", True),
+            ("supplier", load(spark, sf, "supplier").select("s_suppkey", "s_nationkey"), "l_suppkey", "s_suppkey", True),
+            ("customer", load(spark, sf, "customer").select("c_custkey", "c_mktsegment"), "o_custkey", "c_custkey", False)]
+    s = J.star_join(fact, dims, use={"customer"})
+    return s.groupBy("part_p_type", "supplier_s_nationkey", "customer_c_mktsegment").agg(
+        A.exact_sum(_rev(), 4).alias("revenue"), F.count(F.lit(1)).alias("lines"))
+
+
+@register("parts_via_rich_suppliers", "J7", sql="""
+SELECT p_partkey, p_name FROM part WHERE p_partkey IN (
+  SELECT l_partkey FROM lineitem WHERE l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 5000))
+""")
+def q_parts_via_rich_suppliers(spark, sf):
+    """Parts linked through lineitem to suppliers with balance > 5000 (two semi-joins)."""
+    rich = load(spark, sf, "supplier").filter(F.col("s_acctbal") > 5000)
+    return J.filter_through(load(spark, sf, "part").select("p_partkey", "p_name"), load(spark, sf, "lineitem"), rich,
+                            "p_partkey", "l_partkey", "l_suppkey", "s_suppkey")
+
+
+@register("lineitem_large_parts", "J8, A3", sql="""
+SELECT l_returnflag, count(*) AS lines FROM lineitem
+WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size > 40) GROUP BY 1
+""")
+def q_lineitem_large_parts(spark, sf):
+    """Lines whose part is in the value set of large parts (virtual relationship)."""
+    big = load(spark, sf, "part").filter(F.col("p_size") > 40)
+    li = J.filter_by_values(load(spark, sf, "lineitem"), "l_partkey", big, "p_partkey")
+    return li.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("lines"))
+
+
+@register("part_single_nation", "J9", sql="""
+WITH ps AS (SELECT l_partkey, s_nationkey FROM lineitem JOIN supplier ON l_suppkey = s_suppkey),
+r AS (SELECT l_partkey AS p_partkey, CASE WHEN count(DISTINCT s_nationkey) = 1 THEN min(s_nationkey) END AS supplier_nation
+      FROM ps GROUP BY 1)
+SELECT p.p_partkey, r.supplier_nation FROM part p LEFT JOIN r USING (p_partkey)
+""")
+def q_part_single_nation(spark, sf):
+    """The supplier nation of each part when exactly one matches, else blank."""
+    ps = (load(spark, sf, "lineitem").join(load(spark, sf, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+          .select(F.col("l_partkey").alias("p_partkey"), "s_nationkey"))
+    return J.lookup_single(load(spark, sf, "part").select("p_partkey"), ps, ["p_partkey"], "s_nationkey", "supplier_nation")
+
+
+@register("returnflag_partition_series", "J10, W3", sql="""
+WITH s AS (SELECT l_returnflag, count(*) AS line_count FROM lineitem GROUP BY 1),
+x AS (SELECT l_returnflag, line_count, CAST(unnest(generate_series(1, 64)) AS INTEGER) AS Value FROM s)
+SELECT l_returnflag, Value, line_count, CAST(ceil(line_count / Value) AS BIGINT) AS rows_per_partition,
+       sum(CAST(ceil(line_count / Value) AS BIGINT)) OVER (PARTITION BY l_returnflag ORDER BY Value
+           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_total
+FROM x
+""")
+def q_returnflag_partition_series(spark, sf):
+    """Each summary row repeated for partition counts 1..64 (series join), rows per
+    partition and their running total."""
+    s = load(spark, sf, "lineitem").groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("line_count"))
+    x = J.with_series(s, 1, 64).withColumn("rows_per_partition", F.ceil(F.col("line_count") / F.col("Value")).cast("long"))
+    return W.running_total(x, ["l_returnflag"], "Value", "rows_per_partition")
+
+
+@register("customer_orders_lookup", "J2, J4", sql="""
+SELECT DISTINCT o.o_orderkey, o.o_orderstatus, c.c_name, c.c_nationkey
+FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+""")
+def q_customer_orders_lookup(spark, sf):
+    """Order -> customer name/nation lookup (left join), distinct rows."""
+    o = load(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_custkey")
+    c = load(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_nationkey")
+    return J.left_outer_distinct(o, c, ["o_custkey"]).drop("o_custkey")
+
+
+@register("supplier_first_order", "J5", sql="""
+WITH one AS (SELECT l_suppkey, min(l_orderkey) AS l_orderkey FROM lineitem GROUP BY 1)
+SELECT l_suppkey, one.l_orderkey, o_orderdate, o_totalprice FROM one JOIN orders ON one.l_orderkey = o_orderkey
+""")
+def q_supplier_first_order(spark, sf):
+    """innerunique: one lineitem row per supplier (least order key), then joined to orders."""
+    li = load(spark, sf, "lineitem").select("l_suppkey", F.col("l_orderkey").alias("o_orderkey"))
+    o = load(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    return J.inner_unique(li, o, ["o_orderkey"], reduce_on=["l_suppkey"]).withColumnRenamed("o_orderkey", "l_orderkey")
+
+
+@register("nation_pairs_by_region", "J3", sql="""
+SELECT a.n_name AS nation, b.n_name AS other_nation, count(*) AS suppliers
+FROM nation a JOIN nation b ON a.n_regionkey = b.n_regionkey AND a.n_nationkey <> b.n_nationkey
+JOIN supplier s ON s.s_nationkey = b.n_nationkey GROUP BY 1, 2
+""")
+def q_nation_pairs_by_region(spark, sf):
+    """Workspace-scoped pairing: each nation with the other nations of its region,
+    counting the suppliers of the other nation."""
+    n = load(spark, sf, "nation")
+    p = J.pair_within(n, n, "n_regionkey", {"n_name": "nation", "n_nationkey": "k1"},
+                      {"n_name": "other_nation", "n_nationkey": "k2"}).filter(F.col("k1") != F.col("k2"))
+    s = load(spark, sf, "supplier").select(F.col("s_nationkey").alias("k2"))
+    return p.join(s, "k2").groupBy("nation", "other_nation").agg(F.count(F.lit(1)).alias("suppliers"))
+
+
+# =========================================================================== windows / set ops
+@register("part_price_rank", "W1", sql="""
+SELECT p_partkey, p_type, p_retailprice, CAST(rank() OVER (PARTITION BY p_type ORDER BY p_retailprice DESC) AS INTEGER) AS rank
+FROM part
+""")
+def q_part_price_rank(spark, sf):
+    """Rank of each part by price within its type, descending, ties share a rank."""
+    return W.rank_desc(load(spark, sf, "part").select("p_partkey", "p_type", "p_retailprice"), ["p_type"], "p_retailprice")
+
+
+@register("daily_revenue_running_total", "W3", sql=f"""
+WITH d AS (SELECT l_returnflag, CAST(l_shipdate AS DATE) AS Date, {rnd_sql(f'sum({REV})', 4)} AS revenue FROM lineitem GROUP BY 1, 2)
+SELECT l_returnflag, Date, revenue,
+  {rnd_sql('sum(revenue) OVER (PARTITION BY l_returnflag ORDER BY Date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)', 4)} AS running_total
+FROM d
+""")
+def q_daily_revenue_running_total(spark, sf):
+    """Cumulative daily revenue per return flag."""
+    d = (load(spark, sf, "lineitem").groupBy("l_returnflag", F.to_date("l_shipdate").alias("Date"))
+         .agg(A.exact_sum(_rev(), 4).alias("revenue")))
+    return W.running_total(d, ["l_returnflag"], "Date", "revenue").withColumn("running_total", rnd("running_total", 4))
+
+
+@register("nation_revenue_share", "W4, A31", sql=f"""
+WITH r AS (SELECT s_nationkey, {rnd_sql(f'sum({REV})', 4)} AS revenue FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1)
+SELECT s_nationkey, revenue, revenue / (SELECT {rnd_sql('sum(revenue)', 4)} FROM r) AS share FROM r
+""")
+def q_nation_revenue_share(spark, sf):
+    """Revenue per supplier nation and its share of the total."""
+    r = (load(spark, sf, "lineitem").join(load(spark, sf, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+         .groupBy("s_nationkey").agg(A.exact_sum(_rev(), 4).alias("revenue")))
+    total = r.select(A.exact_sum(F.col("revenue"), 4)).scalar()
+    return r.withColumn("share", F.col("revenue") / total)
+
+
+@register("top_customers", "W6", sql=f"""
+SELECT o_custkey, {rnd_sql('sum(o_totalprice)', 2)} AS revenue FROM orders GROUP BY 1
+ORDER BY revenue DESC, o_custkey LIMIT 10
+""")
+def q_top_customers(spark, sf):
+    """Top 10 customers by order value (top-k is the feature)."""
+    r = load(spark, sf, "orders").groupBy("o_custkey").agg(A.exact_sum(F.col("o_totalprice"), 2).alias("revenue"))
+    return W.top_n(r, [F.col("revenue").desc(), F.col("o_custkey").asc()], 10)
+
+
+@register("order_supplier_pairs", "U3, P8", sql="""
+SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem
+""")
+def q_order_supplier_pairs(spark, sf):
+    """Distinct (order, supplier) rows."""
+    return dedupe(load(spark, sf, "lineitem").select("l_orderkey", "l_suppkey"))
+
+
+@register("nations_in_use", "U2", sql="""
+SELECT c_nationkey AS nationkey, 'customer' AS side FROM customer
+UNION SELECT s_nationkey, 'supplier' FROM supplier
+""")
+def q_nations_in_use(spark, sf):
+    """Distinct union of the nations used by customers and suppliers."""
+    a = load(spark, sf, "customer").select(F.col("c_nationkey").alias("nationkey"), F.lit("customer").alias("side"))
+    b = load(spark, sf, "supplier").select(F.col("s_nationkey").alias("nationkey"), F.lit("supplier").alias("side"))
+    return union_distinct(a, b)
+
+
+@register("latest_order_per_customer", "P8, W6", sql="""
+SELECT o_custkey, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS o_orderkey, max(o_orderdate) AS o_orderdate
+FROM orders GROUP BY 1
+""")
+def q_latest_order_per_customer(spark, sf):
+    """Keep one row per customer: its latest order (fixed tie-break on the key)."""
+    o = load(spark, sf, "orders").select("o_custkey", "o_orderdate", "o_orderkey")
+    return dedupe(o, ["o_custkey"], order=["o_orderdate", "o_orderkey"], desc=True)
