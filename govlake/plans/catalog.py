@@ -529,3 +529,121 @@ def q_latest_order_per_customer(spark, sf):
     """Keep one row per customer: its latest order (fixed tie-break on the key)."""
     o = load(spark, sf, "orders").select("o_custkey", "o_orderdate", "o_orderkey")
     return dedupe(o, ["o_custkey"], order=["o_orderdate", "o_orderkey"], desc=True)
+
+
+# =========================================================================== lineage graph
+from ..operators import lineage as G  # noqa: E402
+from .standins import EDGES_SQL, NAMES_SQL, lineage_edges_from_tpch, lineage_names  # noqa: E402
+
+HIERARCHY_SQL = """
+hierarchy AS (
+  SELECT DISTINCT h.UpStreamId, h.UpStreamWorkspaceId,
+    coalesce(a_up.name, d_up.path, d_up.extensionDataSourcePath, d_up.server, h.UpStreamId) AS UpStreamName,
+    coalesce(a_up.Type, d_up.DataSourceType, h.UpStreamType) AS UpStreamType,
+    coalesce(w_up.WorkspaceName, 'Data Source') AS UpStreamWorkspaceName,
+    h.DownStreamId, h.DownStreamWorkspaceId,
+    coalesce(a_down.name, r_app.Name, d_down.path, d_down.extensionDataSourcePath, d_down.server, h.DownStreamId) AS DownStreamName,
+    coalesce(a_down.Type, d_down.DataSourceType, h.DownStreamType) AS DownStreamType,
+    coalesce(w_down.WorkspaceName, 'Data Source') AS DownStreamWorkspaceName,
+    h.SourceDF
+  FROM edges h
+  LEFT JOIN workspaces w_down ON w_down.WorkspaceId = h.DownStreamWorkspaceId
+  LEFT JOIN workspaces w_up ON w_up.WorkspaceId = h.UpStreamWorkspaceId
+  LEFT JOIN items a_down ON a_down.id = h.DownStreamId
+  LEFT JOIN items a_up ON a_up.id = h.UpStreamId
+  LEFT JOIN sources d_down ON d_down.DatasourceId = h.DownStreamId
+  LEFT JOIN sources d_up ON d_up.DatasourceId = h.UpStreamId
+  LEFT JOIN reports r_app ON r_app.ReportId = h.DownStreamId
+)"""
+
+HITEMS_SQL = """
+hitems AS (
+  SELECT Id, WorkspaceId, Name, Type, WorkspaceName FROM (
+    SELECT *, row_number() OVER (PARTITION BY Id ORDER BY WorkspaceId, Name, Type, WorkspaceName) AS rn FROM (
+      SELECT UpStreamId AS Id, UpStreamWorkspaceId AS WorkspaceId, UpStreamName AS Name, UpStreamType AS Type,
+             UpStreamWorkspaceName AS WorkspaceName FROM hierarchy WHERE UpStreamId IS NOT NULL
+      UNION
+      SELECT DownStreamId, DownStreamWorkspaceId, DownStreamName, DownStreamType, DownStreamWorkspaceName
+      FROM hierarchy WHERE DownStreamId IS NOT NULL)) WHERE rn = 1
+)"""
+
+PATHS_SQL = """
+e AS (SELECT DISTINCT UpStreamId AS p, DownStreamId AS c FROM edges WHERE UpStreamId IS NOT NULL AND DownStreamId IS NOT NULL),
+nodes AS (SELECT p AS node FROM e UNION SELECT c FROM e),
+walk(source, target, path, length) AS (
+  SELECT p, c, [p, c], 1 FROM e
+  UNION ALL
+  SELECT w.source, e.c, list_append(w.path, e.c), w.length + 1 FROM walk w JOIN e ON e.p = w.target
+),
+best AS (SELECT source, target, min(length) AS length FROM walk WHERE source <> target GROUP BY 1, 2),
+paths AS (
+  SELECT w.source, w.target, min(w.path) AS path, w.length FROM walk w JOIN best b USING (source, target, length)
+  GROUP BY w.source, w.target, w.length
+  UNION ALL SELECT node, node, [node, node], 0 FROM nodes
+)"""
+
+
+def _lineage_inputs(spark, sf):
+    t = {n: load(spark, sf, n) for n in ("region", "nation", "customer", "supplier", "part", "lineitem", "orders")}
+    edges = lineage_edges_from_tpch(t["region"], t["nation"], t["customer"], t["supplier"], t["lineitem"], t["orders"])
+    names = lineage_names(t["region"], t["nation"], t["customer"], t["supplier"], t["part"])
+    return edges, names
+
+
+def _hierarchy(spark, sf):
+    edges, names = _lineage_inputs(spark, sf)
+    return G.hierarchy(edges, names["workspaces"], names["items"], names["sources"], names["reports"])
+
+
+@register("lineage_hierarchy", "G1, G2, J1, U1", sql=with_(EDGES_SQL, NAMES_SQL, HIERARCHY_SQL) + "SELECT * FROM hierarchy")
+def q_lineage_hierarchy(spark, sf):
+    """Edge sets unioned and both ends named through seven left joins."""
+    return _hierarchy(spark, sf)
+
+
+URL_SQL = """CASE WHEN Type IN ('Report', 'SemanticModel', 'Dataflow', 'Lakehouse', 'Warehouse', 'SQLEndpoint', 'DataPipeline')
+  THEN 'https://app.powerbi.com/groups/' || lower(WorkspaceId) || '/' ||
+       CASE Type WHEN 'Report' THEN 'reports' WHEN 'SemanticModel' THEN 'datasets' WHEN 'Dataflow' THEN 'dataflows-gen2'
+                 WHEN 'Lakehouse' THEN 'lakehouses' WHEN 'Warehouse' THEN 'warehouses' WHEN 'SQLEndpoint' THEN 'mirroredwarehouses'
+                 WHEN 'DataPipeline' THEN 'pipelines' END || '/' || lower(Id)
+  ELSE 'https://app.powerbi.com/groups/' || WorkspaceId END
+  || CASE WHEN Type = 'SemanticModel' THEN '/details' ELSE '' END"""
+
+
+@register("lineage_items", "G3, U2, P20, P8", sql=with_(EDGES_SQL, NAMES_SQL, HIERARCHY_SQL, HITEMS_SQL)
+          + f"SELECT *, {URL_SQL} AS url FROM hitems")
+def q_lineage_items(spark, sf):
+    """Items from both ends of the named edges, one row per id, with URL."""
+    return G.hierarchy_items(_hierarchy(spark, sf))
+
+
+@register("lineage_paths", "G4", sql="WITH RECURSIVE " + EDGES_SQL.strip() + ",\n" + PATHS_SQL.strip()
+          + "\nSELECT source, target, array_to_string(path, '>') AS path, length FROM paths")
+def q_lineage_paths(spark, sf):
+    """All-pairs shortest paths over the lineage edges (BFS frontier joins)."""
+    edges, _ = _lineage_inputs(spark, sf)
+    p = G.shortest_paths(edges, checkpoint_dir="/tmp/govlake-checkpoints")
+    return p.select("source", "target", F.array_join("path", ">").alias("path"), "length")
+
+
+@register("lineage_impact", "G5, A4", sql="WITH RECURSIVE " + ",\n".join(
+    x.strip() for x in (EDGES_SQL, NAMES_SQL, HIERARCHY_SQL, HITEMS_SQL, PATHS_SQL)) + """,
+ws AS (SELECT Id AS n, WorkspaceId AS w FROM hitems),
+up AS (SELECT target AS Id, count(source) AS items_upstream,
+              count(DISTINCT w) + max(CASE WHEN w IS NULL THEN 1 ELSE 0 END) AS workspaces_upstream, max(length) AS layers_upstream
+       FROM paths LEFT JOIN ws ON source = n GROUP BY target),
+down AS (SELECT source AS Id, count(target) AS items_downstream,
+                count(DISTINCT w) + max(CASE WHEN w IS NULL THEN 1 ELSE 0 END) AS workspaces_downstream, max(length) AS layers_downstream
+         FROM paths LEFT JOIN ws ON target = n GROUP BY source)
+SELECT i.Id, CAST(coalesce(items_upstream, 0) AS BIGINT) AS items_upstream, CAST(coalesce(items_downstream, 0) AS BIGINT) AS items_downstream,
+       CAST(coalesce(workspaces_upstream, 0) AS BIGINT) AS workspaces_upstream, CAST(coalesce(workspaces_downstream, 0) AS BIGINT) AS workspaces_downstream,
+       CAST(coalesce(layers_upstream, 0) AS BIGINT) AS layers_upstream, CAST(coalesce(layers_downstream, 0) AS BIGINT) AS layers_downstream
+FROM (SELECT DISTINCT Id FROM hitems) i LEFT JOIN up USING (Id) LEFT JOIN down USING (Id)
+""")
+def q_lineage_impact(spark, sf):
+    """Items and workspaces up/down stream and number of layers per item."""
+    edges, names = _lineage_inputs(spark, sf)
+    h = G.hierarchy(edges, names["workspaces"], names["items"], names["sources"], names["reports"])
+    items = G.hierarchy_items(h)
+    paths = G.shortest_paths(edges, checkpoint_dir="/tmp/govlake-checkpoints")
+    return G.impact(items, paths)
