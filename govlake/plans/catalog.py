@@ -647,3 +647,93 @@ def q_lineage_impact(spark, sf):
     items = G.hierarchy_items(h)
     paths = G.shortest_paths(edges, checkpoint_dir="/tmp/govlake-checkpoints")
     return G.impact(items, paths)
+
+
+# =========================================================================== engine-trace queries
+from ..operators import trace as K  # noqa: E402
+from .standins import NOW, TRACE_SQL, trace_from_events  # noqa: E402
+
+
+def _trace(spark, sf):
+    return trace_from_events(load(spark, sf, "events"))
+
+
+QUERY_END_SQL = f"""OperationName = 'QueryEnd' AND CAST(EventSubclass_s AS INTEGER) = 3 AND ApplicationName_s = 'PowerBI'
+  AND TimeGenerated > TIMESTAMP '{NOW}' - INTERVAL 30 DAY"""
+
+
+def _xml_sql(tag: str) -> str:
+    return f"nullif(regexp_extract(ObjectReference_s, '<Object>.*<{tag}>(.*?)</{tag}>', 1), '')"
+
+
+@register("trace_column_usage", "K1, P23, A40", sql=with_(TRACE_SQL) + f"""
+SELECT Table_Column, count(DISTINCT SPID_s) AS Total_Number_Queried FROM (
+  SELECT unnest(regexp_extract_all(TextData_s, '(''.*?''\\[.*?\\])', 1)) AS Table_Column, SPID_s FROM trace
+  WHERE {QUERY_END_SQL}) GROUP BY 1
+""")
+def q_trace_column_usage(spark, sf):
+    """Distinct sessions per 'Table'[Column] reference in query text (last 30 days)."""
+    return K.k_column_usage(_trace(spark, sf), now=NOW)
+
+
+@register("trace_partition_load_time", "K2, P24, J4", sql=with_(TRACE_SQL) + f"""
+, proc AS (
+  SELECT ResourceGroup AS Resource_Group, Resource, {_xml_sql('Database')} AS Database, {_xml_sql('Model')} AS Model,
+         {_xml_sql('Table')} AS "Table", {_xml_sql('Partition')} AS "Partition", User_s AS "User",
+         CAST(Duration_s AS INTEGER) / 1000.0::DOUBLE AS Duration_Seconds, StartTime_t AS Start_Time, EndTime_t AS End_Time,
+         concat_ws('-', SPID_s, ObjectPath_s) AS unique_id
+  FROM trace WHERE OperationName = 'ProgressReportEnd' AND CAST(Success_s AS INTEGER) = 1 AND CAST(EventSubclass_s AS INTEGER) = 1),
+rws AS (SELECT concat_ws('-', SPID_s, ObjectPath_s) AS unique_id, IntegerData_s AS Number_Of_Rows FROM trace
+        WHERE OperationName = 'ProgressReportEnd' AND CAST(Success_s AS INTEGER) = 1 AND CAST(EventSubclass_s AS INTEGER) = 17)
+SELECT DISTINCT Resource_Group, Resource, Database, Model, "Table", "Partition", "User", Duration_Seconds, Number_Of_Rows,
+       Start_Time, End_Time
+FROM proc LEFT JOIN rws USING (unique_id)
+""")
+def q_trace_partition_load_time(spark, sf):
+    """Partition processing times with XML object fields and row counts."""
+    return K.k_partition_load_time(_trace(spark, sf))
+
+
+@register("trace_processing_errors", "K3, J5, W6", sql=with_(TRACE_SQL) + """
+, errs AS (
+  SELECT RootActivityId_g, TextData_s AS Error, ServerName_s AS Server, Resource, User_s AS "User", ApplicationName_s AS Application
+  FROM trace WHERE ResourceProvider = 'MICROSOFT.ANALYSISSERVICES' AND OperationName = 'Error' AND coalesce(User_s, '') <> ''),
+one AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY RootActivityId_g
+          ORDER BY Error, Server, Resource, "User", Application) AS rn FROM errs) WHERE rn = 1),
+procs AS (SELECT RootActivityId_g, EndTime_t AS End_Time, DatabaseName_s AS Database, TextData_s AS Details FROM trace
+          WHERE ResourceProvider = 'MICROSOFT.ANALYSISSERVICES' AND CAST(Error_s AS BIGINT) = -1055784777
+            AND OperationName = 'CommandEnd' AND CAST(EventSubclass_s AS INTEGER) = 38)
+SELECT End_Time, Database, Details, Error, Server, Resource, "User", Application
+FROM one JOIN procs USING (RootActivityId_g) ORDER BY End_Time DESC
+""")
+def q_trace_processing_errors(spark, sf):
+    """Errors with a user matched (innerunique) to failed processing commands, newest first."""
+    return K.k_processing_errors(_trace(spark, sf))
+
+
+@register("trace_query_load_time", "K4, P25, A40", sql=with_(TRACE_SQL) + f"""
+, g AS (SELECT ApplicationContext_s, Resource, avg(CAST(Duration_s AS INTEGER)) / 1000 AS avg_load_time_sec,
+               sum(CAST(Duration_s AS INTEGER)) / 1000 AS sum_load_time_sec, count(*) AS count_queries
+        FROM trace WHERE {QUERY_END_SQL} GROUP BY 1, 2),
+x AS (SELECT *, json_extract_string(json_extract_string(ApplicationContext_s, '$.Sources'), '$[0].ReportId') AS ReportId_,
+             json_extract_string(json_extract_string(ApplicationContext_s, '$.Sources'), '$[0].VisualId') AS VisualId_ FROM g)
+SELECT avg_load_time_sec, sum_load_time_sec, count_queries, ReportId_, VisualId_,
+       'https://app.powerbi.com/groups/me/reports/' || coalesce(ReportId_, '') AS ReportUrl
+FROM x ORDER BY sum_load_time_sec DESC
+""")
+def q_trace_query_load_time(spark, sf):
+    """Query load time per application context, with report/visual ids and URL."""
+    return K.k_query_load_time(_trace(spark, sf), now=NOW)
+
+
+@register("trace_re_encoding", "K5, P22, P24", sql=with_(TRACE_SQL) + f"""
+SELECT StartTime_t AS Start_Time, EndTime_t AS End_Time, {_xml_sql('Table')} AS "Table",
+       CASE WHEN regexp_matches(TextData_s, '<pii>(.*?)</pii>') THEN regexp_extract(TextData_s, '<pii>(.*?)</pii>', 1) END AS "Column",
+       CAST(Duration_s AS INTEGER) / 1000.0::DOUBLE AS Duration_Seconds, TextData_s AS Text, {_xml_sql('Database')} AS Database,
+       {_xml_sql('Model')} AS Model, {_xml_sql('Partition')} AS "Partition", Resource
+FROM trace WHERE OperationName = 'ProgressReportEnd' AND CAST(EventSubclass_s AS INTEGER) = 55
+ORDER BY Start_Time DESC
+""")
+def q_trace_re_encoding(spark, sf):
+    """Re-encoding events with XML fields, seconds and the tagged column name."""
+    return K.k_re_encoding(_trace(spark, sf))
