@@ -737,3 +737,165 @@ ORDER BY Start_Time DESC
 def q_trace_re_encoding(spark, sf):
     """Re-encoding events with XML fields, seconds and the tagged column name."""
     return K.k_re_encoding(_trace(spark, sf))
+
+
+# =========================================================================== merges
+from ..operators import merge as M  # noqa: E402
+
+MERGE_NOW = NOW
+OLD_STAMP = "2023-12-31 00:00:00"
+
+
+@register("events_replace_since", "M1", sql=with_(ACTIVITIES_SQL, ACT_SILVER_SQL) + """
+, ex AS (SELECT Id, CreationDate, value FROM silver WHERE CreationDate < DATE '2024-01-20'),
+nw AS (SELECT Id, CreationDate, value + 1 AS value FROM silver WHERE CreationDate >= DATE '2024-01-15'),
+cut AS (SELECT least((SELECT min(CreationDate) FROM nw), (SELECT max(CreationDate) FROM ex)) AS c)
+SELECT * FROM ex WHERE CreationDate < (SELECT c FROM cut)
+UNION ALL SELECT * FROM nw WHERE CreationDate >= (SELECT c FROM cut)
+""")
+def q_events_replace_since(spark, sf):
+    """High-water-mark reload: an existing table up to 01-19 replaced from the new
+    load's first day (01-15) onwards."""
+    s = _activities(spark, sf).select("Id", "CreationDate", "value")
+    existing = s.filter(F.col("CreationDate") < F.lit("2024-01-20").cast("date"))
+    new = s.filter(F.col("CreationDate") >= F.lit("2024-01-15").cast("date")).withColumn("value", F.col("value") + 1)
+    return M.replace_since(existing, new, "CreationDate")
+
+
+def _orders_merge_inputs(spark, sf):
+    o = load(spark, sf, "orders")
+    target = o.filter(F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp_ntz")).select(
+        "o_orderkey", "o_orderstatus", "o_totalprice", F.lit(OLD_STAMP).cast("timestamp").alias("fuam_modified_at"),
+        (F.col("o_orderpriority") == "5-LOW").alias("fuam_deleted"))
+    source = o.filter(F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz")).select(
+        "o_orderkey", F.lit("F").alias("o_orderstatus"), "o_totalprice")
+    return target, source
+
+
+ORDERS_MERGE_SQL = f"""
+t AS (SELECT o_orderkey, o_orderstatus, o_totalprice, TIMESTAMP '{OLD_STAMP}' AS fuam_modified_at,
+             o_orderpriority = '5-LOW' AS fuam_deleted FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'),
+s AS (SELECT o_orderkey, 'F' AS o_orderstatus, o_totalprice FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'),
+merged AS (
+  SELECT coalesce(t.o_orderkey, s.o_orderkey) AS o_orderkey,
+    CASE WHEN s.o_orderkey IS NOT NULL THEN s.o_orderstatus ELSE t.o_orderstatus END AS o_orderstatus,
+    CASE WHEN s.o_orderkey IS NOT NULL THEN s.o_totalprice ELSE t.o_totalprice END AS o_totalprice,
+    CASE WHEN s.o_orderkey IS NOT NULL THEN TIMESTAMP '{MERGE_NOW}'
+         WHEN NOT coalesce(t.fuam_deleted, false) THEN TIMESTAMP '{MERGE_NOW}' ELSE t.fuam_modified_at END AS fuam_modified_at,
+    CASE WHEN s.o_orderkey IS NOT NULL THEN false WHEN NOT coalesce(t.fuam_deleted, false) THEN true
+         ELSE t.fuam_deleted END AS fuam_deleted
+  FROM t FULL OUTER JOIN s ON t.o_orderkey = s.o_orderkey)"""
+
+
+@register("orders_upsert_soft_delete", "M2", sql=with_(ORDERS_MERGE_SQL) + "SELECT * FROM merged")
+def q_orders_upsert_soft_delete(spark, sf):
+    """Upsert with soft delete: matched rows updated, new rows inserted, rows missing
+    from the new load flagged deleted (once)."""
+    target, source = _orders_merge_inputs(spark, sf)
+    return M.upsert_soft_delete(target, source, ["o_orderkey"], now=MERGE_NOW)
+
+
+@register("orders_live_after_merge", "A1, A2, M2", sql=with_(ORDERS_MERGE_SQL) + """
+SELECT o_orderstatus, count(*) AS live_count FROM merged WHERE NOT coalesce(fuam_deleted, false) GROUP BY 1
+""")
+def q_orders_live_after_merge(spark, sf):
+    """Live (not deleted) orders per status after the soft-delete merge."""
+    target, source = _orders_merge_inputs(spark, sf)
+    return A.live_count(M.upsert_soft_delete(target, source, ["o_orderkey"], now=MERGE_NOW), by=["o_orderstatus"])
+
+
+CUST_MERGE_SQL = """
+t AS (SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer WHERE c_acctbal < 5000),
+s AS (SELECT c_custkey, c_acctbal + 100 AS c_acctbal, 'UPDATED-' || c_mktsegment AS c_mktsegment FROM customer
+      WHERE c_mktsegment IN ('BUILDING', 'MACHINERY'))"""
+
+
+def _cust_merge_inputs(spark, sf):
+    c = load(spark, sf, "customer")
+    target = c.filter(F.col("c_acctbal") < 5000).select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    source = c.filter(F.col("c_mktsegment").isin("BUILDING", "MACHINERY")).select(
+        "c_custkey", (F.col("c_acctbal") + 100).alias("c_acctbal"),
+        F.concat(F.lit("UPDATED-"), F.col("c_mktsegment")).alias("c_mktsegment"))
+    return target, source
+
+
+@register("customer_upsert", "M3", sql=with_(CUST_MERGE_SQL) + """
+SELECT coalesce(t.c_custkey, s.c_custkey) AS c_custkey, t.c_name,
+  CASE WHEN s.c_custkey IS NOT NULL THEN s.c_acctbal ELSE t.c_acctbal END AS c_acctbal,
+  CASE WHEN s.c_custkey IS NOT NULL THEN s.c_mktsegment ELSE t.c_mktsegment END AS c_mktsegment
+FROM t FULL OUTER JOIN s ON t.c_custkey = s.c_custkey
+""")
+def q_customer_upsert(spark, sf):
+    """Upsert on keys with the union of both schemas."""
+    target, source = _cust_merge_inputs(spark, sf)
+    return M.upsert(target, source, ["c_custkey"])
+
+
+@register("customer_upsert_cols", "M4", sql=with_(CUST_MERGE_SQL) + """
+SELECT coalesce(t.c_custkey, s.c_custkey) AS c_custkey, t.c_name,
+  CASE WHEN s.c_custkey IS NOT NULL THEN s.c_acctbal ELSE t.c_acctbal END AS c_acctbal,
+  CASE WHEN t.c_custkey IS NOT NULL THEN t.c_mktsegment ELSE s.c_mktsegment END AS c_mktsegment
+FROM t FULL OUTER JOIN s ON t.c_custkey = s.c_custkey
+""")
+def q_customer_upsert_cols(spark, sf):
+    """Upsert updating only the balance; other columns keep the target's values."""
+    target, source = _cust_merge_inputs(spark, sf)
+    return M.upsert(target, source, ["c_custkey"], update_cols=["c_acctbal"])
+
+
+@register("orders_insert_new", "M5", sql="""
+WITH t AS (SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'),
+s AS (SELECT o_orderkey, 'X' AS o_orderstatus FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01')
+SELECT * FROM t UNION ALL SELECT * FROM s WHERE o_orderkey NOT IN (SELECT o_orderkey FROM t)
+""")
+def q_orders_insert_new(spark, sf):
+    """Insert only the keys the target does not have."""
+    o = load(spark, sf, "orders")
+    t = o.filter(F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp_ntz")).select("o_orderkey", "o_orderstatus")
+    s = o.filter(F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz")).select(
+        "o_orderkey", F.lit("X").alias("o_orderstatus"))
+    return M.insert_new(t, s, ["o_orderkey"])
+
+
+@register("customer_domain_update", "M6", sql="""
+SELECT c.c_custkey, c.c_name, u.DomainId FROM customer c
+LEFT JOIN (SELECT c_custkey, 'dom-' || CAST(c_nationkey AS VARCHAR) AS DomainId FROM customer WHERE c_mktsegment = 'BUILDING') u
+ON c.c_custkey = u.c_custkey
+""")
+def q_customer_domain_update(spark, sf):
+    """Update-only enrichment: set DomainId where the key matches (column added first)."""
+    c = load(spark, sf, "customer")
+    src = c.filter(F.col("c_mktsegment") == "BUILDING").select(
+        "c_custkey", F.concat(F.lit("dom-"), F.col("c_nationkey").cast("string")).alias("DomainId"))
+    return M.update_from(c.select("c_custkey", "c_name"), src, ["c_custkey"], ["DomainId"])
+
+
+@register("customer_settings_stamped", "M7", sql="""
+SELECT DATE '2024-01-29' AS TransferDate, TIMESTAMP '2024-01-29 06:00:00' AS TransferDateTime, c_custkey, c_mktsegment FROM customer
+UNION ALL
+SELECT DATE '2024-01-30', TIMESTAMP '2024-01-30 06:00:00', c_custkey, c_mktsegment FROM customer WHERE c_acctbal > 0
+""")
+def q_customer_settings_stamped(spark, sf):
+    """Two stamped snapshot appends (TransferDate, TransferDateTime)."""
+    c = load(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    day1 = M.append_stamped(None, c.select("c_custkey", "c_mktsegment"), "2024-01-29 06:00:00")
+    return M.append_stamped(day1, c.filter(F.col("c_acctbal") > 0).select("c_custkey", "c_mktsegment"),
+                            "2024-01-30 06:00:00")
+
+
+@register("customer_snapshot_daily", "M8", sql="""
+SELECT DATE '2024-01-29' AS Snapshot_Date, '2024-01-29_' || CAST(c_custkey AS VARCHAR) AS Snapshot_c_custkey,
+       '2024-01-29_' || CAST(c_nationkey AS VARCHAR) AS Snapshot_c_nationkey, c_custkey, c_nationkey, c_acctbal FROM customer
+UNION ALL
+SELECT DATE '2024-01-30', '2024-01-30_' || CAST(c_custkey AS VARCHAR), '2024-01-30_' || CAST(c_nationkey AS VARCHAR),
+       c_custkey, c_nationkey, c_acctbal + 1 FROM customer
+""")
+def q_customer_snapshot_daily(spark, sf):
+    """Daily snapshot history; the re-run of a day replaces that day's rows."""
+    c = load(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    ids = ["c_custkey", "c_nationkey"]
+    h = M.snapshot_daily(None, c, ids, "2024-01-29")
+    h = M.snapshot_daily(h, c, ids, "2024-01-30")
+    rerun = c.withColumn("c_acctbal", F.col("c_acctbal") + 1)
+    return M.snapshot_daily(h, rerun, ids, "2024-01-30").select(
+        "Snapshot_Date", "Snapshot_c_custkey", "Snapshot_c_nationkey", "c_custkey", "c_nationkey", "c_acctbal")
