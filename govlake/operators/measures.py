@@ -203,14 +203,15 @@ def trailing_average(df: DataFrame, item_col: str, date_col: str, value: Column,
 
 
 # A18 / A19 -----------------------------------------------------------------------
-def utilisation(df: DataFrame, used: str, capacity: str, by: list | None = None) -> DataFrame:
-    return measure(df, {"used": F.sum(used), "available": F.sum(capacity),
-                        "utilisation": ddivide(F.sum(used), F.sum(capacity))}, None, by)
+def utilisation(df: DataFrame, used, capacity, by: list | None = None, decimals: int | None = None) -> DataFrame:
+    """Total used / total available (blank when nothing is available)."""
+    u, c = exact_sum(_c(used), decimals), exact_sum(_c(capacity), decimals)
+    return measure(df, {"used": u, "available": c, "utilisation": ddivide(u, c)}, None, by)
 
 
-def throttling_counts(df: DataFrame, cols: dict[str, str], by: list | None = None, threshold: float = 1.0) -> DataFrame:
+def throttling_counts(df: DataFrame, cols: dict, by: list | None = None, threshold: float = 1.0) -> DataFrame:
     """Time points where a percentage column exceeds ``threshold`` (1 = 100 %)."""
-    return conditional_counts(df, {n: F.col(c) > threshold for n, c in cols.items()}, by)
+    return conditional_counts(df, {n: _c(c) > threshold for n, c in cols.items()}, by)
 
 
 # A20 ---------------------------------------------------------------------------
@@ -364,9 +365,11 @@ def documentation_ratio(df: DataFrame, desc_col: str, by: list | None = None, na
 
 
 # A30 / A31 ----------------------------------------------------------------------
-def attach_sum(target: DataFrame, facts: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
-    """Sum of ``value`` per key attached to each target row (left join)."""
-    s = facts.groupBy(*keys).agg(F.sum(value).alias(name))
+def attach_sum(target: DataFrame, facts: DataFrame, keys: list[str], value: str, name: str,
+               decimals: int | None = None) -> DataFrame:
+    """Sum of ``value`` per key attached to each target row (left join of
+    the pre-aggregated facts: one row per key crosses the join)."""
+    s = facts.groupBy(*keys).agg(exact_sum(F.col(value), decimals).alias(name))
     return target.join(s, keys, "left")
 
 
@@ -379,11 +382,13 @@ def share_of_total(df: DataFrame, value: str, name: str = "share") -> DataFrame:
 
 # A32-A37 ------------------------------------------------------------------------
 def counter_averages(df: DataFrame, name_col: str, value_col: str, counters: dict[str, str],
-                     by: list | None = None, scale: dict[str, float] | None = None) -> DataFrame:
-    """Average of rows with one counter name, one column per counter."""
+                     by: list | None = None, scale: dict[str, float] | None = None,
+                     decimals: int | None = None) -> DataFrame:
+    """Average of rows with one counter name, one column per counter
+    (a pivot by conditional aggregation: one pass, no per-counter scan)."""
     scale = scale or {}
     return df.groupBy(*(by or [])).agg(*[
-        (F.avg(F.when(F.col(name_col) == cn, F.col(value_col))) * scale.get(out, 1.0)).alias(out)
+        (exact_avg(F.when(F.col(name_col) == cn, F.col(value_col)), decimals) * scale.get(out, 1.0)).alias(out)
         for out, cn in counters.items()])
 
 
@@ -408,18 +413,19 @@ def time_measures(df: DataFrame, cols: list[str], by: list | None = None, unit:
 
 # A38 ---------------------------------------------------------------------------
 def item_vs_all(df: DataFrame, item_col: str, date_col: str, value: Column, today,
-                item_days: int = 7, all_days: int = 90) -> DataFrame:
+                item_days: int = 7, all_days: int = 90, decimals: int | None = None) -> DataFrame:
     """Per item: average daily value over the last ``item_days`` against the
     average daily value of *all* items over ``all_days`` (item filter
     removed): difference, percentage and sign.  The all-items baseline is
     a scalar subquery."""
     t = _lit_date(today)
     d = F.to_date(F.col(date_col))
-    daily = df.groupBy(item_col, d.alias("Date")).agg(F.sum(value).alias("v"))
+    daily = df.groupBy(item_col, d.alias("Date")).agg(exact_sum(value, decimals).alias("v"))
     base = (daily.filter((F.col("Date") > F.date_sub(t, all_days)) & (F.col("Date") <= t))
-            .groupBy("Date").agg(F.sum("v").alias("v")).select(F.avg("v")).scalar())
+            .groupBy("Date").agg(exact_sum(F.col("v"), decimals).alias("v"))
+            .select(exact_avg(F.col("v"), decimals)).scalar())
     recent = (daily.filter((F.col("Date") > F.date_sub(t, item_days)) & (F.col("Date") <= t))
-              .groupBy(item_col).agg(F.avg("v").alias("item_avg")))
+              .groupBy(item_col).agg(exact_avg(F.col("v"), decimals).alias("item_avg")))
     out = recent.withColumn("all_avg", base)
     diff = F.col("item_avg") - F.col("all_avg")
     return out.withColumns({"difference": diff, "difference_pct": ddivide(diff, F.col("all_avg")),

@@ -17,7 +17,7 @@ from ..operators import measures as A
 from ..operators.tables import build_activities, build_aggregated_activities
 from ..sources.dims import calendar_columns, calendar_of
 from .registry import register, rnd, rnd_sql, with_
-from .standins import (ACTIVITIES_SQL, ORDERS_TODAY, TODAY, activities_from_events, load)
+from .standins import (ACTIVITIES_SQL, ORDERS_TODAY, SHIP_TODAY, TODAY, activities_from_events, load)
 
 ACT_SILVER_SQL = """
 silver AS (
@@ -899,3 +899,271 @@ def q_customer_snapshot_daily(spark, sf):
     rerun = c.withColumn("c_acctbal", F.col("c_acctbal") + 1)
     return M.snapshot_daily(h, rerun, ids, "2024-01-30").select(
         "Snapshot_Date", "Snapshot_c_custkey", "Snapshot_c_nationkey", "c_custkey", "c_nationkey", "c_acctbal")
+
+
+# =========================================================================== scalar transforms & dims
+from ..functions import scalar as P  # noqa: E402
+from ..operators.flatten import anonymise, decode_enum, extract_all_rows  # noqa: E402
+from ..sources.dims import day_spine, static_dims, timepoint_dim  # noqa: E402
+
+
+@register("lineitem_keys", "P12, P13", sql="""
+SELECT l_orderkey, l_linenumber, sha256(concat_ws('-', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR))) AS line_sha,
+       concat_ws('-', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR)) AS line_key FROM lineitem
+""")
+def q_lineitem_keys(spark, sf):
+    """Surrogate (SHA-256 of '-'-joined parts) and composite text keys."""
+    li = load(spark, sf, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", P.sha_key("l_orderkey", "l_linenumber").alias("line_sha"),
+                     P.text_key(["l_orderkey", "l_linenumber"], "-").alias("line_key"))
+
+
+@register("activity_anonymised", "P26", sql=with_(ACTIVITIES_SQL, ACT_SILVER_SQL) + f"""
+SELECT Id, CreationDate, CASE WHEN CreationDate < DATE '{TODAY}' - INTERVAL 14 DAY THEN md5(UserId) ELSE UserId END AS UserId,
+       CreationDate < DATE '{TODAY}' - INTERVAL 14 DAY AS IsAnonymised FROM silver
+""")
+def q_activity_anonymised(spark, sf):
+    """User ids hashed (md5) for activities older than 14 days, with a guard flag."""
+    a = _activities(spark, sf).select("Id", "CreationDate", "UserId")
+    return anonymise(a, ["UserId"], "CreationDate", after_days=14, today=TODAY)
+
+
+@register("activity_status_counts", "P10, A5", sql=with_(ACTIVITIES_SQL, ACT_SILVER_SQL) + """
+, st AS (SELECT Activity, CASE WHEN ResultStatus = 'Failed' THEN 'Failed' WHEN ResultStatus = 'InProgress' THEN 'InProgress'
+            WHEN ResultStatus = 'Succeeded' THEN 'Succeeded' WHEN CAST(IsSuccess AS INTEGER) = 1 THEN 'Succeeded'
+            ELSE 'N/A' END AS s FROM silver)
+SELECT Activity, count(CASE WHEN s = 'Failed' THEN 1 END) AS failed, count(CASE WHEN s = 'InProgress' THEN 1 END) AS in_progress,
+       count(CASE WHEN s = 'Succeeded' THEN 1 END) AS succeeded, count(CASE WHEN s = 'N/A' THEN 1 END) AS not_available
+FROM st GROUP BY 1
+""")
+def q_activity_status_counts(spark, sf):
+    """Resolved activity status counted per activity (conditional counts)."""
+    a = _activities(spark, sf).withColumn("s", P.activity_status())
+    return A.conditional_counts(a, {"failed": F.col("s") == "Failed", "in_progress": F.col("s") == "InProgress",
+                                    "succeeded": F.col("s") == "Succeeded", "not_available": F.col("s") == "N/A"},
+                                by=["Activity"])
+
+
+@register("part_type_counts", "A2", sql="""
+SELECT p_brand, p_type, count(*) AS item_count FROM part GROUP BY 1, 2
+""")
+def q_part_type_counts(spark, sf):
+    """Items per type (parts per type and brand)."""
+    return A.count_by_type(load(spark, sf, "part"), "p_type", by=["p_brand"])
+
+
+@register("activity_success_ratio", "A34", sql=with_(ACTIVITIES_SQL, ACT_SILVER_SQL) + """
+SELECT CreationDate, count(DISTINCT Id) AS requests, count(DISTINCT CASE WHEN NOT IsSuccess THEN Id END) AS failed_requests,
+       CAST(count(DISTINCT CASE WHEN IsSuccess THEN Id END) AS DOUBLE) / count(DISTINCT Id) AS success_ratio
+FROM silver GROUP BY 1
+""")
+def q_activity_success_ratio(spark, sf):
+    """Distinct requests, failed requests and success ratio per day."""
+    return A.success_ratio(_activities(spark, sf), "Id", "IsSuccess", True, by=["CreationDate"])
+
+
+@register("event_counter_averages", "A33", sql=f"""
+SELECT CAST(ts AS DATE) AS Date,
+  ({rnd_sql("sum(CASE WHEN event_type = 'view' THEN value END)", 2)} / count(CASE WHEN event_type = 'view' THEN value END)) * 100.0 AS cpu,
+  ({rnd_sql("sum(CASE WHEN event_type = 'click' THEN value END)", 2)} / count(CASE WHEN event_type = 'click' THEN value END)) * 1.0 AS memory,
+  ({rnd_sql("sum(CASE WHEN event_type = 'purchase' THEN value END)", 2)} / count(CASE WHEN event_type = 'purchase' THEN value END)) * 8.0 AS threads
+FROM events GROUP BY 1
+""")
+def q_event_counter_averages(spark, sf):
+    """Average of each named counter per day (scaled: x100, x1, x8 cores)."""
+    e = load(spark, sf, "events").withColumn("Date", F.to_date("ts"))
+    return A.counter_averages(e, "event_type", "value", {"cpu": "view", "memory": "click", "threads": "purchase"},
+                              by=["Date"], scale={"cpu": 100.0, "threads": 8.0}, decimals=2)
+
+
+@register("supplier_vs_all", "A38", sql=f"""
+WITH d AS (SELECT l_suppkey, CAST(l_shipdate AS DATE) AS Date, {rnd_sql(f'sum({REV})', 4)} AS v FROM lineitem GROUP BY 1, 2),
+b AS (SELECT {rnd_sql('sum(v)', 4)} / count(v) AS all_avg FROM (
+        SELECT Date, {rnd_sql('sum(v)', 4)} AS v FROM d
+        WHERE Date > DATE '{SHIP_TODAY}' - INTERVAL 90 DAY AND Date <= DATE '{SHIP_TODAY}' GROUP BY 1)),
+r AS (SELECT l_suppkey, {rnd_sql('sum(v)', 4)} / count(v) AS item_avg FROM d
+      WHERE Date > DATE '{SHIP_TODAY}' - INTERVAL 7 DAY AND Date <= DATE '{SHIP_TODAY}' GROUP BY 1)
+SELECT l_suppkey, item_avg, all_avg, item_avg - all_avg AS difference,
+       CASE WHEN all_avg <> 0 THEN (item_avg - all_avg) / all_avg END AS difference_pct, sign(item_avg - all_avg) AS sign
+FROM r, b
+""")
+def q_supplier_vs_all(spark, sf):
+    """Each supplier's 7-day daily average against the 90-day all-supplier average."""
+    return A.item_vs_all(load(spark, sf, "lineitem"), "l_suppkey", "l_shipdate", _rev(), SHIP_TODAY, decimals=4)
+
+
+@register("lineitem_throttling", "A19", sql="""
+SELECT l_returnflag, count(CASE WHEN l_discount * 20 > 1.0 THEN 1 END) AS high_discount,
+       count(CASE WHEN l_tax * 20 > 1.0 THEN 1 END) AS high_tax FROM lineitem GROUP BY 1
+""")
+def q_lineitem_throttling(spark, sf):
+    """Rows whose percentage (discount, tax x 20) exceeds 100 %."""
+    li = load(spark, sf, "lineitem")
+    return A.throttling_counts(li, {"high_discount": F.col("l_discount") * 20, "high_tax": F.col("l_tax") * 20},
+                               by=["l_returnflag"])
+
+
+@register("nation_utilisation", "A18", sql=f"""
+SELECT s_nationkey, {rnd_sql('sum(l_quantity)', 2)} AS used, {rnd_sql('sum(50.0)', 2)} AS available,
+       {rnd_sql('sum(l_quantity)', 2)} / {rnd_sql('sum(50.0)', 2)} AS utilisation
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1
+""")
+def q_nation_utilisation(spark, sf):
+    """Quantity used against capacity (50 per line) per supplier nation."""
+    j = load(spark, sf, "lineitem").join(load(spark, sf, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+    return A.utilisation(j, "l_quantity", F.lit(50.0), by=["s_nationkey"], decimals=2)
+
+
+@register("supplier_schedule_slots", "A20", sql="""
+WITH d AS (SELECT DISTINCT l_suppkey, strftime(CAST(l_shipdate AS DATE), '%a') AS Day, l_suppkey % 2 = 0 AS Enabled FROM lineitem),
+t AS (SELECT DISTINCT l_suppkey, lpad(CAST(l_linenumber AS VARCHAR), 2, '0') || ':00' AS Time FROM lineitem),
+s AS (SELECT DISTINCT d.l_suppkey, Day, Enabled, Time FROM d JOIN t USING (l_suppkey))
+SELECT l_suppkey, count(CASE WHEN Enabled = true THEN 1 END) AS slots_enabled,
+       count(CASE WHEN Enabled = false THEN 1 END) AS slots_disabled, count(*) AS slots_any FROM s GROUP BY 1
+""")
+def q_supplier_schedule_slots(spark, sf):
+    """Schedule expansion: distinct (item, day, time) slots, counted by enabled state."""
+    li = load(spark, sf, "lineitem")
+    days = li.select("l_suppkey", F.date_format("l_shipdate", "E").alias("Day"),
+                     (F.col("l_suppkey") % 2 == 0).alias("Enabled"))
+    times = li.select("l_suppkey", F.concat(F.lpad(F.col("l_linenumber").cast("string"), 2, "0"), F.lit(":00")).alias("Time"))
+    slots = A.refresh_schedule_slots(days, times, ["l_suppkey"])
+    return A.refresh_slot_counts(slots, by=["l_suppkey"])
+
+
+@register("order_quantity_attached", "A30", sql=f"""
+SELECT o.o_orderkey AS l_orderkey, o.o_orderstatus, q.quantity FROM orders o
+LEFT JOIN (SELECT l_orderkey, {rnd_sql('sum(l_quantity)', 2)} AS quantity FROM lineitem GROUP BY 1) q ON o.o_orderkey = q.l_orderkey
+""")
+def q_order_quantity_attached(spark, sf):
+    """Sum of line quantities attached to each order."""
+    o = load(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus")
+    return A.attach_sum(o, load(spark, sf, "lineitem"), ["l_orderkey"], "l_quantity", "quantity", decimals=2)
+
+
+@register("part_type_statistics", "A31, W4", sql=f"""
+WITH s AS (SELECT p_type, count(*) AS records, count(DISTINCT p_brand) AS brands, {rnd_sql('sum(p_retailprice)', 2)} AS size
+           FROM part GROUP BY 1)
+SELECT *, size / (SELECT {rnd_sql('sum(size)', 2)} FROM s) AS share FROM s
+""")
+def q_part_type_statistics(spark, sf):
+    """Per type: records, distinct brands, size and share of the total size."""
+    s = load(spark, sf, "part").groupBy("p_type").agg(F.count(F.lit(1)).alias("records"),
+                                                      F.count_distinct("p_brand").alias("brands"),
+                                                      A.exact_sum(F.col("p_retailprice"), 2).alias("size"))
+    total = s.select(A.exact_sum(F.col("size"), 2)).scalar()
+    return s.withColumn("share", F.col("size") / total)
+
+
+@register("customer_day_spine", "S12", sql=f"""
+WITH d AS (SELECT c_custkey, CAST(unnest(generate_series(DATE '2001-07-29', DATE '{ORDERS_TODAY}', INTERVAL 1 DAY)) AS DATE) AS Date
+           FROM customer),
+o AS (SELECT o_custkey AS c_custkey, CAST(o_orderdate AS DATE) AS Date, count(*) AS n FROM orders GROUP BY 1, 2)
+SELECT d.c_custkey, d.Date, coalesce(o.n, 0) AS orders FROM d LEFT JOIN o USING (c_custkey, Date)
+""")
+def q_customer_day_spine(spark, sf):
+    """One row per (customer, day) for the last 4 days, zero-filled order counts."""
+    spine = day_spine(load(spark, sf, "customer").select("c_custkey"), "2001-07-29", ORDERS_TODAY)
+    o = (load(spark, sf, "orders").groupBy(F.col("o_custkey").alias("c_custkey"), F.to_date("o_orderdate").alias("Date"))
+         .agg(F.count(F.lit(1)).alias("n")))
+    return spine.join(o, ["c_custkey", "Date"], "left").select("c_custkey", "Date",
+                                                               F.coalesce("n", F.lit(0)).alias("orders"))
+
+
+@register("event_timepoints", "S11", sql="""
+SELECT DISTINCT ts AS TimePoint, CAST(ts AS DATE) AS Date, date_trunc('hour', ts) AS Hour FROM events
+""")
+def q_event_timepoints(spark, sf):
+    """Distinct time points with date and truncated hour."""
+    t = timepoint_dim(load(spark, sf, "events"), "ts")
+    return t.withColumn("Hour", F.col("Hour").cast("timestamp_ntz"))
+
+
+TITLE_SQL = """CASE WHEN strpos(html, '<title>') > 0 AND strpos(substr(html, strpos(html, '<title>') + 7), '</title>') > 0
+  THEN substr(substr(html, strpos(html, '<title>') + 7), 1, strpos(substr(html, strpos(html, '<title>') + 7), '</title>') - 1)
+  ELSE '' END"""
+
+
+@register("page_titles", "P16", sql=f"""
+SELECT page_id, {TITLE_SQL} AS title, CASE WHEN strpos(url, '?') > 0 THEN split_part(url, '?', 2) ELSE '' END AS query
+FROM pages
+""")
+def q_page_titles(spark, sf):
+    """Text between delimiters: page title, and the URL query after '?'."""
+    p = load(spark, sf, "pages")
+    return p.select("page_id", P.between("html", "<title>", "</title>").alias("title"),
+                    F.when(F.locate("?", F.col("url")) > 0, F.substring_index(F.substring_index("url", "?", -1), "?", 1))
+                    .otherwise(F.lit("")).alias("query"))
+
+
+@register("page_links", "P23, A40", sql="""
+SELECT link, count(DISTINCT page_id) AS pages FROM (
+  SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS link FROM pages) GROUP BY 1
+""")
+def q_page_links(spark, sf):
+    """Every href of every page (one row per match), distinct pages per link."""
+    rows = extract_all_rows(load(spark, sf, "pages"), "html", r'href="([^"]*)"', out="link")
+    return rows.groupBy("link").agg(F.count_distinct("page_id").alias("pages"))
+
+
+@register("order_line_totals", "P15", sql=f"""
+SELECT l_orderkey, '[' || string_agg(CAST(l_linenumber AS VARCHAR), ',' ORDER BY l_linenumber) || ']' AS line_list,
+       {rnd_sql('sum(l_quantity)', 2)} AS total_quantity, sum(l_linenumber) AS line_sum FROM lineitem GROUP BY 1
+""")
+def q_order_line_totals(spark, sf):
+    """Number-list text per order ('[1,2,3]') and its parsed sum."""
+    g = load(spark, sf, "lineitem").groupBy("l_orderkey").agg(
+        F.concat(F.lit("["), F.array_join(F.array_sort(F.collect_list("l_linenumber")).cast("array<string>"), ","),
+                 F.lit("]")).alias("line_list"),
+        A.exact_sum(F.col("l_quantity"), 2).alias("total_quantity"))
+    return g.withColumn("line_sum", P.sum_bracket_list("line_list").cast("long"))
+
+
+@register("order_io_rates", "P18, P19, A32", sql=f"""
+SELECT l_orderkey, {rnd_sql('sum(l_extendedprice)', 2)} * 1024 / 1048576.0 AS megabytes,
+       CASE WHEN count(*) * 250 <> 0 THEN ({rnd_sql('sum(l_extendedprice)', 2)} * 1024) / (count(*) * 250 / 1000.0) END AS bytes_per_sec,
+       count(*) * 250 / 1000.0 AS seconds
+FROM lineitem GROUP BY 1
+""")
+def q_order_io_rates(spark, sf):
+    """Bytes scaled to megabytes, bytes per second and milliseconds as seconds."""
+    g = load(spark, sf, "lineitem").groupBy("l_orderkey").agg(
+        (A.exact_sum(F.col("l_extendedprice"), 2) * 1024).alias("bytes"), (F.count(F.lit(1)) * 250).alias("ms"))
+    return g.select("l_orderkey", P.to_unit("bytes", "megabytes").alias("megabytes"),
+                    P.io_rate("bytes", "ms").alias("bytes_per_sec"), P.to_unit("ms", "seconds", kind="time").alias("seconds"))
+
+
+@register("order_ship_durations", "P7, P6", sql="""
+SELECT l_returnflag, strftime(o_orderdate, '%Y%m%d') AS OrderDateKey, count(*) AS n,
+       sum(epoch(l_shipdate) - epoch(o_orderdate))::BIGINT AS total_s, max(epoch(l_shipdate) - epoch(o_orderdate))::BIGINT AS max_s
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2
+""")
+def q_order_ship_durations(spark, sf):
+    """Seconds from order to shipment, per return flag and order DateKey."""
+    j = load(spark, sf, "lineitem").join(load(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    d = j.select("l_returnflag", P.date_parts("o_orderdate", "Order")["OrderDateKey"].alias("OrderDateKey"),
+                 P.duration_s("o_orderdate", "l_shipdate").alias("s"))
+    return d.groupBy("l_returnflag", "OrderDateKey").agg(F.count(F.lit(1)).alias("n"), F.sum("s").alias("total_s"),
+                                                         F.max("s").alias("max_s"))
+
+
+@register("part_size_modes", "P27, S8", sql="""
+WITH e AS (SELECT * FROM (VALUES (0, 'Import'), (1, 'DirectQuery'), (2, 'Default'), (3, 'Push'), (4, 'Dual'), (5, 'DirectLake')) t(Enum, Name))
+SELECT p_partkey, p_size % 8 AS mode_code, coalesce(e.Name, CAST(p_size % 8 AS VARCHAR)) AS mode
+FROM part LEFT JOIN e ON p_size % 8 = e.Enum
+""")
+def q_part_size_modes(spark, sf):
+    """Enum decoding through a fixed lookup table; unmatched codes kept as text."""
+    p = load(spark, sf, "part").select("p_partkey", (F.col("p_size") % 8).alias("mode_code"))
+    return decode_enum(p, "mode_code", static_dims(spark)["partition_mode_enum"], "mode")
+
+
+@register("supplier_size_measures", "A25", sql="""
+SELECT l_suppkey, sum(CAST(l_quantity AS BIGINT) * 4096) / 1024.0 AS bytes_kilobytes,
+       sum(CAST(l_linenumber AS BIGINT) * 512) / 1024.0 AS rows_kilobytes FROM lineitem GROUP BY 1
+""")
+def q_supplier_size_measures(spark, sf):
+    """Size sums per supplier in a chosen unit (kilobytes)."""
+    li = load(spark, sf, "lineitem").select("l_suppkey", (F.col("l_quantity").cast("long") * 4096).alias("bytes"),
+                                            (F.col("l_linenumber").cast("long") * 512).alias("rows"))
+    return A.size_measures(li, ["bytes", "rows"], by=["l_suppkey"], unit="kilobytes")
