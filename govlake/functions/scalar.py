@@ -121,7 +121,7 @@ def between(text, left: str, right: str, from_end: bool = False) -> Column:
     empty text when the delimiters are absent."""
     t = _c(text)
     if from_end:
-        start = F.length(t) - F.locate(left[::-1], F.reverse(t)) - len(left) + 2
+        start = F.length(t) - F.locate(left[::-1], F.reverse(t)) + 2
         found = F.locate(left[::-1], F.reverse(t)) > 0
     else:
         start = F.locate(left, t) + len(left)

@@ -53,3 +53,444 @@ def build_aggregated_activities(activities: DataFrame, today, days: int = 30) ->
                     F.upper("CapacityId").alias("CapacityId"), F.upper("WorkspaceId").alias("WorkspaceId"),
                     "GatewayId", item_key().alias("fuam_item_id"), item_kind().alias("fuam_item_kind"),
                     activity_status().alias("fuam_activity_status"), "CountOfActivities", "DistinctCountOfUsers")
+
+
+def _col_or_null(df: DataFrame, path: str, dtype: str = "string") -> Column:
+    from .flatten import _has_path
+    return F.col(path) if _has_path(df.schema, path) else F.lit(None).cast(dtype)
+
+
+# T2 -----------------------------------------------------------------------------
+def build_active_items(records: DataFrame) -> DataFrame:
+    """Active items silver: upper-cased keys, creator promoted, duplicates
+    and the all-zero id removed, complex columns as text."""
+    df = upper_keys(records, ["id", "capacityId", "workspaceId"])
+    df = df.withColumn("creatorUserPrincipalName", _col_or_null(df, "creatorPrincipal.userDetails.userPrincipalName"))
+    df = df.dropDuplicates().filter(F.col("id") != ZERO_GUID)
+    return stringify_complex(df)
+
+
+# T3 -----------------------------------------------------------------------------
+def build_workspaces(records: DataFrame, domains: DataFrame | None = None) -> DataFrame:
+    """Workspaces silver: projection with defaults (description -> ''),
+    upper-cased ids; with ``domains`` (id, capacityId, domainId) the
+    DomainId is attached by workspace id."""
+    from .flatten import project
+    ws = project(records, {"id": "WorkspaceId", "name": "WorkspaceName", "type": "Type", "state": "State",
+                           "capacityId": "CapacityId", "capacityMigrationStatus": "CapacityMigrationStatus",
+                           "defaultDatasetStorageFormat": "DefaultDatasetStorageFormat", "description": "Description",
+                           "isOnDedicatedCapacity": "IsOnDedicatedCapacity", "isReadOnly": "IsReadOnly",
+                           "hasWorkspaceLevelSettings": "HasWorkspaceLevelSettings"},
+                 {"Description": ""})
+    ws = upper_keys(ws, ["WorkspaceId", "CapacityId"])
+    if domains is not None:
+        d = project(domains, {"id": "WorkspaceId", "domainId": "DomainId"}, {})
+        d = upper_keys(d, ["WorkspaceId", "DomainId"]).dropDuplicates(["WorkspaceId"])
+        ws = ws.join(d, "WorkspaceId", "left")
+    return ws
+
+
+# T4 -----------------------------------------------------------------------------
+def build_domains(domains: DataFrame) -> DataFrame:
+    """Domains flattened with their parent: MainDomainName, SubDomainName
+    ('Without Subdomain' for main domains) and IsSubDomain."""
+    d = domains.select(F.upper("id").alias("DomainId"), F.col("displayName").alias("DomainName"),
+                       F.upper("parentDomainId").alias("ParentDomainId"),
+                       _col_or_null(domains, "contributorsScope").alias("ContributorsScope"))
+    parent = d.select(F.col("DomainId").alias("_pid"), F.col("DomainName").alias("_pname"))
+    j = d.join(parent, d["ParentDomainId"] == parent["_pid"], "left")
+    is_sub = F.col("ParentDomainId").isNotNull() & (F.col("ParentDomainId") != "")
+    return j.select("DomainId", "DomainName", "ParentDomainId", "ContributorsScope",
+                    F.when(is_sub, F.col("_pname")).otherwise(F.col("DomainName")).alias("MainDomainName"),
+                    F.when(is_sub, F.col("DomainName")).otherwise(F.lit("Without Subdomain")).alias("SubDomainName"),
+                    is_sub.alias("IsSubDomain"))
+
+
+# T5 -----------------------------------------------------------------------------
+def build_capacity_users(capacities: DataFrame) -> DataFrame:
+    """Admins (role 'Admin') UNION ALL users (role 'Contributor') per capacity."""
+    cid = F.upper("id").alias("CapacityId")
+    admins = capacities.select(cid, F.explode(_col_or_null(capacities, "admins", "array<string>")).alias("User"),
+                               F.lit("Admin").alias("Role"))
+    users = capacities.select(cid, F.explode(_col_or_null(capacities, "users", "array<string>")).alias("User"),
+                              F.lit("Contributor").alias("Role"))
+    return admins.unionByName(users)
+
+
+# T6 -----------------------------------------------------------------------------
+def build_enabled_security_groups(settings: DataFrame) -> DataFrame:
+    """One row per (setting snapshot, enabled security group)."""
+    keep = [c for c in ("TransferDate", "TransferDateTime") if c in settings.columns]
+    g = settings.select(*keep, "settingName", F.explode("enabledSecurityGroups").alias("g"))
+    return g.select(*keep, "settingName", F.col("g.graphId").alias("graphId"), F.col("g.name").alias("name"))
+
+
+# T7 -----------------------------------------------------------------------------
+def build_delegated_overrides(overrides: DataFrame) -> DataFrame:
+    """Two-level explode of delegated tenant-setting overrides; the override
+    id doubles as the capacity id."""
+    s = overrides.select(F.upper("id").alias("CapacityId"), F.explode("tenantSettings").alias("s"))
+    return s.select("CapacityId", *[F.col(f"s.{c}").alias(c) for c in
+                                    ("tenantSettingGroup", "title", "delegatedFrom", "settingName", "enabled",
+                                     "canSpecifySecurityGroups")])
+
+
+# T8 -----------------------------------------------------------------------------
+def build_refreshables(records: DataFrame) -> dict[str, DataFrame]:
+    """Refreshables split five ways: main, days, times, summaries and
+    last-refresh details.  Optional summary columns may be absent."""
+    ex = records.select(_col_or_null(records, "capacity.id").alias("_cap"), _col_or_null(records, "group.id").alias("_ws"),
+                        "*")
+    ex = ex.withColumns({"CapacityId": F.upper("_cap"), "WorkspaceId": F.upper("_ws"), "ItemId": F.upper("id")})
+    keys = ["CapacityId", "WorkspaceId", "ItemId"]
+    main = ex.select(*keys, F.col("name").alias("ItemName"),
+                     _col_or_null(ex, "refreshSchedule.enabled", "boolean").alias("IsRefreshEnabled"),
+                     _col_or_null(ex, "refreshSchedule.localTimeZoneId").alias("LocalTimeZoneId"),
+                     _col_or_null(ex, "kind").alias("Kind")).dropDuplicates()
+    days = ex.select(*keys, F.explode(_col_or_null(ex, "refreshSchedule.days", "array<string>")).alias("Day")).dropDuplicates()
+    times = ex.select(*keys, F.explode(_col_or_null(ex, "refreshSchedule.times", "array<string>")).alias("Time")).dropDuplicates()
+    st, en = _col_or_null(ex, "startTime"), _col_or_null(ex, "endTime")
+    summ = ex.select(*keys, F.col("name").alias("ItemName"),
+                     F.date_format(st, "yyyyMMdd").alias("ConsideredStartDateKey"),
+                     date_slice(st).alias("ConsideredStartDate"), date_slice(en).alias("ConsideredEndDate"),
+                     F.to_timestamp(st).alias("ConsideredStartTime"), F.to_timestamp(en).alias("ConsideredEndTime"),
+                     _col_or_null(ex, "averageDuration", "double").alias("RefreshAverageDuration"),
+                     _col_or_null(ex, "medianDuration", "double").alias("RefreshMedianDuration"),
+                     _col_or_null(ex, "refreshCount", "long").alias("RefreshCount"))
+    summ = summ.filter(F.col("ConsideredStartTime").isNotNull()
+                       & (F.coalesce(F.col("ConsideredEndDate").cast("string"), F.lit("")) != "0001-01-01"))
+    summ = summ.withColumn("ConsiderationDurationSeconds",
+                           duration_s("ConsideredStartTime", "ConsideredEndTime")).dropDuplicates()
+    lr = lambda f, t="string": _col_or_null(ex, f"lastRefresh.{f}", t)
+    det = ex.select(*keys, F.col("name").alias("ItemName"), lr("requestId").alias("RequestId"),
+                    F.date_format(lr("startTime"), "yyyyMMdd").alias("LastRefreshStartDateKey"),
+                    lr("status").alias("Status"), lr("refreshType").alias("RefreshType"),
+                    date_slice(lr("startTime")).alias("LastRefreshStartDate"),
+                    date_slice(lr("endTime")).alias("LastRefreshEndDate"),
+                    F.to_timestamp(lr("startTime")).alias("LastRefreshStartTime"),
+                    F.to_timestamp(lr("endTime")).alias("LastRefreshEndTime"),
+                    F.date_format(lr("startTime"), "H").alias("LastRefreshStartHour"),
+                    F.date_format(lr("endTime"), "H").alias("LastRefreshEndHour"))
+    det = det.filter(F.col("RequestId").isNotNull()).dropDuplicates()
+    det = det.withColumn("DurationInSeconds", duration_s("LastRefreshStartTime", "LastRefreshEndTime"))
+    return {"main": main, "days": days, "times": times, "summaries": summ, "details": det}
+
+
+# T9 -----------------------------------------------------------------------------
+def build_widely_shared(records: DataFrame) -> DataFrame:
+    """Widely-shared artifacts (published-to-web and organisation links):
+    sharer fields promoted with a ``sharer_`` prefix, artifact id upper-cased."""
+    df = promote(records, "sharer", ["displayName", "emailAddress", "graphId", "identifier", "principalType"], "sharer_")
+    return upper_keys(df, ["artifactId"])
+
+
+# T10 ----------------------------------------------------------------------------
+# The workspace item arrays of the tenant scan and their tables.
+INVENTORY_CHILD_TABLES = {
+    "workspaces_scanned_users": "users", "datamarts": "datamarts", "semantic_models": "datasets",
+    "dataflows": "dataflows", "reports": "reports", "dashboards": "dashboards", "eventhouses": "Eventhouse",
+    "kql_databases": "KQLDatabase", "lakehouses": "Lakehouse", "warehouses": "warehouses",
+    "eventstreams": "Eventstream", "pipelines": "DataPipeline", "notebooks": "Notebook",
+    "environments": "Environment", "reflexes": "Reflex", "ml_models": "MLModel",
+}
+
+
+def build_inventory_children(workspaces: DataFrame, drop_cols: tuple[str, ...] = ("users", "tables", "relations",
+                                                                                    "datasourceUsages", "upstreamDatasets",
+                                                                                    "upstreamDataflows")) -> dict[str, DataFrame]:
+    """One child table per item array of the scanned workspaces: flattened
+    element fields plus ``WorkspaceId``; nested arrays dropped; ids upper-cased;
+    a ``createdDate``/``modifiedDateTime`` slice as ``CreatedDate``."""
+    out = {}
+    for name, arr in INVENTORY_CHILD_TABLES.items():
+        rename = "UserId" if arr == "users" else None
+        t = child_table(workspaces, "id", arr, rename_id=rename, parent_alias="WorkspaceId",
+                        id_col="identifier" if arr == "users" else "id")
+        t = t.drop(*[c for c in t.columns if c.split(".")[0] in drop_cols])
+        t = upper_keys(t, ["WorkspaceId", "id", "UserId"])
+        for src in ("createdDate", "modifiedDateTime"):
+            if src in t.columns:
+                t = t.withColumn("CreatedDate" if src == "createdDate" else "ModifiedDate", date_slice(src))
+        out[name] = t
+    return out
+
+
+# T11 ----------------------------------------------------------------------------
+def build_datasource_usages(workspaces: DataFrame, arrays=("datasets", "dataflows", "reports")) -> DataFrame:
+    """Usage edges item -> data-source instance for every item kind that
+    lists ``datasourceUsages`` (the dataflow branch included)."""
+    parts = []
+    ws = workspaces.select(F.col("id").alias("WorkspaceId"), *[F.col(a) for a in arrays if a in workspaces.columns])
+    for a in arrays:
+        if a not in ws.columns:
+            continue
+        items = ws.select("WorkspaceId", F.explode(a).alias("it"))
+        if "datasourceUsages" not in items.select("it.*").columns:
+            continue
+        u = items.select("WorkspaceId", F.col("it.id").alias("ItemId"), F.lit(a).alias("ItemKind"),
+                         F.explode("it.datasourceUsages").alias("u"))
+        parts.append(u.select(F.upper("WorkspaceId").alias("WorkspaceId"), F.upper("ItemId").alias("ItemId"), "ItemKind",
+                              F.upper("u.datasourceInstanceId").alias("DatasourceInstanceId")))
+    if not parts:
+        return workspaces.sparkSession.createDataFrame(
+            [], "WorkspaceId string, ItemId string, ItemKind string, DatasourceInstanceId string")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+# T12 ----------------------------------------------------------------------------
+def build_datasource_instances(instances: DataFrame) -> DataFrame:
+    """Distinct data-source instances with kind and connection string."""
+    from .flatten import connection_string, flatten_structs
+    flat = flatten_structs(instances)
+    flat = flat.select(*[F.col(f"`{c}`").alias(c[0].upper() + c[1:] if "." not in c else c) for c in flat.columns])
+    flat = upper_keys(flat, ["DatasourceId", "GatewayId"])
+    return connection_string(flat).distinct()
+
+
+# T13 ----------------------------------------------------------------------------
+# Item arrays whose users are listed, and each type's own access-right field.
+ITEM_USER_TYPES = {
+    "reports": "reportUserAccessRight", "dashboards": "dashboardUserAccessRight", "datasets": "datasetUserAccessRight",
+    "dataflows": "dataflowUserAccessRight", "datamarts": "datamartUserAccessRight", "warehouses": "datamartUserAccessRight",
+    "Lakehouse": "artifactUserAccessRight", "Notebook": "artifactUserAccessRight", "DataPipeline": "artifactUserAccessRight",
+    "Eventhouse": "artifactUserAccessRight", "KQLDatabase": "artifactUserAccessRight", "Eventstream": "artifactUserAccessRight",
+    "Environment": "artifactUserAccessRight", "Reflex": "artifactUserAccessRight", "MLModel": "artifactUserAccessRight",
+}
+
+
+def build_item_users(workspaces: DataFrame) -> DataFrame:
+    """Every user of every item: access right = the type's own field, else
+    the artifact right, else the group right; id = identifier else graph id;
+    name = displayName else emailAddress; rows with neither id nor name dropped."""
+    from .flatten import _has_path
+    parts = []
+    for arr, right in ITEM_USER_TYPES.items():
+        if arr not in workspaces.columns:
+            continue
+        items = workspaces.select(F.col("id").alias("WorkspaceId"), F.explode(arr).alias("it"))
+        if not _has_path(items.schema, "it.users"):
+            continue
+        u = items.select("WorkspaceId", F.col("it.id").alias("ItemId"), F.explode("it.users").alias("u"))
+        nn = lambda f: F.nullif(_col_or_null(u, f"u.{f}"), F.lit(""))
+        parts.append(u.select(
+            F.upper("WorkspaceId").alias("WorkspaceId"), F.upper("ItemId").alias("ItemId"), F.lit(arr).alias("ItemType"),
+            F.coalesce(nn(right), nn("artifactUserAccessRight"), nn("groupUserAccessRight")).alias("AccessRight"),
+            F.coalesce(nn("identifier"), nn("graphId")).alias("UserId"),
+            F.coalesce(nn("displayName"), nn("emailAddress")).alias("UserName"),
+            nn("principalType").alias("PrincipalType")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.filter(F.col("UserId").isNotNull() | F.col("UserName").isNotNull())
+
+
+# T14 ----------------------------------------------------------------------------
+def build_semantic_model_metadata(workspaces: DataFrame) -> dict[str, DataFrame]:
+    """Models, tables, columns, measures, partitions (sources) and the
+    data-source bridge, with SHA-256 surrogate keys."""
+    ds = workspaces.select(F.upper("id").alias("WorkspaceId"), F.explode("datasets").alias("d"))
+    models = ds.select("WorkspaceId", F.upper("d.id").alias("SemanticModelId"), F.col("d.name").alias("SemanticModelName"),
+                       _col_or_null(ds, "d.configuredBy").alias("ConfiguredBy"),
+                       _col_or_null(ds, "d.contentProviderType").alias("ContentProviderType"))
+    tabs = ds.select("WorkspaceId", F.upper("d.id").alias("SemanticModelId"), F.explode("d.tables").alias("t"))
+    tables = tabs.select("WorkspaceId", "SemanticModelId", F.col("t.name").alias("TableName"),
+                         _col_or_null(tabs, "t.isHidden", "boolean").alias("IsHidden"),
+                         _col_or_null(tabs, "t.storageMode").alias("StorageMode"),
+                         sha_key("SemanticModelId", F.col("t.name")).alias("TableKey"))
+
+    def nested(arr: str, fields: dict[str, str], key_field: str, name: str) -> DataFrame:
+        from .flatten import _has_path
+        if not _has_path(tabs.schema, f"t.{arr}"):
+            return tabs.select("SemanticModelId").limit(0)
+        x = tabs.select("WorkspaceId", "SemanticModelId", F.col("t.name").alias("TableName"),
+                        F.explode(f"t.{arr}").alias("x"))
+        return x.select("WorkspaceId", "SemanticModelId", "TableName",
+                        *[_col_or_null(x, f"x.{f}").alias(o) for f, o in fields.items()],
+                        sha_key("SemanticModelId", "TableName", F.col(f"x.{key_field}")).alias(name))
+    columns = nested("columns", {"name": "ColumnName", "dataType": "DataType", "isHidden": "IsHidden",
+                                 "expression": "Expression"}, "name", "ColumnKey")
+    measures = nested("measures", {"name": "MeasureName", "expression": "Expression", "isHidden": "IsHidden",
+                                   "description": "Description"}, "name", "MeasureKey")
+    partitions = nested("source", {"expression": "Expression"}, "expression", "PartitionKey")
+    bridge = ds.select("WorkspaceId", F.upper("d.id").alias("SemanticModelId"),
+                       F.explode(_col_or_null(ds, "d.datasourceUsages", "array<struct<datasourceInstanceId:string>>")).alias("u"))
+    bridge = bridge.select("SemanticModelId", F.upper("u.datasourceInstanceId").alias("DatasourceInstanceId"),
+                           sha_key("SemanticModelId", F.upper("u.datasourceInstanceId")).alias("BridgeKey"))
+    return {"models": models, "tables": tables, "columns": columns, "measures": measures,
+            "partitions": partitions, "datasource_bridge": bridge}
+
+
+# T15 / T16 ------------------------------------------------------------------------
+# Gateway report columns.
+QUERY_EXECUTION_COLUMNS = ["GatewayObjectId", "RequestId", "DataSource", "QueryTrackingId", "QueryExecutionEndTimeUTC",
+                           "QueryExecutionDuration(ms)", "QueryType", "DataReadingAndSerializationDuration(ms)",
+                           "SpoolingDiskWritingDuration(ms)", "SpoolingDiskReadingDuration(ms)",
+                           "SpoolingTotalDataSize(byte)", "DataProcessingEndTimeUTC", "DataProcessingDuration(ms)",
+                           "Success", "ErrorMessage"]
+QUERY_EXECUTION_AGG_COLUMNS = ["GatewayObjectId", "AggregationStartTimeUTC", "AggregationEndTimeUTC", "DataSource",
+                               "Success", "AverageQueryExecutionDuration(ms)", "MaxQueryExecutionDuration(ms)",
+                               "MinQueryExecutionDuration(ms)", "QueryType", "AverageDataProcessingDuration(ms)",
+                               "MaxDataProcessingDuration(ms)", "MinDataProcessingDuration(ms)", "Count"]
+QUERY_START_COLUMNS = ["GatewayObjectId", "RequestId", "QueryTrackingId", "DataSource", "QueryExecutionStartTimeUTC",
+                       "QueryType", "QueryText", "EvaluationContext"]
+MASHUP_COLUMNS = ["GatewayObjectId", "ConnectionId", "RequestId", "QueryTrackingId", "DataSource", "TotalRows",
+                  "TotalBytes", "TotalProcessorTime(ms)", "EndTimeUTC", "AverageWorkingSet(byte)", "MaxWorkingSet(byte)",
+                  "AverageCommit(byte)", "MaxCommit(byte)", "AveragePercentProcessorTime", "MaxPercentProcessorTime",
+                  "AverageIODataBytesPerSecond", "MaxIODataBytesPerSecond"]
+COUNTER_COLUMNS = ["GatewayObjectId", "AggregationStartTimeUTC", "AggregationEndTimeUTC", "CounterName", "Max", "Min",
+                   "Average"]
+
+
+def explode_datasource(df: DataFrame, col: str = "DataSource") -> DataFrame:
+    """A JSON list of JSON-object texts -> one row per data source with
+    ``DataSource.kind`` (kind, else ConnectorType) and ``DataSource.path``
+    (path, else the other values after the first joined by ';').  Rows
+    whose list does not parse are dropped."""
+    lst = F.from_json(F.col(col), "array<string>")
+    x = df.withColumn("_ds", lst).filter(F.col("_ds").isNotNull()).withColumn("_d", F.explode("_ds"))
+    m = F.from_json(F.col("_d"), "map<string,string>")
+    x = x.withColumn("_m", m)
+    kind = F.coalesce(F.col("_m")["kind"], F.col("_m")["ConnectorType"])
+    vals = F.map_values("_m")
+    rest = F.array_join(F.slice(vals, 2, F.greatest(F.size(vals) - 1, F.lit(0))), ";")
+    path = F.coalesce(F.col("_m")["path"], F.when(F.size(vals) >= 1, rest))
+    return x.withColumns({"DataSource.kind": kind, "DataSource.path": path}).drop("_ds", "_d", "_m", col)
+
+
+def _casts(df: DataFrame, longs=(), times=()) -> DataFrame:
+    return df.withColumns({**{c: F.col(f"`{c}`").cast("long") for c in longs if c in df.columns},
+                           **{c: F.to_timestamp(F.col(f"`{c}`")) for c in times if c in df.columns}})
+
+
+def build_query_execution(logs: DataFrame) -> DataFrame:
+    """Gateway query-execution fact (one row per request x data source)."""
+    df = explode_datasource(logs)
+    df = _casts(df, longs=[c for c in QUERY_EXECUTION_COLUMNS if c.endswith("(ms)") or c.endswith("(byte)")],
+                times=["QueryExecutionEndTimeUTC", "DataProcessingEndTimeUTC"])
+    return df.withColumns({"QueryExecutionEndDate": F.to_date("QueryExecutionEndTimeUTC"),
+                           "RequestTrackingKey": text_key(["RequestId", "QueryTrackingId"]),
+                           "SuccessStatus": yn_status("Success")})
+
+
+def build_query_execution_aggregation(logs: DataFrame) -> DataFrame:
+    """Aggregation-report fact, same data-source parsing, distinct rows."""
+    df = explode_datasource(logs)
+    df = _casts(df, longs=[c for c in QUERY_EXECUTION_AGG_COLUMNS if c.endswith("(ms)") or c == "Count"],
+                times=["AggregationStartTimeUTC", "AggregationEndTimeUTC"])
+    return df.withColumn("AggregationEndDate", F.to_date("AggregationEndTimeUTC")).distinct()
+
+
+# T17-T20 ----------------------------------------------------------------------------
+def build_query_start(logs: DataFrame) -> dict[str, DataFrame]:
+    """Query-start fact, its data sources, decoded query texts,
+    evaluation context (service, key, value), application context
+    (report, visual, consumption method, session) and the per-request pivot
+    of context keys."""
+    key = text_key(["RequestId", "QueryTrackingId"]).alias("RequestTrackingKey")
+    fact = _casts(logs.drop("QueryText", "EvaluationContext", "DataSource"), times=["QueryExecutionStartTimeUTC"])
+    fact = fact.withColumns({"QueryExecutionStartDate": F.to_date("QueryExecutionStartTimeUTC"),
+                             "RequestTrackingKey": text_key(["RequestId", "QueryTrackingId"])})
+    sources = explode_datasource(logs.select("GatewayObjectId", "RequestId", "QueryTrackingId", "DataSource")) \
+        .withColumn("RequestTrackingKey", text_key(["RequestId", "QueryTrackingId"]))
+    texts = logs.select("RequestId", "QueryTrackingId", key, decode_b64_text("QueryText").alias("QueryText"))
+    ctx_t = "struct<serviceTraceContexts:array<struct<serviceName:string,traceIds:array<struct<key:string,value:string>>>>>"
+    ctx = logs.select("GatewayObjectId", "RequestId", "QueryTrackingId", key,
+                      F.explode(F.from_json("EvaluationContext", ctx_t)["serviceTraceContexts"]).alias("s"))
+    kv = ctx.select("GatewayObjectId", "RequestId", "QueryTrackingId", "RequestTrackingKey",
+                    F.col("s.serviceName").alias("serviceName"), F.explode("s.traceIds").alias("t")) \
+        .select("GatewayObjectId", "RequestId", "QueryTrackingId", "RequestTrackingKey", "serviceName",
+                F.col("t.key").alias("key"), F.col("t.value").alias("value"))
+    evaluation = kv.filter(F.col("key") != "ApplicationContext")
+    app_t = ("struct<DatasetId:string,Sources:array<struct<ReportId:string,VisualId:string,"
+             "HostProperties:struct<ConsumptionMethod:string,UserSession:string>>>>")
+    app = kv.filter(F.col("key") == "ApplicationContext").withColumn("v", F.from_json("value", app_t))
+    app = app.select("GatewayObjectId", "RequestId", "QueryTrackingId", "RequestTrackingKey", "serviceName", "key",
+                     F.col("v.DatasetId").alias("SemanticModelId"), F.explode_outer("v.Sources").alias("src"))
+    app = app.select("GatewayObjectId", "RequestId", "QueryTrackingId", "RequestTrackingKey", "serviceName", "key",
+                     "SemanticModelId", F.col("src.ReportId").alias("ReportId"), F.col("src.VisualId").alias("VisualId"),
+                     F.col("src.HostProperties.ConsumptionMethod").alias("ConsumptionMethod"),
+                     F.col("src.HostProperties.UserSession").alias("UserSession"))
+    mapping = context_pivot(evaluation, ["DatasetId", "WorkspaceId"])
+    hosts = context_pivot(evaluation, ["HostContextType"])
+    return {"fact": fact, "datasources": sources, "texts": texts, "evaluation_context": evaluation,
+            "application_context": app, "service_mapping": mapping, "host_types": hosts}
+
+
+def context_pivot(kv: DataFrame, keys: list[str], by: str = "RequestId") -> DataFrame:
+    """One row per request, one column per context key (a pivot with the
+    key list given, so no distinct-values pass).  A key repeated with
+    different values keeps the greatest value."""
+    return kv.filter(F.col("key").isin(keys)).groupBy(by).pivot("key", keys).agg(F.max("value"))
+
+
+# T21 ----------------------------------------------------------------------------
+def build_mashup_evaluation(logs: DataFrame) -> DataFrame:
+    """Mashup evaluation fact: TotalRows list summed, end date, key."""
+    longs = [c for c in MASHUP_COLUMNS if c.endswith("(byte)") or c.endswith("(ms)") or c == "TotalBytes"]
+    df = _casts(logs, longs=longs, times=["EndTimeUTC"])
+    return df.withColumns({"TotalRowsSum": sum_bracket_list("TotalRows"), "EndDate": F.to_date("EndTimeUTC"),
+                           "RequestTrackingKey": text_key(["RequestId", "QueryTrackingId"])})
+
+
+def build_system_counters(logs: DataFrame) -> DataFrame:
+    """System counter fact with end date; numbers as double."""
+    df = logs.withColumns({c: F.col(c).cast("double") for c in ("Max", "Min", "Average") if c in logs.columns})
+    df = _casts(df, times=["AggregationStartTimeUTC", "AggregationEndTimeUTC"])
+    return df.withColumn("AggregationEndDate", F.to_date("AggregationEndTimeUTC"))
+
+
+# T22 ----------------------------------------------------------------------------
+def build_sql_requests(history: DataFrame) -> DataFrame:
+    """SQL request history with start date, start hour and 15-minute bin."""
+    st = F.col("start_time").cast("timestamp")
+    return history.withColumns({"start_date": F.to_date(st), "start_hour": F.hour(st),
+                                "start_time_15min": time_bin(st, 15)})
+
+
+# T23 ----------------------------------------------------------------------------
+def build_calc_dependencies(deps: DataFrame, tables: DataFrame, object_types: DataFrame) -> DataFrame:
+    """Calc dependencies with table ids of both ends and object-type
+    names of both ends (4 left joins; the two enum joins broadcast)."""
+    t = tables.select(F.col("Name").alias("_tn"), F.col("ID").alias("_tid"))
+    ot = F.broadcast(object_types.select(F.col("Enum").alias("_oe"), F.col("Name").alias("_on")))
+    j = (deps.join(t.withColumnsRenamed({"_tn": "_tn1", "_tid": "TableID"}), F.col("TABLE") == F.col("_tn1"), "left")
+         .join(t.withColumnsRenamed({"_tn": "_tn2", "_tid": "ReferencedTableID"}),
+               F.col("REFERENCED_TABLE") == F.col("_tn2"), "left")
+         .join(ot.withColumnsRenamed({"_oe": "_oe1", "_on": "ObjectTypeName"}), F.col("OBJECT_TYPE") == F.col("_oe1"), "left")
+         .join(ot.withColumnsRenamed({"_oe": "_oe2", "_on": "ReferencedObjectTypeName"}),
+               F.col("REFERENCED_OBJECT_TYPE") == F.col("_oe2"), "left"))
+    j = j.withColumn("DependencyKey", text_key(["TABLE", "OBJECT"], "-"))
+    return j.drop("_tn1", "_tn2", "_oe1", "_oe2")
+
+
+# T24 / T25 ----------------------------------------------------------------------------
+def build_query_list(expressions: DataFrame, partitions: DataFrame) -> DataFrame:
+    """Expressions UNION partitions in one shape (Name, Kind, Expression, Source)."""
+    e = expressions.select(F.col("Name"), F.lit("Expression").alias("Kind"), F.col("Expression"),
+                           F.lit("expressions").alias("Source"))
+    p = partitions.select(F.col("Name"), F.lit("Partition").alias("Kind"), F.col("QueryDefinition").alias("Expression"),
+                          F.lit("partitions").alias("Source"))
+    return e.unionByName(p).distinct()
+
+
+def build_folder_list(query_groups: DataFrame, default_folder: str = "(No folder)") -> DataFrame:
+    """The default folder row combined with the query groups."""
+    spark = query_groups.sparkSession
+    d = spark.createDataFrame([(-1, default_folder)], "ID long, Folder string")
+    return d.unionByName(query_groups.select(F.col("ID").cast("long"), F.col("Folder")))
+
+
+# T27 ----------------------------------------------------------------------------
+def build_archive_candidates(items: DataFrame, workspaces: DataFrame, item_type: str,
+                             workspace_filter: str | None = None) -> DataFrame:
+    """Live items of one type, optionally in workspaces whose name
+    contains ``workspace_filter``, with their workspace name, ordered."""
+    i = items.filter((F.col("type") == item_type) & ~F.coalesce(F.col("fuam_deleted"), F.lit(False))) \
+        if "fuam_deleted" in items.columns else items.filter(F.col("type") == item_type)
+    j = i.join(workspaces.select(F.col("WorkspaceId").alias("workspaceId"), "WorkspaceName"), "workspaceId", "left")
+    if workspace_filter:
+        j = j.filter(F.col("WorkspaceName").contains(workspace_filter))
+    return j.orderBy("WorkspaceName", "name")

@@ -533,6 +533,7 @@ def q_latest_order_per_customer(spark, sf):
 
 # =========================================================================== lineage graph
 from ..operators import lineage as G  # noqa: E402
+from ..session import materialize  # noqa: E402
 from .standins import EDGES_SQL, NAMES_SQL, lineage_edges_from_tpch, lineage_names  # noqa: E402
 
 HIERARCHY_SQL = """
@@ -583,6 +584,11 @@ paths AS (
 )"""
 
 
+# Used only when the session names no spark.checkpoint.dir (local runs);
+# on a cluster the shared folder from the session is used.
+LOCAL_CHECKPOINTS = "/tmp/govlake-checkpoints"
+
+
 def _lineage_inputs(spark, sf):
     t = {n: load(spark, sf, n) for n in ("region", "nation", "customer", "supplier", "part", "lineitem", "orders")}
     edges = lineage_edges_from_tpch(t["region"], t["nation"], t["customer"], t["supplier"], t["lineitem"], t["orders"])
@@ -622,7 +628,7 @@ def q_lineage_items(spark, sf):
 def q_lineage_paths(spark, sf):
     """All-pairs shortest paths over the lineage edges (BFS frontier joins)."""
     edges, _ = _lineage_inputs(spark, sf)
-    p = G.shortest_paths(edges, checkpoint_dir="/tmp/govlake-checkpoints")
+    p = G.shortest_paths(edges, checkpoint_dir=LOCAL_CHECKPOINTS)
     return p.select("source", "target", F.array_join("path", ">").alias("path"), "length")
 
 
@@ -643,9 +649,11 @@ FROM (SELECT DISTINCT Id FROM hitems) i LEFT JOIN up USING (Id) LEFT JOIN down U
 def q_lineage_impact(spark, sf):
     """Items and workspaces up/down stream and number of layers per item."""
     edges, names = _lineage_inputs(spark, sf)
+    # the edge table feeds both the naming joins and the path search: write it once
+    edges = materialize(edges, "edges", LOCAL_CHECKPOINTS)
     h = G.hierarchy(edges, names["workspaces"], names["items"], names["sources"], names["reports"])
     items = G.hierarchy_items(h)
-    paths = G.shortest_paths(edges, checkpoint_dir="/tmp/govlake-checkpoints")
+    paths = G.shortest_paths(edges, checkpoint_dir=LOCAL_CHECKPOINTS, with_paths=False)
     return G.impact(items, paths)
 
 

@@ -211,8 +211,10 @@ def lineage_names(region: DataFrame, nation: DataFrame, customer: DataFrame, sup
     and types, data sources (regions play the data sources) and reports."""
     spark = region.sparkSession
     kinds = ["region", "nation", "customer", "order", "supplier", "part"]
-    workspaces = spark.createDataFrame([(k, k.upper() + " WS") for k in kinds if k != "region"],
-                                       "WorkspaceId string, WorkspaceName string")
+    # one row per node kind: a fixed-size table, safe to broadcast (a local
+    # DataFrame carries no size statistics, so the planner cannot tell)
+    workspaces = F.broadcast(spark.createDataFrame([(k, k.upper() + " WS") for k in kinds if k != "region"],
+                                                   "WorkspaceId string, WorkspaceName string"))
     n = lambda kind, key: F.concat(F.lit(kind + ":"), F.col(key).cast("string"))
     items = (nation.select(n("nation", "n_nationkey").alias("id"), F.col("n_name").alias("name"), F.lit("Nation").alias("Type"))
              .unionByName(customer.select(n("customer", "c_custkey").alias("id"), F.col("c_name").alias("name"),

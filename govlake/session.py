@@ -18,6 +18,7 @@ def build_session(app: str = "govlake", cores: str | int = "*",
     parts = shuffle_partitions or (8 if cores == "*" else max(int(cores), 1))
     b = (SparkSession.builder.master(f"local[{cores}]").appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(parts))
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -49,3 +50,18 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         raise RuntimeError("spark.checkpoint.dir is unset and no fallback folder was given")
     sc.setCheckpointDir(target)
     return sc.getCheckpointDir() or target
+
+
+def materialize(df, tag: str, fallback: str | None = None):
+    """Write ``df`` as parquet under the reliable checkpoint folder and read
+    it back: a lineage cut that survives executor loss (the rows live in
+    the shared folder, not on executors), and - unlike RDD checkpoints -
+    stays columnar, so later reads prune columns and push filters.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark, fallback).rstrip("/")
+    path = f"{base}/govlake-{tag}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)

@@ -70,7 +70,15 @@ PARTITION_MODE_ENUM = [(0, "Import"), (1, "DirectQuery"), (2, "Default"), (3, "P
 
 
 def static_dims(spark: SparkSession) -> dict[str, DataFrame]:
-    """The small constant lookup tables, as DataFrames (safe to broadcast)."""
+    """The small constant lookup tables, as DataFrames.
+
+    They are fixed-size (at most a few dozen rows) and carry a broadcast
+    hint: a local DataFrame has no size statistics, so without the hint the
+    planner would shuffle the large side to join them."""
+    return {k: F.broadcast(v) for k, v in _static_dims(spark).items()}
+
+
+def _static_dims(spark: SparkSession) -> dict[str, DataFrame]:
     return {
         "capacity_regions": spark.createDataFrame(
             CAPACITY_REGIONS, "Continent string, FabricRegion string, Latitude double, Longitude double, Location string"),
