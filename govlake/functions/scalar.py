@@ -210,3 +210,21 @@ def encoding_verdict(hint, actual) -> Column:
 
 def coalesce_blank(*cols) -> Column:
     return reduce(lambda a, b: F.coalesce(a, b), [_c(c) for c in cols])
+
+
+def coalesce_name(explicit="ExplicitName", inferred="InferredName") -> Column:
+    """The explicit name, else the inferred one."""
+    return F.coalesce(F.nullif(_c(explicit), F.lit("")), _c(inferred))
+
+
+def replace_null(col, value) -> Column:
+    """A null replaced by a constant or by another column expression
+    (e.g. ``when(expr.contains(...), 'x').otherwise('0')``)."""
+    v = value if isinstance(value, Column) else F.lit(value)
+    return F.coalesce(_c(col), v)
+
+
+def label_flags(spec: dict[str, tuple]) -> dict[str, Column]:
+    """Flag-to-label columns; ``spec`` maps an output name to
+    ``(flag column, true label, false label)``."""
+    return {name: decode_flag(c, t, f) for name, (c, t, f) in spec.items()}

@@ -325,20 +325,47 @@ def storage_breakdown(df: DataFrame, table_id: str = "TABLE_ID", size: str = "US
                                               "relationship_size", "dictionary_size"]), F.lit(0)))
 
 
+def exact_median(df: DataFrame, col: str, by: list | None = None, name: str = "median") -> DataFrame:
+    """Exact median per group (average of the two middle values when the
+    count is even), without holding a group's values in one buffer.
+
+    Rows are first reduced to (group, value, count) - a hash aggregate
+    keyed by the value too, so a hot group is spread over all tasks.  The
+    middle ranks are then found with a running count over the group's
+    distinct values: a sort-based window that streams and spills instead of
+    building an in-memory value map per group (Spark's ``median`` merges
+    one map per group in a single task)."""
+    by = list(by or [])
+    v = F.col(col)
+    counts = df.filter(v.isNotNull()).groupBy(*by, col).agg(F.count(F.lit(1)).alias("_c"))
+    w_all = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    w_cum = w_all.orderBy(col).rowsBetween(Window.unboundedPreceding, 0)
+    counts = counts.withColumns({"_cum": F.sum("_c").over(w_cum), "_n": F.sum("_c").over(w_all)})
+    lo_k, hi_k = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
+    covers = lambda k: (F.col("_cum") >= k) & (F.col("_cum") - F.col("_c") < k)
+    out = counts.groupBy(*by).agg(
+        ((F.max(F.when(covers(lo_k), v)) + F.max(F.when(covers(hi_k), v))) / 2.0).alias(name))
+    return out
+
+
 def distribution_stats(df: DataFrame, col: str, by: list | None = None, prefix: str | None = None,
                        decimals: int | None = None) -> DataFrame:
-    """avg / exact median / min / max / sum / count of a column.
-
-    The exact median needs every value of a group in one place; Spark's
-    ``median`` keeps a per-group value buffer that is partially aggregated
-    per partition first.  For a very hot group prefer
-    ``percentile_approx`` (bounded sketch) - the exact form is kept because
-    the measure is defined as exact."""
+    """avg / exact median / min / max / sum / count of a column (the median
+    from :func:`exact_median`, joined on the group keys)."""
     p = prefix or col
     c = F.col(col)
-    return df.groupBy(*(by or [])).agg(exact_avg(c, decimals).alias(f"{p}_avg"), F.median(c).alias(f"{p}_median"),
-                                       F.min(c).alias(f"{p}_min"), F.max(c).alias(f"{p}_max"),
-                                       exact_sum(c, decimals).alias(f"{p}_sum"), F.count(c).alias(f"{p}_count"))
+    by = list(by or [])
+    stats = df.groupBy(*by).agg(exact_avg(c, decimals).alias(f"{p}_avg"),
+                                F.min(c).alias(f"{p}_min"), F.max(c).alias(f"{p}_max"),
+                                exact_sum(c, decimals).alias(f"{p}_sum"), F.count(c).alias(f"{p}_count"))
+    med = exact_median(df, col, by, f"{p}_median")
+    return stats.join(med, by, "left") if by else _join_scalar(stats, med)
+
+
+def _join_scalar(left: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Attach the columns of a one-row aggregate to a one-row aggregate."""
+    col = one_row.columns[0]
+    return left.withColumn(col, one_row.select(col).scalar())
 
 
 # A28 / A29 ----------------------------------------------------------------------
@@ -458,3 +485,52 @@ def kql_summary(df: DataFrame, by: list[str], value: Column, exact: bool = True,
     if distinct_col:
         aggs.append((F.count_distinct(distinct_col) if exact else F.approx_count_distinct(distinct_col)).alias("dcount"))
     return df.groupBy(*by).agg(*aggs)
+
+
+# A35 ---------------------------------------------------------------------------
+def mashup_by_end_date(mashup: DataFrame, executions: DataFrame, date_col: str = "EndDate",
+                       exec_date_col: str = "QueryExecutionEndDate", decimals: int | None = None) -> DataFrame:
+    """Mashup evaluation measures per end date, with the executed requests
+    of that date: avg/max commit, working set, processor percent, total
+    processor time, rows, distinct requests.  ``Max Working Set`` averages
+    the per-row maxima, as the source measure does."""
+    m = mashup.groupBy(date_col).agg(
+        exact_avg(F.col("AverageCommit(byte)"), decimals).alias("avg_commit"),
+        F.max("MaxCommit(byte)").alias("max_commit"),
+        exact_avg(F.col("AverageWorkingSet(byte)"), decimals).alias("avg_working_set"),
+        exact_avg(F.col("MaxWorkingSet(byte)"), decimals).alias("max_working_set_avg"),
+        exact_avg(F.col("AveragePercentProcessorTime"), decimals).alias("avg_processor_pct"),
+        F.max("MaxPercentProcessorTime").alias("max_processor_pct"),
+        exact_sum(F.col("TotalProcessorTime(ms)"), decimals).alias("total_processor_ms"),
+        exact_sum(F.col("TotalRowsSum"), decimals).alias("total_rows"))
+    e = executions.groupBy(F.col(exec_date_col).alias(date_col)).agg(F.count_distinct("RequestId").alias("requests"))
+    return m.join(e, date_col, "left")
+
+
+# A36 ---------------------------------------------------------------------------
+def request_context_values(evaluation: DataFrame, by: str = "RequestId") -> DataFrame:
+    """Per request: the refresh workspace id (greatest) and the model id
+    (least) from the evaluation context.  (The source measures filter the
+    application-context table by keys it never holds and are always blank;
+    the evaluation context is where these keys live.)"""
+    return evaluation.groupBy(by).agg(
+        F.max(F.when(F.col("key") == "WorkspaceId", F.col("value"))).alias("RefreshWorkspaceId"),
+        F.min(F.when(F.col("key") == "DatasetId", F.col("value"))).alias("SemanticModelId"))
+
+
+# A37 ---------------------------------------------------------------------------
+def sql_request_measures(history: DataFrame, by: list | None = None, unit: str = "seconds") -> DataFrame:
+    """SQL request measures: elapsed and CPU time (sum, max) in ``unit``,
+    rows, result-cache hits, data scanned from disk / memory / remote
+    storage (MB), request count and success rate."""
+    div = float(TIME_UNITS[unit])
+    ok = F.lower(F.col("status")) == "succeeded"
+    return history.groupBy(*(by or [])).agg(
+        (F.sum("total_elapsed_time_ms") / div).alias("elapsed"), (F.max("total_elapsed_time_ms") / div).alias("max_elapsed"),
+        (F.sum("allocated_cpu_time_ms") / div).alias("cpu"), (F.max("allocated_cpu_time_ms") / div).alias("max_cpu"),
+        F.sum("row_count").alias("rows"), F.max("row_count").alias("max_rows"),
+        F.count(F.when(F.col("result_cache_hit").cast("int") == 2, 1)).alias("cache_hits"),
+        F.sum("data_scanned_disk_mb").alias("scanned_disk_mb"), F.sum("data_scanned_memory_mb").alias("scanned_memory_mb"),
+        F.sum("data_scanned_remote_storage_mb").alias("scanned_remote_mb"),
+        F.count(F.lit(1)).alias("requests"),
+        ddivide(F.count(F.when(ok, 1)), F.count(F.lit(1))).alias("success_rate"))

@@ -110,3 +110,47 @@ def test_trace_queries(spark):
     assert len(ql) == 1 and ql[0]["count_queries"] == 2 and ql[0]["ReportId_"] == "r1" and ql[0]["avg_load_time_sec"] == 2.0
     re_ = K.k_re_encoding(t).collect()
     assert len(re_) == 1 and re_[0]["Column"] == "ColA"
+
+
+def test_exact_median_matches_spark_median(spark):
+    import random
+    rnd = random.Random(7)
+    data = [(g, float(rnd.randint(0, 20))) for g in "abc" for _ in range(rnd.randint(1, 30))] + [("d", None)]
+    df = spark.createDataFrame(data, "g string, v double")
+    mine = rows(A.exact_median(df, "v", ["g"]), ["g", "median"])
+    ref = rows(df.groupBy("g").agg(F.median("v").alias("m")), ["g", "m"])
+    assert [m for m in mine if m[0] != "d"] == [r for r in ref if r[0] != "d"]
+    whole = A.distribution_stats(df.filter("g = 'a'"), "v").first()
+    assert whole["v_median"] == [r[1] for r in ref if r[0] == "a"][0]
+
+
+def test_gateway_and_sql_measures(spark):
+    ev = spark.createDataFrame([("r1", "WorkspaceId", "w1"), ("r1", "WorkspaceId", "w2"), ("r1", "DatasetId", "m2"),
+                                ("r1", "DatasetId", "m1"), ("r2", "Other", "x")], "RequestId string, key string, value string")
+    out = {r["RequestId"]: r for r in A.request_context_values(ev).collect()}
+    assert (out["r1"]["RefreshWorkspaceId"], out["r1"]["SemanticModelId"]) == ("w2", "m1")
+    assert out["r2"]["SemanticModelId"] is None
+    h = spark.createDataFrame([(1000, 500, 10, 2, 1.0, 0.5, 0.0, "Succeeded"), (3000, 100, 5, 0, 2.0, 0.0, 1.0, "Failed")],
+                              "total_elapsed_time_ms long, allocated_cpu_time_ms long, row_count long, result_cache_hit int, "
+                              "data_scanned_disk_mb double, data_scanned_memory_mb double, "
+                              "data_scanned_remote_storage_mb double, status string")
+    m = A.sql_request_measures(h).first()
+    assert (m["elapsed"], m["max_elapsed"], m["cache_hits"], m["success_rate"]) == (4.0, 3.0, 1, 0.5)
+    mash = spark.createDataFrame([(dt.date(2024, 1, 1), 10, 20, 5, 7, 1.0, 2.0, 100, 6.0)],
+                                 "EndDate date, `AverageCommit(byte)` long, `MaxCommit(byte)` long, "
+                                 "`AverageWorkingSet(byte)` long, `MaxWorkingSet(byte)` long, AveragePercentProcessorTime double, "
+                                 "MaxPercentProcessorTime double, `TotalProcessorTime(ms)` long, TotalRowsSum double")
+    ex = spark.createDataFrame([(dt.date(2024, 1, 1), "r1"), (dt.date(2024, 1, 1), "r1")],
+                               "QueryExecutionEndDate date, RequestId string")
+    r = A.mashup_by_end_date(mash, ex).first()
+    assert (r["avg_commit"], r["requests"], r["total_rows"]) == (10.0, 1, 6.0)
+
+
+def test_documentation_ratio_and_names(spark):
+    from govlake.functions import scalar as P
+    d = spark.createDataFrame([("m", "x"), ("m", ""), ("m", None), ("n", "y")], "model string, d string")
+    out = {r["model"]: r["documented_ratio"] for r in A.documentation_ratio(d, "d", by=["model"]).collect()}
+    assert out == {"m": 1 / 3, "n": 1.0}
+    n = spark.createDataFrame([("", "inf"), ("exp", "inf"), (None, None)], "e string, i string")
+    assert [r[0] for r in n.select(P.coalesce_name("e", "i")).collect()] == ["inf", "exp", None]
+    assert [r[0] for r in n.select(P.replace_null("i", "0")).collect()] == ["inf", "inf", "0"]
