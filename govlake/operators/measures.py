@@ -253,18 +253,25 @@ def outliers(df: DataFrame, item_col: str, date_col: str, value: Column, decimal
 
 
 # A22 ---------------------------------------------------------------------------
-def unused_indicators(entities: DataFrame, key: str, metrics: dict[str, DataFrame]) -> DataFrame:
+def unused_indicators(entities: DataFrame, key: str, metrics) -> DataFrame:
     """Unused-entity indicators and score.
 
-    ``metrics`` maps an indicator name to a DataFrame ``(key, value)`` of
-    per-entity metric values.  Indicator = 1 when the metric is below 1
-    (a missing metric counts as 0), else null; score = sum / number of
-    indicators, null when none fires.
+    ``metrics`` is either one DataFrame ``(key, metric1, metric2, ...)``
+    (preferred: all metrics from one aggregation pass, one join) or a dict
+    mapping an indicator name to a DataFrame ``(key, value)``.  Indicator =
+    1 when the metric is below 1 (a missing metric counts as 0), else null;
+    score = sum / number of indicators, null when none fires.
     """
     out = entities.select(key).distinct()
-    for name, m in metrics.items():
-        agg = m.groupBy(key).agg(F.sum(F.col(m.columns[1])).alias(f"_{name}"))
-        out = out.join(agg, key, "left")
+    if isinstance(metrics, DataFrame):
+        names = [c for c in metrics.columns if c != key]
+        out = out.join(metrics.select(key, *[F.col(c).alias(f"_{c}") for c in names]), key, "left")
+    else:
+        names = list(metrics)
+        for name, m in metrics.items():
+            agg = m.groupBy(key).agg(F.sum(F.col(m.columns[1])).alias(f"_{name}"))
+            out = out.join(agg, key, "left")
+    metrics = names
     ind = {f"unused_{n}": F.when(blank0(F.col(f"_{n}")) < 1, F.lit(1)) for n in metrics}
     out = out.select(key, *[c.alias(n) for n, c in ind.items()])
     total = sum((F.coalesce(F.col(n), F.lit(0)) for n in ind), F.lit(0))
