@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import REPORT_URL_BASE, extract, json_text_field, xml_field
+from ..functions.scalar import REPORT_URL_BASE, extract, json_text_field, xml_fields
 from .joins import inner_unique, left_outer_distinct
 
 # The trace filters.
@@ -43,8 +43,14 @@ def _seconds(col: str = "Duration_s") -> Column:
     return F.col(col).cast("int") / 1000.0
 
 
-def _xml_object(prefix: str = "Object") -> dict[str, Column]:
-    return {n: xml_field("ObjectReference_s", f"{prefix}/{n}") for n in ("Database", "Model", "Table", "Partition")}
+XML_OBJECT_FIELDS = ("Database", "Model", "Table", "Partition")
+
+
+def _xml_object() -> dict[str, Column]:
+    """Database/Model/Table/Partition of the object reference: one XML parse
+    per row for all four fields."""
+    o = xml_fields("ObjectReference_s", list(XML_OBJECT_FIELDS))
+    return {n: F.nullif(o[n], F.lit("")) for n in XML_OBJECT_FIELDS}
 
 
 def k_column_usage(trace: DataFrame, resource: str | None = None, now=None, days: int = 30,
