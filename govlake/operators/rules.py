@@ -130,6 +130,11 @@ def _s(c: str) -> Column:
     return F.coalesce(F.col(c).cast("string"), F.lit(""))
 
 
+def _opt(df: DataFrame, name: str, default, dtype: str = "string") -> Column:
+    """An optional metadata field: the column when present, else a default."""
+    return F.col(name) if name in df.columns else F.lit(default).cast(dtype)
+
+
 def _hidden(cols: DataFrame, tables: DataFrame) -> DataFrame:
     """Columns with the flag 'column or its table hidden' (ColHidden)."""
     t = tables.select("ModelId", "TableName", _b("IsHidden").alias("_th"))
@@ -555,12 +560,13 @@ def r42(m):
 
 # ---------------------------------------------------------------------------- B10 any object
 def _named_objects(m) -> DataFrame:
-    t = m["tables"].select("ModelId", F.lit("Table").alias("_k"), "TableName", F.col("TableName").alias("_n"),
-                           _b("IsHidden").alias("_h"), _s("Description").alias("_d"))
-    c = m["columns"].select("ModelId", F.lit("Column").alias("_k"), "TableName", F.col("ColumnName").alias("_n"),
-                            _b("IsHidden").alias("_h"), _s("Description").alias("_d"))
-    ms = m["measures"].select("ModelId", F.lit("Measure").alias("_k"), "TableName", F.col("MeasureName").alias("_n"),
-                              _b("IsHidden").alias("_h"), _s("Description").alias("_d"))
+    def part(df, kind, name_col):
+        return df.select("ModelId", F.lit(kind).alias("_k"), "TableName", F.col(name_col).alias("_n"),
+                         F.coalesce(_opt(df, "IsHidden", False, "boolean"), F.lit(False)).alias("_h"),
+                         F.coalesce(_opt(df, "Description", ""), F.lit("")).alias("_d"))
+    t = part(m["tables"], "Table", "TableName")
+    c = part(m["columns"], "Column", "ColumnName")
+    ms = part(m["measures"], "Measure", "MeasureName")
     p = m["partitions"].select("ModelId", F.lit("Partition").alias("_k"), "TableName", F.col("PartitionName").alias("_n"),
                                F.lit(False).alias("_h"), F.lit("").alias("_d"))
     h = m["hierarchies"].select("ModelId", F.lit("Hierarchy").alias("_k"), "TableName",

@@ -1176,3 +1176,96 @@ def q_supplier_size_measures(spark, sf):
     li = load(spark, sf, "lineitem").select("l_suppkey", (F.col("l_quantity").cast("long") * 4096).alias("bytes"),
                                             (F.col("l_linenumber").cast("long") * 512).alias("rows"))
     return A.size_measures(li, ["bytes", "rows"], by=["l_suppkey"], unit="kilobytes")
+
+
+# =========================================================================== more stand-ins
+from ..operators import rules as B  # noqa: E402
+from ..operators.flatten import connection_string  # noqa: E402
+from ..operators.tables import build_sql_requests  # noqa: E402
+from .standins import (DATASOURCES_SQL, SQL_REQUESTS_SQL, datasources_from_suppliers,  # noqa: E402
+                       model_columns_from_parts, sql_requests_from_events)
+
+
+@register("lineitem_line_index", "W5", sql="""
+SELECT l_orderkey, l_linenumber, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) AS INTEGER) AS Index
+FROM lineitem
+""")
+def q_lineitem_line_index(spark, sf):
+    """1-based row index of each line within its order."""
+    li = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return W.row_index(li, ["l_orderkey"], ["l_linenumber", "l_partkey"]).drop("l_partkey")
+
+
+@register("sql_request_daily", "T22, A37, P14", sql=with_(SQL_REQUESTS_SQL) + """
+, r AS (SELECT *, CAST(CAST(start_time AS TIMESTAMP) AS DATE) AS start_date FROM sqlreq)
+SELECT start_date, sum(total_elapsed_time_ms) / 1000.0 AS elapsed, max(total_elapsed_time_ms) / 1000.0 AS max_elapsed,
+       sum(allocated_cpu_time_ms) / 1000.0 AS cpu, max(allocated_cpu_time_ms) / 1000.0 AS max_cpu,
+       sum(row_count) AS rows, max(row_count) AS max_rows, count(CASE WHEN result_cache_hit = 2 THEN 1 END) AS cache_hits,
+       sum(data_scanned_disk_mb) AS scanned_disk_mb, sum(data_scanned_memory_mb) AS scanned_memory_mb,
+       sum(data_scanned_remote_storage_mb) AS scanned_remote_mb, count(*) AS requests,
+       CAST(count(CASE WHEN lower(status) = 'succeeded' THEN 1 END) AS DOUBLE) / count(*) AS success_rate
+FROM r GROUP BY 1
+""")
+def q_sql_request_daily(spark, sf):
+    """SQL request history per start date: elapsed/CPU time, rows, cache hits, data scanned, success rate."""
+    req = build_sql_requests(sql_requests_from_events(load(spark, sf, "events")))
+    return A.sql_request_measures(req, by=["start_date"])
+
+
+@register("datasource_connection_strings", "P21, T12", sql=with_(DATASOURCES_SQL) + r"""
+, j AS (SELECT DatasourceId, DatasourceType, ext_kind,
+          concat_ws(' ', nullif(trim(ext_kind), ''), nullif(trim(url), ''), nullif(trim(server), ''),
+                    nullif(trim(database), ''), nullif(trim(path), '')) AS joined FROM dsi)
+SELECT DatasourceId, DatasourceType,
+  CASE WHEN DatasourceType = 'Extension' THEN ext_kind ELSE DatasourceType END AS fuam_datasourceKind,
+  CASE WHEN regexp_matches(joined, '"host":"([^"]+)","httpPath":"([^"]+)"')
+       THEN regexp_extract(joined, '"host":"([^"]+)"', 1) || ' ' || replace(regexp_extract(joined, '"httpPath":"([^"]+)"', 1), '\/', '/')
+       ELSE joined END AS fuam_connectionString
+FROM j
+""")
+def q_datasource_connection_strings(spark, sf):
+    """Data-source kind and connection string from the connection-detail fields."""
+    ds = datasources_from_suppliers(load(spark, sf, "supplier"))
+    return connection_string(ds).select("DatasourceId", "DatasourceType", "fuam_datasourceKind", "fuam_connectionString")
+
+
+COLUMN_RULES = [1, 2, 25, 46, 47, 57, 58, 59, 60]
+
+
+@register("part_column_rule_violations", "B1, B10", sql="""
+WITH c AS (
+  SELECT p_brand AS ModelId, p_type AS TableName, p_name AS ColumnName,
+    CASE p_size % 5 WHEN 0 THEN 'Double' WHEN 1 THEN 'Int64' WHEN 2 THEN 'DateTime' WHEN 3 THEN 'String' ELSE 'Decimal' END AS DataType,
+    CASE WHEN p_size % 7 = 0 THEN 'Calculated' ELSE 'Data' END AS Type, p_size % 3 = 0 AS IsHidden,
+    CASE WHEN p_size % 4 = 0 THEN 'Sum' ELSE 'None' END AS SummarizeBy,
+    CASE WHEN p_size % 6 = 0 THEN 'mm/dd/yyyy' ELSE '' END AS FormatString,
+    CASE WHEN p_size % 9 = 0 THEN '' ELSE 'src_' || CAST(p_partkey AS VARCHAR) END AS SourceColumn FROM part),
+v AS (
+  SELECT ModelId, 1 AS RuleId, 'Column' AS ObjectType, TableName, ColumnName AS ObjectName FROM c WHERE DataType = 'Double'
+  UNION ALL SELECT ModelId, 2, 'Column', TableName, ColumnName FROM c WHERE Type = 'Calculated'
+  UNION ALL SELECT ModelId, 25, 'Column', TableName, ColumnName FROM c WHERE Type = 'Data' AND length(SourceColumn) = 0
+  UNION ALL SELECT ModelId, 46, 'Column', TableName, ColumnName FROM c
+            WHERE regexp_matches(ColumnName, '(?i)date') AND DataType = 'DateTime' AND FormatString <> 'mm/dd/yyyy'
+  UNION ALL SELECT ModelId, 47, 'Column', TableName, ColumnName FROM c
+            WHERE DataType = 'Int64' OR DataType = 'Decimal' OR (DataType = 'Double' AND SummarizeBy <> 'None' AND NOT IsHidden)
+  UNION ALL SELECT ModelId, 57, 'Column', TableName, ColumnName FROM c
+            WHERE (starts_with(lower(ColumnName), 'is') AND DataType = 'Int64' AND NOT IsHidden)
+               OR (ends_with(lower(ColumnName), ' flag') AND DataType <> 'String' AND NOT IsHidden)
+  UNION ALL SELECT ModelId, 58, 'Column', TableName, ColumnName FROM c WHERE starts_with(ColumnName, ' ') OR ends_with(ColumnName, ' ')
+  UNION ALL SELECT ModelId, 59, 'Column', TableName, ColumnName FROM c WHERE substr(ColumnName, 1, 1) <> upper(substr(ColumnName, 1, 1))
+  UNION ALL SELECT ModelId, 60, 'Column', TableName, ColumnName FROM c WHERE regexp_matches(ColumnName, '[\t\r\n]'))
+SELECT ModelId, RuleId, count(*) AS violations, count(DISTINCT ObjectName) AS objects FROM v GROUP BY 1, 2
+""")
+def q_part_column_rule_violations(spark, sf):
+    """Column best-practice rules over a column catalogue (one column per part), counted per model and rule."""
+    cols = model_columns_from_parts(load(spark, sf, "part"))
+    empty = lambda schema: spark.createDataFrame([], schema)
+    meta = {"columns": cols,
+            "tables": cols.select("ModelId", "TableName", F.lit(False).alias("IsHidden"), F.lit("").alias("Description"),
+                                  F.lit("").alias("DataCategory")).distinct(),
+            "measures": empty("ModelId string, TableName string, MeasureName string, IsHidden boolean, Description string"),
+            "partitions": empty("ModelId string, TableName string, PartitionName string"),
+            "hierarchies": empty("ModelId string, TableName string, HierarchyName string, ColumnName string")}
+    v = B.bpa(meta, COLUMN_RULES).filter(F.col("ObjectType") == "Column")
+    return v.groupBy("ModelId", "RuleId").agg(F.count(F.lit(1)).alias("violations"),
+                                              F.count_distinct("ObjectName").alias("objects"))

@@ -238,3 +238,88 @@ items AS (
 sources AS (SELECT DISTINCT 'region:' || CAST(r_regionkey AS VARCHAR) AS DatasourceId, 'Region' AS DataSourceType, r_name AS path,
                    CAST(NULL AS VARCHAR) AS extensionDataSourcePath, CAST(NULL AS VARCHAR) AS server FROM region),
 reports AS (SELECT 'part:' || CAST(p_partkey AS VARCHAR) AS ReportId, p_name AS Name FROM part)"""
+
+
+# --------------------------------------------------------------------------- SQL request history
+def sql_requests_from_events(events: DataFrame) -> DataFrame:
+    """SQL-endpoint request history rows from ``events``."""
+    k = _k()
+    et = F.col("event_type")
+    return events.select(
+        F.col("event_id").cast("string").alias("distributed_statement_id"),
+        F.col("ts").cast("string").alias("start_time"),
+        (F.col("value") * 1000).cast("long").alias("total_elapsed_time_ms"),
+        (k * 10).alias("allocated_cpu_time_ms"),
+        k.alias("row_count"),
+        F.when(et == "error", F.lit("Failed")).otherwise(F.lit("Succeeded")).alias("status"),
+        F.when(k % 3 == 0, F.lit(2)).otherwise(F.lit(0)).alias("result_cache_hit"),
+        (k % 7).cast("double").alias("data_scanned_disk_mb"),
+        (k % 5).cast("double").alias("data_scanned_memory_mb"),
+        (k % 11).cast("double").alias("data_scanned_remote_storage_mb"),
+        F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("login_name"))
+
+
+SQL_REQUESTS_SQL = """
+ev2 AS (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events),
+sqlreq AS (
+  SELECT CAST(event_id AS VARCHAR) AS distributed_statement_id, CAST(ts AS VARCHAR) AS start_time,
+         CAST(trunc(value * 1000) AS BIGINT) AS total_elapsed_time_ms, k * 10 AS allocated_cpu_time_ms, k AS row_count,
+         CASE WHEN event_type = 'error' THEN 'Failed' ELSE 'Succeeded' END AS status,
+         CASE WHEN k % 3 = 0 THEN 2 ELSE 0 END AS result_cache_hit,
+         CAST(k % 7 AS DOUBLE) AS data_scanned_disk_mb, CAST(k % 5 AS DOUBLE) AS data_scanned_memory_mb,
+         CAST(k % 11 AS DOUBLE) AS data_scanned_remote_storage_mb, 'user' || CAST(user_id AS VARCHAR) AS login_name
+  FROM ev2
+)"""
+
+
+# --------------------------------------------------------------------------- data-source instances
+def datasources_from_suppliers(supplier: DataFrame) -> DataFrame:
+    """Data-source instance rows (flattened connection details) from ``supplier``."""
+    kind = F.col("s_suppkey") % 4
+    return supplier.select(
+        F.concat(F.lit("ds-"), F.col("s_suppkey").cast("string")).alias("DatasourceId"),
+        F.when(kind == 0, F.lit("Extension")).when(kind == 1, F.lit("Sql")).when(kind == 2, F.lit("Web"))
+         .otherwise(F.lit("File")).alias("DatasourceType"),
+        F.when(kind == 0, F.concat(F.lit("Kind"), (F.col("s_nationkey") % 3).cast("string")))
+         .alias("connectionDetails.extensionDataSourceKind"),
+        F.when(kind == 2, F.concat(F.lit("https://"), F.col("s_name"), F.lit(".example"))).alias("connectionDetails.url"),
+        F.when(kind.isin(0, 1), F.col("s_name")).alias("connectionDetails.server"),
+        F.when(kind == 1, F.concat(F.lit("db"), F.col("s_nationkey").cast("string")))
+         .when(kind == 0, F.lit(" ")).alias("connectionDetails.database"),
+        F.when(kind == 3, F.concat(F.lit("/share/"), F.col("s_suppkey").cast("string")))
+         .when((kind == 0) & (F.col("s_nationkey") % 2 == 0),
+               F.concat(F.lit('{"host":"h'), F.col("s_nationkey").cast("string"), F.lit('.net","httpPath":"\\/sql\\/'),
+                        F.col("s_suppkey").cast("string"), F.lit('"}')))
+         .alias("connectionDetails.path"))
+
+
+DATASOURCES_SQL = """
+dsi AS (
+  SELECT 'ds-' || CAST(s_suppkey AS VARCHAR) AS DatasourceId,
+    CASE s_suppkey % 4 WHEN 0 THEN 'Extension' WHEN 1 THEN 'Sql' WHEN 2 THEN 'Web' ELSE 'File' END AS DatasourceType,
+    CASE WHEN s_suppkey % 4 = 0 THEN 'Kind' || CAST(s_nationkey % 3 AS VARCHAR) END AS ext_kind,
+    CASE WHEN s_suppkey % 4 = 2 THEN 'https://' || s_name || '.example' END AS url,
+    CASE WHEN s_suppkey % 4 IN (0, 1) THEN s_name END AS server,
+    CASE WHEN s_suppkey % 4 = 1 THEN 'db' || CAST(s_nationkey AS VARCHAR) WHEN s_suppkey % 4 = 0 THEN ' ' END AS database,
+    CASE WHEN s_suppkey % 4 = 3 THEN '/share/' || CAST(s_suppkey AS VARCHAR)
+         WHEN s_suppkey % 4 = 0 AND s_nationkey % 2 = 0
+         THEN '{"host":"h' || CAST(s_nationkey AS VARCHAR) || '.net","httpPath":"\\/sql\\/' || CAST(s_suppkey AS VARCHAR) || '"}'
+    END AS path
+  FROM supplier
+)"""
+
+
+# --------------------------------------------------------------------------- model column catalogue
+def model_columns_from_parts(part: DataFrame) -> DataFrame:
+    """Model column metadata (one column per part) for the column rules:
+    model = brand, table = type, column name = part name."""
+    size = F.col("p_size")
+    return part.select(
+        F.col("p_brand").alias("ModelId"), F.col("p_type").alias("TableName"), F.col("p_name").alias("ColumnName"),
+        F.when(size % 5 == 0, F.lit("Double")).when(size % 5 == 1, F.lit("Int64")).when(size % 5 == 2, F.lit("DateTime"))
+         .when(size % 5 == 3, F.lit("String")).otherwise(F.lit("Decimal")).alias("DataType"),
+        F.when(size % 7 == 0, F.lit("Calculated")).otherwise(F.lit("Data")).alias("Type"),
+        (size % 3 == 0).alias("IsHidden"),
+        F.when(size % 4 == 0, F.lit("Sum")).otherwise(F.lit("None")).alias("SummarizeBy"),
+        F.when(size % 6 == 0, F.lit("mm/dd/yyyy")).otherwise(F.lit("")).alias("FormatString"),
+        F.when(size % 9 == 0, F.lit("")).otherwise(F.concat(F.lit("src_"), F.col("p_partkey").cast("string"))).alias("SourceColumn"))
