@@ -334,25 +334,20 @@ def storage_breakdown(df: DataFrame, table_id: str = "TABLE_ID", size: str = "US
 
 def exact_median(df: DataFrame, col: str, by: list | None = None, name: str = "median") -> DataFrame:
     """Exact median per group (average of the two middle values when the
-    count is even), without holding a group's values in one buffer.
-
-    Rows are first reduced to (group, value, count) - a hash aggregate
-    keyed by the value too, so a hot group is spread over all tasks.  The
-    middle ranks are then found with a running count over the group's
-    distinct values: a sort-based window that streams and spills instead of
-    building an in-memory value map per group (Spark's ``median`` merges
-    one map per group in a single task)."""
+    count is even) without holding a group's values in one task.
+
+    Built on :func:`windows.prefix_counts`: rows are reduced to (group,
+    value, count), range-partitioned so a hot group spans many tasks, and
+    each value learns how many rows precede it; the values covering the
+    middle ranks are then picked with a grouped aggregate.  (Spark's
+    ``median`` merges one value map per group in a single task.)"""
+    from .windows import prefix_counts
     by = list(by or [])
+    pc = prefix_counts(df, by, col)
+    lo_k, hi_k = F.floor((F.col("total") + 1) / 2), F.floor(F.col("total") / 2) + 1
+    covers = lambda k: (F.col("before") < k) & (F.col("before") + F.col("w") >= k)
     v = F.col(col)
-    counts = df.filter(v.isNotNull()).groupBy(*by, col).agg(F.count(F.lit(1)).alias("_c"))
-    w_all = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    w_cum = w_all.orderBy(col).rowsBetween(Window.unboundedPreceding, 0)
-    counts = counts.withColumns({"_cum": F.sum("_c").over(w_cum), "_n": F.sum("_c").over(w_all)})
-    lo_k, hi_k = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
-    covers = lambda k: (F.col("_cum") >= k) & (F.col("_cum") - F.col("_c") < k)
-    out = counts.groupBy(*by).agg(
-        ((F.max(F.when(covers(lo_k), v)) + F.max(F.when(covers(hi_k), v))) / 2.0).alias(name))
-    return out
+    return pc.groupBy(*by).agg(((F.max(F.when(covers(lo_k), v)) + F.max(F.when(covers(hi_k), v))) / 2.0).alias(name))
 
 
 def distribution_stats(df: DataFrame, col: str, by: list | None = None, prefix: str | None = None,

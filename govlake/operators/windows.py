@@ -68,3 +68,54 @@ def top1_by_group(df: DataFrame, part: list[str], order: str, desc: bool = True)
     pick = F.max_by if desc else F.min_by
     return (df.groupBy(*part).agg(pick(F.struct(*[F.col(f"`{c}`") for c in rest]), F.col(order)).alias("_t"))
             .select(*part, "_t.*"))
+
+
+def prefix_counts(df: DataFrame, part: list[str], order: str, weight: str | None = None, desc: bool = False,
+                  num_partitions: int | None = None) -> DataFrame:
+    """Distributed running totals over the distinct values of ``order``
+    within each group - the building block for ranks, running totals and
+    exact medians when one group may hold a large share of all rows.
+
+    Output: one row per (part, value) with ``w`` (rows, or summed
+    ``weight``, at that value), ``before`` (total of the values strictly
+    before it in the chosen direction) and ``total`` (group total).
+
+    1. reduce to (part, value, w) - a hash aggregate keyed by the value too;
+    2. range-partition by (part, value): a hot group spans many tasks;
+    3. per (part, task) subtotals - a tiny table - give each task's offset;
+    4. a window per (part, task) adds the offset to the local running sum.
+    Every window is bounded by one range partition, never by a whole group.
+    """
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    w = F.sum(F.col(weight)) if weight else F.count(F.lit(1))
+    key = F.col(order).desc() if desc else F.col(order).asc()
+    vals = df.filter(F.col(order).isNotNull()).groupBy(*part, order).agg(w.alias("w"))
+    ranged = vals.repartitionByRange(n, *[F.col(c) for c in part], key).withColumn("_pid", F.spark_partition_id())
+    sub = ranged.groupBy(*part, "_pid").agg(F.sum("w").alias("_sub"))
+    grp = Window.partitionBy(*part) if part else Window.partitionBy(F.lit(0))
+    sub = sub.withColumns({
+        "_off": F.coalesce(F.sum("_sub").over(grp.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        "total": F.sum("_sub").over(grp)}).drop("_sub")
+    local = Window.partitionBy(*part, "_pid").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    out = ranged.join(sub, [*part, "_pid"]).withColumn(
+        "before", F.col("_off") + F.coalesce(F.sum("w").over(local), F.lit(0)))
+    return out.select(*part, order, "w", "before", "total")
+
+
+def rank_desc_distributed(df: DataFrame, part: list[str], order: str, name: str = "rank") -> DataFrame:
+    """W1 without a per-group window: rank = 1 + rows with a greater value
+    in the group (ties share a rank and leave gaps), from
+    :func:`prefix_counts`, joined back on (group, value)."""
+    pc = prefix_counts(df, part, order, desc=True).select(*part, order, (F.col("before") + 1).cast("int").alias(name))
+    return df.join(pc, [*part, order], "left")
+
+
+def running_total_distributed(df: DataFrame, part: list[str], order: str, value: str,
+                              name: str = "running_total") -> DataFrame:
+    """W3 with RANGE semantics (ties share the total) without a per-group
+    window: the running sum of ``value`` up to and including each row's
+    order value."""
+    pc = prefix_counts(df, part, order, weight=value).select(
+        *part, order, (F.col("before") + F.col("w")).alias(name))
+    return df.join(pc, [*part, order], "left")

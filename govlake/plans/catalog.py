@@ -465,7 +465,9 @@ FROM part
 """)
 def q_part_price_rank(spark, sf):
     """Rank of each part by price within its type, descending, ties share a rank."""
-    return W.rank_desc(load(spark, sf, "part").select("p_partkey", "p_type", "p_retailprice"), ["p_type"], "p_retailprice")
+    # skew-safe form: no per-type window, a hot type spans many tasks
+    return W.rank_desc_distributed(load(spark, sf, "part").select("p_partkey", "p_type", "p_retailprice"),
+                                   ["p_type"], "p_retailprice")
 
 
 @register("daily_revenue_running_total", "W3", sql=f"""
@@ -478,7 +480,10 @@ def q_daily_revenue_running_total(spark, sf):
     """Cumulative daily revenue per return flag."""
     d = (load(spark, sf, "lineitem").groupBy("l_returnflag", F.to_date("l_shipdate").alias("Date"))
          .agg(A.exact_sum(_rev(), 4).alias("revenue")))
-    return W.running_total(d, ["l_returnflag"], "Date", "revenue").withColumn("running_total", rnd("running_total", 4))
+    # one row per (flag, day), so RANGE and ROWS totals coincide; the
+    # distributed form never puts a whole flag into one window task
+    return W.running_total_distributed(d, ["l_returnflag"], "Date", "revenue").withColumn(
+        "running_total", rnd("running_total", 4))
 
 
 @register("nation_revenue_share", "W4, A31", sql=f"""

@@ -154,3 +154,23 @@ def test_documentation_ratio_and_names(spark):
     n = spark.createDataFrame([("", "inf"), ("exp", "inf"), (None, None)], "e string, i string")
     assert [r[0] for r in n.select(P.coalesce_name("e", "i")).collect()] == ["inf", "exp", None]
     assert [r[0] for r in n.select(P.replace_null("i", "0")).collect()] == ["inf", "inf", "0"]
+
+
+def test_distributed_rank_running_total_median(spark):
+    import random
+    rnd = random.Random(3)
+    # one hot group holding most rows, plus small groups, with ties
+    data = [("hot", rnd.randint(0, 40), float(rnd.randint(1, 9))) for _ in range(400)] + \
+           [(g, rnd.randint(0, 5), float(rnd.randint(1, 9))) for g in "abc" for _ in range(rnd.randint(1, 9))]
+    df = spark.createDataFrame(data, "g string, v int, w double").repartition(7)
+    want = rows(W.rank_desc(df, ["g"], "v"), ["g", "v", "w", "rank"])
+    got = rows(W.rank_desc_distributed(df, ["g"], "v"), ["g", "v", "w", "rank"])
+    assert got == want
+    from pyspark.sql import Window
+    rng = Window.partitionBy("g").orderBy("v").rangeBetween(Window.unboundedPreceding, 0)
+    want_rt = rows(df.withColumn("rt", F.sum("w").over(rng)), ["g", "v", "w", "rt"])
+    got_rt = rows(W.running_total_distributed(df, ["g"], "v", "w", "rt"), ["g", "v", "w", "rt"])
+    assert got_rt == want_rt
+    med = rows(A.exact_median(df, "v", ["g"]), ["g", "median"])
+    assert med == rows(df.groupBy("g").agg(F.median("v").alias("m")), ["g", "m"])
+    assert A.exact_median(df, "v").first()["median"] == df.agg(F.median("v")).first()[0]
