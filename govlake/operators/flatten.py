@@ -176,8 +176,8 @@ def connection_string(df: DataFrame, type_col: str = "DatasourceType",
     rewritten = F.when(m != "", F.concat_ws(" ", F.regexp_extract(joined, r'"host":"([^"]+)"', 1),
                                             F.regexp_replace(F.regexp_extract(joined, r'"httpPath":"([^"]+)"', 1),
                                                              r"\\/", "/"))).otherwise(joined)
-    return df.withColumns({"fuam_datasourceKind": F.when(F.col(type_col) == "Extension", kind).otherwise(F.col(type_col)),
-                           "fuam_connectionString": rewritten})
+    return df.withColumns({"DatasourceKind": F.when(F.col(type_col) == "Extension", kind).otherwise(F.col(type_col)),
+                           "ConnectionString": rewritten})
 
 
 def extract_all_rows(df: DataFrame, col: str, pattern: str, out: str = "match", group: int = 1) -> DataFrame:

@@ -37,7 +37,7 @@ def measure(df: DataFrame, aggs: dict[str, Column] | Column, where: Column | Non
 
 
 # A1 ---------------------------------------------------------------------------
-def live_count(df: DataFrame, by: list | None = None, deleted_col: str = "fuam_deleted",
+def live_count(df: DataFrame, by: list | None = None, deleted_col: str = "is_deleted",
                name: str = "live_count") -> DataFrame:
     """Rows not flagged deleted (null counts as live)."""
     cond = ~F.coalesce(F.col(deleted_col), F.lit(False)) if deleted_col in df.columns else F.lit(True)
@@ -46,7 +46,7 @@ def live_count(df: DataFrame, by: list | None = None, deleted_col: str = "fuam_d
 
 # A2 ---------------------------------------------------------------------------
 def count_by_type(df: DataFrame, type_col: str, by: list | None = None, types: list[str] | None = None,
-                  pivot: bool = False, deleted_col: str = "fuam_deleted") -> DataFrame:
+                  pivot: bool = False, deleted_col: str = "is_deleted") -> DataFrame:
     """Live items per type; ``pivot`` turns the types into columns (pass
     ``types`` to avoid the distinct-values pass)."""
     if deleted_col in df.columns:

@@ -53,7 +53,7 @@ def replace_since(existing: DataFrame, new: DataFrame, date_col: str) -> DataFra
 # ---------------------------------------------------------------------------
 def _merge(target: DataFrame, source: DataFrame, keys: list[str], *, update_cols: list[str] | None = None,
            insert: bool = True, soft_delete: bool = False, now=None, check_unique: bool = True,
-           deleted_col: str = "fuam_deleted", modified_col: str = "fuam_modified_at") -> DataFrame:
+           deleted_col: str = "is_deleted", modified_col: str = "modified_at") -> DataFrame:
     ts = _lit_ts(now)
     if soft_delete:
         source = source.withColumns({modified_col: ts, deleted_col: F.lit(False)})
@@ -107,8 +107,8 @@ def _merge(target: DataFrame, source: DataFrame, keys: list[str], *, update_cols
 
 
 def upsert_soft_delete(target: DataFrame, source: DataFrame, keys: list[str], now=None) -> DataFrame:
-    """M2: matched -> all source values and ``fuam_modified_at = now``;
-    not matched -> inserted; not matched by source -> ``fuam_deleted = True``
+    """M2: matched -> all source values and ``modified_at = now``;
+    not matched -> inserted; not matched by source -> ``is_deleted = True``
     and modified time set, once (rows already deleted are left alone)."""
     return _merge(target, source, keys, soft_delete=True, now=now)
 

@@ -51,8 +51,8 @@ def build_aggregated_activities(activities: DataFrame, today, days: int = 30) ->
               F.count_distinct("UserId").alias("DistinctCountOfUsers")))
     return g.select("CreationDate", "CreationDateKey", "CreationHour", "Activity", "Experience", "Workload",
                     F.upper("CapacityId").alias("CapacityId"), F.upper("WorkspaceId").alias("WorkspaceId"),
-                    "GatewayId", item_key().alias("fuam_item_id"), item_kind().alias("fuam_item_kind"),
-                    activity_status().alias("fuam_activity_status"), "CountOfActivities", "DistinctCountOfUsers")
+                    "GatewayId", item_key().alias("item_id"), item_kind().alias("item_kind_resolved"),
+                    activity_status().alias("activity_status"), "CountOfActivities", "DistinctCountOfUsers")
 
 
 def _col_or_null(df: DataFrame, path: str, dtype: str = "string") -> Column:
@@ -488,8 +488,8 @@ def build_archive_candidates(items: DataFrame, workspaces: DataFrame, item_type:
                              workspace_filter: str | None = None) -> DataFrame:
     """Live items of one type, optionally in workspaces whose name
     contains ``workspace_filter``, with their workspace name, ordered."""
-    i = items.filter((F.col("type") == item_type) & ~F.coalesce(F.col("fuam_deleted"), F.lit(False))) \
-        if "fuam_deleted" in items.columns else items.filter(F.col("type") == item_type)
+    i = items.filter((F.col("type") == item_type) & ~F.coalesce(F.col("is_deleted"), F.lit(False))) \
+        if "is_deleted" in items.columns else items.filter(F.col("type") == item_type)
     j = i.join(workspaces.select(F.col("WorkspaceId").alias("workspaceId"), "WorkspaceName"), "workspaceId", "left")
     if workspace_filter:
         j = j.filter(F.col("WorkspaceName").contains(workspace_filter))

@@ -48,7 +48,7 @@ def activities_from_events(events: DataFrame) -> DataFrame:
         F.concat(F.lit("cap-"), (F.col("user_id") % 7).cast("string")).alias("CapacityId"),
         F.concat(F.lit("ws-"), (F.col("user_id") % 25).cast("string")).alias("WorkspaceId"),
         F.lit("web").alias("Experience"),
-        F.when(et == "purchase", F.lit("Premium")).otherwise(F.lit("PowerBI")).alias("Workload"),
+        F.when(et == "purchase", F.lit("Premium")).otherwise(F.lit("Reports")).alias("Workload"),
         F.lit(None).cast("string").alias("GatewayId"),
         F.when(et == "error", F.lit("Failed")).when(et == "signup", F.lit("InProgress")).alias("ResultStatus"),
         (et != "error").alias("IsSuccess"),
@@ -67,7 +67,7 @@ activities AS (
          'cap-' || CAST(user_id % 7 AS VARCHAR) AS CapacityId,
          'ws-' || CAST(user_id % 25 AS VARCHAR) AS WorkspaceId,
          'web' AS Experience,
-         CASE WHEN event_type = 'purchase' THEN 'Premium' ELSE 'PowerBI' END AS Workload,
+         CASE WHEN event_type = 'purchase' THEN 'Premium' ELSE 'Reports' END AS Workload,
          CAST(NULL AS VARCHAR) AS GatewayId,
          CASE WHEN event_type = 'error' THEN 'Failed' WHEN event_type = 'signup' THEN 'InProgress' END AS ResultStatus,
          event_type <> 'error' AS IsSuccess,

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # --- fixed values ---------------------------------------------------------
-# Capacity regions (Continent, FabricRegion, Latitude, Longitude, Location).
+# Capacity regions (Continent, Region, Latitude, Longitude, Location).
 CAPACITY_REGIONS = [
     ("Asia Pacific", "Australia East", 31.2532, 146.9211, "New South Wales"),
     ("Asia Pacific", "Australia Southeast", 36.9848, 143.3906, "Victoria"),
@@ -81,7 +81,7 @@ def static_dims(spark: SparkSession) -> dict[str, DataFrame]:
 def _static_dims(spark: SparkSession) -> dict[str, DataFrame]:
     return {
         "capacity_regions": spark.createDataFrame(
-            CAPACITY_REGIONS, "Continent string, FabricRegion string, Latitude double, Longitude double, Location string"),
+            CAPACITY_REGIONS, "Continent string, Region string, Latitude double, Longitude double, Location string"),
         "semantic_model_content_types": spark.createDataFrame(
             CONTENT_PROVIDER_TYPES,
             "ContentProviderType string, MappedName string, IsIncludedInOptimizationModule boolean, IsDefaultSemanticModel boolean"),

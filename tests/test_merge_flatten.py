@@ -28,13 +28,13 @@ def test_replace_since(spark):
 def test_upsert_soft_delete(spark):
     t = spark.createDataFrame([("a", 1, dt.datetime(2024, 1, 1), False), ("b", 2, dt.datetime(2024, 1, 1), False),
                                ("c", 3, dt.datetime(2024, 1, 1), True)],
-                              "id string, v int, fuam_modified_at timestamp, fuam_deleted boolean")
+                              "id string, v int, modified_at timestamp, is_deleted boolean")
     s = spark.createDataFrame([("a", 10), ("d", 40)], "id string, v int")
     out = {r["id"]: r for r in M.upsert_soft_delete(t, s, ["id"], now=NOW).collect()}
-    assert (out["a"]["v"], out["a"]["fuam_deleted"], out["a"]["fuam_modified_at"]) == (10, False, T_NOW)
-    assert (out["b"]["v"], out["b"]["fuam_deleted"], out["b"]["fuam_modified_at"]) == (2, True, T_NOW)
-    assert (out["c"]["fuam_deleted"], out["c"]["fuam_modified_at"]) == (True, dt.datetime(2024, 1, 1))
-    assert (out["d"]["v"], out["d"]["fuam_deleted"]) == (40, False)
+    assert (out["a"]["v"], out["a"]["is_deleted"], out["a"]["modified_at"]) == (10, False, T_NOW)
+    assert (out["b"]["v"], out["b"]["is_deleted"], out["b"]["modified_at"]) == (2, True, T_NOW)
+    assert (out["c"]["is_deleted"], out["c"]["modified_at"]) == (True, dt.datetime(2024, 1, 1))
+    assert (out["d"]["v"], out["d"]["is_deleted"]) == (40, False)
 
 
 def test_upsert_idempotent_and_update_cols(spark):
@@ -114,7 +114,7 @@ def test_sentinels_connection_anonymise(spark):
         ("Sql", None, "srv", None, "db")],
         "DatasourceType string, `connectionDetails.extensionDataSourceKind` string, `connectionDetails.server` string, "
         "`connectionDetails.path` string, `connectionDetails.database` string")
-    out = rows(P.connection_string(ds), ["fuam_datasourceKind", "fuam_connectionString"])
+    out = rows(P.connection_string(ds), ["DatasourceKind", "ConnectionString"])
     assert out == [("Databricks", "h.net /sql/1"), ("Sql", "srv db")]
     a = spark.createDataFrame([("u", dt.date(2024, 1, 1)), ("v", dt.date(2024, 1, 30))], "u string, d date")
     once = P.anonymise(a, ["u"], "d", after_days=10, today="2024-01-30")

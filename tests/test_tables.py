@@ -31,7 +31,7 @@ def test_activities_and_aggregate(spark, tmp_path):
     r = {x["Id"]: x for x in acts.collect()}
     assert r["E1"]["CreationDate"] == dt.date(2024, 1, 29) and r["E1"]["CreationHour"] == "10" and r["E1"]["UserId"] == "U1"
     agg = T.build_aggregated_activities(acts, "2024-01-30", 30)
-    got = rows(agg, ["fuam_item_id", "fuam_activity_status", "CountOfActivities", "DistinctCountOfUsers"])
+    got = rows(agg, ["item_id", "activity_status", "CountOfActivities", "DistinctCountOfUsers"])
     assert got == [("A1", "Succeeded", 1, 1), ("O1", "N/A", 1, 1)]
 
 
@@ -159,6 +159,6 @@ def test_model_metadata_tables(spark):
     rq = T.build_sql_requests(h).first()
     assert (rq["start_hour"], rq["start_time_15min"]) == (10, dt.datetime(2024, 1, 1, 10, 15))
     items = spark.createDataFrame([("a", "Report", "W1", False), ("b", "Report", "W2", True)],
-                                  "name string, type string, workspaceId string, fuam_deleted boolean")
+                                  "name string, type string, workspaceId string, is_deleted boolean")
     wsp = spark.createDataFrame([("W1", "Prod"), ("W2", "Prod")], "WorkspaceId string, WorkspaceName string")
     assert rows(T.build_archive_candidates(items, wsp, "Report", "Pro"), ["name"]) == [("a",)]
