@@ -251,7 +251,7 @@ def q_nation_first_customer(spark, sf):
 
 
 @register("customer_run_comparison", "A24", sql=f"""
-WITH r AS (SELECT o_custkey, year(o_orderdate) - 1994 AS run, o_totalprice FROM orders),
+WITH r AS (SELECT o_custkey, CAST(year(o_orderdate) - 1994 AS INTEGER) AS run, o_totalprice FROM orders),
 l AS (SELECT o_custkey, max(run) AS last_run FROM r GROUP BY 1),
 j AS (SELECT r.*, l.last_run, CASE WHEN l.last_run - 1 > 0 THEN l.last_run - 1 END AS prev FROM r JOIN l USING (o_custkey))
 SELECT o_custkey, max(last_run) AS last_run, max(prev) AS previous_run,
@@ -409,8 +409,8 @@ def q_part_single_nation(spark, sf):
 WITH s AS (SELECT l_returnflag, count(*) AS line_count FROM lineitem GROUP BY 1),
 x AS (SELECT l_returnflag, line_count, CAST(unnest(generate_series(1, 64)) AS INTEGER) AS Value FROM s)
 SELECT l_returnflag, Value, line_count, CAST(ceil(line_count / Value) AS BIGINT) AS rows_per_partition,
-       sum(CAST(ceil(line_count / Value) AS BIGINT)) OVER (PARTITION BY l_returnflag ORDER BY Value
-           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_total
+       CAST(sum(CAST(ceil(line_count / Value) AS BIGINT)) OVER (PARTITION BY l_returnflag ORDER BY Value
+           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_total
 FROM x
 """)
 def q_returnflag_partition_series(spark, sf):
@@ -998,7 +998,7 @@ b AS (SELECT {rnd_sql('sum(v)', 4)} / count(v) AS all_avg FROM (
 r AS (SELECT l_suppkey, {rnd_sql('sum(v)', 4)} / count(v) AS item_avg FROM d
       WHERE Date > DATE '{SHIP_TODAY}' - INTERVAL 7 DAY AND Date <= DATE '{SHIP_TODAY}' GROUP BY 1)
 SELECT l_suppkey, item_avg, all_avg, item_avg - all_avg AS difference,
-       CASE WHEN all_avg <> 0 THEN (item_avg - all_avg) / all_avg END AS difference_pct, sign(item_avg - all_avg) AS sign
+       CASE WHEN all_avg <> 0 THEN (item_avg - all_avg) / all_avg END AS difference_pct, CAST(sign(item_avg - all_avg) AS DOUBLE) AS sign
 FROM r, b
 """)
 def q_supplier_vs_all(spark, sf):
@@ -1122,7 +1122,7 @@ def q_page_links(spark, sf):
 
 @register("order_line_totals", "P15", sql=f"""
 SELECT l_orderkey, '[' || string_agg(CAST(l_linenumber AS VARCHAR), ',' ORDER BY l_linenumber) || ']' AS line_list,
-       {rnd_sql('sum(l_quantity)', 2)} AS total_quantity, sum(l_linenumber) AS line_sum FROM lineitem GROUP BY 1
+       {rnd_sql('sum(l_quantity)', 2)} AS total_quantity, CAST(sum(l_linenumber) AS BIGINT) AS line_sum FROM lineitem GROUP BY 1
 """)
 def q_order_line_totals(spark, sf):
     """Number-list text per order ('[1,2,3]') and its parsed sum."""
@@ -1205,7 +1205,7 @@ def q_lineitem_line_index(spark, sf):
 , r AS (SELECT *, CAST(CAST(start_time AS TIMESTAMP) AS DATE) AS start_date FROM sqlreq)
 SELECT start_date, sum(total_elapsed_time_ms) / 1000.0 AS elapsed, max(total_elapsed_time_ms) / 1000.0 AS max_elapsed,
        sum(allocated_cpu_time_ms) / 1000.0 AS cpu, max(allocated_cpu_time_ms) / 1000.0 AS max_cpu,
-       sum(row_count) AS rows, max(row_count) AS max_rows, count(CASE WHEN result_cache_hit = 2 THEN 1 END) AS cache_hits,
+       CAST(sum(row_count) AS BIGINT) AS rows, max(row_count) AS max_rows, count(CASE WHEN result_cache_hit = 2 THEN 1 END) AS cache_hits,
        sum(data_scanned_disk_mb) AS scanned_disk_mb, sum(data_scanned_memory_mb) AS scanned_memory_mb,
        sum(data_scanned_remote_storage_mb) AS scanned_remote_mb, count(*) AS requests,
        CAST(count(CASE WHEN lower(status) = 'succeeded' THEN 1 END) AS DOUBLE) / count(*) AS success_rate
