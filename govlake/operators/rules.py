@@ -318,16 +318,25 @@ def r55(m):
                 55, "Relationship", "FromTable", _rel_name())
 
 
+# one USERELATIONSHIP( 'From'[Col] , 'To'[Col] ) reference: table and column of both ends
+USEREL_PATTERN = r"(?i)USERELATIONSHIP\s*\(\s*'*([^'\[]*?)'*\[([^\]]+)\]\s*,\s*'*([^'\[]*?)'*\[([^\]]+)\]"
+
+
+def _userelationship_refs(m) -> DataFrame:
+    """(ModelId, from table, from column, to table, to column) of every
+    USERELATIONSHIP call in any measure, lower-cased.  Extracted once per
+    measure and then equi-joined - never a measure x relationship pairing."""
+    ms = m["measures"].select("ModelId", _s("Expression").alias("_e"))
+    calls = ms.select("ModelId", F.explode(F.regexp_extract_all("_e", F.lit(USEREL_PATTERN), 0)).alias("_call"))
+    grp = lambda i: F.lower(F.trim(F.regexp_extract("_call", USEREL_PATTERN, i)))
+    return calls.select("ModelId", grp(1).alias("_ft"), grp(2).alias("_fc"), grp(3).alias("_tt"), grp(4).alias("_tc")).distinct()
+
+
 def r40(m):
     r = m["relationships"].filter(~_b("IsActive"))
-    pat = F.concat(F.lit(r"(?i)USERELATIONSHIP\s*\(\s*'*"), F.col("FromTable"), F.lit(r"'*\["), F.col("FromColumn"),
-                   F.lit(r"\]\s*,\s*'*"), F.col("ToTable"), F.lit(r"'*\["), F.col("ToColumn"), F.lit(r"\]"))
-    ms = m["measures"].select("ModelId", _s("Expression").alias("_e"))
-    # inactive relationships are few per model; the pair check stays within a model
-    r = r.withColumn("_p", pat)
-    hits = r.join(ms, "ModelId").filter(F.expr("_e RLIKE _p")).select("ModelId", "FromTable", "FromColumn", "ToTable",
-                                                                      "ToColumn").distinct()
-    unused = r.join(hits, ["ModelId", "FromTable", "FromColumn", "ToTable", "ToColumn"], "left_anti")
+    keyed = r.withColumns({"_ft": F.lower("FromTable"), "_fc": F.lower("FromColumn"),
+                           "_tt": F.lower("ToTable"), "_tc": F.lower("ToColumn")})
+    unused = keyed.join(_userelationship_refs(m), ["ModelId", "_ft", "_fc", "_tt", "_tc"], "left_anti")
     return _out(unused, 40, "Relationship", "FromTable", _rel_name())
 
 
@@ -420,11 +429,11 @@ def r20(m):
 
 
 def r27(m):
-    t = m["tables"].join(_rls_tables(m), ["ModelId", "TableName"], "left_semi")
-    pat = F.concat(F.lit(r"(?i)USERELATIONSHIP\s*\(\s*.+?(?=])\]\s*,\s*'*"), F.col("TableName"), F.lit(r"'*\["))
-    ms = m["measures"].select("ModelId", _s("Expression").alias("_e"))
-    hit = t.withColumn("_p", pat).join(ms, "ModelId").filter(F.expr("_e RLIKE _p")).select("ModelId", "TableName").distinct()
-    return _out(hit, 27, "Table", "TableName", "TableName")
+    # tables used as the second end of a USERELATIONSHIP call and secured by RLS
+    used = _userelationship_refs(m).select("ModelId", F.col("_tt").alias("_t")).distinct()
+    t = (m["tables"].join(_rls_tables(m), ["ModelId", "TableName"], "left_semi")
+         .withColumn("_t", F.lower("TableName")).join(used, ["ModelId", "_t"], "left_semi"))
+    return _out(t, 27, "Table", "TableName", "TableName")
 
 
 def r43(m):

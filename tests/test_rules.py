@@ -28,12 +28,14 @@ def meta(spark):
             ("M", "Sales", "Total", "SUM(Sales[Amount]) + 0", False, "", "d"),
             ("M", "Sales", "Copy", "SUM( Sales[Amount] ) + 0", True, "#,0", "d"),
             ("M", "Sales", "Ratio", "[Total] / [Copy]", False, "0%", "d"),
-            ("M", "Sales", "Alias", "[Total]", False, "#,0", "d")],
+            ("M", "Sales", "Alias", "[Total]", False, "#,0", "d"),
+            ("M", "Sales", "ByShip", "CALCULATE([Total], USERELATIONSHIP('Sales'[ShipKey], 'Date'[DateKey]))", False, "#,0", "d")],
             "ModelId string, TableName string, MeasureName string, Expression string, IsHidden boolean, "
             "FormatString string, Description string"),
         "relationships": spark.createDataFrame([
             ("M", "Sales", "DateKey", "Date", "DateKey", "Many", "One", "BothDirections", True),
-            ("M", "Sales", "Amount", "Date", "DateKey", "Many", "Many", "OneDirection", False)],
+            ("M", "Sales", "Amount", "Date", "DateKey", "Many", "Many", "OneDirection", False),
+            ("M", "Sales", "ShipKey", "Date", "DateKey", "Many", "One", "OneDirection", False)],
             "ModelId string, FromTable string, FromColumn string, ToTable string, ToColumn string, "
             "FromCardinality string, ToCardinality string, CrossFilteringBehavior string, IsActive boolean"),
         "partitions": spark.createDataFrame([
@@ -41,7 +43,7 @@ def meta(spark):
             ("M", "Date", "p1", "Dual", "M", "let", None)],
             "ModelId string, TableName string, PartitionName string, Mode string, SourceType string, "
             "Expression string, DataCoverageDefinition string"),
-        "rls": spark.createDataFrame([("M", "Sales", "R", "[Email] = USERPRINCIPALNAME()")],
+        "rls": spark.createDataFrame([("M", "Sales", "R", "[Email] = USERPRINCIPALNAME()"), ("M", "Date", "R2", "TRUE()")],
                                      "ModelId string, TableName string, RoleName string, FilterExpression string"),
         "hierarchies": spark.createDataFrame([], "ModelId string, TableName string, HierarchyName string, ColumnName string"),
         "calc_items": spark.createDataFrame([], "ModelId string, TableName string, ItemName string, Expression string"),
@@ -66,6 +68,7 @@ def test_rules_fire_where_expected(spark):
     assert (40, "'Sales'[Amount] -> 'Date'[DateKey]") in got and (55, "'Sales'[Amount] -> 'Date'[DateKey]") in got
     assert (52, "DateKey") in got and (53, "DateKey") in got and (58, "lower ") in got and (59, "lower ") in got
     assert (1, "DateKey") not in got and (31, "Total") not in got
+    assert (40, "'Sales'[ShipKey] -> 'Date'[DateKey]") not in got and (27, "Date") in got and (27, "Sales") not in got
     assert B.NOT_BUILT == {38, 39} and len(B.RULES) == 58
 
 
