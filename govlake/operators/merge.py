@@ -9,8 +9,6 @@ driver-side loops, and skewed keys are split by AQE's skew-join handling.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import (ZERO_GUID, activity_status, date_parts, date_slice, decode_b64_text,
                                 duration_s, item_key, item_kind, sha_key, sum_bracket_list, text_key, time_bin,
                                 yn_status)
-from .flatten import child_table, dedupe, drop_sentinels, promote, stringify_complex, upper_keys
+from .flatten import child_table, promote, stringify_complex, upper_keys
 
 # Id columns upper-cased in the activity log.
 ACTIVITY_KEYS = ["ActivityId", "ArtifactId", "CapacityId", "DashboardId", "DataflowId", "DatasetId",
