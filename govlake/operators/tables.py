@@ -253,73 +253,106 @@ def build_datasource_instances(instances: DataFrame) -> DataFrame:
 # T13 ----------------------------------------------------------------------------
 # Item arrays whose users are listed, and each type's own access-right field.
 ITEM_USER_TYPES = {
-    "reports": "reportUserAccessRight", "dashboards": "dashboardUserAccessRight", "datasets": "datasetUserAccessRight",
-    "dataflows": "dataflowUserAccessRight", "datamarts": "datamartUserAccessRight", "warehouses": "datamartUserAccessRight",
-    "Lakehouse": "artifactUserAccessRight", "Notebook": "artifactUserAccessRight", "DataPipeline": "artifactUserAccessRight",
-    "Eventhouse": "artifactUserAccessRight", "KQLDatabase": "artifactUserAccessRight", "Eventstream": "artifactUserAccessRight",
-    "Environment": "artifactUserAccessRight", "Reflex": "artifactUserAccessRight", "MLModel": "artifactUserAccessRight",
+    "reports": "reportUserAccessRight",
+    "datasets": "datasetUserAccessRight",
+    "dashboards": "dashboardUserAccessRight",
+    "dataflows": "dataflowUserAccessRight",
+    "datamarts": "datamartUserAccessRight",
+    "Lakehouse": "artifactUserAccessRight",
+    "Notebook": "artifactUserAccessRight",
+    "DataPipeline": "artifactUserAccessRight",
+    "Eventstream": "artifactUserAccessRight",
+    "Environment": "artifactUserAccessRight",
+    "MLModel": "artifactUserAccessRight",
+    "Reflex": "artifactUserAccessRight",
+    "KQLDatabase": "artifactUserAccessRight",
+    "Eventhouse": "artifactUserAccessRight",
+    "warehouses": "artifactUserAccessRight",
 }
 
 
 def build_item_users(workspaces: DataFrame) -> DataFrame:
-    """Every user of every item: access right = the type's own field, else
-    the artifact right, else the group right; id = identifier else graph id;
-    name = displayName else emailAddress; rows with neither id nor name dropped."""
+    """Every user of every item of the listed types.
+
+    Item id = ``id`` else ``objectId``; item name = ``name`` else
+    ``displayName``; access right = the type's own field when non-empty,
+    else the artifact right, else the group right.  Ids and graph ids are
+    upper-cased, absent texts are empty strings, and rows whose item has
+    neither id nor name are dropped.  One explode per type, unioned: no
+    per-workspace loop on the driver."""
     from .flatten import _has_path
     parts = []
     for arr, right in ITEM_USER_TYPES.items():
         if arr not in workspaces.columns:
             continue
-        items = workspaces.select(F.col("id").alias("WorkspaceId"), F.explode(arr).alias("it"))
+        items = workspaces.select(F.col("id").alias("_ws"), F.explode(arr).alias("it"))
         if not _has_path(items.schema, "it.users"):
             continue
-        u = items.select("WorkspaceId", F.col("it.id").alias("ItemId"), F.explode("it.users").alias("u"))
-        nn = lambda f: F.nullif(_col_or_null(u, f"u.{f}"), F.lit(""))
-        parts.append(u.select(
-            F.upper("WorkspaceId").alias("WorkspaceId"), F.upper("ItemId").alias("ItemId"), F.lit(arr).alias("ItemType"),
-            F.coalesce(nn(right), nn("artifactUserAccessRight"), nn("groupUserAccessRight")).alias("AccessRight"),
-            F.coalesce(nn("identifier"), nn("graphId")).alias("UserId"),
-            F.coalesce(nn("displayName"), nn("emailAddress")).alias("UserName"),
-            nn("principalType").alias("PrincipalType")))
+        items = items.select("_ws", F.coalesce(_col_or_null(items, "it.id"), _col_or_null(items, "it.objectId")).alias("_iid"),
+                             F.coalesce(_col_or_null(items, "it.name"), _col_or_null(items, "it.displayName")).alias("_iname"),
+                             F.explode("it.users").alias("u"))
+        txt = lambda f: F.coalesce(_col_or_null(items, f"u.{f}"), F.lit(""))
+        own = _col_or_null(items, f"u.{right}")
+        art = _col_or_null(items, "u.artifactUserAccessRight")
+        access = (F.when(F.coalesce(own, F.lit("")) != "", own)
+                  .when(art.isNotNull(), art)
+                  .otherwise(txt("groupUserAccessRight")))
+        parts.append(items.select(
+            F.upper(F.coalesce(F.col("_ws"), F.lit(""))).alias("WorkspaceId"),
+            F.upper(F.coalesce(F.col("_iid"), F.lit(""))).alias("ItemId"),
+            F.lit(arr).alias("ItemType"), F.coalesce(F.col("_iname"), F.lit("")).alias("ItemName"),
+            access.alias("AccessRight"), txt("emailAddress").alias("EmailAddress"),
+            txt("displayName").alias("DisplayName"), txt("identifier").alias("Identifier"),
+            F.upper(txt("graphId")).alias("GraphId"), txt("principalType").alias("PrincipalType"),
+            txt("userType").alias("UserType")))
+    if not parts:
+        return workspaces.sparkSession.createDataFrame(
+            [], "WorkspaceId string, ItemId string, ItemType string, ItemName string, AccessRight string, "
+                "EmailAddress string, DisplayName string, Identifier string, GraphId string, PrincipalType string, "
+                "UserType string")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.filter(F.col("UserId").isNotNull() | F.col("UserName").isNotNull())
+    return out.filter((F.col("ItemId") != "") | (F.col("ItemName") != ""))
 
 
 # T14 ----------------------------------------------------------------------------
 def build_semantic_model_metadata(workspaces: DataFrame) -> dict[str, DataFrame]:
-    """Models, tables, columns, measures, partitions (sources) and the
-    data-source bridge, with SHA-256 surrogate keys."""
-    ds = workspaces.select(F.upper("id").alias("WorkspaceId"), F.explode("datasets").alias("d"))
-    models = ds.select("WorkspaceId", F.upper("d.id").alias("SemanticModelId"), F.col("d.name").alias("SemanticModelName"),
-                       _col_or_null(ds, "d.configuredBy").alias("ConfiguredBy"),
-                       _col_or_null(ds, "d.contentProviderType").alias("ContentProviderType"))
-    tabs = ds.select("WorkspaceId", F.upper("d.id").alias("SemanticModelId"), F.explode("d.tables").alias("t"))
-    tables = tabs.select("WorkspaceId", "SemanticModelId", F.col("t.name").alias("TableName"),
-                         _col_or_null(tabs, "t.isHidden", "boolean").alias("IsHidden"),
-                         _col_or_null(tabs, "t.storageMode").alias("StorageMode"),
-                         sha_key("SemanticModelId", F.col("t.name")).alias("TableKey"))
-
-    def nested(arr: str, fields: dict[str, str], key_field: str, name: str) -> DataFrame:
-        from .flatten import _has_path
-        if not _has_path(tabs.schema, f"t.{arr}"):
-            return tabs.select("SemanticModelId").limit(0)
-        x = tabs.select("WorkspaceId", "SemanticModelId", F.col("t.name").alias("TableName"),
-                        F.explode(f"t.{arr}").alias("x"))
-        return x.select("WorkspaceId", "SemanticModelId", "TableName",
-                        *[_col_or_null(x, f"x.{f}").alias(o) for f, o in fields.items()],
-                        sha_key("SemanticModelId", "TableName", F.col(f"x.{key_field}")).alias(name))
-    columns = nested("columns", {"name": "ColumnName", "dataType": "DataType", "isHidden": "IsHidden",
-                                 "expression": "Expression"}, "name", "ColumnKey")
-    measures = nested("measures", {"name": "MeasureName", "expression": "Expression", "isHidden": "IsHidden",
-                                   "description": "Description"}, "name", "MeasureKey")
-    partitions = nested("source", {"expression": "Expression"}, "expression", "PartitionKey")
-    bridge = ds.select("WorkspaceId", F.upper("d.id").alias("SemanticModelId"),
-                       F.explode(_col_or_null(ds, "d.datasourceUsages", "array<struct<datasourceInstanceId:string>>")).alias("u"))
-    bridge = bridge.select("SemanticModelId", F.upper("u.datasourceInstanceId").alias("DatasourceInstanceId"),
-                           sha_key("SemanticModelId", F.upper("u.datasourceInstanceId")).alias("BridgeKey"))
-    return {"models": models, "tables": tables, "columns": columns, "measures": measures,
+    """Models, tables, columns, measures, partitions and the model -> data
+    source bridge of the tenant scan, with chained SHA-256 keys:
+    ``TableId = sha256(model-table)``, ``ColumnId = sha256(TableId-column)``,
+    ``MeasureId = sha256(TableId-measure)``,
+    ``PartitionId = sha256(TableId-expression)``.  Chained explodes only."""
+    from .flatten import _has_path
+    ds = workspaces.select(F.col("id").alias("WorkspaceId"), F.explode("datasets").alias("SemanticModel"))
+    models = ds.select("WorkspaceId", F.col("SemanticModel.id").alias("SemanticModelId"),
+                       F.col("SemanticModel.name").alias("SemanticModelName"))
+    usage_t = "array<struct<datasourceInstanceId:string>>"
+    bridge = ds.select(F.col("SemanticModel.id").alias("SemanticModelId"),
+                       F.explode(_col_or_null(ds, "SemanticModel.datasourceUsages", usage_t)).alias("u")) \
+        .select(F.col("u.datasourceInstanceId").alias("DatasourceInstanceId"), "SemanticModelId")
+    tabs = ds.select(F.col("SemanticModel.id").alias("SemanticModelId"),
+                     F.explode(_col_or_null(ds, "SemanticModel.tables", "array<struct<name:string>>")).alias("Table"))
+    tabs = tabs.select("SemanticModelId", sha_key("SemanticModelId", F.col("Table.name")).alias("TableId"),
+                       F.col("Table.name").alias("TableName"),
+                       _col_or_null(tabs, "Table.isHidden", "boolean").alias("IsHidden"),
+                       _col_or_null(tabs, "Table.storageMode").alias("StorageMode"), "Table")
+
+    def child(arr: str, key_field: str, key_name: str, fields: dict[str, str]) -> DataFrame:
+        if not _has_path(tabs.schema, f"Table.{arr}"):
+            return tabs.select("TableId", F.lit(None).cast("string").alias(key_name),
+                               *[F.lit(None).cast("string").alias(o) for o in fields.values()]).limit(0)
+        x = tabs.select("TableId", F.explode(f"Table.{arr}").alias("x"))
+        return x.select("TableId", sha_key("TableId", F.col(f"x.{key_field}")).alias(key_name),
+                        *[_col_or_null(x, f"x.{f}").alias(o) for f, o in fields.items()])
+
+    columns = child("columns", "name", "ColumnId", {"name": "ColumnName", "columnType": "ColumnType",
+                                                    "dataType": "DataType", "isHidden": "isHidden",
+                                                    "expression": "Expression"})
+    measures = child("measures", "name", "MeasureId", {"name": "MeasureName", "isHidden": "IsHidden",
+                                                       "expression": "Expression"})
+    partitions = child("source", "expression", "PartitionId", {"expression": "Expression", "schemaName": "SchemaName"})
+    return {"models": models, "tables": tabs.drop("Table"), "columns": columns, "measures": measures,
             "partitions": partitions, "datasource_bridge": bridge}
 
 

@@ -105,10 +105,19 @@ def test_inventory_children_usages_users_metadata(spark, tmp_path):
     us = T.build_datasource_usages(scan)
     assert rows(us, ["ItemId", "ItemKind", "DatasourceInstanceId"]) == [("M1", "datasets", "DS1"), ("R1", "reports", "DS1")]
     iu = T.build_item_users(scan)
-    assert rows(iu, ["UserId", "AccessRight"]) == [("a", "Owner"), ("g", "Viewer")]
+    got = rows(iu, ["ItemId", "ItemType", "ItemName", "Identifier", "GraphId", "AccessRight", "PrincipalType"])
+    assert got == [("R1", "reports", "R", "", "", "", "App"), ("R1", "reports", "R", "", "G", "Viewer", ""),
+                   ("R1", "reports", "R", "a", "", "Owner", "")]
     md = T.build_semantic_model_metadata(scan)
-    assert md["columns"].count() == 1 and md["measures"].count() == 1 and md["partitions"].count() == 1
-    assert md["datasource_bridge"].first()["DatasourceInstanceId"] == "DS1"
+    import hashlib
+    sha = lambda *p: hashlib.sha256("-".join(p).encode()).hexdigest()
+    t = md["tables"].first()
+    assert (t["SemanticModelId"], t["TableName"], t["TableId"]) == ("m1", "T", sha("m1", "T"))
+    c = md["columns"].first()
+    assert (c["ColumnId"], c["DataType"]) == (sha(sha("m1", "T"), "c"), "Int64")
+    assert md["measures"].first()["MeasureId"] == sha(sha("m1", "T"), "x")
+    assert md["partitions"].first()["PartitionId"] == sha(sha("m1", "T"), "let")
+    assert rows(md["datasource_bridge"], ["DatasourceInstanceId", "SemanticModelId"]) == [("ds1", "m1")]
 
 
 def test_gateway_reports(spark, tmp_path):
