@@ -185,59 +185,146 @@ def build_widely_shared(records: DataFrame) -> DataFrame:
 
 
 # T10 ----------------------------------------------------------------------------
-# The workspace item arrays of the tenant scan and their tables.
-INVENTORY_CHILD_TABLES = {
-    "workspaces_scanned_users": "users", "datamarts": "datamarts", "semantic_models": "datasets",
-    "dataflows": "dataflows", "reports": "reports", "dashboards": "dashboards", "eventhouses": "Eventhouse",
-    "kql_databases": "KQLDatabase", "lakehouses": "Lakehouse", "warehouses": "warehouses",
-    "eventstreams": "Eventstream", "pipelines": "DataPipeline", "notebooks": "Notebook",
-    "environments": "Environment", "reflexes": "Reflex", "ml_models": "MLModel",
+# The common shape of workspace items - dropped fields, renames,
+# upper-cased ids (``{kind}`` is the item kind) and 10-character date slices.
+COMMON_ITEM_DROP = ["users", "createdBy", "modifiedBy"]
+COMMON_ITEM_RENAME = {"id": "{kind}Id", "name": "Name", "description": "Description", "state": "State",
+                      "createdById": "CreatedById", "modifiedById": "ModifiedById",
+                      "lastUpdatedDate": "LastUpdatedDateTime", "createdDate": "CreatedDateTime"}
+COMMON_ITEM_UPPER = ["{kind}Id", "CreatedById", "ModifiedById"]
+COMMON_ITEM_SLICES = {"CreatedDate": "CreatedDateTime", "LastUpdatedDate": "LastUpdatedDateTime"}
+
+# One entry per child table - (scan array, item kind, key field, and
+# for tables that differ from the common shape: drop, rename, upper, slices).
+INVENTORY_TABLES = {
+    "workspaces_scanned_users": dict(array="users", kind=None, key=None,
+                                     drop=["emailAddress", "displayName"],
+                                     rename={"groupUserAccessRight": "GroupUserAccessRight", "identifier": "Identifier",
+                                             "graphId": "GraphId", "principalType": "PrincipalType",
+                                             "userType": "UserType"},
+                                     upper=[], slices={}),
+    "datamarts": dict(array="datamarts", kind="Datamart", key="id",
+                      drop=["configuredBy", "users", "modifiedBy"],
+                      rename={"id": "DatamartId", "name": "Name", "configuredById": "ConfiguredById",
+                              "modifiedById": "ModifiedById", "modifiedDateTime": "ModifiedDateTime", "type": "Type"},
+                      upper=["DatamartId", "ConfiguredById", "ModifiedById"], slices={"ModifiedDateTime": "ModifiedDateTime"}),
+    "semantic_models": dict(array="datasets", kind="SemanticModel", key="id",
+                            drop=["configuredBy", "users", "tables", "datasourceUsages", "relations",
+                                  "refreshSchedule.days", "refreshSchedule.times", "directQueryRefreshSchedule.days",
+                                  "directQueryRefreshSchedule.times", "upstreamDatasets", "upstreamDatamarts",
+                                  "misconfiguredDatasourceUsages"],
+                            rename={"id": "SemanticModelId", "name": "Name", "configuredById": "ConfiguredById",
+                                    "createdDate": "CreatedDateTime", "targetStorageMode": "StorageMode",
+                                    "contentProviderType": "ContentProviderType"},
+                            upper=["SemanticModelId", "ConfiguredById"], slices={"CreatedDate": "CreatedDateTime"}),
+    "dataflows": dict(array="dataflows", kind="Dataflow", key="objectId",
+                      drop=["configuredBy", "modifiedBy", "users", "datasourceUsages"],
+                      rename={"objectId": "DataflowId", "name": "Name", "modifiedDateTime": "ModifiedDateTime",
+                              "generation": "Generation"},
+                      upper=["DataflowId"], slices={}),
+    "reports": dict(array="reports", kind="Report", key="id",
+                    drop=["createdBy", "modifiedBy", "relations", "datasourceUsages"],
+                    rename={"id": "ReportId", "datasetId": "SemanticModelId", "datasetWorkspaceId": "SemanticModelWorkspaceId",
+                            "reportType": "ReportType", "name": "Name", "createdDateTime": "CreatedDateTime",
+                            "modifiedDateTime": "ModifiedDateTime", "modifiedById": "ModifiedById",
+                            "createdById": "CreatedById", "originalReportObjectId": "OriginalReportObjectId",
+                            "appId": "AppId"},
+                    upper=["ReportId", "SemanticModelId", "ModifiedById", "CreatedById", "SemanticModelWorkspaceId",
+                           "OriginalReportObjectId", "AppId"], slices={}),
+    "dashboards": dict(array="dashboards", kind="Dashboard", key="id", drop=["users", "isReadOnly"],
+                       rename={"id": "DashboardId", "displayName": "Name"}, upper=["DashboardId"], slices={}),
+    "eventhouses": dict(array="Eventhouse", kind="Eventhouse", key="id"),
+    "kql_databases": dict(array="KQLDatabase", kind="KQLDatabase", key="id", drop=["users"],
+                          rename={"id": "KQLDatabaseId", "name": "Name", "description": "Description", "state": "State"},
+                          upper=["KQLDatabaseId"], slices={}),
+    "lakehouses": dict(array="Lakehouse", kind="Lakehouse", key="id"),
+    "warehouses": dict(array="warehouses", kind="Warehouse", key="id", drop=["users", "configuredBy", "modifiedBy"],
+                       rename={"id": "WarehouseId", "name": "Name", "description": "Description", "state": "State",
+                               "configuredById": "ConfiguredById", "modifiedById": "ModifiedById",
+                               "modifiedDateTime": "ModifiedDateTime"},
+                       upper=["WarehouseId", "ConfiguredById"], slices={"ModifiedDate": "ModifiedDateTime"}),
+    "eventstreams": dict(array="Eventstream", kind="Eventstream", key="id"),
+    "pipelines": dict(array="DataPipeline", kind="Pipeline", key="id"),
+    "notebooks": dict(array="Notebook", kind="Notebook", key="id"),
+    "environments": dict(array="Environment", kind="Environment", key="id"),
+    "reflexes": dict(array="Reflex", kind="Reflex", key="id"),
+    "ml_models": dict(array="MLModel", kind="MLModel", key="id"),
 }
 
 
-def build_inventory_children(workspaces: DataFrame, drop_cols: tuple[str, ...] = ("users", "tables", "relations",
-                                                                                    "datasourceUsages", "upstreamDatasets",
-                                                                                    "upstreamDataflows")) -> dict[str, DataFrame]:
-    """One child table per item array of the scanned workspaces: flattened
-    element fields plus ``WorkspaceId``; nested arrays dropped; ids upper-cased;
-    a ``createdDate``/``modifiedDateTime`` slice as ``CreatedDate``."""
-    out = {}
-    for name, arr in INVENTORY_CHILD_TABLES.items():
-        rename = "UserId" if arr == "users" else None
-        t = child_table(workspaces, "id", arr, rename_id=rename, parent_alias="WorkspaceId",
-                        id_col="identifier" if arr == "users" else "id")
-        t = t.drop(*[c for c in t.columns if c.split(".")[0] in drop_cols])
-        t = upper_keys(t, ["WorkspaceId", "id", "UserId"])
-        for src in ("createdDate", "modifiedDateTime"):
-            if src in t.columns:
-                t = t.withColumn("CreatedDate" if src == "createdDate" else "ModifiedDate", date_slice(src))
-        out[name] = t
-    return out
+def _spec(name: str) -> dict:
+    sp = dict(INVENTORY_TABLES[name])
+    k = sp.get("kind") or ""
+    sp.setdefault("drop", COMMON_ITEM_DROP)
+    sp.setdefault("rename", {a: b.format(kind=k) for a, b in COMMON_ITEM_RENAME.items()})
+    sp.setdefault("upper", [u.format(kind=k) for u in COMMON_ITEM_UPPER])
+    sp.setdefault("slices", COMMON_ITEM_SLICES)
+    return sp
+
+
+def build_inventory_table(workspaces: DataFrame, name: str) -> DataFrame:
+    """One inventory child table: explode the item array under its workspace,
+    flatten structs to dotted names, keep rows with a key (or any value when
+    the element has no key), drop, rename, upper-case ids, add date slices;
+    remaining arrays/structs become text.  Absent array -> empty table."""
+    sp = _spec(name)
+    t = child_table(workspaces, "id", sp["array"], parent_alias="WorkspaceId", id_col=sp["key"] or "id")
+    t = t.drop(*[c for c in sp["drop"] if c in t.columns])
+    t = t.withColumnsRenamed({a: b for a, b in sp["rename"].items() if a in t.columns})
+    t = upper_keys(t, ["WorkspaceId", *sp["upper"]])
+    for out, src in sp["slices"].items():
+        if src in t.columns:
+            t = t.withColumn(out, F.substr(F.col(src).cast("string"), F.lit(1), F.lit(10)))
+    return stringify_complex(t)
+
+
+# Scanned workspace fields and their table names.
+SCANNED_WORKSPACE_COLUMNS = {"id": "WorkspaceId", "name": "WorkspaceName", "type": "Type", "state": "State",
+                             "isOnDedicatedCapacity": "IsOnDedicatedCapacity", "capacityId": "CapacityId",
+                             "domainId": "DomainId", "description": "Description",
+                             "defaultDatasetStorageFormat": "StorageFormat"}
+
+
+def build_scanned_workspaces(workspaces: DataFrame) -> DataFrame:
+    """The scanned workspaces themselves: named fields (``DomainId`` only
+    when the tenant uses domains), ids upper-cased, item arrays left to the
+    child tables."""
+    cols = [F.col(f"`{a}`").alias(b) for a, b in SCANNED_WORKSPACE_COLUMNS.items() if a in workspaces.columns]
+    return upper_keys(workspaces.select(*cols), ["WorkspaceId", "CapacityId", "DomainId"])
+
+
+def build_inventory_children(workspaces: DataFrame) -> dict[str, DataFrame]:
+    """Every inventory child table of the tenant scan (16 specs, one job
+    each; no driver-side pandas)."""
+    return {name: build_inventory_table(workspaces, name) for name in INVENTORY_TABLES}
 
 
 # T11 ----------------------------------------------------------------------------
-def build_datasource_usages(workspaces: DataFrame, arrays=("datasets", "dataflows", "reports")) -> DataFrame:
-    """Usage edges item -> data-source instance for every item kind that
-    lists ``datasourceUsages`` (the dataflow branch included)."""
-    parts = []
-    ws = workspaces.select(F.col("id").alias("WorkspaceId"), *[F.col(a) for a in arrays if a in workspaces.columns])
-    for a in arrays:
-        if a not in ws.columns:
-            continue
-        items = ws.select("WorkspaceId", F.explode(a).alias("it"))
-        if "datasourceUsages" not in items.select("it.*").columns:
-            continue
-        u = items.select("WorkspaceId", F.col("it.id").alias("ItemId"), F.lit(a).alias("ItemKind"),
-                         F.explode("it.datasourceUsages").alias("u"))
-        parts.append(u.select(F.upper("WorkspaceId").alias("WorkspaceId"), F.upper("ItemId").alias("ItemId"), "ItemKind",
-                              F.upper("u.datasourceInstanceId").alias("DatasourceInstanceId")))
-    if not parts:
-        return workspaces.sparkSession.createDataFrame(
-            [], "WorkspaceId string, ItemId string, ItemKind string, DatasourceInstanceId string")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def build_datasource_usages(workspaces: DataFrame) -> dict[str, DataFrame]:
+    """Item -> data-source-instance usage tables: ``semantic_model_datasources``
+    (WorkspaceId, SemanticModelId, datasourceInstanceId),
+    ``dataflow_datasources`` (WorkspaceId, DataflowId, datasourceInstanceId;
+    built as intended - the source's branch calls an undefined name) and
+    ``report_datasources`` (ReportId, datasourceInstanceId).  Ids upper-cased,
+    usages without an instance id dropped."""
+    from .flatten import _has_path
+
+    def usages(arr: str, key: str, out_key: str, with_ws: bool) -> DataFrame | None:
+        if arr not in workspaces.columns:
+            return None
+        items = workspaces.select(F.col("id").alias("WorkspaceId"), F.explode(arr).alias("it"))
+        if not _has_path(items.schema, "it.datasourceUsages") or not _has_path(items.schema, f"it.{key}"):
+            return None
+        u = items.filter(F.col(f"it.{key}").isNotNull()).select(
+            "WorkspaceId", F.upper(F.col(f"it.{key}")).alias(out_key), F.explode("it.datasourceUsages").alias("u"))
+        u = u.filter(F.col("u.datasourceInstanceId").isNotNull())
+        cols = (["WorkspaceId"] if with_ws else []) + [out_key]
+        return u.select(*cols, F.upper("u.datasourceInstanceId").alias("datasourceInstanceId"))
+
+    out = {"semantic_model_datasources": usages("datasets", "id", "SemanticModelId", True),
+           "dataflow_datasources": usages("dataflows", "objectId", "DataflowId", True),
+           "report_datasources": usages("reports", "id", "ReportId", False)}
+    return {k: v for k, v in out.items() if v is not None}
 
 
 # T12 ----------------------------------------------------------------------------

@@ -88,6 +88,7 @@ def test_refreshables(spark, tmp_path):
 
 def test_inventory_children_usages_users_metadata(spark, tmp_path):
     ws = [{"id": "w1", "name": "W", "users": [{"identifier": "u@x", "groupUserAccessRight": "Admin"}],
+           "Lakehouse": [{"id": "lh1", "name": "L", "createdDate": "2024-03-04T01:02:03", "createdById": "ab"}],
            "reports": [{"id": "r1", "name": "R", "createdDate": "2024-01-02T00:00:00", "datasourceUsages": [
                {"datasourceInstanceId": "ds1"}], "users": [{"identifier": "a", "reportUserAccessRight": "Owner",
                                                              "artifactUserAccessRight": "Read"},
@@ -99,11 +100,21 @@ def test_inventory_children_usages_users_metadata(spark, tmp_path):
                          "datasourceUsages": [{"datasourceInstanceId": "ds1"}]}]}]
     scan = _env(spark, tmp_path, "scan", "workspaces", ws)
     ch = T.build_inventory_children(scan)
-    assert rows(ch["reports"], ["WorkspaceId", "id", "CreatedDate"]) == [("W1", "R1", dt.date(2024, 1, 2))]
-    assert rows(ch["workspaces_scanned_users"], ["WorkspaceId", "UserId"]) == [("W1", "U@X")]
-    assert ch["lakehouses"].count() == 0
+    assert rows(ch["reports"], ["WorkspaceId", "ReportId", "Name"]) == [("W1", "R1", "R")]
+    sw = T.build_scanned_workspaces(scan)
+    assert sw.columns == ["WorkspaceId", "WorkspaceName"] and sw.first()["WorkspaceId"] == "W1"
+    assert "datasourceUsages" not in ch["reports"].columns and "createdDate" in ch["reports"].columns
+    sm = ch["semantic_models"].first()
+    assert (sm["SemanticModelId"], sm["Name"]) == ("M1", "M") and "tables" not in ch["semantic_models"].columns
+    assert rows(ch["workspaces_scanned_users"], ["WorkspaceId", "Identifier", "GroupUserAccessRight"]) == [
+        ("W1", "u@x", "Admin")]
+    lh = ch["lakehouses"].first()
+    assert (lh["LakehouseId"], lh["CreatedById"], lh["CreatedDate"], lh["CreatedDateTime"]) == (
+        "LH1", "AB", "2024-03-04", "2024-03-04T01:02:03")
+    assert ch["notebooks"].count() == 0
     us = T.build_datasource_usages(scan)
-    assert rows(us, ["ItemId", "ItemKind", "DatasourceInstanceId"]) == [("M1", "datasets", "DS1"), ("R1", "reports", "DS1")]
+    assert rows(us["semantic_model_datasources"]) == [("w1", "M1", "DS1")]
+    assert rows(us["report_datasources"]) == [("R1", "DS1")]
     iu = T.build_item_users(scan)
     got = rows(iu, ["ItemId", "ItemType", "ItemName", "Identifier", "GraphId", "AccessRight", "PrincipalType"])
     assert got == [("R1", "reports", "R", "", "", "", "App"), ("R1", "reports", "R", "", "G", "Viewer", ""),
