@@ -91,48 +91,61 @@ def build_workspaces(records: DataFrame, domains: DataFrame | None = None) -> Da
 
 
 # T4 -----------------------------------------------------------------------------
-def build_domains(domains: DataFrame) -> DataFrame:
-    """Domains flattened with their parent: MainDomainName, SubDomainName
-    ('Without Subdomain' for main domains) and IsSubDomain."""
-    d = domains.select(F.upper("id").alias("DomainId"), F.col("displayName").alias("DomainName"),
-                       F.upper("parentDomainId").alias("ParentDomainId"),
-                       _col_or_null(domains, "contributorsScope").alias("ContributorsScope"))
-    parent = d.select(F.col("DomainId").alias("_pid"), F.col("DomainName").alias("_pname"))
-    j = d.join(parent, d["ParentDomainId"] == parent["_pid"], "left")
-    is_sub = F.col("ParentDomainId").isNotNull() & (F.col("ParentDomainId") != "")
-    return j.select("DomainId", "DomainName", "ParentDomainId", "ContributorsScope",
-                    F.when(is_sub, F.col("_pname")).otherwise(F.col("DomainName")).alias("MainDomainName"),
-                    F.when(is_sub, F.col("DomainName")).otherwise(F.lit("Without Subdomain")).alias("SubDomainName"),
-                    is_sub.alias("IsSubDomain"))
+def build_domains_silver(records: DataFrame) -> DataFrame:
+    """Domain records renamed (DomainId, ParentDomainId, DomainName,
+    DomainContributorsScope, DomainDescription), ids upper-cased."""
+    ren = {"id": "DomainId", "parentDomainId": "ParentDomainId", "displayName": "DomainName",
+           "contributorsScope": "DomainContributorsScope", "description": "DomainDescription"}
+    df = records.withColumnsRenamed({a: b for a, b in ren.items() if a in records.columns})
+    for c in ("ParentDomainId", "DomainContributorsScope"):
+        if c not in df.columns:
+            df = df.withColumn(c, F.lit(None).cast("string"))
+    return upper_keys(df, ["DomainId", "ParentDomainId"])
+
+
+def build_domains(silver: DataFrame) -> DataFrame:
+    """Domains flattened against their parent (self left join):
+    MainDomainName (own name for a main domain, else the parent's),
+    SubDomainName ('Without Subdomain' for main domains) and IsSubDomain 1/0."""
+    parent = silver.select(F.col("DomainId").alias("_pid"), F.col("DomainName").alias("_pname"))
+    j = silver.join(parent, silver["ParentDomainId"] == parent["_pid"], "left")
+    sub = F.col("ParentDomainId").isNotNull()
+    return j.select("DomainId", "DomainContributorsScope", F.col("DomainName").alias("OriginalDomainName"),
+                    F.col("ParentDomainId").alias("OriginalParentDomainId"),
+                    F.when(~sub, F.col("DomainName")).otherwise(F.col("_pname")).alias("MainDomainName"),
+                    F.when(sub, F.col("DomainName")).otherwise(F.lit("Without Subdomain")).alias("SubDomainName"),
+                    F.when(sub, 1).otherwise(0).alias("IsSubDomain"))
 
 
 # T5 -----------------------------------------------------------------------------
 def build_capacity_users(capacities: DataFrame) -> DataFrame:
-    """Admins (role 'Admin') UNION ALL users (role 'Contributor') per capacity."""
-    cid = F.upper("id").alias("CapacityId")
-    admins = capacities.select(cid, F.explode(_col_or_null(capacities, "admins", "array<string>")).alias("User"),
-                               F.lit("Admin").alias("Role"))
-    users = capacities.select(cid, F.explode(_col_or_null(capacities, "users", "array<string>")).alias("User"),
-                              F.lit("Contributor").alias("Role"))
+    """(CapacityId, role, user): admins as 'Admin' UNION ALL users as
+    'Contributor'.  Reads the capacities table (CapacityId) or raw records (id)."""
+    cid = F.col("CapacityId") if "CapacityId" in capacities.columns else F.upper("id").alias("CapacityId")
+    admins = capacities.select(cid, F.lit("Admin").alias("role"),
+                               F.explode(_col_or_null(capacities, "admins", "array<string>")).alias("user"))
+    users = capacities.select(cid, F.lit("Contributor").alias("role"),
+                              F.explode(_col_or_null(capacities, "users", "array<string>")).alias("user"))
     return admins.unionByName(users)
 
 
 # T6 -----------------------------------------------------------------------------
 def build_enabled_security_groups(settings: DataFrame) -> DataFrame:
-    """One row per (setting snapshot, enabled security group)."""
-    keep = [c for c in ("TransferDate", "TransferDateTime") if c in settings.columns]
-    g = settings.select(*keep, "settingName", F.explode("enabledSecurityGroups").alias("g"))
-    return g.select(*keep, "settingName", F.col("g.graphId").alias("graphId"), F.col("g.name").alias("name"))
+    """(settingName, TransferDateTime, graphId, name): one row per setting
+    snapshot and enabled security group."""
+    ts = F.col("TransferDateTime") if "TransferDateTime" in settings.columns else F.lit(None).cast("timestamp")
+    g = settings.select("settingName", ts.alias("TransferDateTime"), F.explode("enabledSecurityGroups").alias("g"))
+    return g.select("settingName", "TransferDateTime", F.col("g.graphId").alias("graphId"), F.col("g.name").alias("name"))
 
 
 # T7 -----------------------------------------------------------------------------
 def build_delegated_overrides(overrides: DataFrame) -> DataFrame:
     """Two-level explode of delegated tenant-setting overrides; the override
     id doubles as the capacity id."""
-    s = overrides.select(F.upper("id").alias("CapacityId"), F.explode("tenantSettings").alias("s"))
-    return s.select("CapacityId", *[F.col(f"s.{c}").alias(c) for c in
-                                    ("tenantSettingGroup", "title", "delegatedFrom", "settingName", "enabled",
-                                     "canSpecifySecurityGroups")])
+    s = overrides.select(F.col("id").alias("OverrideId"), F.explode("tenantSettings").alias("ts"))
+    return s.select("OverrideId", F.col("OverrideId").alias("CapacityId"),
+                    *[F.col(f"ts.{c}").alias(c) for c in ("tenantSettingGroup", "title", "delegatedFrom", "settingName",
+                                                          "enabled", "canSpecifySecurityGroups")])
 
 
 # T8 -----------------------------------------------------------------------------
@@ -178,10 +191,13 @@ def build_refreshables(records: DataFrame) -> dict[str, DataFrame]:
 
 # T9 -----------------------------------------------------------------------------
 def build_widely_shared(records: DataFrame) -> DataFrame:
-    """Widely-shared artifacts (published-to-web and organisation links):
-    sharer fields promoted with a ``sharer_`` prefix, artifact id upper-cased."""
-    df = promote(records, "sharer", ["displayName", "emailAddress", "graphId", "identifier", "principalType"], "sharer_")
-    return upper_keys(df, ["artifactId"])
+    """Widely-shared artifacts (published to web, organisation links): the
+    item's displayName kept as ``item_displayName``, sharer fields promoted
+    with a ``sharer_`` prefix, ``ItemId`` = upper-cased artifact id."""
+    df = records.withColumnRenamed("displayName", "item_displayName") if "displayName" in records.columns else records
+    df = promote(df, "sharer", ["displayName", "emailAddress", "graphId", "identifier", "principalType"], "sharer_")
+    df = df.withColumn("ItemId", F.upper("artifactId")) if "artifactId" in df.columns else df
+    return df.drop("artifactId")
 
 
 # T10 ----------------------------------------------------------------------------

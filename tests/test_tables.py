@@ -50,10 +50,11 @@ def test_items_workspaces_domains_capacities(spark, tmp_path):
     assert (w["WorkspaceId"], w["Description"], w["DomainId"]) == ("W1", "", "D1")
     d = _env(spark, tmp_path, "dom", "domains", [{"id": "p", "displayName": "Main"},
                                                  {"id": "s", "displayName": "Sub", "parentDomainId": "p"}])
-    got = rows(T.build_domains(d), ["DomainId", "MainDomainName", "SubDomainName", "IsSubDomain"])
-    assert got == [("P", "Main", "Without Subdomain", False), ("S", "Main", "Sub", True)]
+    got = rows(T.build_domains(T.build_domains_silver(d)), ["DomainId", "MainDomainName", "SubDomainName", "IsSubDomain"])
+    assert got == [("P", "Main", "Without Subdomain", 0), ("S", "Main", "Sub", 1)]
     cap = _env(spark, tmp_path, "cap", "value", [{"id": "c", "admins": ["a1"], "users": ["u1", "u2"]}])
-    assert rows(T.build_capacity_users(cap), ["User", "Role"]) == [("a1", "Admin"), ("u1", "Contributor"), ("u2", "Contributor")]
+    assert rows(T.build_capacity_users(cap), ["CapacityId", "user", "role"]) == [
+        ("C", "a1", "Admin"), ("C", "u1", "Contributor"), ("C", "u2", "Contributor")]
 
 
 def test_settings_overrides_shared(spark, tmp_path):
@@ -63,11 +64,11 @@ def test_settings_overrides_shared(spark, tmp_path):
     o = _env(spark, tmp_path, "del", "Overrides", [{"id": "c1", "tenantSettings": [
         {"settingName": "x", "enabled": True, "title": "t", "tenantSettingGroup": "g", "delegatedFrom": "Tenant",
          "canSpecifySecurityGroups": False}]}])
-    assert rows(T.build_delegated_overrides(o), ["CapacityId", "settingName"]) == [("C1", "x")]
+    assert rows(T.build_delegated_overrides(o), ["OverrideId", "CapacityId", "settingName"]) == [("c1", "c1", "x")]
     sh = _env(spark, tmp_path, "ptw", "ArtifactAccessEntities", [
         {"artifactId": "a", "displayName": "R", "sharer": {"displayName": "Me", "emailAddress": "m@x"}}])
     r = T.build_widely_shared(sh).first()
-    assert (r["artifactId"], r["sharer_emailAddress"]) == ("A", "m@x")
+    assert (r["ItemId"], r["item_displayName"], r["sharer_emailAddress"]) == ("A", "R", "m@x")
 
 
 def test_refreshables(spark, tmp_path):
