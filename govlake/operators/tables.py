@@ -345,12 +345,24 @@ def build_datasource_usages(workspaces: DataFrame) -> dict[str, DataFrame]:
 
 # T12 ----------------------------------------------------------------------------
 def build_datasource_instances(instances: DataFrame) -> DataFrame:
-    """Distinct data-source instances with kind and connection string."""
+    """Distinct data-source instances: nested connection details flattened to
+    dotted names, ids renamed and upper-cased, plus kind and connection
+    string (P21)."""
     from .flatten import connection_string, flatten_structs
     flat = flatten_structs(instances)
-    flat = flat.select(*[F.col(f"`{c}`").alias(c[0].upper() + c[1:] if "." not in c else c) for c in flat.columns])
-    flat = upper_keys(flat, ["DatasourceId", "GatewayId"])
-    return connection_string(flat).distinct()
+    flat = flat.withColumnsRenamed({a: b for a, b in {"datasourceId": "DatasourceId", "datasourceType": "DatasourceType",
+                                                      "gatewayId": "GatewayId"}.items() if a in flat.columns})
+    flat = upper_keys(flat.distinct(), ["DatasourceId", "GatewayId"])
+    return connection_string(flat)
+
+
+def build_misconfigured_instances(instances: DataFrame) -> DataFrame:
+    """Distinct misconfigured data-source instances, ids renamed and upper-cased."""
+    from .flatten import flatten_structs
+    flat = flatten_structs(instances)
+    flat = flat.withColumnsRenamed({a: b for a, b in {"datasourceId": "DatasourceId",
+                                                      "datasourceType": "DatasourceType"}.items() if a in flat.columns})
+    return upper_keys(flat.distinct(), ["DatasourceId"])
 
 
 # T13 ----------------------------------------------------------------------------

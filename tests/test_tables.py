@@ -183,3 +183,17 @@ def test_model_metadata_tables(spark):
                                   "name string, type string, workspaceId string, is_deleted boolean")
     wsp = spark.createDataFrame([("W1", "Prod"), ("W2", "Prod")], "WorkspaceId string, WorkspaceName string")
     assert rows(T.build_archive_candidates(items, wsp, "Report", "Pro"), ["name"]) == [("a",)]
+
+
+def test_datasource_instances(spark, tmp_path):
+    inst = _env(spark, tmp_path, "dsi", "datasourceInstances", [
+        {"datasourceId": "d1", "datasourceType": "Sql", "gatewayId": "g1",
+         "connectionDetails": {"server": "srv", "database": "db"}},
+        {"datasourceId": "d1", "datasourceType": "Sql", "gatewayId": "g1",
+         "connectionDetails": {"server": "srv", "database": "db"}},
+        {"datasourceId": "d2", "datasourceType": "Extension", "gatewayId": None,
+         "connectionDetails": {"extensionDataSourceKind": "Databricks", "path": "p"}}])
+    out = rows(T.build_datasource_instances(inst), ["DatasourceId", "GatewayId", "DatasourceKind", "ConnectionString"])
+    assert out == [("D1", "G1", "Sql", "srv db"), ("D2", None, "Databricks", "Databricks p")]
+    mis = _env(spark, tmp_path, "mis", "misconfiguredDatasourceInstances", [{"datasourceId": "x", "datasourceType": "Web"}])
+    assert rows(T.build_misconfigured_instances(mis)) == [("X", "Web")]
