@@ -1274,3 +1274,70 @@ def q_part_column_rule_violations(spark, sf):
     v = B.bpa(meta, COLUMN_RULES).filter(F.col("ObjectType") == "Column")
     return v.groupBy("ModelId", "RuleId").agg(F.count(F.lit(1)).alias("violations"),
                                               F.count_distinct("ObjectName").alias("objects"))
+
+
+# =========================================================================== refreshables
+from ..operators.tables import build_refreshables  # noqa: E402
+from .standins import REFRESHABLES_SQL, refreshables_from_orders  # noqa: E402
+
+
+def _refreshables(spark, sf):
+    return build_refreshables(refreshables_from_orders(load(spark, sf, "orders")))
+
+
+@register("refreshables_main", "T8", sql=with_(REFRESHABLES_SQL) + """
+SELECT DISTINCT CapacityId, WorkspaceId, ItemId, ItemName, IsRefreshEnabled, LocalTimeZoneId, Kind FROM rf
+""")
+def q_refreshables_main(spark, sf):
+    """Refreshables: main attributes per item."""
+    return _refreshables(spark, sf)["main"]
+
+
+@register("refreshables_days", "T8", sql=with_(REFRESHABLES_SQL) + """
+SELECT DISTINCT CapacityId, WorkspaceId, ItemId, day1 AS Day FROM rf
+UNION SELECT DISTINCT CapacityId, WorkspaceId, ItemId, day2 FROM rf
+""")
+def q_refreshables_days(spark, sf):
+    """Refreshables: scheduled days (exploded, distinct)."""
+    return _refreshables(spark, sf)["days"]
+
+
+@register("refreshables_summaries", "T8, P6, P7, P9", sql=with_(REFRESHABLES_SQL) + """
+SELECT DISTINCT CapacityId, WorkspaceId, ItemId, ItemName, strftime(start_ts, '%Y%m%d') AS ConsideredStartDateKey,
+       CAST(start_ts AS DATE) AS ConsideredStartDate, CAST(end_ts AS DATE) AS ConsideredEndDate,
+       start_ts AS ConsideredStartTime, end_ts AS ConsideredEndTime, RefreshAverageDuration, RefreshMedianDuration,
+       RefreshCount, CAST(epoch(end_ts) - epoch(start_ts) AS BIGINT) AS ConsiderationDurationSeconds
+FROM rf WHERE NOT end_sentinel
+""")
+def q_refreshables_summaries(spark, sf):
+    """Refreshables: consideration window summaries (sentinel end dates dropped, duration)."""
+    return _refreshables(spark, sf)["summaries"]
+
+
+@register("refreshables_details", "T8, P6, P7", sql=with_(REFRESHABLES_SQL) + """
+SELECT DISTINCT CapacityId, WorkspaceId, ItemId, ItemName, RequestId, strftime(last_start, '%Y%m%d') AS LastRefreshStartDateKey,
+       Status, RefreshType, CAST(last_start AS DATE) AS LastRefreshStartDate, CAST(last_end AS DATE) AS LastRefreshEndDate,
+       last_start AS LastRefreshStartTime, last_end AS LastRefreshEndTime, strftime(last_start, '%-H') AS LastRefreshStartHour,
+       strftime(last_end, '%-H') AS LastRefreshEndHour, CAST(epoch(last_end) - epoch(last_start) AS BIGINT) AS DurationInSeconds
+FROM rf WHERE RequestId IS NOT NULL
+""")
+def q_refreshables_details(spark, sf):
+    """Refreshables: last refresh details with duration."""
+    return _refreshables(spark, sf)["details"]
+
+
+@register("refresh_schedule_counts", "A20, T8", sql=with_(REFRESHABLES_SQL) + """
+, d AS (SELECT DISTINCT WorkspaceId, ItemId, day1 AS Day, IsRefreshEnabled AS Enabled FROM rf
+        UNION SELECT DISTINCT WorkspaceId, ItemId, day2, IsRefreshEnabled FROM rf),
+t AS (SELECT DISTINCT WorkspaceId, ItemId, time1 AS Time FROM rf UNION SELECT DISTINCT WorkspaceId, ItemId, time2 FROM rf),
+s AS (SELECT DISTINCT d.WorkspaceId, d.ItemId, Day, Enabled, Time FROM d JOIN t USING (WorkspaceId, ItemId))
+SELECT WorkspaceId, count(CASE WHEN Enabled = true THEN 1 END) AS slots_enabled,
+       count(CASE WHEN Enabled = false THEN 1 END) AS slots_disabled, count(*) AS slots_any FROM s GROUP BY 1
+""")
+def q_refresh_schedule_counts(spark, sf):
+    """Scheduled refresh slots (item x day x time) per workspace, by enabled state."""
+    r = _refreshables(spark, sf)
+    days = r["days"].join(r["main"].select("WorkspaceId", "ItemId", F.col("IsRefreshEnabled").alias("Enabled")),
+                          ["WorkspaceId", "ItemId"])
+    slots = A.refresh_schedule_slots(days, r["times"], ["WorkspaceId", "ItemId"])
+    return A.refresh_slot_counts(slots, by=["WorkspaceId"])

@@ -323,3 +323,60 @@ def model_columns_from_parts(part: DataFrame) -> DataFrame:
         F.when(size % 4 == 0, F.lit("Sum")).otherwise(F.lit("None")).alias("SummarizeBy"),
         F.when(size % 6 == 0, F.lit("mm/dd/yyyy")).otherwise(F.lit("")).alias("FormatString"),
         F.when(size % 9 == 0, F.lit("")).otherwise(F.concat(F.lit("src_"), F.col("p_partkey").cast("string"))).alias("SourceColumn"))
+
+
+# --------------------------------------------------------------------------- refreshables
+ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+
+
+def refreshables_from_orders(orders: DataFrame) -> DataFrame:
+    """Refreshable records (nested like the API's: capacity, group,
+    refreshSchedule with day and time arrays, lastRefresh) built per order
+    row - structs and arrays per row, no grouping."""
+    k = F.col("o_orderkey")
+    d = F.col("o_orderdate")
+    st = F.col("o_orderstatus")
+    iso = lambda c: F.date_format(c, ISO)
+    last_start = d + F.make_dt_interval(F.lit(1), (k % 24).cast("int"))
+    return orders.select(
+        F.concat(F.lit("ref-"), k.cast("string")).alias("id"),
+        F.concat(F.lit("model-"), k.cast("string")).alias("name"),
+        F.lit("Dataset").alias("kind"),
+        F.struct(F.concat(F.lit("cap-"), (F.col("o_custkey") % 7).cast("string")).alias("id")).alias("capacity"),
+        F.struct(F.concat(F.lit("ws-"), (F.col("o_custkey") % 25).cast("string")).alias("id")).alias("group"),
+        iso(d).alias("startTime"),
+        F.when(st == "P", F.lit("0001-01-01T00:00:00Z"))
+         .otherwise(iso(d + F.make_dt_interval((k % 5).cast("int")))).alias("endTime"),
+        (F.col("o_totalprice") / 1000).alias("averageDuration"),
+        (F.col("o_totalprice") / 2000).alias("medianDuration"),
+        (k % 9).alias("refreshCount"),
+        F.struct((st == "F").alias("enabled"), F.lit("UTC").alias("localTimeZoneId"),
+                 F.array(F.date_format(d, "EEEE"), F.date_format(F.date_add(d, 2), "EEEE")).alias("days"),
+                 F.array(F.concat(F.lpad((k % 10).cast("string"), 2, "0"), F.lit(":00")), F.lit("12:00")).alias("times"))
+         .alias("refreshSchedule"),
+        F.struct(F.when(st != "O", F.concat(F.lit("req-"), k.cast("string"))).alias("requestId"),
+                 F.when(st == "F", F.lit("Completed")).otherwise(F.lit("Failed")).alias("status"),
+                 F.lit("Scheduled").alias("refreshType"),
+                 iso(last_start).alias("startTime"),
+                 iso(last_start + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (k % 3600).cast("int"))).alias("endTime"))
+         .alias("lastRefresh"))
+
+
+REFRESHABLES_SQL = """
+rf AS (
+  SELECT upper('cap-' || CAST(o_custkey % 7 AS VARCHAR)) AS CapacityId, upper('ws-' || CAST(o_custkey % 25 AS VARCHAR)) AS WorkspaceId,
+         upper('ref-' || CAST(o_orderkey AS VARCHAR)) AS ItemId, 'model-' || CAST(o_orderkey AS VARCHAR) AS ItemName,
+         o_orderstatus = 'F' AS IsRefreshEnabled, 'UTC' AS LocalTimeZoneId, 'Dataset' AS Kind,
+         o_orderdate AS start_ts,
+         CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderdate + to_days(CAST(o_orderkey % 5 AS INTEGER)) END AS end_ts,
+         o_orderstatus = 'P' AS end_sentinel,
+         o_totalprice / 1000 AS RefreshAverageDuration, o_totalprice / 2000 AS RefreshMedianDuration,
+         o_orderkey % 9 AS RefreshCount,
+         dayname(o_orderdate) AS day1, dayname(o_orderdate + INTERVAL 2 DAY) AS day2,
+         lpad(CAST(o_orderkey % 10 AS VARCHAR), 2, '0') || ':00' AS time1, '12:00' AS time2,
+         CASE WHEN o_orderstatus <> 'O' THEN 'req-' || CAST(o_orderkey AS VARCHAR) END AS RequestId,
+         CASE WHEN o_orderstatus = 'F' THEN 'Completed' ELSE 'Failed' END AS Status, 'Scheduled' AS RefreshType,
+         o_orderdate + to_days(1) + to_hours(CAST(o_orderkey % 24 AS INTEGER)) AS last_start,
+         o_orderdate + to_days(1) + to_hours(CAST(o_orderkey % 24 AS INTEGER)) + to_seconds(CAST(o_orderkey % 3600 AS INTEGER)) AS last_end
+  FROM orders
+)"""
