@@ -328,7 +328,7 @@ def build_datasource_usages(workspaces: DataFrame) -> dict[str, DataFrame]:
     def usages(arr: str, key: str, out_key: str, with_ws: bool) -> DataFrame | None:
         if arr not in workspaces.columns:
             return None
-        items = workspaces.select(F.col("id").alias("WorkspaceId"), F.explode(arr).alias("it"))
+        items = workspaces.select(F.upper("id").alias("WorkspaceId"), F.explode(arr).alias("it"))
         if not _has_path(items.schema, "it.datasourceUsages") or not _has_path(items.schema, f"it.{key}"):
             return None
         u = items.filter(F.col(f"it.{key}").isNotNull()).select(

@@ -1341,3 +1341,115 @@ def q_refresh_schedule_counts(spark, sf):
                           ["WorkspaceId", "ItemId"])
     slots = A.refresh_schedule_slots(days, r["times"], ["WorkspaceId", "ItemId"])
     return A.refresh_slot_counts(slots, by=["WorkspaceId"])
+
+
+# =========================================================================== tenant scan
+from ..operators.tables import (build_datasource_usages, build_inventory_table, build_item_users,  # noqa: E402
+                                build_semantic_model_metadata)
+from .standins import SCAN_SQL, scan_workspaces_from_customers  # noqa: E402
+
+
+def _scan(spark, sf):
+    return scan_workspaces_from_customers(load(spark, sf, "customer"))
+
+
+@register("scan_reports", "T10, P5, P2, P3", sql=with_(SCAN_SQL) + """
+SELECT upper(ws) AS WorkspaceId, upper('rep-' || CAST(k AS VARCHAR)) AS ReportId, 'Report ' || CAST(k AS VARCHAR) AS Name,
+       upper('sm-' || CAST(k AS VARCHAR)) AS SemanticModelId, upper(ws) AS SemanticModelWorkspaceId,
+       'PowerBIReport' AS ReportType, created AS CreatedDateTime, created AS ModifiedDateTime FROM sc
+""")
+def q_scan_reports(spark, sf):
+    """Inventory child table: reports of the scanned workspaces."""
+    t = build_inventory_table(_scan(spark, sf), "reports")
+    return t.select("WorkspaceId", "ReportId", "Name", "SemanticModelId", "SemanticModelWorkspaceId", "ReportType",
+                    "CreatedDateTime", "ModifiedDateTime")
+
+
+@register("scan_semantic_models", "T10, P5", sql=with_(SCAN_SQL) + """
+SELECT upper(ws) AS WorkspaceId, upper('sm-' || CAST(k AS VARCHAR)) AS SemanticModelId, 'Model ' || CAST(k AS VARCHAR) AS Name,
+       upper('owner' || CAST(n AS VARCHAR) || '@x') AS ConfiguredById, created AS CreatedDateTime,
+       CASE WHEN k % 2 = 0 THEN 'PbixInImportMode' ELSE 'InDirectQueryMode' END AS ContentProviderType,
+       'Abf' AS StorageMode, substr(created, 1, 10) AS CreatedDate FROM sc
+""")
+def q_scan_semantic_models(spark, sf):
+    """Inventory child table: semantic models (nested arrays dropped, renamed, sliced)."""
+    return build_inventory_table(_scan(spark, sf), "semantic_models")
+
+
+@register("scan_lakehouses", "T10, P5", sql=with_(SCAN_SQL) + """
+SELECT upper(ws) AS WorkspaceId, upper('lh-' || CAST(k AS VARCHAR)) AS LakehouseId, 'LH ' || CAST(k AS VARCHAR) AS Name,
+       '' AS Description, 'Active' AS State, created AS CreatedDateTime, upper('o' || CAST(n AS VARCHAR)) AS CreatedById,
+       substr(created, 1, 10) AS CreatedDate FROM sc WHERE k % 4 = 0
+""")
+def q_scan_lakehouses(spark, sf):
+    """Inventory child table: lakehouses (common item shape)."""
+    return build_inventory_table(_scan(spark, sf), "lakehouses")
+
+
+@register("scan_workspace_users", "T10, P5", sql=with_(SCAN_SQL) + """
+SELECT upper(ws) AS WorkspaceId, 'u' || CAST(k AS VARCHAR) || '@x' AS Identifier,
+       CASE k % 3 WHEN 0 THEN 'Admin' WHEN 1 THEN 'Member' ELSE 'Viewer' END AS GroupUserAccessRight,
+       'User' AS PrincipalType, 'Member' AS UserType, 'g' || CAST(k AS VARCHAR) AS GraphId FROM sc
+""")
+def q_scan_workspace_users(spark, sf):
+    """Inventory child table: workspace users (no id field: all-empty rows dropped)."""
+    return build_inventory_table(_scan(spark, sf), "workspaces_scanned_users")
+
+
+@register("scan_model_datasources", "T11", sql=with_(SCAN_SQL) + """
+SELECT upper(ws) AS WorkspaceId, upper('sm-' || CAST(k AS VARCHAR)) AS SemanticModelId,
+       upper('ds-' || CAST(k % 100 AS VARCHAR)) AS datasourceInstanceId FROM sc
+""")
+def q_scan_model_datasources(spark, sf):
+    """Semantic model -> data-source instance usage edges."""
+    return build_datasource_usages(_scan(spark, sf))["semantic_model_datasources"]
+
+
+@register("scan_item_users", "T13", sql=with_(SCAN_SQL) + """
+SELECT upper(ws) AS WorkspaceId, upper('rep-' || CAST(k AS VARCHAR)) AS ItemId, 'reports' AS ItemType,
+       'Report ' || CAST(k AS VARCHAR) AS ItemName, CASE WHEN k % 2 = 1 THEN 'Owner' ELSE 'Read' END AS AccessRight,
+       '' AS EmailAddress, '' AS DisplayName, 'v' || CAST(k AS VARCHAR) || '@x' AS Identifier, '' AS GraphId,
+       'User' AS PrincipalType, '' AS UserType FROM sc
+UNION ALL
+SELECT upper(ws), upper('sm-' || CAST(k AS VARCHAR)), 'datasets', 'Model ' || CAST(k AS VARCHAR), 'ReadWrite', '', '',
+       'u' || CAST(k AS VARCHAR) || '@x', '', 'User', '' FROM sc
+UNION ALL
+SELECT upper(ws), upper('lh-' || CAST(k AS VARCHAR)), 'Lakehouse', 'LH ' || CAST(k AS VARCHAR), 'Read', '', '',
+       'w' || CAST(k AS VARCHAR) || '@x', '', '', '' FROM sc WHERE k % 4 = 0
+""")
+def q_scan_item_users(spark, sf):
+    """Every user of every item, with access-right fallbacks."""
+    return build_item_users(_scan(spark, sf))
+
+
+@register("scan_model_columns", "T14, P12", sql=with_(SCAN_SQL) + """
+, t AS (SELECT *, sha256('sm-' || CAST(k AS VARCHAR) || '-' || 'Sales' || CAST(n AS VARCHAR)) AS TableId FROM sc)
+SELECT TableId, sha256(TableId || '-' || 'Amount') AS ColumnId, 'Amount' AS ColumnName, 'Data' AS ColumnType,
+       'Double' AS DataType, false AS isHidden, CAST(NULL AS VARCHAR) AS Expression FROM t
+UNION ALL
+SELECT TableId, sha256(TableId || '-' || 'Key' || CAST(n AS VARCHAR)), 'Key' || CAST(n AS VARCHAR), 'Data', 'Int64', true,
+       CAST(NULL AS VARCHAR) FROM t
+""")
+def q_scan_model_columns(spark, sf):
+    """Semantic-model columns with chained SHA-256 keys."""
+    return build_semantic_model_metadata(_scan(spark, sf))["columns"]
+
+
+SCAN_EDGE_SPECS = [
+    G.EdgeSpec("r_to_sm", "reports", "Report", "datasetId", "SemanticModel", other_ws="datasetWorkspaceId"),
+    G.EdgeSpec("sm_to_source", "datasets", "SemanticModel", "datasourceInstanceId", "DataSource",
+               rel_array="datasourceUsages", other_ws=None),
+]
+
+
+@register("scan_lineage_edges", "G1, U1", sql=with_(SCAN_SQL) + """
+SELECT upper('rep-' || CAST(k AS VARCHAR)) AS DownStreamId, upper(ws) AS DownStreamWorkspaceId, 'Report' AS DownStreamType,
+       upper('sm-' || CAST(k AS VARCHAR)) AS UpStreamId, upper(ws) AS UpStreamWorkspaceId, 'SemanticModel' AS UpStreamType,
+       'r_to_sm' AS SourceDF FROM sc
+UNION ALL
+SELECT upper('sm-' || CAST(k AS VARCHAR)), upper(ws), 'SemanticModel', upper('ds-' || CAST(k % 100 AS VARCHAR)), upper(ws),
+       'DataSource', 'sm_to_source' FROM sc
+""")
+def q_scan_lineage_edges(spark, sf):
+    """Lineage edges extracted from the nested scan by declarative specs."""
+    return G.all_edges(_scan(spark, sf).select(F.array(F.struct("*")).alias("workspaces")), SCAN_EDGE_SPECS)

@@ -380,3 +380,60 @@ rf AS (
          o_orderdate + to_days(1) + to_hours(CAST(o_orderkey % 24 AS INTEGER)) + to_seconds(CAST(o_orderkey % 3600 AS INTEGER)) AS last_end
   FROM orders
 )"""
+
+
+# --------------------------------------------------------------------------- tenant scan
+def scan_workspaces_from_customers(customer: DataFrame) -> DataFrame:
+    """Scanned workspaces (the tenant-scan shape: one workspace per customer
+    with users, datasets -> tables -> columns/measures/sources, reports and
+    lakehouses as arrays of structs), built per row - no grouping."""
+    k, n = F.col("c_custkey"), F.col("c_nationkey")
+    ks, ns = k.cast("string"), n.cast("string")
+    cat = lambda *p: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in p])
+    created = cat("2023-", F.lpad((n % 12 + 1).cast("string"), 2, "0"), "-01T00:00:00")
+    right = F.when(k % 3 == 0, "Admin").when(k % 3 == 1, "Member").otherwise("Viewer")
+    ws_user = F.struct(cat("u", ks, "@x").alias("identifier"), cat("User ", ks).alias("displayName"),
+                       cat("u", ks, "@x").alias("emailAddress"), right.alias("groupUserAccessRight"),
+                       F.lit("User").alias("principalType"), F.lit("Member").alias("userType"), cat("g", ks).alias("graphId"))
+    table = F.struct(
+        cat("Sales", ns).alias("name"), (k % 2 == 0).alias("isHidden"), F.lit("Import").alias("storageMode"),
+        F.array(F.struct(F.lit("Amount").alias("name"), F.lit("Double").alias("dataType"), F.lit("Data").alias("columnType"),
+                         F.lit(False).alias("isHidden"), F.lit(None).cast("string").alias("expression")),
+                F.struct(cat("Key", ns).alias("name"), F.lit("Int64").alias("dataType"), F.lit("Data").alias("columnType"),
+                         F.lit(True).alias("isHidden"), F.lit(None).cast("string").alias("expression"))).alias("columns"),
+        F.array(F.struct(cat("Total ", ks).alias("name"), F.lit("SUM(Sales[Amount])").alias("expression"),
+                         F.lit(False).alias("isHidden"))).alias("measures"),
+        F.array(F.struct(cat("let x = ", ks).alias("expression"), F.lit(None).cast("string").alias("schemaName"))).alias("source"))
+    dataset = F.struct(
+        cat("sm-", ks).alias("id"), cat("Model ", ks).alias("name"), cat("owner", ns, "@x").alias("configuredById"),
+        created.alias("createdDate"),
+        F.when(k % 2 == 0, "PbixInImportMode").otherwise("InDirectQueryMode").alias("contentProviderType"),
+        F.lit("Abf").alias("targetStorageMode"),
+        F.array(F.struct(cat("ds-", (k % 100).cast("string")).alias("datasourceInstanceId"))).alias("datasourceUsages"),
+        F.array(table).alias("tables"),
+        F.array(F.struct(cat("u", ks, "@x").alias("identifier"), F.lit("ReadWrite").alias("datasetUserAccessRight"),
+                         F.lit("User").alias("principalType"))).alias("users"))
+    report = F.struct(
+        cat("rep-", ks).alias("id"), cat("Report ", ks).alias("name"), cat("sm-", ks).alias("datasetId"),
+        cat("ws-", ks).alias("datasetWorkspaceId"), F.lit("PowerBIReport").alias("reportType"),
+        created.alias("createdDateTime"), created.alias("modifiedDateTime"),
+        F.array(F.struct(cat("v", ks, "@x").alias("identifier"),
+                         F.when(k % 2 == 1, F.lit("Owner")).alias("reportUserAccessRight"),
+                         F.lit("Read").alias("artifactUserAccessRight"), F.lit("User").alias("principalType"))).alias("users"))
+    lake = F.struct(cat("lh-", ks).alias("id"), cat("LH ", ks).alias("name"), F.lit("").alias("description"),
+                    F.lit("Active").alias("state"), created.alias("createdDate"), cat("o", ns).alias("createdById"),
+                    F.array(F.struct(cat("w", ks, "@x").alias("identifier"),
+                                     F.lit("Read").alias("artifactUserAccessRight"))).alias("users"))
+    return customer.select(
+        cat("ws-", ks).alias("id"), F.col("c_name").alias("name"), F.lit("Workspace").alias("type"),
+        F.lit("Active").alias("state"), cat("cap-", ns).alias("capacityId"),
+        F.array(ws_user).alias("users"), F.array(dataset).alias("datasets"), F.array(report).alias("reports"),
+        F.filter(F.array(lake), lambda x: k % 4 == 0).alias("Lakehouse"))
+
+
+SCAN_SQL = """
+sc AS (
+  SELECT c_custkey AS k, c_nationkey AS n, c_name,
+         'ws-' || CAST(c_custkey AS VARCHAR) AS ws, '2023-' || lpad(CAST(c_nationkey % 12 + 1 AS VARCHAR), 2, '0') || '-01T00:00:00' AS created
+  FROM customer
+)"""

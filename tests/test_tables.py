@@ -114,7 +114,7 @@ def test_inventory_children_usages_users_metadata(spark, tmp_path):
         "LH1", "AB", "2024-03-04", "2024-03-04T01:02:03")
     assert ch["notebooks"].count() == 0
     us = T.build_datasource_usages(scan)
-    assert rows(us["semantic_model_datasources"]) == [("w1", "M1", "DS1")]
+    assert rows(us["semantic_model_datasources"]) == [("W1", "M1", "DS1")]
     assert rows(us["report_datasources"]) == [("R1", "DS1")]
     iu = T.build_item_users(scan)
     got = rows(iu, ["ItemId", "ItemType", "ItemName", "Identifier", "GraphId", "AccessRight", "PrincipalType"])
