@@ -1453,3 +1453,83 @@ SELECT upper('sm-' || CAST(k AS VARCHAR)), upper(ws), 'SemanticModel', upper('ds
 def q_scan_lineage_edges(spark, sf):
     """Lineage edges extracted from the nested scan by declarative specs."""
     return G.all_edges(_scan(spark, sf).select(F.array(F.struct("*")).alias("workspaces")), SCAN_EDGE_SPECS)
+
+
+# =========================================================================== small feeds
+from ..operators import tables as T  # noqa: E402
+from . import standins as SI  # noqa: E402
+
+
+@register("active_items", "T2, P4, P9, P8", sql="""
+SELECT upper(CASE WHEN p_partkey % 50 = 0 THEN '00000000-0000-0000-0000-000000000000' ELSE 'item-' || CAST(p_partkey AS VARCHAR) END) AS id,
+       p_name AS name, p_type AS type, 'Active' AS state, upper('ws-' || CAST(p_partkey % 30 AS VARCHAR)) AS workspaceId,
+       upper('cap-' || CAST(p_size % 7 AS VARCHAR)) AS capacityId, 'u' || CAST(p_size AS VARCHAR) || '@x' AS creatorUserPrincipalName
+FROM part WHERE p_partkey % 50 <> 0
+""")
+def q_active_items(spark, sf):
+    """Active items: upper-cased keys, creator promoted, duplicates and the zero id removed."""
+    t = T.build_active_items(SI.active_items_from_parts(load(spark, sf, "part")))
+    return t.drop("creatorPrincipal")
+
+
+@register("domains_flat", "T4", sql="""
+WITH d AS (
+  SELECT DISTINCT upper('dom-' || lower(c_mktsegment)) AS DomainId, c_mktsegment AS DomainName, CAST(NULL AS VARCHAR) AS ParentDomainId,
+         'AllTenant' AS DomainContributorsScope FROM customer
+  UNION ALL
+  SELECT upper('dom-c' || CAST(c_custkey AS VARCHAR)), c_name, upper('dom-' || lower(c_mktsegment)), 'AdminsOnly' FROM customer)
+SELECT g.DomainId, g.DomainContributorsScope, g.DomainName AS OriginalDomainName, g.ParentDomainId AS OriginalParentDomainId,
+       CASE WHEN g.ParentDomainId IS NULL THEN g.DomainName ELSE md.DomainName END AS MainDomainName,
+       CASE WHEN g.ParentDomainId IS NOT NULL THEN g.DomainName ELSE 'Without Subdomain' END AS SubDomainName,
+       CASE WHEN g.ParentDomainId IS NOT NULL THEN 1 ELSE 0 END AS IsSubDomain
+FROM d g LEFT JOIN d md ON g.ParentDomainId = md.DomainId
+""")
+def q_domains_flat(spark, sf):
+    """Domains flattened against their parent domain."""
+    return T.build_domains(T.build_domains_silver(SI.domains_from_customers(load(spark, sf, "customer"))))
+
+
+@register("capacity_users", "T5", sql="""
+SELECT upper('cap-' || CAST(s_suppkey AS VARCHAR)) AS CapacityId, 'Admin' AS role, s_name AS "user" FROM supplier
+UNION ALL SELECT upper('cap-' || CAST(s_suppkey AS VARCHAR)), 'Contributor', 'u' || CAST(s_nationkey AS VARCHAR) || '@x' FROM supplier
+UNION ALL SELECT upper('cap-' || CAST(s_suppkey AS VARCHAR)), 'Contributor', 'v' || CAST(s_suppkey % 13 AS VARCHAR) || '@x' FROM supplier
+""")
+def q_capacity_users(spark, sf):
+    """Capacity admins and users, one row each."""
+    return T.build_capacity_users(SI.capacities_from_suppliers(load(spark, sf, "supplier")))
+
+
+@register("tenant_setting_groups", "T6", sql="""
+SELECT 'Setting' || CAST(c_custkey AS VARCHAR) AS settingName, TIMESTAMP '2024-01-30 06:00:00' AS TransferDateTime,
+       'g' || CAST(c_nationkey AS VARCHAR) AS graphId, 'Group ' || CAST(c_nationkey AS VARCHAR) AS name FROM customer
+UNION ALL
+SELECT 'Setting' || CAST(c_custkey AS VARCHAR), TIMESTAMP '2024-01-30 06:00:00', 'h' || CAST(c_custkey % 3 AS VARCHAR),
+       'Team ' || CAST(c_custkey % 3 AS VARCHAR) FROM customer
+""")
+def q_tenant_setting_groups(spark, sf):
+    """Enabled security groups per tenant-setting snapshot."""
+    return T.build_enabled_security_groups(SI.tenant_settings_from_customers(load(spark, sf, "customer")))
+
+
+@register("delegated_overrides", "T7", sql="""
+SELECT 'cap-' || CAST(s_suppkey AS VARCHAR) AS OverrideId, 'cap-' || CAST(s_suppkey AS VARCHAR) AS CapacityId,
+       'Export' AS tenantSettingGroup, 'Export to Excel' AS title, 'Tenant' AS delegatedFrom, 'ExportToExcel' AS settingName,
+       s_acctbal > 0 AS enabled, true AS canSpecifySecurityGroups FROM supplier
+UNION ALL
+SELECT 'cap-' || CAST(s_suppkey AS VARCHAR), 'cap-' || CAST(s_suppkey AS VARCHAR), 'Publish', 'Publish to web', 'Tenant',
+       'PublishToWeb', s_nationkey % 2 = 0, true FROM supplier
+""")
+def q_delegated_overrides(spark, sf):
+    """Delegated tenant-setting overrides, two-level explode."""
+    return T.build_delegated_overrides(SI.overrides_from_suppliers(load(spark, sf, "supplier")))
+
+
+@register("widely_shared_items", "T9, P4, P2", sql="""
+SELECT c_name AS item_displayName, 'Report' AS artifactType, 'View' AS accessRight, 'PublishToWeb' AS shareType,
+       'Sharer ' || CAST(c_nationkey AS VARCHAR) AS sharer_displayName, 's' || CAST(c_nationkey AS VARCHAR) || '@x' AS sharer_emailAddress,
+       'g' || CAST(c_nationkey AS VARCHAR) AS sharer_graphId, 's' || CAST(c_nationkey AS VARCHAR) || '@x' AS sharer_identifier,
+       'User' AS sharer_principalType, upper('art-' || CAST(c_custkey AS VARCHAR)) AS ItemId FROM customer
+""")
+def q_widely_shared_items(spark, sf):
+    """Widely-shared artifacts with the sharer promoted."""
+    return T.build_widely_shared(SI.shared_items_from_customers(load(spark, sf, "customer")))

@@ -437,3 +437,71 @@ sc AS (
          'ws-' || CAST(c_custkey AS VARCHAR) AS ws, '2023-' || lpad(CAST(c_nationkey % 12 + 1 AS VARCHAR), 2, '0') || '-01T00:00:00' AS created
   FROM customer
 )"""
+
+
+# --------------------------------------------------------------------------- small feeds
+def _cat(*p):
+    return F.concat(*[F.lit(x) if isinstance(x, str) else x.cast("string") for x in p])
+
+
+def active_items_from_parts(part: DataFrame) -> DataFrame:
+    """Active-item records (one per part; every 50th carries the all-zero id)."""
+    k = F.col("p_partkey")
+    return part.select(
+        F.when(k % 50 == 0, F.lit("00000000-0000-0000-0000-000000000000")).otherwise(_cat("item-", k)).alias("id"),
+        F.col("p_name").alias("name"), F.col("p_type").alias("type"), F.lit("Active").alias("state"),
+        _cat("ws-", k % 30).alias("workspaceId"), _cat("cap-", F.col("p_size") % 7).alias("capacityId"),
+        F.struct(F.struct(_cat("u", F.col("p_size"), "@x").alias("userPrincipalName")).alias("userDetails"))
+         .alias("creatorPrincipal"))
+
+
+def domains_from_customers(customer: DataFrame) -> DataFrame:
+    """Domain records: one main domain per market segment, one sub-domain per customer."""
+    main = customer.select(_cat("dom-", F.lower("c_mktsegment")).alias("id"), F.col("c_mktsegment").alias("displayName"),
+                           F.lit(None).cast("string").alias("parentDomainId"),
+                           F.lit("AllTenant").alias("contributorsScope")).distinct()
+    sub = customer.select(_cat("dom-c", F.col("c_custkey")).alias("id"), F.col("c_name").alias("displayName"),
+                          _cat("dom-", F.lower("c_mktsegment")).alias("parentDomainId"),
+                          F.lit("AdminsOnly").alias("contributorsScope"))
+    return main.unionByName(sub)
+
+
+def capacities_from_suppliers(supplier: DataFrame) -> DataFrame:
+    """Capacity records with admin and user arrays (one per supplier)."""
+    k = F.col("s_suppkey")
+    return supplier.select(_cat("cap-", k).alias("id"), F.col("s_name").alias("displayName"),
+                           F.array(F.col("s_name")).alias("admins"),
+                           F.array(_cat("u", F.col("s_nationkey"), "@x"), _cat("v", k % 13, "@x")).alias("users"))
+
+
+def tenant_settings_from_customers(customer: DataFrame) -> DataFrame:
+    """Tenant-setting snapshot rows with enabled security groups."""
+    k, n = F.col("c_custkey"), F.col("c_nationkey")
+    return customer.select(
+        _cat("Setting", k).alias("settingName"), F.lit("2024-01-30 06:00:00").cast("timestamp").alias("TransferDateTime"),
+        (F.col("c_acctbal") > 0).alias("enabled"),
+        F.array(F.struct(_cat("g", n).alias("graphId"), _cat("Group ", n).alias("name")),
+                F.struct(_cat("h", k % 3).alias("graphId"), _cat("Team ", k % 3).alias("name"))).alias("enabledSecurityGroups"))
+
+
+def overrides_from_suppliers(supplier: DataFrame) -> DataFrame:
+    """Delegated-override records: two capacity-level settings per supplier."""
+    def setting(group, title, name, enabled):
+        return F.struct(F.lit(group).alias("tenantSettingGroup"), F.lit(title).alias("title"),
+                        F.lit("Tenant").alias("delegatedFrom"), F.lit(name).alias("settingName"),
+                        enabled.alias("enabled"), F.lit(True).alias("canSpecifySecurityGroups"))
+    return supplier.select(_cat("cap-", F.col("s_suppkey")).alias("id"),
+                           F.array(setting("Export", "Export to Excel", "ExportToExcel", F.col("s_acctbal") > 0),
+                                   setting("Publish", "Publish to web", "PublishToWeb", F.col("s_nationkey") % 2 == 0))
+                           .alias("tenantSettings"))
+
+
+def shared_items_from_customers(customer: DataFrame) -> DataFrame:
+    """Widely-shared artifact records with a nested sharer."""
+    n = F.col("c_nationkey")
+    return customer.select(
+        _cat("art-", F.col("c_custkey")).alias("artifactId"), F.col("c_name").alias("displayName"),
+        F.lit("Report").alias("artifactType"), F.lit("View").alias("accessRight"), F.lit("PublishToWeb").alias("shareType"),
+        F.struct(_cat("Sharer ", n).alias("displayName"), _cat("s", n, "@x").alias("emailAddress"),
+                 _cat("g", n).alias("graphId"), _cat("s", n, "@x").alias("identifier"),
+                 F.lit("User").alias("principalType")).alias("sharer"))
