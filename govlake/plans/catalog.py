@@ -1533,3 +1533,152 @@ SELECT c_name AS item_displayName, 'Report' AS artifactType, 'View' AS accessRig
 def q_widely_shared_items(spark, sf):
     """Widely-shared artifacts with the sharer promoted."""
     return T.build_widely_shared(SI.shared_items_from_customers(load(spark, sf, "customer")))
+
+
+# =========================================================================== gateway logs
+def _qe(spark, sf):
+    return T.build_query_execution(SI.query_execution_logs_from_lineitem(load(spark, sf, "lineitem")))
+
+
+def _qs(spark, sf):
+    return T.build_query_start(SI.query_start_logs_from_lineitem(load(spark, sf, "lineitem")))
+
+
+@register("gateway_query_execution", "T15, P10, P13, S5", sql=with_(SI.QUERY_EXECUTION_SQL) + """
+SELECT RequestId, QueryTrackingId, kind AS "DataSource.kind", path AS "DataSource.path", qdur AS "QueryExecutionDuration(ms)",
+       end_ts AS QueryExecutionEndTimeUTC, CAST(end_ts AS DATE) AS QueryExecutionEndDate, RequestId || QueryTrackingId AS RequestTrackingKey,
+       CASE WHEN Success = 'Y' THEN 'Success' WHEN Success = 'N' THEN 'Error' ELSE 'N/A' END AS SuccessStatus
+FROM qe
+""")
+def q_gateway_query_execution(spark, sf):
+    """Query-execution fact: one row per request x data source (JSON list parsed, kind/path fallbacks)."""
+    return _qe(spark, sf).select("RequestId", "QueryTrackingId", "`DataSource.kind`", "`DataSource.path`",
+                                 "`QueryExecutionDuration(ms)`", "QueryExecutionEndTimeUTC", "QueryExecutionEndDate",
+                                 "RequestTrackingKey", "SuccessStatus")
+
+
+@register("gateway_durations", "A32", sql=with_(SI.QUERY_EXECUTION_SQL) + """
+SELECT GatewayObjectId,
+  sum(qdur) / 1000.0 AS "sum_QueryExecutionDuration(ms)", max(qdur) / 1000.0 AS "max_QueryExecutionDuration(ms)",
+  avg(qdur) / 1000.0 AS "avg_QueryExecutionDuration(ms)",
+  sum(pdur) / 1000.0 AS "sum_DataProcessingDuration(ms)", max(pdur) / 1000.0 AS "max_DataProcessingDuration(ms)",
+  avg(pdur) / 1000.0 AS "avg_DataProcessingDuration(ms)",
+  sum(rdur) / 1000.0 AS "sum_DataReadingAndSerializationDuration(ms)", max(rdur) / 1000.0 AS "max_DataReadingAndSerializationDuration(ms)",
+  avg(rdur) / 1000.0 AS "avg_DataReadingAndSerializationDuration(ms)", count(*) AS rows
+FROM qe GROUP BY 1
+""")
+def q_gateway_durations(spark, sf):
+    """Query, processing and serialisation times per gateway (seconds)."""
+    cols = ["QueryExecutionDuration(ms)", "DataProcessingDuration(ms)", "DataReadingAndSerializationDuration(ms)"]
+    qe = _qe(spark, sf).select("GatewayObjectId", *[F.col(f"`{c}`").alias(c) for c in cols])
+    return A.time_measures(qe, [f"`{c}`" for c in cols], by=["GatewayObjectId"], unit="seconds") \
+        .toDF("GatewayObjectId", *[f"{a}_{c}" for c in cols for a in ("sum", "max", "avg")], "rows")
+
+
+@register("gateway_success", "A34", sql=with_(SI.QUERY_EXECUTION_SQL) + """
+SELECT GatewayObjectId, count(DISTINCT RequestId) AS requests,
+       count(DISTINCT CASE WHEN NOT Success = 'Y' THEN RequestId END) AS failed_requests,
+       CAST(count(DISTINCT CASE WHEN Success = 'Y' THEN RequestId END) AS DOUBLE) / count(DISTINCT RequestId) AS success_ratio
+FROM qe GROUP BY 1
+""")
+def q_gateway_success(spark, sf):
+    """Distinct and failed requests and the success ratio per gateway."""
+    return A.success_ratio(_qe(spark, sf), "RequestId", "Success", "Y", by=["GatewayObjectId"])
+
+
+@register("gateway_query_texts", "T17, P17", sql=with_(SI.QUERY_START_SQL) + """
+SELECT RequestId, QueryTrackingId, RequestId || QueryTrackingId AS RequestTrackingKey,
+       'SELECT * FROM t' || CAST(pk AS VARCHAR) || ' WHERE q > ' || CAST(ln AS VARCHAR) AS QueryText FROM qs
+""")
+def q_gateway_query_texts(spark, sf):
+    """Query texts decoded from base64 (code page 1252), line breaks as spaces."""
+    return _qs(spark, sf)["texts"]
+
+
+@register("gateway_evaluation_context", "T18", sql=with_(SI.QUERY_START_SQL) + """
+SELECT GatewayObjectId, RequestId, QueryTrackingId, RequestId || QueryTrackingId AS RequestTrackingKey, 'svc' AS serviceName,
+       'DatasetId' AS key, 'm' || CAST(pk % 50 AS VARCHAR) AS value FROM qs
+UNION ALL SELECT GatewayObjectId, RequestId, QueryTrackingId, RequestId || QueryTrackingId, 'svc', 'WorkspaceId',
+       'w' || CAST(sk % 10 AS VARCHAR) FROM qs
+UNION ALL SELECT GatewayObjectId, RequestId, QueryTrackingId, RequestId || QueryTrackingId, 'svc', 'HostContextType',
+       CASE WHEN ln % 2 = 0 THEN 'Refresh' ELSE 'Query' END FROM qs
+""")
+def q_gateway_evaluation_context(spark, sf):
+    """Evaluation context: (service, key, value) per request, application context excluded."""
+    return _qs(spark, sf)["evaluation_context"]
+
+
+@register("gateway_application_context", "T19", sql=with_(SI.QUERY_START_SQL) + """
+SELECT GatewayObjectId, RequestId, QueryTrackingId, RequestId || QueryTrackingId AS RequestTrackingKey, 'svc' AS serviceName,
+       'ApplicationContext' AS key, 'm' || CAST(pk % 50 AS VARCHAR) AS SemanticModelId, 'r' || CAST(pk % 20 AS VARCHAR) AS ReportId,
+       'v' || CAST(ln AS VARCHAR) AS VisualId, 'Web' AS ConsumptionMethod, 's' || CAST(ok % 100 AS VARCHAR) AS UserSession FROM qs
+""")
+def q_gateway_application_context(spark, sf):
+    """Application context: report, visual, consumption method and session per request."""
+    return _qs(spark, sf)["application_context"]
+
+
+@register("gateway_service_mapping", "T20", sql=with_(SI.QUERY_START_SQL) + """
+SELECT RequestId, max('m' || CAST(pk % 50 AS VARCHAR)) AS DatasetId, max('w' || CAST(sk % 10 AS VARCHAR)) AS WorkspaceId
+FROM qs GROUP BY 1
+""")
+def q_gateway_service_mapping(spark, sf):
+    """Context keys pivoted to columns per request (repeated keys keep the greatest value)."""
+    return _qs(spark, sf)["service_mapping"]
+
+
+@register("gateway_request_context", "A36", sql=with_(SI.QUERY_START_SQL) + """
+SELECT RequestId, max('w' || CAST(sk % 10 AS VARCHAR)) AS RefreshWorkspaceId, min('m' || CAST(pk % 50 AS VARCHAR)) AS SemanticModelId
+FROM qs GROUP BY 1
+""")
+def q_gateway_request_context(spark, sf):
+    """Refresh workspace id (greatest) and model id (least) per request."""
+    return A.request_context_values(_qs(spark, sf)["evaluation_context"])
+
+
+@register("gateway_mashup", "T21, P15", sql="""
+SELECT 'r' || CAST(l_orderkey AS VARCHAR) AS RequestId, 't' || CAST(l_linenumber AS VARCHAR) AS QueryTrackingId,
+       CAST(CAST(l_quantity AS BIGINT) + l_linenumber AS DOUBLE) AS TotalRowsSum, CAST(l_shipdate AS DATE) AS EndDate,
+       'r' || CAST(l_orderkey AS VARCHAR) || 't' || CAST(l_linenumber AS VARCHAR) AS RequestTrackingKey,
+       CAST(l_partkey * 10 AS BIGINT) AS TotalBytes, CAST(trunc(l_quantity * 11) AS BIGINT) AS "TotalProcessorTime(ms)"
+FROM lineitem
+""")
+def q_gateway_mashup(spark, sf):
+    """Mashup evaluation fact: number-list rows summed, end date, key."""
+    m = T.build_mashup_evaluation(SI.mashup_logs_from_lineitem(load(spark, sf, "lineitem")))
+    return m.select("RequestId", "QueryTrackingId", "TotalRowsSum", "EndDate", "RequestTrackingKey", "TotalBytes",
+                    "`TotalProcessorTime(ms)`")
+
+
+@register("gateway_mashup_by_date", "A35, T21", sql=with_(SI.QUERY_EXECUTION_SQL) + """
+, m AS (SELECT CAST(l_shipdate AS DATE) AS EndDate, l_suppkey * 100 AS ac, l_suppkey * 130 AS mc, l_partkey * 100 AS aw,
+               l_partkey * 150 AS mw, CAST(round(l_discount * 100) AS BIGINT) AS ap, CAST(round(l_tax * 100) + 50 AS BIGINT) AS mp,
+               CAST(trunc(l_quantity * 11) AS BIGINT) AS tp, CAST(CAST(l_quantity AS BIGINT) + l_linenumber AS DOUBLE) AS tr FROM lineitem),
+ma AS (SELECT EndDate, avg(ac) AS avg_commit, max(mc) AS max_commit, avg(aw) AS avg_working_set, avg(mw) AS max_working_set_avg,
+              avg(ap) AS avg_processor_pct, max(CAST(mp AS DOUBLE)) AS max_processor_pct, CAST(sum(tp) AS BIGINT) AS total_processor_ms,
+              sum(tr) AS total_rows FROM m GROUP BY 1),
+e AS (SELECT CAST(end_ts AS DATE) AS EndDate, count(DISTINCT RequestId) AS requests FROM qe GROUP BY 1)
+SELECT ma.*, e.requests FROM ma LEFT JOIN e USING (EndDate)
+""")
+def q_gateway_mashup_by_date(spark, sf):
+    """Mashup measures per end date with the requests executed that day."""
+    m = T.build_mashup_evaluation(SI.mashup_logs_from_lineitem(load(spark, sf, "lineitem")))
+    m = m.withColumns({c: F.col(f"`{c}`").cast("long") for c in ("AverageCommit(byte)", "MaxCommit(byte)",
+                                                                 "AverageWorkingSet(byte)", "MaxWorkingSet(byte)",
+                                                                 "AveragePercentProcessorTime")})
+    m = m.withColumn("MaxPercentProcessorTime", F.col("MaxPercentProcessorTime").cast("double"))
+    return A.mashup_by_end_date(m, _qe(spark, sf))
+
+
+@register("gateway_counters", "T21, A33", sql="""
+SELECT CAST(l_shipdate + INTERVAL 1 HOUR AS DATE) AS AggregationEndDate,
+  avg(CASE WHEN l_linenumber % 3 = 0 THEN l_quantity / 2 END) * 100.0 AS cpu,
+  avg(CASE WHEN l_linenumber % 3 = 1 THEN l_quantity / 2 END) * 1.0 AS memory,
+  avg(CASE WHEN l_linenumber % 3 = 2 THEN l_quantity / 2 END) * 1.0 AS threads
+FROM lineitem GROUP BY 1
+""")
+def q_gateway_counters(spark, sf):
+    """System counters per day: average CPU (x100), memory and threads."""
+    c = T.build_system_counters(SI.counter_logs_from_lineitem(load(spark, sf, "lineitem")))
+    return A.counter_averages(c, "CounterName", "Average", {"cpu": "CPU", "memory": "Memory", "threads": "Threads"},
+                              by=["AggregationEndDate"], scale={"cpu": 100.0})

@@ -505,3 +505,115 @@ def shared_items_from_customers(customer: DataFrame) -> DataFrame:
         F.struct(_cat("Sharer ", n).alias("displayName"), _cat("s", n, "@x").alias("emailAddress"),
                  _cat("g", n).alias("graphId"), _cat("s", n, "@x").alias("identifier"),
                  F.lit("User").alias("principalType")).alias("sharer"))
+
+
+# --------------------------------------------------------------------------- gateway logs
+def _ts_text(c):
+    return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
+
+
+def query_execution_logs_from_lineitem(lineitem: DataFrame) -> DataFrame:
+    """Gateway query-execution log rows (all text, as the log reader returns
+    them), one per line item; the DataSource column is a JSON list of JSON
+    object texts (one or two sources, or broken text)."""
+    ln, sk, pk = F.col("l_linenumber"), F.col("l_suppkey"), F.col("l_partkey")
+    src_sql = _cat('{"kind":"Sql","path":"srv', sk, ';db"}')
+    src_web = _cat('{"ConnectorType":"Web","url":"http://p', pk, '","mode":"x"}')
+    src_file = _cat('{"kind":"File","path":"/f', pk, '"}')
+    lst = lambda *xs: F.to_json(F.array(*xs))
+    ds = (F.when(ln == 7, F.lit("broken"))
+          .when(ln % 3 == 0, lst(src_sql)).when(ln % 3 == 1, lst(src_web)).otherwise(lst(src_file, src_sql)))
+    end = F.col("l_shipdate") + F.make_dt_interval(F.lit(0), (F.col("l_orderkey") % 24).cast("int"))
+    return lineitem.select(
+        _cat("gw-", sk % 5).alias("GatewayObjectId"), _cat("r", F.col("l_orderkey")).alias("RequestId"),
+        ds.alias("DataSource"), _cat("t", ln).alias("QueryTrackingId"),
+        _ts_text(end).alias("QueryExecutionEndTimeUTC"),
+        (F.col("l_quantity") * 100).cast("long").cast("string").alias("QueryExecutionDuration(ms)"),
+        F.lit("Query").alias("QueryType"),
+        (F.col("l_extendedprice") / 10).cast("long").cast("string").alias("DataReadingAndSerializationDuration(ms)"),
+        (pk % 97).cast("string").alias("SpoolingDiskWritingDuration(ms)"),
+        (pk % 89).cast("string").alias("SpoolingDiskReadingDuration(ms)"),
+        (pk * 1024).cast("string").alias("SpoolingTotalDataSize(byte)"),
+        _ts_text(end).alias("DataProcessingEndTimeUTC"),
+        (F.col("l_quantity") * 7).cast("long").cast("string").alias("DataProcessingDuration(ms)"),
+        F.when(F.col("l_returnflag") == "R", F.lit("N")).otherwise(F.lit("Y")).alias("Success"),
+        F.when(F.col("l_returnflag") == "R", _cat("timeout on p", pk)).alias("ErrorMessage"))
+
+
+QUERY_EXECUTION_SQL = """
+qe_base AS (
+  SELECT 'gw-' || CAST(l_suppkey % 5 AS VARCHAR) AS GatewayObjectId, 'r' || CAST(l_orderkey AS VARCHAR) AS RequestId,
+         't' || CAST(l_linenumber AS VARCHAR) AS QueryTrackingId, l_linenumber AS ln, l_suppkey AS sk, l_partkey AS pk,
+         l_shipdate + to_hours(CAST(l_orderkey % 24 AS INTEGER)) AS end_ts,
+         CAST(trunc(l_quantity * 100) AS BIGINT) AS qdur, CAST(trunc(l_extendedprice / 10) AS BIGINT) AS rdur,
+         CAST(l_partkey % 97 AS BIGINT) AS wdur, CAST(l_partkey % 89 AS BIGINT) AS sdur, CAST(l_partkey * 1024 AS BIGINT) AS bytes,
+         CAST(trunc(l_quantity * 7) AS BIGINT) AS pdur,
+         CASE WHEN l_returnflag = 'R' THEN 'N' ELSE 'Y' END AS Success
+  FROM lineitem),
+qe AS (
+  SELECT *, 'Sql' AS kind, 'srv' || CAST(sk AS VARCHAR) || ';db' AS path FROM qe_base WHERE ln <> 7 AND ln % 3 = 0
+  UNION ALL SELECT *, 'Web', 'http://p' || CAST(pk AS VARCHAR) || ';x' FROM qe_base WHERE ln <> 7 AND ln % 3 = 1
+  UNION ALL SELECT *, 'File', '/f' || CAST(pk AS VARCHAR) FROM qe_base WHERE ln <> 7 AND ln % 3 = 2
+  UNION ALL SELECT *, 'Sql', 'srv' || CAST(sk AS VARCHAR) || ';db' FROM qe_base WHERE ln <> 7 AND ln % 3 = 2)"""
+
+
+def query_start_logs_from_lineitem(lineitem: DataFrame) -> DataFrame:
+    """Gateway query-start log rows: base64 query text and a JSON evaluation
+    context whose ApplicationContext value is itself JSON text."""
+    ln, sk, pk, ok = F.col("l_linenumber"), F.col("l_suppkey"), F.col("l_partkey"), F.col("l_orderkey")
+    text = _cat("SELECT * FROM t", pk, "\nWHERE q > ", ln)
+    app = F.to_json(F.struct(_cat("m", pk % 50).alias("DatasetId"),
+                             F.array(F.struct(_cat("r", pk % 20).alias("ReportId"), _cat("v", ln).alias("VisualId"),
+                                              F.struct(F.lit("Web").alias("ConsumptionMethod"),
+                                                       _cat("s", ok % 100).alias("UserSession")).alias("HostProperties")))
+                             .alias("Sources")))
+    kv = lambda k, v: F.struct(F.lit(k).alias("key"), v.alias("value"))
+    ctx = F.to_json(F.struct(F.array(F.struct(
+        F.lit("svc").alias("serviceName"),
+        F.array(kv("DatasetId", _cat("m", pk % 50)), kv("WorkspaceId", _cat("w", sk % 10)),
+                kv("HostContextType", F.when(ln % 2 == 0, F.lit("Refresh")).otherwise(F.lit("Query"))),
+                kv("ApplicationContext", app)).alias("traceIds"))).alias("serviceTraceContexts")))
+    start = F.col("l_shipdate") + F.make_dt_interval(F.lit(0), (ok % 24).cast("int"))
+    return lineitem.select(
+        _cat("gw-", sk % 5).alias("GatewayObjectId"), _cat("r", ok).alias("RequestId"), _cat("t", ln).alias("QueryTrackingId"),
+        F.lit("[]").alias("DataSource"), _ts_text(start).alias("QueryExecutionStartTimeUTC"), F.lit("Query").alias("QueryType"),
+        F.base64(F.encode(text, "UTF-8")).alias("QueryText"), ctx.alias("EvaluationContext"))
+
+
+QUERY_START_SQL = """
+qs AS (
+  SELECT 'gw-' || CAST(l_suppkey % 5 AS VARCHAR) AS GatewayObjectId, 'r' || CAST(l_orderkey AS VARCHAR) AS RequestId,
+         't' || CAST(l_linenumber AS VARCHAR) AS QueryTrackingId, l_linenumber AS ln, l_suppkey AS sk, l_partkey AS pk,
+         l_orderkey AS ok, l_shipdate + to_hours(CAST(l_orderkey % 24 AS INTEGER)) AS start_ts
+  FROM lineitem)"""
+
+
+def mashup_logs_from_lineitem(lineitem: DataFrame) -> DataFrame:
+    """Gateway mashup-evaluation log rows with a number-list TotalRows text."""
+    ln, ok = F.col("l_linenumber"), F.col("l_orderkey")
+    return lineitem.select(
+        _cat("gw-", F.col("l_suppkey") % 5).alias("GatewayObjectId"), _cat("c", ok % 7).alias("ConnectionId"),
+        _cat("r", ok).alias("RequestId"), _cat("t", ln).alias("QueryTrackingId"), F.lit("[]").alias("DataSource"),
+        _cat("[", F.col("l_quantity").cast("long"), ",", ln, "]").alias("TotalRows"),
+        (F.col("l_partkey") * 10).cast("string").alias("TotalBytes"),
+        (F.col("l_quantity") * 11).cast("long").cast("string").alias("TotalProcessorTime(ms)"),
+        _ts_text(F.col("l_shipdate")).alias("EndTimeUTC"),
+        (F.col("l_partkey") * 100).cast("string").alias("AverageWorkingSet(byte)"),
+        (F.col("l_partkey") * 150).cast("string").alias("MaxWorkingSet(byte)"),
+        (F.col("l_suppkey") * 100).cast("string").alias("AverageCommit(byte)"),
+        (F.col("l_suppkey") * 130).cast("string").alias("MaxCommit(byte)"),
+        F.round(F.col("l_discount") * 100).cast("long").cast("string").alias("AveragePercentProcessorTime"),
+        (F.round(F.col("l_tax") * 100) + 50).cast("long").cast("string").alias("MaxPercentProcessorTime"),
+        F.lit("0").alias("AverageIODataBytesPerSecond"), F.lit("0").alias("MaxIODataBytesPerSecond"))
+
+
+def counter_logs_from_lineitem(lineitem: DataFrame) -> DataFrame:
+    """Gateway system-counter log rows (one counter reading per line item)."""
+    ln = F.col("l_linenumber")
+    name = F.when(ln % 3 == 0, F.lit("CPU")).when(ln % 3 == 1, F.lit("Memory")).otherwise(F.lit("Threads"))
+    st = F.col("l_shipdate")
+    return lineitem.select(
+        _cat("gw-", F.col("l_suppkey") % 5).alias("GatewayObjectId"), _ts_text(st).alias("AggregationStartTimeUTC"),
+        _ts_text(st + F.make_dt_interval(F.lit(0), F.lit(1))).alias("AggregationEndTimeUTC"), name.alias("CounterName"),
+        (F.col("l_quantity") + 1).cast("string").alias("Max"), F.col("l_discount").cast("string").alias("Min"),
+        (F.col("l_quantity") / 2).cast("string").alias("Average"))
