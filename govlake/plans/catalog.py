@@ -1682,3 +1682,76 @@ def q_gateway_counters(spark, sf):
     c = T.build_system_counters(SI.counter_logs_from_lineitem(load(spark, sf, "lineitem")))
     return A.counter_averages(c, "CounterName", "Average", {"cpu": "CPU", "memory": "Memory", "threads": "Threads"},
                               by=["AggregationEndDate"], scale={"cpu": 100.0})
+
+
+# =========================================================================== T3, T16, T24, T27, A29
+@register("workspaces_with_domains", "T3, P3, M6", sql="""
+SELECT upper('cap-' || CAST(c.c_nationkey AS VARCHAR)) AS CapacityId, upper('ws-' || CAST(c.c_custkey AS VARCHAR)) AS WorkspaceId,
+       'Completed' AS CapacityMigrationStatus, CASE WHEN c.c_custkey % 2 = 0 THEN 'Small' ELSE 'Large' END AS DefaultDatasetStorageFormat,
+       '' AS Description, c.c_custkey % 5 = 0 AS HasWorkspaceLevelSettings, c.c_acctbal > 5000 AS IsOnDedicatedCapacity,
+       false AS IsReadOnly, c.c_name AS WorkspaceName, CASE WHEN c.c_acctbal < 0 THEN 'Deleted' ELSE 'Active' END AS State,
+       'Workspace' AS Type,
+       CASE WHEN c.c_custkey % 3 = 0 THEN upper('dom-' || lower(c.c_mktsegment)) END AS DomainId
+FROM customer c
+""")
+def q_workspaces_with_domains(spark, sf):
+    """Workspaces projected with defaults (missing description -> ''), keys upper-cased, domain attached."""
+    c = load(spark, sf, "customer")
+    return T.build_workspaces(SI.workspaces_from_customers(c), SI.workspace_domains_from_customers(c))
+
+
+@register("gateway_aggregations", "T16", sql="""
+SELECT DISTINCT 'gw-' || CAST(l_suppkey % 5 AS VARCHAR) AS GatewayObjectId, l_shipdate AS AggregationStartTimeUTC,
+       l_shipdate + INTERVAL 1 HOUR AS AggregationEndTimeUTC, CASE WHEN l_returnflag = 'R' THEN 'N' ELSE 'Y' END AS Success,
+       CAST(l_linenumber * 100 AS BIGINT) AS "AverageQueryExecutionDuration(ms)", CAST(l_linenumber AS BIGINT) AS Count,
+       'Sql' AS "DataSource.kind", 'srv' || CAST(l_suppkey % 3 AS VARCHAR) || ';db' AS "DataSource.path",
+       CAST(l_shipdate + INTERVAL 1 HOUR AS DATE) AS AggregationEndDate
+FROM lineitem
+""")
+def q_gateway_aggregations(spark, sf):
+    """Aggregation-report fact: data sources parsed, values typed, duplicate rows removed."""
+    a = T.build_query_execution_aggregation(SI.aggregation_logs_from_lineitem(load(spark, sf, "lineitem")))
+    return a.select("GatewayObjectId", "AggregationStartTimeUTC", "AggregationEndTimeUTC", "Success",
+                    "`AverageQueryExecutionDuration(ms)`", "Count", "`DataSource.kind`", "`DataSource.path`",
+                    "AggregationEndDate").distinct()
+
+
+@register("model_query_list", "T24, U2", sql=with_(SCAN_SQL) + """
+SELECT DISTINCT 'Total ' || CAST(k AS VARCHAR) AS Name, 'Expression' AS Kind, 'SUM(Sales[Amount])' AS Expression,
+       'expressions' AS Source FROM sc
+UNION
+SELECT DISTINCT 'Sales' || CAST(n AS VARCHAR), 'Partition', 'let x = ' || CAST(k AS VARCHAR), 'partitions' FROM sc
+""")
+def q_model_query_list(spark, sf):
+    """Queries of the models: expressions and partition queries in one shape (distinct)."""
+    md = build_semantic_model_metadata(_scan(spark, sf))
+    exprs = md["measures"].select(F.col("MeasureName").alias("Name"), "Expression")
+    parts = md["partitions"].join(md["tables"].select("TableId", "TableName"), "TableId") \
+        .select(F.col("TableName").alias("Name"), F.col("Expression").alias("QueryDefinition"))
+    return T.build_query_list(exprs, parts)
+
+
+@register("archive_candidates", "T27, W6", sql="""
+WITH i AS (SELECT upper('item-' || CAST(p_partkey AS VARCHAR)) AS id, p_name AS name, p_type AS type,
+                  upper('ws-' || CAST(p_partkey % 30 AS VARCHAR)) AS workspaceId
+           FROM part WHERE p_partkey % 50 <> 0 AND p_type = 'STANDARD'),
+w AS (SELECT DISTINCT upper('ws-' || CAST(p_partkey % 30 AS VARCHAR)) AS workspaceId,
+             'Workspace ' || CAST(p_partkey % 30 AS VARCHAR) AS WorkspaceName FROM part)
+SELECT i.workspaceId, i.id, i.name, i.type, w.WorkspaceName FROM i LEFT JOIN w USING (workspaceId)
+WHERE w.WorkspaceName LIKE '%1%'
+""")
+def q_archive_candidates(spark, sf):
+    """Live items of one type in workspaces whose name matches, with the workspace name, ordered."""
+    p = load(spark, sf, "part")
+    items = T.build_active_items(SI.active_items_from_parts(p)).select("workspaceId", "id", "name", "type")
+    ws = p.select(F.upper(SI._cat("ws-", F.col("p_partkey") % 30)).alias("WorkspaceId"),
+                  SI._cat("Workspace ", F.col("p_partkey") % 30).alias("WorkspaceName")).distinct()
+    return T.build_archive_candidates(items, ws, "STANDARD", "1")
+
+
+@register("document_coverage", "A29", sql="""
+SELECT lang, CAST(count(nullif(trim(text), '')) AS DOUBLE) / count(*) AS documented_ratio FROM documents GROUP BY 1
+""")
+def q_document_coverage(spark, sf):
+    """Share of documents with non-blank text per language (documentation ratio)."""
+    return A.documentation_ratio(load(spark, sf, "documents"), "text", by=["lang"])

@@ -617,3 +617,40 @@ def counter_logs_from_lineitem(lineitem: DataFrame) -> DataFrame:
         _ts_text(st + F.make_dt_interval(F.lit(0), F.lit(1))).alias("AggregationEndTimeUTC"), name.alias("CounterName"),
         (F.col("l_quantity") + 1).cast("string").alias("Max"), F.col("l_discount").cast("string").alias("Min"),
         (F.col("l_quantity") / 2).cast("string").alias("Average"))
+
+
+def workspaces_from_customers(customer: DataFrame) -> DataFrame:
+    """Workspace API records (no ``description`` field, as some feeds lack it)."""
+    k = F.col("c_custkey")
+    return customer.select(
+        _cat("ws-", k).alias("id"), F.col("c_name").alias("name"), F.lit("Workspace").alias("type"),
+        F.when(F.col("c_acctbal") < 0, F.lit("Deleted")).otherwise(F.lit("Active")).alias("state"),
+        _cat("cap-", F.col("c_nationkey")).alias("capacityId"), F.lit("Completed").alias("capacityMigrationStatus"),
+        F.when(k % 2 == 0, F.lit("Small")).otherwise(F.lit("Large")).alias("defaultDatasetStorageFormat"),
+        (F.col("c_acctbal") > 5000).alias("isOnDedicatedCapacity"), F.lit(False).alias("isReadOnly"),
+        (k % 5 == 0).alias("hasWorkspaceLevelSettings"))
+
+
+def workspace_domains_from_customers(customer: DataFrame) -> DataFrame:
+    """Workspace -> domain assignments (only some workspaces have one)."""
+    return customer.filter(F.col("c_custkey") % 3 == 0).select(
+        _cat("ws-", F.col("c_custkey")).alias("id"), _cat("cap-", F.col("c_nationkey")).alias("capacityId"),
+        _cat("dom-", F.lower("c_mktsegment")).alias("domainId"))
+
+
+def aggregation_logs_from_lineitem(lineitem: DataFrame) -> DataFrame:
+    """Gateway query-execution aggregation log rows (one per line item; repeated rows collapse)."""
+    ln = F.col("l_linenumber")
+    st = F.col("l_shipdate")
+    src = _cat('{"kind":"Sql","path":"srv', F.col("l_suppkey") % 3, ';db"}')
+    return lineitem.select(
+        _cat("gw-", F.col("l_suppkey") % 5).alias("GatewayObjectId"), _ts_text(st).alias("AggregationStartTimeUTC"),
+        _ts_text(st + F.make_dt_interval(F.lit(0), F.lit(1))).alias("AggregationEndTimeUTC"),
+        F.to_json(F.array(src)).alias("DataSource"),
+        F.when(F.col("l_returnflag") == "R", F.lit("N")).otherwise(F.lit("Y")).alias("Success"),
+        (ln * 100).cast("string").alias("AverageQueryExecutionDuration(ms)"),
+        (ln * 200).cast("string").alias("MaxQueryExecutionDuration(ms)"),
+        (ln * 10).cast("string").alias("MinQueryExecutionDuration(ms)"), F.lit("Query").alias("QueryType"),
+        (ln * 50).cast("string").alias("AverageDataProcessingDuration(ms)"),
+        (ln * 80).cast("string").alias("MaxDataProcessingDuration(ms)"),
+        (ln * 5).cast("string").alias("MinDataProcessingDuration(ms)"), ln.cast("string").alias("Count"))
