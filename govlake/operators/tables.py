@@ -497,15 +497,14 @@ def explode_datasource(df: DataFrame, col: str = "DataSource") -> DataFrame:
     ``DataSource.kind`` (kind, else ConnectorType) and ``DataSource.path``
     (path, else the other values after the first joined by ';').  Rows
     whose list does not parse are dropped."""
-    lst = F.from_json(F.col(col), "array<string>")
-    x = df.withColumn("_ds", lst).filter(F.col("_ds").isNotNull()).withColumn("_d", F.explode("_ds"))
-    m = F.from_json(F.col("_d"), "map<string,string>")
-    x = x.withColumn("_m", m)
+    # explode drops rows whose list is null (unparsable), so no extra filter is needed
+    x = df.withColumn("_d", F.explode(F.from_json(F.col(col), "array<string>")))
+    x = x.withColumn("_m", F.from_json(F.col("_d"), "map<string,string>"))
     kind = F.coalesce(F.col("_m")["kind"], F.col("_m")["ConnectorType"])
     vals = F.map_values("_m")
     rest = F.array_join(F.slice(vals, 2, F.greatest(F.size(vals) - 1, F.lit(0))), ";")
     path = F.coalesce(F.col("_m")["path"], F.when(F.size(vals) >= 1, rest))
-    return x.withColumns({"DataSource.kind": kind, "DataSource.path": path}).drop("_ds", "_d", "_m", col)
+    return x.withColumns({"DataSource.kind": kind, "DataSource.path": path}).drop("_d", "_m", col)
 
 
 def _casts(df: DataFrame, longs=(), times=()) -> DataFrame:
