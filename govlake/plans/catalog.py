@@ -1544,7 +1544,7 @@ def _qs(spark, sf):
     return T.build_query_start(SI.query_start_logs_from_lineitem(load(spark, sf, "lineitem")))
 
 
-@register("gateway_query_execution", "T15, P10, P13, S5", sql=with_(SI.QUERY_EXECUTION_SQL) + """
+@register("gateway_query_execution", "T15, P10, P13", sql=with_(SI.QUERY_EXECUTION_SQL) + """
 SELECT RequestId, QueryTrackingId, kind AS "DataSource.kind", path AS "DataSource.path", qdur AS "QueryExecutionDuration(ms)",
        end_ts AS QueryExecutionEndTimeUTC, CAST(end_ts AS DATE) AS QueryExecutionEndDate, RequestId || QueryTrackingId AS RequestTrackingKey,
        CASE WHEN Success = 'Y' THEN 'Success' WHEN Success = 'N' THEN 'Error' ELSE 'N/A' END AS SuccessStatus
@@ -1755,3 +1755,18 @@ SELECT lang, CAST(count(nullif(trim(text), '')) AS DOUBLE) / count(*) AS documen
 def q_document_coverage(spark, sf):
     """Share of documents with non-blank text per language (documentation ratio)."""
     return A.documentation_ratio(load(spark, sf, "documents"), "text", by=["lang"])
+
+
+@register("gateway_bad_records", "S5", sql="""
+SELECT 'QueryExecutionReport_' || CAST(l_suppkey % 4 AS VARCHAR) || '.log' AS FileName, l_orderkey * 8 + l_linenumber AS RowNumber,
+       'broken' AS Value
+FROM lineitem WHERE l_linenumber = 7
+""")
+def q_gateway_bad_records(spark, sf):
+    """File name and row of every log row whose JSON column does not parse."""
+    from ..sources.logs import bad_json_rows
+    li = load(spark, sf, "lineitem")
+    logs = li.select(SI._cat("QueryExecutionReport_", F.col("l_suppkey") % 4, ".log").alias("FileName"),
+                     (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("RowNumber"),
+                     SI.datasource_text(F.col("l_linenumber"), F.col("l_suppkey"), F.col("l_partkey")).alias("DataSource"))
+    return bad_json_rows(logs, "DataSource")

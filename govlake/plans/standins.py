@@ -512,17 +512,23 @@ def _ts_text(c):
     return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
 
 
+def datasource_text(ln, sk, pk):
+    """The DataSource log field: a JSON list of JSON object texts (one or
+    two sources), or broken text for line 7."""
+    src_sql = _cat('{"kind":"Sql","path":"srv', sk, ';db"}')
+    src_web = _cat('{"ConnectorType":"Web","url":"http://p', pk, '","mode":"x"}')
+    src_file = _cat('{"kind":"File","path":"/f', pk, '"}')
+    lst = lambda *xs: F.to_json(F.array(*xs))
+    return (F.when(ln == 7, F.lit("broken"))
+            .when(ln % 3 == 0, lst(src_sql)).when(ln % 3 == 1, lst(src_web)).otherwise(lst(src_file, src_sql)))
+
+
 def query_execution_logs_from_lineitem(lineitem: DataFrame) -> DataFrame:
     """Gateway query-execution log rows (all text, as the log reader returns
     them), one per line item; the DataSource column is a JSON list of JSON
     object texts (one or two sources, or broken text)."""
     ln, sk, pk = F.col("l_linenumber"), F.col("l_suppkey"), F.col("l_partkey")
-    src_sql = _cat('{"kind":"Sql","path":"srv', sk, ';db"}')
-    src_web = _cat('{"ConnectorType":"Web","url":"http://p', pk, '","mode":"x"}')
-    src_file = _cat('{"kind":"File","path":"/f', pk, '"}')
-    lst = lambda *xs: F.to_json(F.array(*xs))
-    ds = (F.when(ln == 7, F.lit("broken"))
-          .when(ln % 3 == 0, lst(src_sql)).when(ln % 3 == 1, lst(src_web)).otherwise(lst(src_file, src_sql)))
+    ds = datasource_text(ln, sk, pk)
     end = F.col("l_shipdate") + F.make_dt_interval(F.lit(0), (F.col("l_orderkey") % 24).cast("int"))
     return lineitem.select(
         _cat("gw-", sk % 5).alias("GatewayObjectId"), _cat("r", F.col("l_orderkey")).alias("RequestId"),
