@@ -1770,3 +1770,74 @@ def q_gateway_bad_records(spark, sf):
                      (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("RowNumber"),
                      SI.datasource_text(F.col("l_linenumber"), F.col("l_suppkey"), F.col("l_partkey")).alias("DataSource"))
     return bad_json_rows(logs, "DataSource")
+
+
+MEASURE_RULES = [14, 28, 29, 30, 32, 33, 34, 35, 36, 37, 48, 50, 51]
+
+
+def _empty_meta(spark):
+    e = lambda schema: spark.createDataFrame([], schema)
+    return {"hierarchies": e("ModelId string, TableName string, HierarchyName string, ColumnName string"),
+            "partitions": e("ModelId string, TableName string, PartitionName string, Mode string"),
+            "tables": e("ModelId string, TableName string, IsHidden boolean, Description string"),
+            "columns": e("ModelId string, TableName string, ColumnName string, IsHidden boolean, Description string")}
+
+
+@register("measure_rule_violations", "B8, B9", sql="""
+WITH m AS (
+  SELECT 'model-' || CAST(l_suppkey % 20 AS VARCHAR) AS ModelId, 'Sales' || CAST(l_partkey % 5 AS VARCHAR) AS TableName,
+         'M' || CAST(l_orderkey AS VARCHAR) || '_' || CAST(l_linenumber AS VARCHAR) AS MeasureName,
+         """ + SI.MEASURE_TEMPLATES_SQL + """ AS e, l_linenumber % 4 = 0 AS IsHidden,
+         CASE l_returnflag WHEN 'A' THEN '#,0' WHEN 'N' THEN '0.0%' ELSE '' END AS FormatString FROM lineitem),
+d AS (SELECT ModelId, regexp_replace(e, '\\s+', '', 'g') AS norm FROM m GROUP BY 1, 2 HAVING count(DISTINCT MeasureName) > 1),
+v AS (
+  SELECT ModelId, 14 AS RuleId, MeasureName FROM m WHERE starts_with(replace(e, ' ', ''), '0+') OR ends_with(replace(e, ' ', ''), '+0')
+      OR regexp_matches(e, '(?i)DIVIDE\\s*\\(\\s*[^,]+,\\s*[^,]+,\\s*0\\s*\\)') OR regexp_matches(e, '(?i)IFERROR\\s*\\(\\s*[^,]+,\\s*0\\s*\\)')
+  UNION ALL SELECT ModelId, 28, MeasureName FROM m WHERE regexp_matches(e, '(?i)iferror\\s*\\(')
+  UNION ALL SELECT ModelId, 29, MeasureName FROM m WHERE regexp_matches(e, '(?i)intersect\\s*\\(')
+  UNION ALL SELECT ModelId, 30, MeasureName FROM m WHERE regexp_matches(e, '(?i)evaluateandlog\\s*\\(')
+  UNION ALL SELECT m.ModelId, 32, MeasureName FROM m JOIN d ON m.ModelId = d.ModelId AND regexp_replace(m.e, '\\s+', '', 'g') = d.norm
+  UNION ALL SELECT ModelId, 33, MeasureName FROM m WHERE regexp_matches(e, '(?i)DIVIDE\\s*\\((\\s*.*?)\\)\\s*[+-]\\s*1|\\/\\s*.*[-+]\\s*1')
+  UNION ALL SELECT ModelId, 34, MeasureName FROM m
+      WHERE regexp_matches(e, '(?i)[0-9]+\\s*[-+]\\s*[\\(]*\\s*SUM\\s*\\(\\s*''*[A-Za-z0-9 _]+''*\\s*\\[[A-Za-z0-9 _]+\\]\\s*\\)\\s*/')
+         OR regexp_matches(e, '(?i)[0-9]+\\s*[-+]\\s*DIVIDE\\s*\\(')
+  UNION ALL SELECT ModelId, 35, MeasureName FROM m
+      WHERE regexp_matches(e, '(?i)CALCULATE\\s*\\(\\s*[^,]+,\\s*FILTER\\s*\\(\\s*''*[A-Za-z0-9 _]+''*\\s*,\\s*\\[[^\\]]+\\]')
+         OR regexp_matches(e, '(?i)CALCULATETABLE\\s*\\(\\s*[^,]*,\\s*FILTER\\s*\\(\\s*''*[A-Za-z0-9 _]+''*\\s*,\\s*\\[')
+  UNION ALL SELECT ModelId, 36, MeasureName FROM m
+      WHERE regexp_matches(e, '(?i)CALCULATE\\s*\\(\\s*[^,]+,\\s*FILTER\\s*\\(\\s*''*[A-Za-z0-9 _]+''*\\s*,\\s*''*[A-Za-z0-9 _]+''*\\[[A-Za-z0-9 _]+\\]')
+         OR regexp_matches(e, '(?i)CALCULATETABLE\\s*\\([^,]*,\\s*FILTER\\s*\\(\\s*''*[A-Za-z0-9 _]+''*\\s*,\\s*''*[A-Za-z0-9 _]+''*\\[[A-Za-z0-9 _]+\\]')
+  UNION ALL SELECT ModelId, 37, MeasureName FROM m
+      WHERE regexp_matches(e, '\\]\\s*\\/([^/*]|$)') OR regexp_matches(e, '\\)\\s*\\/([^/*]|$)')
+  UNION ALL SELECT ModelId, 48, MeasureName FROM m WHERE NOT IsHidden AND length(FormatString) = 0
+  UNION ALL SELECT ModelId, 50, MeasureName FROM m WHERE contains(FormatString, '%') AND FormatString <> '#,0.0%;-#,0.0%;#,0.0%'
+  UNION ALL SELECT ModelId, 51, MeasureName FROM m
+      WHERE NOT contains(FormatString, '$') AND NOT contains(FormatString, '%') AND FormatString NOT IN ('#,0', '#,0.0'))
+SELECT ModelId, RuleId, count(*) AS violations, count(DISTINCT MeasureName) AS objects FROM v GROUP BY 1, 2
+""")
+def q_measure_rule_violations(spark, sf):
+    """Measure-text best-practice rules over a measure catalogue, counted per model and rule."""
+    meta = {**_empty_meta(spark), "measures": SI.measures_from_lineitem(load(spark, sf, "lineitem"))}
+    v = B.bpa(meta, MEASURE_RULES)
+    return v.groupBy("ModelId", "RuleId").agg(F.count(F.lit(1)).alias("violations"),
+                                              F.count_distinct("ObjectName").alias("objects"))
+
+
+@register("relationship_rule_violations", "B3, B7", sql="""
+WITH r AS (
+  SELECT 'model-' || CAST(o_custkey % 20 AS VARCHAR) AS ModelId, o_orderpriority = '1-URGENT' AS m2m,
+         o_orderstatus = 'F' AS bidi FROM orders),
+v AS (
+  SELECT ModelId, 3 AS RuleId FROM r WHERE m2m OR bidi
+  UNION ALL SELECT ModelId, 6 FROM r WHERE m2m AND bidi
+  UNION ALL SELECT ModelId, 17 FROM (
+      SELECT ModelId, count(CASE WHEN bidi THEN 1 END) + count(CASE WHEN m2m THEN 1 END) AS bad, count(*) AS n FROM r GROUP BY 1)
+    WHERE bad / greatest(n, 1) > 0.3)
+SELECT ModelId, RuleId, count(*) AS violations FROM v GROUP BY 1, 2
+""")
+def q_relationship_rule_violations(spark, sf):
+    """Relationship rules (bi-directional / many-to-many) and the model-level share rule."""
+    meta = {**_empty_meta(spark), "relationships": SI.relationships_from_orders(load(spark, sf, "orders")),
+            "models": spark.createDataFrame([], "ModelId string")}
+    v = B.bpa(meta, [3, 6, 17])
+    return v.groupBy("ModelId", "RuleId").agg(F.count(F.lit(1)).alias("violations"))

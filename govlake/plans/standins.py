@@ -660,3 +660,53 @@ def aggregation_logs_from_lineitem(lineitem: DataFrame) -> DataFrame:
         (ln * 50).cast("string").alias("AverageDataProcessingDuration(ms)"),
         (ln * 80).cast("string").alias("MaxDataProcessingDuration(ms)"),
         (ln * 5).cast("string").alias("MinDataProcessingDuration(ms)"), ln.cast("string").alias("Count"))
+
+
+# --------------------------------------------------------------------------- model metadata
+MEASURE_TEMPLATES_SQL = """CASE l_orderkey % 10
+    WHEN 0 THEN 'SUM(Sales[Amount]) + 0'
+    WHEN 1 THEN 'DIVIDE([Total], [Count], 0)'
+    WHEN 2 THEN 'IFERROR([Total] / [Count], 0)'
+    WHEN 3 THEN 'CALCULATE([Total], FILTER(Sales, [Qty] > ' || CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || '))'
+    WHEN 4 THEN '[Total] / [Count]'
+    WHEN 5 THEN '1 - (SUM(Sales[Cost]) / SUM(Sales[Amount]))'
+    WHEN 6 THEN 'EVALUATEANDLOG([Total])'
+    WHEN 7 THEN 'COUNTROWS(INTERSECT(VALUES(A[x]), VALUES(B[x])))'
+    WHEN 8 THEN 'DIVIDE([Total], [Count]) + 1'
+    ELSE 'CALCULATE([Total], FILTER(''Sales'', ''Sales''[Region] = "EU"))' END"""
+
+
+def measures_from_lineitem(lineitem: DataFrame) -> DataFrame:
+    """Model measure metadata (one measure per line item, DAX-like text from
+    ten templates) for the measure-text rules."""
+    t = F.col("l_orderkey") % 10
+    expr = (F.when(t == 0, F.lit("SUM(Sales[Amount]) + 0"))
+            .when(t == 1, F.lit("DIVIDE([Total], [Count], 0)"))
+            .when(t == 2, F.lit("IFERROR([Total] / [Count], 0)"))
+            .when(t == 3, _cat("CALCULATE([Total], FILTER(Sales, [Qty] > ", F.col("l_quantity").cast("long"), "))"))
+            .when(t == 4, F.lit("[Total] / [Count]"))
+            .when(t == 5, F.lit("1 - (SUM(Sales[Cost]) / SUM(Sales[Amount]))"))
+            .when(t == 6, F.lit("EVALUATEANDLOG([Total])"))
+            .when(t == 7, F.lit("COUNTROWS(INTERSECT(VALUES(A[x]), VALUES(B[x])))"))
+            .when(t == 8, F.lit("DIVIDE([Total], [Count]) + 1"))
+            .otherwise(F.lit("CALCULATE([Total], FILTER('Sales', 'Sales'[Region] = \"EU\"))")))
+    rf = F.col("l_returnflag")
+    return lineitem.select(
+        _cat("model-", F.col("l_suppkey") % 20).alias("ModelId"), _cat("Sales", F.col("l_partkey") % 5).alias("TableName"),
+        _cat("M", F.col("l_orderkey"), "_", F.col("l_linenumber")).alias("MeasureName"), expr.alias("Expression"),
+        (F.col("l_linenumber") % 4 == 0).alias("IsHidden"),
+        F.when(rf == "A", F.lit("#,0")).when(rf == "N", F.lit("0.0%")).otherwise(F.lit("")).alias("FormatString"),
+        F.when(F.col("l_linestatus") == "F", F.lit("doc")).otherwise(F.lit("")).alias("Description"))
+
+
+def relationships_from_orders(orders: DataFrame) -> DataFrame:
+    """Model relationship metadata (one relationship per order)."""
+    k = F.col("o_orderkey")
+    return orders.select(
+        _cat("model-", F.col("o_custkey") % 20).alias("ModelId"), _cat("Sales", k % 5).alias("FromTable"),
+        _cat("Key", k % 7).alias("FromColumn"), _cat("Dim", k % 3).alias("ToTable"), F.lit("Id").alias("ToColumn"),
+        F.lit("Many").alias("FromCardinality"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("Many")).otherwise(F.lit("One")).alias("ToCardinality"),
+        F.when(F.col("o_orderstatus") == "F", F.lit("BothDirections")).otherwise(F.lit("OneDirection"))
+         .alias("CrossFilteringBehavior"),
+        (k % 4 != 0).alias("IsActive"))
