@@ -1841,3 +1841,147 @@ def q_relationship_rule_violations(spark, sf):
             "models": spark.createDataFrame([], "ModelId string")}
     v = B.bpa(meta, [3, 6, 17])
     return v.groupBy("ModelId", "RuleId").agg(F.count(F.lit(1)).alias("violations"))
+
+
+CATALOGUE_RULES = [4, 5, 8, 9, 10, 11, 12, 15, 18, 19, 20, 21, 23, 43, 44]
+
+
+@register("model_catalogue_rule_violations", "B4, B5, B6, B7, B10", sql=with_(SI.CATALOGUE_SQL) + """
+, v AS (
+  SELECT ModelId, 4 AS RuleId, RoleName AS ObjectName FROM rs
+    WHERE regexp_matches(FilterExpression, '(?i)(USERPRINCIPALNAME\\(\\)|USERNAME\\(\\))')
+  UNION ALL SELECT ModelId, 21, RoleName FROM rs
+    WHERE contains(lower(FilterExpression), 'right(') OR contains(lower(FilterExpression), 'left(')
+       OR contains(lower(FilterExpression), 'filter(') OR contains(lower(FilterExpression), 'upper(')
+       OR contains(lower(FilterExpression), 'lower(') OR contains(lower(FilterExpression), 'find(')
+  UNION ALL SELECT DISTINCT t.ModelId, 5, t.TableName FROM tb t
+    JOIN (SELECT ModelId, FromTable AS TableName FROM rl WHERE to_many UNION SELECT ModelId, ToTable FROM rl WHERE to_many) m
+      ON t.ModelId = m.ModelId AND t.TableName = m.TableName
+    WHERE EXISTS (SELECT 1 FROM rs WHERE rs.ModelId = t.ModelId AND rs.TableName = t.TableName)
+  UNION ALL SELECT p.ModelId, 8, p.PartitionName FROM pt p JOIN hy ON p.ModelId = hy.ModelId AND p.TableName = hy.TableName
+    WHERE p.Mode = 'DirectQuery' AND NOT p.has_cov
+  UNION ALL SELECT ModelId, 9, ModelId FROM pt GROUP BY ModelId
+    HAVING count(CASE WHEN Mode = 'DirectQuery' THEN 1 END) = 0 AND count(CASE WHEN Mode = 'Dual' THEN 1 END) > 0
+  UNION ALL SELECT t.ModelId, 10, t.TableName FROM tb t
+    JOIN (SELECT ModelId, TableName, count(*) AS n, count(CASE WHEN Mode = 'Import' THEN 1 END) AS imp FROM pt GROUP BY 1, 2) pc
+      ON t.ModelId = pc.ModelId AND t.TableName = pc.TableName
+    JOIN fl ON t.ModelId = fl.ModelId AND t.TableName = fl.TableName
+    WHERE pc.n = 1 AND pc.imp = 1 AND fl.t1 = 1 AND t.ModelId IN (SELECT ModelId FROM hy)
+  UNION ALL SELECT ModelId, 11, PartitionName FROM pt WHERE heavy
+  UNION ALL SELECT t.ModelId, 12, t.TableName FROM tb t JOIN fl ON t.ModelId = fl.ModelId AND t.TableName = fl.TableName
+    WHERE NOT t.IsCalculationGroup AND fl.f = 1 AND fl.t = 1
+  UNION ALL SELECT ModelId, 15, TableName FROM tb WHERE NOT IsFieldParameter AND IsCalculated
+  UNION ALL SELECT ModelId, 18, TableName FROM tb
+    WHERE IsCalculated AND (starts_with(TableName, 'DateTableTemplate_') OR starts_with(TableName, 'LocalDateTable_'))
+  UNION ALL SELECT ModelId, 19, TableName FROM tb WHERE regexp_matches(TableName, '(?i)(date|calendar)') AND NOT is_time
+  UNION ALL SELECT t.ModelId, 20, t.TableName FROM tb t
+    JOIN (SELECT ModelId, TableName, count(*) AS n FROM pt GROUP BY 1, 2) pc ON t.ModelId = pc.ModelId AND t.TableName = pc.TableName
+    WHERE pc.n = 1 AND t.RowCount > 25000000
+  UNION ALL SELECT ModelId, 23, ItemName FROM ci WHERE length(Expression) = 0
+  UNION ALL SELECT t.ModelId, 43, t.TableName FROM tb t LEFT JOIN fl ON t.ModelId = fl.ModelId AND t.TableName = fl.TableName
+    WHERE coalesce(fl.f, 0) + coalesce(fl.t, 0) = 0 AND NOT t.IsCalculationGroup
+  UNION ALL SELECT t.ModelId, 44, t.TableName FROM tb t
+    WHERE t.IsCalculationGroup AND NOT EXISTS (SELECT 1 FROM ci WHERE ci.ModelId = t.ModelId AND ci.TableName = t.TableName))
+SELECT ModelId, RuleId, count(*) AS violations, count(DISTINCT ObjectName) AS objects FROM v GROUP BY 1, 2
+""")
+def q_model_catalogue_rule_violations(spark, sf):
+    """Table, partition, row-level-security, model and calculation-item rules over a model catalogue."""
+    meta = SI.model_catalogue_from_parts(load(spark, sf, "part"), load(spark, sf, "lineitem"), load(spark, sf, "customer"))
+    e = lambda schema: spark.createDataFrame([], schema)
+    meta.update({"measures": e("ModelId string, TableName string, MeasureName string, Expression string"),
+                 "columns": e("ModelId string, TableName string, ColumnName string, DataType string, IsKey boolean"),
+                 "hierarchies": e("ModelId string, TableName string, HierarchyName string, ColumnName string")})
+    v = B.bpa(meta, CATALOGUE_RULES)
+    return v.groupBy("ModelId", "RuleId").agg(F.count(F.lit(1)).alias("violations"),
+                                              F.count_distinct("ObjectName").alias("objects"))
+
+
+@register("part_column_labels", "P28, P29, P30, P31", sql="""
+SELECT p_partkey,
+  CASE WHEN p_size % 3 = 0 THEN 'Hidden' ELSE 'Visible' END AS hidden_label,
+  CASE WHEN p_size % 5 = 0 THEN 'Key' ELSE 'Not Key' END AS key_label,
+  coalesce(nullif(CASE WHEN p_size % 2 = 0 THEN p_name ELSE '' END, ''), p_type) AS ColumnName,
+  coalesce(CASE WHEN p_size % 4 = 0 THEN p_brand END,
+           CASE WHEN contains(p_name, 'ring') THEN 'ePBIDTS' ELSE '0' END) AS SourceOrDefault,
+  CASE WHEN (CASE p_size % 3 WHEN 0 THEN 'Default' WHEN 1 THEN 'Hash' ELSE 'Value' END) = 'Default' THEN NULL
+       WHEN (CASE p_size % 3 WHEN 0 THEN 'Default' WHEN 1 THEN 'Hash' ELSE 'Value' END)
+            = (CASE WHEN p_partkey % 2 = 0 THEN 'Hash' ELSE 'Value' END) THEN 'Accepted' ELSE 'Not Accepted' END AS EncodingVerdict
+FROM part
+""")
+def q_part_column_labels(spark, sf):
+    """Flag labels, explicit-else-inferred names, null replacement and encoding-hint verdicts over a column catalogue."""
+    p = load(spark, sf, "part")
+    sz = F.col("p_size")
+    cols = p.select("p_partkey", "p_name", "p_type", (sz % 3 == 0).alias("IsHidden"), (sz % 5 == 0).alias("IsKey"),
+                    F.when(sz % 2 == 0, F.col("p_name")).otherwise(F.lit("")).alias("ExplicitName"),
+                    F.col("p_type").alias("InferredName"), F.when(sz % 4 == 0, F.col("p_brand")).alias("SourceColumn"),
+                    F.when(sz % 3 == 0, "Default").when(sz % 3 == 1, "Hash").otherwise("Value").alias("EncodingHint"),
+                    F.when(F.col("p_partkey") % 2 == 0, "Hash").otherwise("Value").alias("Encoding"))
+    labels = P.label_flags({"hidden_label": ("IsHidden", "Hidden", "Visible"), "key_label": ("IsKey", "Key", "Not Key")})
+    return cols.select("p_partkey", *[c.alias(n) for n, c in labels.items()],
+                       P.coalesce_name("ExplicitName", "InferredName").alias("ColumnName"),
+                       P.replace_null("SourceColumn", F.when(F.col("p_name").contains("ring"), F.lit("ePBIDTS"))
+                                      .otherwise(F.lit("0"))).alias("SourceOrDefault"),
+                       P.encoding_verdict("EncodingHint", "Encoding").alias("EncodingVerdict"))
+
+
+@register("calc_dependencies", "T23", sql="""
+WITH t AS (SELECT DISTINCT CAST(p_partkey % 5 AS BIGINT) AS ID, 'Sales' || CAST(p_partkey % 5 AS VARCHAR) AS Name FROM part),
+ot AS (SELECT * FROM (VALUES ('MEASURE', 'Measure'), ('COLUMN', 'Column'), ('CALC_COLUMN', 'Calculated Column')) v(Enum, Name)),
+d AS (SELECT CASE WHEN l_linenumber % 2 = 0 THEN 'MEASURE' ELSE 'CALC_COLUMN' END AS OBJECT_TYPE,
+             'Sales' || CAST(l_partkey % 5 AS VARCHAR) AS "TABLE", 'M' || CAST(l_orderkey AS VARCHAR) AS OBJECT,
+             'COLUMN' AS REFERENCED_OBJECT_TYPE, 'Sales' || CAST(l_suppkey % 7 AS VARCHAR) AS REFERENCED_TABLE,
+             'C' || CAST(l_linenumber AS VARCHAR) AS REFERENCED_OBJECT FROM lineitem)
+SELECT d.*, t1.ID AS TableID, t2.ID AS ReferencedTableID, o1.Name AS ObjectTypeName, o2.Name AS ReferencedObjectTypeName,
+       d."TABLE" || '-' || d.OBJECT AS DependencyKey
+FROM d LEFT JOIN t t1 ON d."TABLE" = t1.Name LEFT JOIN t t2 ON d.REFERENCED_TABLE = t2.Name
+LEFT JOIN ot o1 ON d.OBJECT_TYPE = o1.Enum LEFT JOIN ot o2 ON d.REFERENCED_OBJECT_TYPE = o2.Enum
+""")
+def q_calc_dependencies(spark, sf):
+    """Calculation dependencies with table ids and object-type names of both ends."""
+    li = load(spark, sf, "lineitem")
+    deps = li.select(F.when(F.col("l_linenumber") % 2 == 0, "MEASURE").otherwise("CALC_COLUMN").alias("OBJECT_TYPE"),
+                     SI._cat("Sales", F.col("l_partkey") % 5).alias("TABLE"), SI._cat("M", F.col("l_orderkey")).alias("OBJECT"),
+                     F.lit("COLUMN").alias("REFERENCED_OBJECT_TYPE"),
+                     SI._cat("Sales", F.col("l_suppkey") % 7).alias("REFERENCED_TABLE"),
+                     SI._cat("C", F.col("l_linenumber")).alias("REFERENCED_OBJECT"))
+    tabs = load(spark, sf, "part").select((F.col("p_partkey") % 5).cast("long").alias("ID"),
+                                          SI._cat("Sales", F.col("p_partkey") % 5).alias("Name")).distinct()
+    # Dependency object types.
+    ot = spark.createDataFrame([("MEASURE", "Measure"), ("COLUMN", "Column"), ("CALC_COLUMN", "Calculated Column")],
+                               "Enum string, Name string")
+    return T.build_calc_dependencies(deps, tabs, ot)
+
+
+@register("query_folders", "T25", sql="""
+SELECT CAST(-1 AS BIGINT) AS ID, '(No folder)' AS Folder
+UNION ALL SELECT DISTINCT CAST(p_size % 10 AS BIGINT), 'Folder ' || CAST(p_size % 10 AS VARCHAR) FROM part
+""")
+def q_query_folders(spark, sf):
+    """Folder list: the default folder plus the query groups."""
+    groups = load(spark, sf, "part").select((F.col("p_size") % 10).cast("long").alias("ID"),
+                                            SI._cat("Folder ", F.col("p_size") % 10).alias("Folder")).distinct()
+    return T.build_folder_list(groups)
+
+
+@register("model_health", "A28", sql="""
+WITH c AS (SELECT 'model-' || CAST(l_suppkey % 20 AS VARCHAR) AS model,
+                  count(CASE WHEN l_returnflag = 'R' AND l_linestatus = 'O' THEN 1 END)
+                  + count(CASE WHEN l_linestatus <> 'F' THEN 1 END) AS bad FROM lineitem GROUP BY 1),
+p AS (SELECT 'model-' || CAST(o_custkey % 20 AS VARCHAR) AS model, count(CASE WHEN o_orderstatus = 'P' THEN 1 END) AS bad
+      FROM orders GROUP BY 1),
+m AS (SELECT model FROM c UNION SELECT model FROM p)
+SELECT m.model, coalesce(c.bad, 0) = 0 AS columns_healthy, coalesce(p.bad, 0) = 0 AS partitions_healthy,
+       coalesce(c.bad, 0) = 0 AND coalesce(p.bad, 0) = 0 AS model_healthy
+FROM m LEFT JOIN c USING (model) LEFT JOIN p USING (model)
+""")
+def q_model_health(spark, sf):
+    """Model health: errors + not-Ready objects per kind, model healthy when every kind is."""
+    li = load(spark, sf, "lineitem").select(
+        SI._cat("model-", F.col("l_suppkey") % 20).alias("model"),
+        F.when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "O"), F.lit("err")).alias("ErrorMessage"),
+        F.when(F.col("l_linestatus") == "F", F.lit("Ready")).otherwise(F.lit("Processing")).alias("State"))
+    o = load(spark, sf, "orders").select(
+        SI._cat("model-", F.col("o_custkey") % 20).alias("model"), F.lit(None).cast("string").alias("ErrorMessage"),
+        F.when(F.col("o_orderstatus") == "P", F.lit("NoData")).otherwise(F.lit("Ready")).alias("State"))
+    return A.health_flags({"columns": li, "partitions": o}, "model")

@@ -710,3 +710,73 @@ def relationships_from_orders(orders: DataFrame) -> DataFrame:
         F.when(F.col("o_orderstatus") == "F", F.lit("BothDirections")).otherwise(F.lit("OneDirection"))
          .alias("CrossFilteringBehavior"),
         (k % 4 != 0).alias("IsActive"))
+
+
+def model_catalogue_from_parts(part: DataFrame, lineitem: DataFrame, customer: DataFrame) -> dict[str, DataFrame]:
+    """A model metadata catalogue built per row: tables and partitions from
+    ``part`` (model = partkey % 20), relationships from ``lineitem``, row-level
+    security roles from ``customer``, calculation items from ``part``."""
+    pk, sz = F.col("p_partkey"), F.col("p_size")
+    model = _cat("model-", pk % 20)
+    tname = (F.when(sz % 10 == 0, _cat("LocalDateTable_", pk)).when(sz % 10 == 1, _cat("Calendar", pk))
+             .otherwise(_cat("T", F.floor(pk / 20))))
+    tables = part.select(model.alias("ModelId"), tname.alias("TableName"), F.lit(False).alias("IsHidden"),
+                         F.when(sz % 3 == 0, F.lit("Time")).otherwise(F.lit("")).alias("DataCategory"),
+                         F.lit("d").alias("Description"), (sz % 7 == 0).alias("IsCalculated"),
+                         (sz % 14 == 0).alias("IsFieldParameter"), (sz % 9 == 0).alias("IsCalculationGroup"),
+                         (F.col("p_retailprice") * 30000).cast("long").alias("RowCount"))
+    p1 = part.select(model.alias("ModelId"), tname.alias("TableName"), F.lit("p1").alias("PartitionName"),
+                     F.lit("Import").alias("Mode"), F.lit("M").alias("SourceType"),
+                     F.lit('let Source = Sql.Database("s", "d") in Source').alias("Expression"),
+                     F.lit(None).cast("string").alias("DataCoverageDefinition"))
+    p2 = part.filter(sz % 4 == 0).select(
+        model.alias("ModelId"), tname.alias("TableName"), F.lit("p2").alias("PartitionName"),
+        F.when(sz % 8 == 0, F.lit("DirectQuery")).otherwise(F.lit("Dual")).alias("Mode"), F.lit("M").alias("SourceType"),
+        F.lit('let x = Table.Group("a") in x').alias("Expression"),
+        F.when(sz % 16 == 0, F.lit("x")).alias("DataCoverageDefinition"))
+    rel = lineitem.select(
+        _cat("model-", F.col("l_partkey") % 20).alias("ModelId"), _cat("T", F.floor(F.col("l_partkey") / 20)).alias("FromTable"),
+        _cat("K", F.col("l_linenumber")).alias("FromColumn"), _cat("T", F.floor(F.col("l_suppkey") / 20)).alias("ToTable"),
+        F.lit("Id").alias("ToColumn"), F.lit("Many").alias("FromCardinality"),
+        F.when(F.col("l_returnflag") == "R", F.lit("Many")).otherwise(F.lit("One")).alias("ToCardinality"),
+        F.when(F.col("l_linestatus") == "F", F.lit("BothDirections")).otherwise(F.lit("OneDirection"))
+         .alias("CrossFilteringBehavior"), F.lit(True).alias("IsActive"))
+    ck = F.col("c_custkey")
+    rls = customer.select(
+        _cat("model-", ck % 20).alias("ModelId"), _cat("T", F.floor(ck / 20)).alias("TableName"), _cat("Role", ck).alias("RoleName"),
+        F.when(ck % 4 == 0, F.lit("[Email] = USERPRINCIPALNAME()")).when(ck % 4 == 1, F.lit('LEFT([Region], 2) = "EU"'))
+         .when(ck % 4 == 2, F.lit("TRUE()")).otherwise(F.lit("UPPER([User]) = USERNAME()")).alias("FilterExpression"))
+    items = part.filter(sz % 18 == 0).select(model.alias("ModelId"), tname.alias("TableName"), _cat("Item", pk).alias("ItemName"),
+                                             F.when(pk % 2 == 0, F.lit("")).otherwise(F.lit("SELECTEDMEASURE()")).alias("Expression"))
+    models = part.select(model.alias("ModelId")).distinct().select(
+        "ModelId", F.lit(False).alias("IsDirectLake"), F.lit(False).alias("UsesView"))
+    return {"models": models, "tables": tables, "partitions": p1.unionByName(p2), "relationships": rel, "rls": rls,
+            "calc_items": items}
+
+
+CATALOGUE_SQL = """
+tb AS (SELECT 'model-' || CAST(p_partkey % 20 AS VARCHAR) AS ModelId,
+              CASE WHEN p_size % 10 = 0 THEN 'LocalDateTable_' || CAST(p_partkey AS VARCHAR)
+                   WHEN p_size % 10 = 1 THEN 'Calendar' || CAST(p_partkey AS VARCHAR)
+                   ELSE 'T' || CAST(CAST(floor(p_partkey / 20) AS BIGINT) AS VARCHAR) END AS TableName,
+              p_size % 3 = 0 AS is_time, p_size % 7 = 0 AS IsCalculated, p_size % 14 = 0 AS IsFieldParameter,
+              p_size % 9 = 0 AS IsCalculationGroup, CAST(trunc(p_retailprice * 30000) AS BIGINT) AS RowCount, p_size, p_partkey
+       FROM part),
+pt AS (SELECT ModelId, TableName, 'p1' AS PartitionName, 'Import' AS Mode, false AS has_cov, false AS heavy FROM tb
+       UNION ALL SELECT ModelId, TableName, 'p2', CASE WHEN p_size % 8 = 0 THEN 'DirectQuery' ELSE 'Dual' END,
+                        p_size % 16 = 0, true FROM tb WHERE p_size % 4 = 0),
+rl AS (SELECT 'model-' || CAST(l_partkey % 20 AS VARCHAR) AS ModelId, 'T' || CAST(CAST(floor(l_partkey / 20) AS BIGINT) AS VARCHAR) AS FromTable,
+              'T' || CAST(CAST(floor(l_suppkey / 20) AS BIGINT) AS VARCHAR) AS ToTable, l_returnflag = 'R' AS to_many,
+              l_linestatus = 'F' AS bidi FROM lineitem),
+rs AS (SELECT 'model-' || CAST(c_custkey % 20 AS VARCHAR) AS ModelId, 'T' || CAST(CAST(floor(c_custkey / 20) AS BIGINT) AS VARCHAR) AS TableName,
+              'Role' || CAST(c_custkey AS VARCHAR) AS RoleName,
+              CASE c_custkey % 4 WHEN 0 THEN '[Email] = USERPRINCIPALNAME()' WHEN 1 THEN 'LEFT([Region], 2) = "EU"'
+                   WHEN 2 THEN 'TRUE()' ELSE 'UPPER([User]) = USERNAME()' END AS FilterExpression FROM customer),
+ci AS (SELECT ModelId, TableName, 'Item' || CAST(p_partkey AS VARCHAR) AS ItemName,
+              CASE WHEN p_partkey % 2 = 0 THEN '' ELSE 'SELECTEDMEASURE()' END AS Expression FROM tb WHERE p_size % 18 = 0),
+ends AS (SELECT ModelId, FromTable AS TableName, 'From' AS e, false AS to_one FROM rl
+         UNION ALL SELECT ModelId, ToTable, 'To', NOT to_many FROM rl),
+fl AS (SELECT ModelId, TableName, max(CASE WHEN e = 'From' THEN 1 ELSE 0 END) AS f, max(CASE WHEN e = 'To' THEN 1 ELSE 0 END) AS t,
+              max(CASE WHEN to_one THEN 1 ELSE 0 END) AS t1 FROM ends GROUP BY 1, 2),
+hy AS (SELECT ModelId, TableName FROM pt GROUP BY 1, 2
+       HAVING max(CASE WHEN Mode = 'Import' THEN 1 ELSE 0 END) = 1 AND max(CASE WHEN Mode = 'DirectQuery' THEN 1 ELSE 0 END) = 1)"""
