@@ -16,7 +16,7 @@ from ..functions.scalar import date_parts, time_bin
 from ..operators import measures as A
 from ..operators.tables import build_activities, build_aggregated_activities
 from ..sources.dims import calendar_columns, calendar_of
-from .registry import register, rnd, rnd_sql, with_
+from .registry import REGISTRY, register, rnd, rnd_sql, with_
 from .standins import (ACTIVITIES_SQL, ORDERS_TODAY, SHIP_TODAY, TODAY, activities_from_events, load)
 
 ACT_SILVER_SQL = """
@@ -1985,3 +1985,116 @@ def q_model_health(spark, sf):
         SI._cat("model-", F.col("o_custkey") % 20).alias("model"), F.lit(None).cast("string").alias("ErrorMessage"),
         F.when(F.col("o_orderstatus") == "P", F.lit("NoData")).otherwise(F.lit("Ready")).alias("State"))
     return A.health_flags({"columns": li, "partitions": o}, "model")
+
+
+# =========================================================================== sources
+from ..sources import envelope as ENV  # noqa: E402
+from ..sources import logs as LOGS  # noqa: E402
+from ..sources import sinks as SINK  # noqa: E402
+from ..session import ensure_checkpoint_dir  # noqa: E402
+
+# The column definitions enforced on the orders table.
+ORDER_COLUMN_DEFS = [("orders", "o_clerk", "string"), ("orders", "o_comment", "string"),
+                     ("orders", "o_totalprice", "double"), ("orders", "o_audit", "struct<by:string>"),
+                     ("customer", "c_phone", "string")]
+
+
+@register("orders_enforced_schema", "S7", sql="""
+SELECT *, CAST(NULL AS VARCHAR) AS o_clerk, CAST(NULL AS VARCHAR) AS o_comment FROM orders
+""")
+def q_orders_enforced_schema(spark, sf):
+    """Columns declared for the table but absent are added as typed nulls (struct types skipped)."""
+    defs = spark.createDataFrame(ORDER_COLUMN_DEFS, "Table_Name string, Column_Name string, Data_Type string")
+    return SINK.ensure_columns(load(spark, sf, "orders"), defs, "orders")
+
+
+def _scratch(spark, tag: str) -> str:
+    """A fresh folder under the reliable checkpoint folder (shared on a cluster)."""
+    import uuid
+    return f"{ensure_checkpoint_dir(spark, LOCAL_CHECKPOINTS).rstrip('/')}/govlake-{tag}-{uuid.uuid4().hex}"
+
+
+@register("activity_feed_roundtrip", "S1, T1, T26", sql=REGISTRY["activity_agg_30d"].sql)
+def q_activity_feed_roundtrip(spark, sf):
+    """Activities written as JSON-lines envelopes to the shared folder, read back
+    through the envelope scan, then the 30-day aggregate."""
+    acts = activities_from_events(load(spark, sf, "events"))
+    path = _scratch(spark, "activity-feed")
+    acts.select(F.array(F.struct(*acts.columns)).alias("activityEventEntities")).write.json(path)
+    records = ENV.read_envelope(spark, path, ["activityEventEntities"], multiline=False)
+    return build_aggregated_activities(build_activities(records), TODAY, 30)
+
+
+@register("settings_feed_fallback", "S2, M7, T6", sql=REGISTRY["tenant_setting_groups"].sql)
+def q_settings_feed_fallback(spark, sf):
+    """Tenant settings delivered under the fallback array field ('value'),
+    read with ['tenantSettings', 'value'], stamped, then their security groups."""
+    st = SI.tenant_settings_from_customers(load(spark, sf, "customer")).drop("TransferDateTime")
+    path = _scratch(spark, "settings-feed")
+    st.select(F.array(F.struct(*st.columns)).alias("value")).write.json(path)
+    records = ENV.read_envelope(spark, path, ["tenantSettings", "value"], multiline=False)
+    return T.build_enabled_security_groups(M.append_stamped(None, records, "2024-01-30 06:00:00"))
+
+
+@register("orders_latest_snapshot", "S3, S6", sql="""
+SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders
+""")
+def q_orders_latest_snapshot(spark, sf):
+    """Two dated parquet snapshots (the newer one with an added column); the
+    newest leaf of the date tree is read."""
+    o = load(spark, sf, "orders")
+    base = _scratch(spark, "order-snapshots")
+    SINK.write_table(o.filter(F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp_ntz"))
+                     .select("o_orderkey", "o_orderstatus", "o_totalprice"), f"{base}/2024/01/29", "overwrite")
+    SINK.write_table(o.select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority"),
+                     f"{base}/2024/01/30", "overwrite")
+    return ENV.read_latest(spark, base, fmt="parquet")
+
+
+@register("orders_evolving_table", "S6", sql="""
+SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderdate >= TIMESTAMP '1999-01-01' THEN o_orderpriority END AS o_orderpriority
+FROM orders
+""")
+def q_orders_evolving_table(spark, sf):
+    """Appends with additive schema evolution: old rows lack the new column."""
+    o = load(spark, sf, "orders")
+    path = _scratch(spark, "orders-table")
+    cut = F.lit("1999-01-01").cast("timestamp_ntz")
+    SINK.write_table(o.filter(F.col("o_orderdate") < cut).select("o_orderkey", "o_orderstatus"), path, "append")
+    SINK.write_table(o.filter(F.col("o_orderdate") >= cut).select("o_orderkey", "o_orderstatus", "o_orderpriority"),
+                     path, "append")
+    return SINK.read_table(spark, path).select("o_orderkey", "o_orderstatus", "o_orderpriority")
+
+
+def _rename_parts(spark, folder: str, prefix: str, ext: str = ".log") -> None:
+    """Give the part files of a written folder report-style names (a metadata
+    operation on the file system, as log shipping produces them)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for i, st in enumerate(sorted(fs.listStatus(p), key=lambda x: x.getPath().getName())):
+        name = st.getPath().getName()
+        if name.startswith("part-"):
+            fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(folder, f"{prefix}_{i}{ext}"))
+
+
+@register("gateway_logs_from_files", "S4", sql="""
+SELECT 'r' || CAST(l_orderkey AS VARCHAR) AS RequestId, 't' || CAST(l_linenumber AS VARCHAR) AS QueryTrackingId,
+       CASE WHEN l_returnflag = 'R' THEN 'N' ELSE 'Y' END AS Success, l_linenumber % 2 = 0 AS HasDataSource
+FROM lineitem
+""")
+def q_gateway_logs_from_files(spark, sf):
+    """Report logs written as CSV files whose headers differ (one set lacks
+    DataSource, another report's files sit alongside), read by name per file."""
+    logs = SI.query_execution_logs_from_lineitem(load(spark, sf, "lineitem"))
+    base = _scratch(spark, "gateway-logs")
+    opts = dict(header=True, quote='"', escape='"')
+    even = F.col("QueryTrackingId").substr(2, 5).cast("int") % 2 == 0
+    logs.filter(even).select("RequestId", "DataSource", "QueryTrackingId", "Success").write.options(**opts).csv(f"{base}/a")
+    logs.filter(~even).select("Success", "RequestId", "QueryTrackingId").write.options(**opts).csv(f"{base}/b")
+    logs.select("RequestId").write.options(**opts).csv(f"{base}/c")
+    _rename_parts(spark, f"{base}/a", "QueryExecutionReport_a")
+    _rename_parts(spark, f"{base}/b", "QueryExecutionReport_b")
+    _rename_parts(spark, f"{base}/c", "MashupEvaluationReport_c")
+    rows_ = LOGS.read_report_logs(spark, base, "QueryExecutionReport", ["RequestId", "QueryTrackingId", "Success", "DataSource"])
+    return rows_.select("RequestId", "QueryTrackingId", "Success", F.col("DataSource").isNotNull().alias("HasDataSource"))

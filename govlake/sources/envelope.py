@@ -12,8 +12,14 @@ def _empty(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], StructType([]))
 
 
-def read_envelope(spark: SparkSession, path: str, array_fields, schema: StructType | None = None) -> DataFrame:
-    """Read multiline JSON envelopes and return one row per array element.
+def read_envelope(spark: SparkSession, path: str, array_fields, schema: StructType | None = None,
+                  multiline: bool = True) -> DataFrame:
+    """Read JSON envelopes and return one row per array element.
+
+    ``multiline=True`` reads one envelope document per file (the API dump
+    format; a file is one task).  ``multiline=False`` reads one envelope per
+    line (JSON lines), which Spark splits across tasks - the format to
+    prefer for large feeds.
 
     ``array_fields`` is an ordered list: the first field present in the data
     is exploded (``tenantSettings`` else ``value``).  An empty folder or an
@@ -22,7 +28,7 @@ def read_envelope(spark: SparkSession, path: str, array_fields, schema: StructTy
     schema avoids the inference pass and reads only the declared fields.
     """
     fields = [array_fields] if isinstance(array_fields, str) else list(array_fields)
-    reader = spark.read.option("multiline", "true").option("recursiveFileLookup", "false")
+    reader = spark.read.option("multiline", "true" if multiline else "false")
     if schema is not None:
         reader = reader.schema(schema)
     try:
@@ -58,11 +64,15 @@ def latest_leaf(spark: SparkSession, base: str) -> str | None:
     return base_uri + ("/" + "/".join(row["m"]) if any(row["m"]) else "")
 
 
-def read_latest(spark: SparkSession, base: str, array_fields=None, schema: StructType | None = None) -> DataFrame:
-    """Read the newest snapshot under a date/time-named folder tree."""
+def read_latest(spark: SparkSession, base: str, array_fields=None, schema: StructType | None = None,
+                fmt: str = "json") -> DataFrame:
+    """Read the newest snapshot under a date/time-named folder tree
+    (JSON envelopes, plain JSON, or parquet with merged schemas)."""
     leaf = latest_leaf(spark, base)
     if leaf is None:
         return _empty(spark)
+    if fmt == "parquet":
+        return spark.read.option("mergeSchema", "true").parquet(leaf)
     if array_fields:
         return read_envelope(spark, leaf, array_fields, schema)
     reader = spark.read.option("multiline", "true")
