@@ -2098,3 +2098,46 @@ def q_gateway_logs_from_files(spark, sf):
     _rename_parts(spark, f"{base}/c", "MashupEvaluationReport_c")
     rows_ = LOGS.read_report_logs(spark, base, "QueryExecutionReport", ["RequestId", "QueryTrackingId", "Success", "DataSource"])
     return rows_.select("RequestId", "QueryTrackingId", "Success", F.col("DataSource").isNotNull().alias("HasDataSource"))
+
+
+@register("model_column_structure_rules", "B2", sql=with_(SI.CATALOGUE_SQL, SI.COLUMNS_CATALOGUE_SQL) + """
+, tcat AS (SELECT ModelId, TableName, bool_or(is_time) AS is_time FROM tb GROUP BY 1, 2),
+c AS (SELECT cols.*, cols.IsHidden AS ColHidden, coalesce(tc.is_time, false) AS is_time
+      FROM cols LEFT JOIN tcat tc ON cols.ModelId = tc.ModelId AND cols.TableName = tc.TableName),
+v AS (
+  SELECT c.ModelId, 7 AS RuleId, c.TableName || '.' || c.ColumnName AS ObjectName FROM c
+    WHERE c.IsAvailableInMDX AND c.ColHidden AND coalesce(c.SortByColumn, '') = ''
+      AND NOT EXISTS (SELECT 1 FROM sortused s WHERE s.ModelId = c.ModelId AND s.TableName = c.TableName AND s.ColumnName = c.ColumnName)
+      AND NOT EXISTS (SELECT 1 FROM hier h WHERE h.ModelId = c.ModelId AND h.TableName = c.TableName AND h.ColumnName = c.ColumnName)
+  UNION ALL SELECT c.ModelId, 26, c.TableName || '.' || c.ColumnName FROM c
+    WHERE NOT c.IsAvailableInMDX AND (
+      EXISTS (SELECT 1 FROM sortused s WHERE s.ModelId = c.ModelId AND s.TableName = c.TableName AND s.ColumnName = c.ColumnName)
+      OR EXISTS (SELECT 1 FROM hier h WHERE h.ModelId = c.ModelId AND h.TableName = c.TableName AND h.ColumnName = c.ColumnName)
+      OR length(coalesce(c.SortByColumn, '')) > 0)
+  UNION ALL SELECT c.ModelId, 41, c.TableName || '.' || c.ColumnName FROM c
+    WHERE c.ColHidden
+      AND NOT EXISTS (SELECT 1 FROM relcols r WHERE r.ModelId = c.ModelId AND r.TableName = c.TableName AND r.ColumnName = c.ColumnName)
+      AND NOT EXISTS (SELECT 1 FROM hier h WHERE h.ModelId = c.ModelId AND h.TableName = c.TableName AND h.ColumnName = c.ColumnName)
+      AND NOT EXISTS (SELECT 1 FROM sortused s WHERE s.ModelId = c.ModelId AND s.TableName = c.TableName AND s.ColumnName = c.ColumnName)
+      AND EXISTS (SELECT 1 FROM deps d WHERE d.ModelId = c.ModelId AND d.TableName = c.TableName AND d.ColumnName = c.ColumnName)
+  UNION ALL SELECT c.ModelId, 52, c.TableName || '.' || c.ColumnName FROM c
+    WHERE NOT c.IsHidden AND EXISTS (SELECT 1 FROM relcols r WHERE r.ModelId = c.ModelId AND r.TableName = c.TableName
+                                      AND r.ColumnName = c.ColumnName AND r.e = 'From' AND r.card = 'Many')
+  UNION ALL SELECT c.ModelId, 53, c.TableName || '.' || c.ColumnName FROM c
+    WHERE NOT c.IsKey AND NOT c.is_time AND EXISTS (SELECT 1 FROM relcols r WHERE r.ModelId = c.ModelId AND r.TableName = c.TableName
+                                      AND r.ColumnName = c.ColumnName AND r.e = 'To' AND r.card = 'One'))
+SELECT ModelId, RuleId, count(*) AS violations, count(DISTINCT ObjectName) AS objects FROM v GROUP BY 1, 2
+""")
+def q_model_column_structure_rules(spark, sf):
+    """Column rules that consult relationships, hierarchies, sort-by columns and dependencies."""
+    p, li = load(spark, sf, "part"), load(spark, sf, "lineitem")
+    meta = SI.model_catalogue_from_parts(p, li, load(spark, sf, "customer"))
+    meta.update(SI.model_columns_catalogue(p, li))
+    meta["tables"] = meta["tables"].select("ModelId", "TableName", F.lit(False).alias("IsHidden"),
+                                           F.when(F.col("DataCategory") == "Time", "Time").otherwise("").alias("DataCategory"))
+    meta["tables"] = meta["tables"].groupBy("ModelId", "TableName").agg(
+        F.lit(False).alias("IsHidden"), F.max("DataCategory").alias("DataCategory"))
+    v = B.bpa(meta, [7, 26, 41, 52, 53])
+    v = v.withColumn("ObjectName", F.concat_ws(".", "TableName", "ObjectName"))
+    return v.groupBy("ModelId", "RuleId").agg(F.count(F.lit(1)).alias("violations"),
+                                              F.count_distinct("ObjectName").alias("objects"))

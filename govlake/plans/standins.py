@@ -780,3 +780,48 @@ fl AS (SELECT ModelId, TableName, max(CASE WHEN e = 'From' THEN 1 ELSE 0 END) AS
               max(CASE WHEN to_one THEN 1 ELSE 0 END) AS t1 FROM ends GROUP BY 1, 2),
 hy AS (SELECT ModelId, TableName FROM pt GROUP BY 1, 2
        HAVING max(CASE WHEN Mode = 'Import' THEN 1 ELSE 0 END) = 1 AND max(CASE WHEN Mode = 'DirectQuery' THEN 1 ELSE 0 END) = 1)"""
+
+
+def model_columns_catalogue(part: DataFrame, lineitem: DataFrame) -> dict[str, DataFrame]:
+    """Columns (key columns K1..K7 seen on line items, one Id per part table),
+    hierarchies and column dependencies for the column-structure rules."""
+    pk, ln = F.col("l_partkey"), F.col("l_linenumber")
+    keys = lineitem.select(
+        _cat("model-", pk % 20).alias("ModelId"), _cat("T", F.floor(pk / 20)).alias("TableName"), _cat("K", ln).alias("ColumnName"),
+        F.lit("Int64").alias("DataType"), ((pk + ln) % 3 == 0).alias("IsHidden"), (pk % 2 == 0).alias("IsAvailableInMDX"),
+        F.lit(False).alias("IsKey"), F.when(ln == 1, F.lit("K2")).alias("SortByColumn")).distinct()
+    p = F.col("p_partkey")
+    ids = part.select(_cat("model-", p % 20).alias("ModelId"), _cat("T", F.floor(p / 20)).alias("TableName"),
+                      F.lit("Id").alias("ColumnName"), F.lit("Int64").alias("DataType"), F.lit(False).alias("IsHidden"),
+                      F.lit(True).alias("IsAvailableInMDX"), (F.col("p_size") % 2 == 0).alias("IsKey"),
+                      F.lit(None).cast("string").alias("SortByColumn"))
+    hier = part.filter(F.col("p_size") % 6 == 0).select(
+        _cat("model-", p % 20).alias("ModelId"), _cat("T", F.floor(p / 20)).alias("TableName"),
+        F.lit("H").alias("HierarchyName"), F.lit("K3").alias("ColumnName"))
+    deps = lineitem.filter(ln % 3 == 0).select(
+        _cat("model-", pk % 20).alias("ModelId"), F.lit("COLUMN").alias("ObjectType"),
+        _cat("T", F.floor(pk / 20)).alias("TableName"), _cat("K", ln).alias("ObjectName"),
+        F.lit("COLUMN").alias("ReferencedObjectType"), _cat("T", F.floor(pk / 20)).alias("ReferencedTable"),
+        F.lit("Id").alias("ReferencedObject")).distinct()
+    return {"columns": keys.unionByName(ids), "hierarchies": hier, "dependencies": deps}
+
+
+COLUMNS_CATALOGUE_SQL = """
+cols AS (
+  SELECT DISTINCT 'model-' || CAST(l_partkey % 20 AS VARCHAR) AS ModelId, 'T' || CAST(CAST(floor(l_partkey / 20) AS BIGINT) AS VARCHAR) AS TableName,
+         'K' || CAST(l_linenumber AS VARCHAR) AS ColumnName, (l_partkey + l_linenumber) % 3 = 0 AS IsHidden,
+         l_partkey % 2 = 0 AS IsAvailableInMDX, false AS IsKey, CASE WHEN l_linenumber = 1 THEN 'K2' END AS SortByColumn FROM lineitem
+  UNION ALL
+  SELECT 'model-' || CAST(p_partkey % 20 AS VARCHAR), 'T' || CAST(CAST(floor(p_partkey / 20) AS BIGINT) AS VARCHAR), 'Id', false, true,
+         p_size % 2 = 0, CAST(NULL AS VARCHAR) FROM part),
+hier AS (SELECT DISTINCT 'model-' || CAST(p_partkey % 20 AS VARCHAR) AS ModelId,
+                'T' || CAST(CAST(floor(p_partkey / 20) AS BIGINT) AS VARCHAR) AS TableName, 'K3' AS ColumnName FROM part WHERE p_size % 6 = 0),
+deps AS (SELECT DISTINCT 'model-' || CAST(l_partkey % 20 AS VARCHAR) AS ModelId,
+                'T' || CAST(CAST(floor(l_partkey / 20) AS BIGINT) AS VARCHAR) AS TableName, 'K' || CAST(l_linenumber AS VARCHAR) AS ColumnName
+         FROM lineitem WHERE l_linenumber % 3 = 0),
+sortused AS (SELECT DISTINCT ModelId, TableName, SortByColumn AS ColumnName FROM cols WHERE SortByColumn IS NOT NULL AND SortByColumn <> ''),
+relcols AS (SELECT DISTINCT 'model-' || CAST(l_partkey % 20 AS VARCHAR) AS ModelId,
+                   'T' || CAST(CAST(floor(l_partkey / 20) AS BIGINT) AS VARCHAR) AS TableName, 'K' || CAST(l_linenumber AS VARCHAR) AS ColumnName,
+                   'From' AS e, 'Many' AS card FROM lineitem
+            UNION SELECT DISTINCT 'model-' || CAST(l_partkey % 20 AS VARCHAR), 'T' || CAST(CAST(floor(l_suppkey / 20) AS BIGINT) AS VARCHAR),
+                   'Id', 'To', CASE WHEN l_returnflag = 'R' THEN 'Many' ELSE 'One' END FROM lineitem)"""
