@@ -174,66 +174,35 @@ def _rel_ends(m: dict) -> DataFrame:
     return f.unionByName(t)
 
 
-def _m2m(r: DataFrame) -> Column:
+def _m2m(r: DataFrame | None = None) -> Column:
     return (F.col("FromCardinality") == "Many") & (F.col("ToCardinality") == "Many")
 
 
-def _bidi(r: DataFrame) -> Column:
+def _bidi(r: DataFrame | None = None) -> Column:
     return F.col("CrossFilteringBehavior") == "BothDirections"
 
 
 # ---------------------------------------------------------------------------- B1 columns
-def _r_cols(m, rule, cond_fn) -> DataFrame:
-    c = _hidden(m["columns"], m["tables"])
-    return _out(c.filter(cond_fn(c)), rule, "Column", "TableName", "ColumnName")
 
 
-def r1(m):
-    return _r_cols(m, 1, lambda c: F.col("DataType") == "Double")
 
 
-def r2(m):
-    return _r_cols(m, 2, lambda c: F.col("Type") == "Calculated")
 
 
-def r16(m):
-    return _r_cols(m, 16, lambda c: (F.col("Type") == "Calculated") & _s("Expression").rlike(r"(?i)related\s*\("))
 
 
-def r25(m):
-    return _r_cols(m, 25, lambda c: (F.col("Type") == "Data") & (F.length(_s("SourceColumn")) == 0))
 
 
-def r46(m):
-    return _r_cols(m, 46, lambda c: F.col("ColumnName").rlike("(?i)date") & (F.col("DataType") == "DateTime")
-                   & (_s("FormatString") != "mm/dd/yyyy"))
 
 
-def r47(m):
-    # operator precedence as written: Int64 or Decimal or (Double and summarized and visible)
-    return _r_cols(m, 47, lambda c: (F.col("DataType") == "Int64") | (F.col("DataType") == "Decimal")
-                   | ((F.col("DataType") == "Double") & (_s("SummarizeBy") != "None") & ~F.col("ColHidden")))
 
 
-def r49(m):
-    starts = reduce(lambda a, b: a | b, [F.lower("ColumnName").startswith(p) for p in GEO_PREFIXES])
-    return _r_cols(m, 49, lambda c: (F.length(_s("DataCategory")) == 0) & starts)
 
 
-def r54(m):
-    return _r_cols(m, 54, lambda c: F.col("ColumnName").rlike("(?i)month") & ~F.col("ColumnName").rlike("(?i)months")
-                   & (F.col("DataType") == "String") & (F.length(_s("SortByColumn")) == 0))
 
 
-def r56(m):
-    return _r_cols(m, 56, lambda c: F.col("ColumnName").rlike("(?i)month") & (F.col("DataType") == "DateTime")
-                   & (_s("FormatString") != "MMMM yyyy"))
 
 
-def r57(m):
-    n = F.lower("ColumnName")
-    return _r_cols(m, 57, lambda c: (n.startswith("is") & (F.col("DataType") == "Int64") & ~F.col("ColHidden"))
-                   | (n.endswith(" flag") & (F.col("DataType") != "String") & ~F.col("ColHidden")))
 
 
 # ---------------------------------------------------------------------------- B2 columns vs others
@@ -297,14 +266,8 @@ def _with_col_types(m) -> DataFrame:
                             F.col("DataType").alias("ToType")), ["ModelId", "ToTable", "ToColumn"], "left")
 
 
-def r3(m):
-    r = m["relationships"]
-    return _out(r.filter(_m2m(r) | _bidi(r)), 3, "Relationship", "FromTable", _rel_name())
 
 
-def r6(m):
-    r = m["relationships"]
-    return _out(r.filter(_m2m(r) & _bidi(r)), 6, "Relationship", "FromTable", _rel_name())
 
 
 def r24(m):
@@ -341,16 +304,8 @@ def r40(m):
 
 
 # ---------------------------------------------------------------------------- B4 RLS
-def r4(m):
-    r = m["rls"]
-    return _out(r.filter(_s("FilterExpression").rlike(r"(?i)(USERPRINCIPALNAME\(\)|USERNAME\(\))")), 4,
-                "Row Level Security", "TableName", "RoleName")
 
 
-def r21(m):
-    r = m["rls"]
-    cond = reduce(lambda a, b: a | b, [F.lower(_s("FilterExpression")).contains(x) for x in RLS_HEAVY_FUNCTIONS])
-    return _out(r.filter(cond), 21, "Row Level Security", "TableName", "RoleName")
 
 
 # ---------------------------------------------------------------------------- B5 tables
@@ -404,20 +359,10 @@ def r12(m):
     return _out(t, 12, "Table", "TableName", "TableName")
 
 
-def r15(m):
-    t = m["tables"].filter(~_b("IsFieldParameter") & _b("IsCalculated"))
-    return _out(t, 15, "Table", "TableName", "TableName")
 
 
-def r18(m):
-    t = m["tables"].filter(_b("IsCalculated") & (F.col("TableName").startswith("DateTableTemplate_")
-                                                 | F.col("TableName").startswith("LocalDateTable_")))
-    return _out(t, 18, "Table", "TableName", "TableName")
 
 
-def r19(m):
-    t = m["tables"].filter(F.col("TableName").rlike("(?i)(date|calendar)") & (_s("DataCategory") != "Time"))
-    return _out(t, 19, "Table", "TableName", "TableName")
 
 
 def r20(m):
@@ -449,10 +394,6 @@ def r44(m):
 
 
 # ---------------------------------------------------------------------------- B6 partitions
-def r11(m):
-    p = m["partitions"]
-    cond = (F.col("SourceType") == "M") & reduce(lambda a, b: a | b, [_s("Expression").contains(x) for x in PQ_HEAVY_STEPS])
-    return _out(p.filter(cond), 11, "Partition", "TableName", "PartitionName")
 
 
 # ---------------------------------------------------------------------------- B7 models
@@ -481,69 +422,30 @@ def r22(m):
 
 
 # ---------------------------------------------------------------------------- B8 measure text
-def _r_meas(m, rule, cond_fn) -> DataFrame:
-    ms = m["measures"].withColumn("_e", _s("Expression"))
-    return _out(ms.filter(cond_fn(ms)), rule, "Measure", "TableName", "MeasureName")
 
 
-def r14(m):
-    nospace = F.regexp_replace(F.col("_e"), " ", "")
-    return _r_meas(m, 14, lambda d: nospace.startswith("0+") | nospace.endswith("+0")
-                   | F.col("_e").rlike(r"(?i)DIVIDE\s*\(\s*[^,]+,\s*[^,]+,\s*0\s*\)")
-                   | F.col("_e").rlike(r"(?i)IFERROR\s*\(\s*[^,]+,\s*0\s*\)"))
 
 
-def r28(m):
-    return _r_meas(m, 28, lambda d: F.col("_e").rlike(r"(?i)iferror\s*\("))
 
 
-def r29(m):
-    return _r_meas(m, 29, lambda d: F.col("_e").rlike(r"(?i)intersect\s*\("))
 
 
-def r30(m):
-    return _r_meas(m, 30, lambda d: F.col("_e").rlike(r"(?i)evaluateandlog\s*\("))
 
 
-def r33(m):
-    return _r_meas(m, 33, lambda d: F.col("_e").rlike(r"(?i)DIVIDE\s*\((\s*.*?)\)\s*[+-]\s*1|\/\s*.*(?=[-+]\s*1)"))
 
 
-def r34(m):
-    return _r_meas(m, 34, lambda d: F.col("_e").rlike(
-        r"(?i)[0-9]+\s*[-+]\s*[\(]*\s*SUM\s*\(\s*'*[A-Za-z0-9 _]+'*\s*\[[A-Za-z0-9 _]+\]\s*\)\s*/")
-        | F.col("_e").rlike(r"(?i)[0-9]+\s*[-+]\s*DIVIDE\s*\("))
 
 
-def r35(m):
-    return _r_meas(m, 35, lambda d: F.col("_e").rlike(
-        r"(?i)CALCULATE\s*\(\s*[^,]+,\s*FILTER\s*\(\s*'*[A-Za-z0-9 _]+'*\s*,\s*\[[^\]]+\]")
-        | F.col("_e").rlike(r"(?i)CALCULATETABLE\s*\(\s*[^,]*,\s*FILTER\s*\(\s*'*[A-Za-z0-9 _]+'*\s*,\s*\["))
 
 
-def r36(m):
-    return _r_meas(m, 36, lambda d: F.col("_e").rlike(
-        r"(?i)CALCULATE\s*\(\s*[^,]+,\s*FILTER\s*\(\s*'*[A-Za-z0-9 _]+'*\s*,\s*'*[A-Za-z0-9 _]+'*\[[A-Za-z0-9 _]+\]")
-        | F.col("_e").rlike(
-        r"(?i)CALCULATETABLE\s*\([^,]*,\s*FILTER\s*\(\s*'*[A-Za-z0-9 _]+'*\s*,\s*'*[A-Za-z0-9 _]+'*\[[A-Za-z0-9 _]+\]"))
 
 
-def r37(m):
-    # the source pattern joins two alternatives with a stray '" or "'; these are the two intended ones
-    return _r_meas(m, 37, lambda d: F.col("_e").rlike(r"\]\s*\/(?!\/)(?!\*)") | F.col("_e").rlike(r"\)\s*\/(?!\/)(?!\*)"))
 
 
-def r48(m):
-    return _r_meas(m, 48, lambda d: ~_b("IsHidden") & (F.length(_s("FormatString")) == 0))
 
 
-def r50(m):
-    return _r_meas(m, 50, lambda d: _s("FormatString").contains("%") & (_s("FormatString") != "#,0.0%;-#,0.0%;#,0.0%"))
 
 
-def r51(m):
-    return _r_meas(m, 51, lambda d: ~_s("FormatString").contains("$") & ~_s("FormatString").contains("%")
-                   & ~_s("FormatString").isin("#,0", "#,0.0"))
 
 
 # ---------------------------------------------------------------------------- B9 measures vs measures
@@ -584,38 +486,128 @@ def _named_objects(m) -> DataFrame:
     return t.unionByName(c).unionByName(ms).unionByName(p).unionByName(h)
 
 
-def _r_named(m, rule, cond_fn, kinds=None) -> DataFrame:
-    o = _named_objects(m)
-    if kinds:
-        o = o.filter(F.col("_k").isin(kinds))
-    o = o.filter(cond_fn(o))
-    return o.select("ModelId", F.lit(rule).alias("RuleId"), F.col("_k").alias("ObjectType"),
-                    F.col("TableName").cast("string"), F.col("_n").cast("string").alias("ObjectName"))
 
 
-def r23(m):
-    return _out(m["calc_items"].filter(F.length(_s("Expression")) == 0), 23, "Calculation Item", "TableName", "ItemName")
 
 
-def r45(m):
-    return _r_named(m, 45, lambda o: ~F.col("_h") & (F.length("_d") == 0), ["Column", "Measure", "Table"])
 
 
-def r58(m):
-    return _r_named(m, 58, lambda o: F.col("_n").startswith(" ") | F.col("_n").endswith(" "))
 
 
-def r59(m):
-    first = F.substr(F.col("_n"), F.lit(1), F.lit(1))
-    return _r_named(m, 59, lambda o: first != F.upper(first))
 
 
-def r60(m):
-    return _r_named(m, 60, lambda o: F.col("_n").rlike("[\t\r\n]"))
+
+
+# ---------------------------------------------------------------------------- per-row rules
+def _frame(kind: str, m: dict) -> DataFrame:
+    """The object table a per-row rule reads, with the helper columns its
+    predicates use."""
+    if kind == "columns":
+        return _hidden(m["columns"], m["tables"])
+    if kind == "measures":
+        return m["measures"].withColumn("_e", _s("Expression"))
+    if kind == "named":
+        return _named_objects(m)
+    return m[kind]
+
+
+def _geo(c: Column) -> Column:
+    return reduce(lambda a, b: a | b, [F.lower(c).startswith(p) for p in GEO_PREFIXES])
+
+
+_NOSPACE = lambda: F.regexp_replace(F.col("_e"), " ", "")
+_RX = lambda pat: F.col("_e").rlike(pat)
+_FMT = lambda: _s("FormatString")
+
+# rule id -> (object kind, predicate); one pass per kind evaluates all of them
+ROW_RULES: dict[int, tuple[str, Callable[[], Column]]] = {
+    # B1 columns
+    1: ("columns", lambda: F.col("DataType") == "Double"),
+    2: ("columns", lambda: F.col("Type") == "Calculated"),
+    16: ("columns", lambda: (F.col("Type") == "Calculated") & _s("Expression").rlike(r"(?i)related\s*\(")),
+    25: ("columns", lambda: (F.col("Type") == "Data") & (F.length(_s("SourceColumn")) == 0)),
+    46: ("columns", lambda: F.col("ColumnName").rlike("(?i)date") & (F.col("DataType") == "DateTime")
+         & (_s("FormatString") != "mm/dd/yyyy")),
+    # operator precedence as written: Int64 or Decimal or (Double and summarized and visible)
+    47: ("columns", lambda: (F.col("DataType") == "Int64") | (F.col("DataType") == "Decimal")
+         | ((F.col("DataType") == "Double") & (_s("SummarizeBy") != "None") & ~F.col("ColHidden"))),
+    49: ("columns", lambda: (F.length(_s("DataCategory")) == 0) & _geo(F.col("ColumnName"))),
+    54: ("columns", lambda: F.col("ColumnName").rlike("(?i)month") & ~F.col("ColumnName").rlike("(?i)months")
+         & (F.col("DataType") == "String") & (F.length(_s("SortByColumn")) == 0)),
+    56: ("columns", lambda: F.col("ColumnName").rlike("(?i)month") & (F.col("DataType") == "DateTime")
+         & (_s("FormatString") != "MMMM yyyy")),
+    57: ("columns", lambda: (F.lower("ColumnName").startswith("is") & (F.col("DataType") == "Int64") & ~F.col("ColHidden"))
+         | (F.lower("ColumnName").endswith(" flag") & (F.col("DataType") != "String") & ~F.col("ColHidden"))),
+    # B3 relationships
+    3: ("relationships", lambda: _m2m(None) | _bidi(None)),
+    6: ("relationships", lambda: _m2m(None) & _bidi(None)),
+    # B4 row-level security
+    4: ("rls", lambda: _s("FilterExpression").rlike(r"(?i)(USERPRINCIPALNAME\(\)|USERNAME\(\))")),
+    21: ("rls", lambda: reduce(lambda a, b: a | b,
+                               [F.lower(_s("FilterExpression")).contains(x) for x in RLS_HEAVY_FUNCTIONS])),
+    # B5 tables
+    15: ("tables", lambda: ~_b("IsFieldParameter") & _b("IsCalculated")),
+    18: ("tables", lambda: _b("IsCalculated") & (F.col("TableName").startswith("DateTableTemplate_")
+                                                 | F.col("TableName").startswith("LocalDateTable_"))),
+    19: ("tables", lambda: F.col("TableName").rlike("(?i)(date|calendar)") & (_s("DataCategory") != "Time")),
+    # B6 partitions
+    11: ("partitions", lambda: (F.col("SourceType") == "M")
+         & reduce(lambda a, b: a | b, [_s("Expression").contains(x) for x in PQ_HEAVY_STEPS])),
+    # B8 measure text
+    14: ("measures", lambda: _NOSPACE().startswith("0+") | _NOSPACE().endswith("+0")
+         | _RX(r"(?i)DIVIDE\s*\(\s*[^,]+,\s*[^,]+,\s*0\s*\)") | _RX(r"(?i)IFERROR\s*\(\s*[^,]+,\s*0\s*\)")),
+    28: ("measures", lambda: _RX(r"(?i)iferror\s*\(")),
+    29: ("measures", lambda: _RX(r"(?i)intersect\s*\(")),
+    30: ("measures", lambda: _RX(r"(?i)evaluateandlog\s*\(")),
+    33: ("measures", lambda: _RX(r"(?i)DIVIDE\s*\((\s*.*?)\)\s*[+-]\s*1|\/\s*.*(?=[-+]\s*1)")),
+    34: ("measures", lambda: _RX(r"(?i)[0-9]+\s*[-+]\s*[\(]*\s*SUM\s*\(\s*'*[A-Za-z0-9 _]+'*\s*\[[A-Za-z0-9 _]+\]\s*\)\s*/")
+         | _RX(r"(?i)[0-9]+\s*[-+]\s*DIVIDE\s*\(")),
+    35: ("measures", lambda: _RX(r"(?i)CALCULATE\s*\(\s*[^,]+,\s*FILTER\s*\(\s*'*[A-Za-z0-9 _]+'*\s*,\s*\[[^\]]+\]")
+         | _RX(r"(?i)CALCULATETABLE\s*\(\s*[^,]*,\s*FILTER\s*\(\s*'*[A-Za-z0-9 _]+'*\s*,\s*\[")),
+    36: ("measures", lambda: _RX(r"(?i)CALCULATE\s*\(\s*[^,]+,\s*FILTER\s*\(\s*'*[A-Za-z0-9 _]+'*\s*,\s*'*[A-Za-z0-9 _]+'*\[[A-Za-z0-9 _]+\]")
+         | _RX(r"(?i)CALCULATETABLE\s*\([^,]*,\s*FILTER\s*\(\s*'*[A-Za-z0-9 _]+'*\s*,\s*'*[A-Za-z0-9 _]+'*\[[A-Za-z0-9 _]+\]")),
+    # the source pattern joins two alternatives with a stray '" or "'; these are the two intended ones
+    37: ("measures", lambda: _RX(r"\]\s*\/(?!\/)(?!\*)") | _RX(r"\)\s*\/(?!\/)(?!\*)")),
+    48: ("measures", lambda: ~_b("IsHidden") & (F.length(_FMT()) == 0)),
+    50: ("measures", lambda: _FMT().contains("%") & (_FMT() != "#,0.0%;-#,0.0%;#,0.0%")),
+    51: ("measures", lambda: ~_FMT().contains("$") & ~_FMT().contains("%") & ~_FMT().isin("#,0", "#,0.0")),
+    # B10 any object
+    23: ("calc_items", lambda: F.length(_s("Expression")) == 0),
+    45: ("named", lambda: F.col("_k").isin("Column", "Measure", "Table") & ~F.col("_h") & (F.length("_d") == 0)),
+    58: ("named", lambda: F.col("_n").startswith(" ") | F.col("_n").endswith(" ")),
+    59: ("named", lambda: F.substr(F.col("_n"), F.lit(1), F.lit(1)) != F.upper(F.substr(F.col("_n"), F.lit(1), F.lit(1)))),
+    60: ("named", lambda: F.col("_n").rlike("[\t\r\n]")),
+}
+
+# how each kind names its objects: (ObjectType, table column, object name column)
+_OUTPUT = {
+    "columns": (lambda: F.lit("Column"), "TableName", lambda: F.col("ColumnName")),
+    "measures": (lambda: F.lit("Measure"), "TableName", lambda: F.col("MeasureName")),
+    "rls": (lambda: F.lit("Row Level Security"), "TableName", lambda: F.col("RoleName")),
+    "partitions": (lambda: F.lit("Partition"), "TableName", lambda: F.col("PartitionName")),
+    "tables": (lambda: F.lit("Table"), "TableName", lambda: F.col("TableName")),
+    "relationships": (lambda: F.lit("Relationship"), "FromTable", _rel_name),
+    "calc_items": (lambda: F.lit("Calculation Item"), "TableName", lambda: F.col("ItemName")),
+    "named": (lambda: F.col("_k"), "TableName", lambda: F.col("_n")),
+}
+
+
+def _row_pass(meta: dict, kind: str, ids: list[int]) -> DataFrame:
+    """All per-row rules of one object kind in a single scan: an array of
+    the ids whose predicate holds, exploded to one row per violation."""
+    df = _frame(kind, meta)
+    flags = F.array(*[F.when(ROW_RULES[i][1](), F.lit(i)) for i in ids])
+    obj_type, table_col, name = _OUTPUT[kind]
+    # explode the flag array and drop the nulls: stays in generated code
+    # (a lambda filter over the array would not)
+    return (df.select("ModelId", F.explode(flags).alias("RuleId"), obj_type().alias("ObjectType"),
+                      F.col(table_col).cast("string").alias("TableName"), name().cast("string").alias("ObjectName"))
+            .filter(F.col("RuleId").isNotNull()))
 
 
 RULES: dict[int, Callable[[dict], DataFrame]] = {
-    int(n[1:]): fn for n, fn in globals().items() if n.startswith("r") and n[1:].isdigit() and callable(fn)}
+    **{i: (lambda m, i=i: _row_pass(m, ROW_RULES[i][0], [i])) for i in ROW_RULES},
+    **{int(n[1:]): fn for n, fn in globals().items() if n.startswith("r") and n[1:].isdigit() and callable(fn)}}
 
 
 def bpa(meta: dict[str, DataFrame], rules: list[int] | None = None) -> DataFrame:
@@ -624,7 +616,13 @@ def bpa(meta: dict[str, DataFrame], rules: list[int] | None = None) -> DataFrame
     Returns ``(ModelId, RuleId, ObjectType, TableName, ObjectName)``; join
     with :func:`rule_catalogue` for category, severity and impact."""
     ids = sorted(rules or RULES)
-    return reduce(lambda a, b: a.unionByName(b), [RULES[i](meta) for i in ids])
+    by_kind: dict[str, list[int]] = {}
+    for i in ids:
+        if i in ROW_RULES:
+            by_kind.setdefault(ROW_RULES[i][0], []).append(i)
+    parts = [_row_pass(meta, kind, kind_ids) for kind, kind_ids in by_kind.items()]
+    parts += [RULES[i](meta) for i in ids if i not in ROW_RULES]
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def violation_counts(violations: DataFrame, catalogue: DataFrame, by: list[str] | None = None) -> DataFrame:
