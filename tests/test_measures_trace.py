@@ -174,3 +174,19 @@ def test_distributed_rank_running_total_median(spark):
     med = rows(A.exact_median(df, "v", ["g"]), ["g", "median"])
     assert med == rows(df.groupBy("g").agg(F.median("v").alias("m")), ["g", "m"])
     assert A.exact_median(df, "v").first()["median"] == df.agg(F.median("v")).first()[0]
+
+
+def test_sum_over_groups_equals_total(spark):
+    from conftest import SF_CHECK
+    from govlake.plans.standins import load
+    li = load(spark, SF_CHECK, "lineitem")
+    conds = {"discounted": F.col("l_discount") > 0.05, "taxed": F.col("l_tax") > 0}
+    by = A.conditional_counts(li, conds, by=["l_returnflag"]).agg(*[F.sum(c).alias(c) for c in conds]).first()
+    total = A.conditional_counts(li, conds).first()
+    assert by.asDict() == total.asDict()
+    o = load(spark, SF_CHECK, "orders")
+    roll = A.rolling_counts(o, "o_orderdate", "2001-08-01", days=(30, 365), by=["o_orderstatus"])
+    whole = A.rolling_counts(o, "o_orderdate", "2001-08-01", days=(30, 365)).first()
+    assert roll.agg(F.sum("last_30d"), F.sum("last_365d")).first()[:] == (whole["last_30d"], whole["last_365d"])
+    grouped = A.measure(li, {"q": A.exact_sum(F.col("l_quantity"), 2)}, by=["l_suppkey"]).agg(A.exact_sum(F.col("q"), 2)).first()[0]
+    assert grouped == A.measure(li, {"q": A.exact_sum(F.col("l_quantity"), 2)}).first()[0]
