@@ -1930,7 +1930,8 @@ WITH t AS (SELECT DISTINCT CAST(p_partkey % 5 AS BIGINT) AS ID, 'Sales' || CAST(
 ot AS (SELECT * FROM (VALUES ('MEASURE', 'Measure'), ('COLUMN', 'Column'), ('CALC_COLUMN', 'Calculated Column')) v(Enum, Name)),
 d AS (SELECT CASE WHEN l_linenumber % 2 = 0 THEN 'MEASURE' ELSE 'CALC_COLUMN' END AS OBJECT_TYPE,
              'Sales' || CAST(l_partkey % 5 AS VARCHAR) AS "TABLE", 'M' || CAST(l_orderkey AS VARCHAR) AS OBJECT,
-             'COLUMN' AS REFERENCED_OBJECT_TYPE, 'Sales' || CAST(l_suppkey % 7 AS VARCHAR) AS REFERENCED_TABLE,
+             CASE WHEN l_linenumber % 3 = 0 THEN 'MEASURE' ELSE 'COLUMN' END AS REFERENCED_OBJECT_TYPE,
+             'Sales' || CAST(l_suppkey % 7 AS VARCHAR) AS REFERENCED_TABLE,
              'C' || CAST(l_linenumber AS VARCHAR) AS REFERENCED_OBJECT FROM lineitem)
 SELECT d.*, t1.ID AS TableID, t2.ID AS ReferencedTableID, o1.Name AS ObjectTypeName, o2.Name AS ReferencedObjectTypeName,
        d."TABLE" || '-' || d.OBJECT AS DependencyKey
@@ -1942,7 +1943,7 @@ def q_calc_dependencies(spark, sf):
     li = load(spark, sf, "lineitem")
     deps = li.select(F.when(F.col("l_linenumber") % 2 == 0, "MEASURE").otherwise("CALC_COLUMN").alias("OBJECT_TYPE"),
                      SI._cat("Sales", F.col("l_partkey") % 5).alias("TABLE"), SI._cat("M", F.col("l_orderkey")).alias("OBJECT"),
-                     F.lit("COLUMN").alias("REFERENCED_OBJECT_TYPE"),
+                     F.when(F.col("l_linenumber") % 3 == 0, "MEASURE").otherwise("COLUMN").alias("REFERENCED_OBJECT_TYPE"),
                      SI._cat("Sales", F.col("l_suppkey") % 7).alias("REFERENCED_TABLE"),
                      SI._cat("C", F.col("l_linenumber")).alias("REFERENCED_OBJECT"))
     tabs = load(spark, sf, "part").select((F.col("p_partkey") % 5).cast("long").alias("ID"),
