@@ -130,3 +130,16 @@ def test_extract_all_rows_and_decode_enum(spark):
     e = spark.createDataFrame([(0, "Import")], "Enum int, Name string")
     d = P.decode_enum(spark.createDataFrame([(0,), (7,)], "c int"), "c", e, "mode")
     assert rows(d, ["mode"]) == [("7",), ("Import",)]
+
+
+def test_merge_strategies_agree(spark):
+    import random
+    rnd = random.Random(11)
+    t = spark.createDataFrame([(f"k{i}", i, None if i % 5 else True) for i in range(60)] + [(None, -1, False)],
+                              "id string, v int, is_deleted boolean")
+    s = spark.createDataFrame([(f"k{i}", i * 10) for i in rnd.sample(range(40, 90), 30)] + [(None, 7)], "id string, v int")
+    for fn in (lambda st: M.upsert(t.drop("is_deleted"), s, ["id"], strategy=st),
+               lambda st: M.upsert(t.drop("is_deleted"), s, ["id"], update_cols=[], strategy=st),
+               lambda st: M.upsert_soft_delete(t, s, ["id"], now=NOW, strategy=st)):
+        assert rows(fn("broadcast")) == rows(fn("shuffle"))
+    assert M.source_fits_broadcast(s) and not M.source_fits_broadcast(s, budget_bytes=16)
