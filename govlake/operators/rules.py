@@ -27,8 +27,9 @@ Metadata tables (DataFrames, one row per object; every table carries
 * ``dependencies``  ObjectType, TableName, ObjectName, ReferencedObjectType,
                     ReferencedTable, ReferencedObject
 
-Rules 38 and 39 (qualified/unqualified references) need a DAX reference
-resolver and are not built.
+Rules 38 and 39 (qualified/unqualified references) resolve each measure's
+references through ``dependencies`` (an equi-join, no DAX parsing) and test
+only the reference text of each resolved pair.
 """
 
 from __future__ import annotations
@@ -114,7 +115,7 @@ GEO_PREFIXES = ["country", "city", "continent", "latitude", "longitude"]
 LARGE_TABLE_ROWS = 25_000_000
 # --------------------------------------------------------------------------
 
-NOT_BUILT = {38, 39}
+NOT_BUILT: set[int] = set()
 
 
 def rule_catalogue(spark: SparkSession) -> DataFrame:
@@ -469,6 +470,55 @@ def r42(m):
     return _out(ms, 42, "Measure", "TableName", "MeasureName")
 
 
+def _measure_refs(m, ref_type: str) -> DataFrame:
+    """(measure, referenced object) pairs of measures whose dependency rows
+    reference objects of ``ref_type``, with the measure's expression."""
+    d = (m["dependencies"].filter((F.upper("ObjectType") == "MEASURE") & (F.upper("ReferencedObjectType") == ref_type))
+         .select("ModelId", "TableName", F.col("ObjectName").alias("MeasureName"), "ReferencedTable", "ReferencedObject")
+         .distinct())
+    ms = m["measures"].select("ModelId", "TableName", "MeasureName", _s("Expression").alias("_e"))
+    return d.join(ms, ["ModelId", "TableName", "MeasureName"])
+
+
+def _rx_literal(c: Column) -> Column:
+    """``c`` with regex metacharacters escaped (a literal in a pattern)."""
+    return F.regexp_replace(c, r"([\\^$.|?*+()\[\]{}])", r"\\$1")
+
+
+def r38(m):
+    """A measure references a column (per its dependencies) with a bare
+    ``[Column]`` that is not directly preceded by ``Table`` or ``'Table'``
+    for any table of the model having a column of that name."""
+    cols = m["columns"].select("ModelId", "TableName", "ColumnName")
+    q = _rx_literal(F.col("TableName"))
+    # one negative-lookbehind pattern per (model, column name); the table list
+    # is bounded by the tables of one model
+    pats = cols.groupBy("ModelId", "ColumnName").agg(
+        F.concat(F.lit("(?<!"), F.concat_ws("|", F.collect_set(F.concat(q, F.lit("|'"), q, F.lit("'")))),
+                 F.lit(r")\["), _rx_literal(F.col("ColumnName")), F.lit(r"\]")).alias("_pat"))
+    pairs = (_measure_refs(m, "COLUMN")
+             .join(cols.select("ModelId", F.col("TableName").alias("ReferencedTable"),
+                               F.col("ColumnName").alias("ReferencedObject")),
+                   ["ModelId", "ReferencedTable", "ReferencedObject"], "left_semi")
+             .join(pats.withColumnRenamed("ColumnName", "ReferencedObject"), ["ModelId", "ReferencedObject"]))
+    hits = pairs.filter(F.expr("_e rlike _pat")).select("ModelId", "TableName", "MeasureName")
+    ms = m["measures"].join(hits, ["ModelId", "TableName", "MeasureName"], "left_semi")
+    return _out(ms, 38, "Measure", "TableName", "MeasureName")
+
+
+def r39(m):
+    """A measure references another measure (per its dependencies, resolved
+    by name in the model) as ``Table[Measure]`` or ``'Table'[Measure]`` with
+    the referenced measure's own table."""
+    target = m["measures"].select("ModelId", F.col("MeasureName").alias("ReferencedObject"), F.col("TableName").alias("_pt"))
+    pairs = _measure_refs(m, "MEASURE").join(target, ["ModelId", "ReferencedObject"])
+    ref = F.concat(F.lit("["), F.col("ReferencedObject"), F.lit("]"))
+    hit = (F.instr("_e", F.concat(F.col("_pt"), ref)) > 0) | (F.instr("_e", F.concat(F.lit("'"), F.col("_pt"), F.lit("'"), ref)) > 0)
+    hits = pairs.filter(hit).select("ModelId", "TableName", "MeasureName")
+    ms = m["measures"].join(hits, ["ModelId", "TableName", "MeasureName"], "left_semi")
+    return _out(ms, 39, "Measure", "TableName", "MeasureName")
+
+
 # ---------------------------------------------------------------------------- B10 any object
 def _named_objects(m) -> DataFrame:
     def part(df, kind, name_col):

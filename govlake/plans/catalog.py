@@ -1823,6 +1823,50 @@ def q_measure_rule_violations(spark, sf):
                                               F.count_distinct("ObjectName").alias("objects"))
 
 
+@register("measure_reference_rule_violations", "B9", sql=with_(SI.MEASURE_REFS_SQL) + """
+, pairs AS (
+  SELECT d.ModelId, d.TableName, d.ObjectName AS MeasureName, d.ReferencedObject AS rc, m.Expression AS e
+  FROM (SELECT DISTINCT * FROM deps) d JOIN m ON m.ModelId = d.ModelId AND m.TableName = d.TableName AND m.MeasureName = d.ObjectName
+  WHERE upper(d.ObjectType) = 'MEASURE' AND upper(d.ReferencedObjectType) = 'COLUMN'
+    AND EXISTS (SELECT 1 FROM cols c WHERE c.ModelId = d.ModelId AND c.TableName = d.ReferencedTable AND c.ColumnName = d.ReferencedObject)),
+occ AS (
+  SELECT * FROM (SELECT ModelId, TableName, MeasureName, rc, e, unnest(range(1, length(e) + 1)) AS pos FROM pairs)
+  WHERE substr(e, pos, length(rc) + 2) = '[' || rc || ']'),
+bare AS (
+  SELECT DISTINCT ModelId, TableName, MeasureName FROM occ o
+  WHERE NOT EXISTS (SELECT 1 FROM cols c WHERE c.ModelId = o.ModelId AND c.ColumnName = o.rc
+          AND ((o.pos > length(c.TableName) AND substr(o.e, o.pos - length(c.TableName), length(c.TableName)) = c.TableName)
+            OR (o.pos > length(c.TableName) + 2
+                AND substr(o.e, o.pos - length(c.TableName) - 2, length(c.TableName) + 2) = chr(39) || c.TableName || chr(39))))),
+qual AS (
+  SELECT DISTINCT d.ModelId, d.TableName, d.ObjectName AS MeasureName
+  FROM deps d JOIN m ON m.ModelId = d.ModelId AND m.TableName = d.TableName AND m.MeasureName = d.ObjectName
+  JOIN m t ON t.ModelId = d.ModelId AND t.MeasureName = d.ReferencedObject
+  WHERE upper(d.ObjectType) = 'MEASURE' AND upper(d.ReferencedObjectType) = 'MEASURE'
+    AND (contains(m.Expression, t.TableName || '[' || t.MeasureName || ']')
+         OR contains(m.Expression, chr(39) || t.TableName || chr(39) || '[' || t.MeasureName || ']'))),
+v AS (
+  SELECT ModelId, 31 AS RuleId, MeasureName FROM m
+    WHERE EXISTS (SELECT 1 FROM m m2 WHERE m2.ModelId = m.ModelId AND m.Expression = '[' || m2.MeasureName || ']')
+  UNION ALL SELECT ModelId, 38, MeasureName FROM m
+    WHERE EXISTS (SELECT 1 FROM bare b WHERE b.ModelId = m.ModelId AND b.TableName = m.TableName AND b.MeasureName = m.MeasureName)
+  UNION ALL SELECT ModelId, 39, MeasureName FROM m
+    WHERE EXISTS (SELECT 1 FROM qual q WHERE q.ModelId = m.ModelId AND q.TableName = m.TableName AND q.MeasureName = m.MeasureName)
+  UNION ALL SELECT ModelId, 42, MeasureName FROM m
+    WHERE IsHidden AND NOT EXISTS (SELECT 1 FROM deps d WHERE upper(d.ReferencedObjectType) = 'MEASURE'
+                                     AND d.ModelId = m.ModelId AND d.ReferencedObject = m.MeasureName))
+SELECT ModelId, RuleId, count(*) AS violations, count(DISTINCT MeasureName) AS objects FROM v GROUP BY 1, 2
+""")
+def q_measure_reference_rule_violations(spark, sf):
+    """Measures against measures and dependencies (31, 42) and the reference
+    form rules (38 bare column references, 39 table-qualified measure
+    references), counted per model and rule."""
+    meta = SI.measure_refs_from_tpch(load(spark, sf, "lineitem"), load(spark, sf, "part"))
+    v = B.bpa(meta, [31, 38, 39, 42])
+    return v.groupBy("ModelId", "RuleId").agg(F.count(F.lit(1)).alias("violations"),
+                                              F.count_distinct("ObjectName").alias("objects"))
+
+
 @register("relationship_rule_violations", "B3, B7", sql="""
 WITH r AS (
   SELECT 'model-' || CAST(o_custkey % 20 AS VARCHAR) AS ModelId, o_orderpriority = '1-URGENT' AS m2m,

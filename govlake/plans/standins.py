@@ -676,6 +676,71 @@ MEASURE_TEMPLATES_SQL = """CASE l_orderkey % 10
     ELSE 'CALCULATE([Total], FILTER(''Sales'', ''Sales''[Region] = "EU"))' END"""
 
 
+MEASURE_REFS_SQL = """
+li AS (SELECT l_orderkey % 7 AS k, l_linenumber, 'model-' || CAST(l_suppkey % 20 AS VARCHAR) AS ModelId,
+              'Sales' || CAST(l_partkey % 5 AS VARCHAR) AS TableName,
+              'M' || CAST(l_orderkey AS VARCHAR) || '_' || CAST(l_linenumber AS VARCHAR) AS MeasureName,
+              'Sales' || CAST(l_suppkey % 5 AS VARCHAR) AS rt,
+              'Col' || CAST((l_suppkey + l_linenumber * 10) % 30 AS VARCHAR) AS rc,
+              'M' || CAST(l_orderkey AS VARCHAR) || CASE WHEN l_linenumber > 4 THEN '_4' ELSE '_1' END AS rm
+       FROM lineitem),
+m AS (SELECT ModelId, TableName, MeasureName, CASE k
+          WHEN 0 THEN 'SUM(' || rt || '[' || rc || '])'
+          WHEN 1 THEN 'SUM([' || rc || '])'
+          WHEN 2 THEN 'SUM(' || chr(39) || rt || chr(39) || '[' || rc || '])'
+          WHEN 3 THEN 'SUM(Fact' || rt || '[' || rc || ']) + Other[' || rc || ']'
+          WHEN 4 THEN '[' || rm || ']'
+          WHEN 5 THEN TableName || '[' || rm || '] + 1'
+          ELSE '[' || rc || '] + ' || chr(39) || rt || chr(39) || '[' || rc || ']' END AS Expression,
+        l_linenumber % 4 = 0 AS IsHidden FROM li),
+cols AS (SELECT DISTINCT 'model-' || CAST(p_partkey % 20 AS VARCHAR) AS ModelId,
+                CASE WHEN p_size % 6 = 5 THEN 'FactSales0' ELSE 'Sales' || CAST(p_size % 5 AS VARCHAR) END AS TableName,
+                'Col' || CAST(p_partkey % 30 AS VARCHAR) AS ColumnName FROM part),
+deps AS (SELECT ModelId, CASE WHEN l_linenumber = 7 THEN 'Calc Column' ELSE 'Measure' END AS ObjectType, TableName,
+                MeasureName AS ObjectName, CASE WHEN k IN (4, 5) THEN 'Measure' ELSE 'Column' END AS ReferencedObjectType,
+                CASE WHEN k IN (4, 5) THEN TableName WHEN k = 6 THEN 'Other' ELSE rt END AS ReferencedTable,
+                CASE WHEN k IN (4, 5) THEN rm ELSE rc END AS ReferencedObject FROM li)
+"""
+
+
+def measure_refs_from_tpch(lineitem: DataFrame, part: DataFrame) -> dict[str, DataFrame]:
+    """Measures, columns and calculation dependencies for the reference rules:
+    one measure and one dependency row per line item (column references
+    written qualified, quoted, bare or under other table names; measure
+    references bare or table-qualified), columns from parts."""
+    k = F.col("l_orderkey") % 7
+    ln = F.col("l_linenumber")
+    li = lineitem.select(
+        k.alias("k"), ln, _cat("model-", F.col("l_suppkey") % 20).alias("ModelId"),
+        _cat("Sales", F.col("l_partkey") % 5).alias("TableName"),
+        _cat("M", F.col("l_orderkey"), "_", ln).alias("MeasureName"), _cat("Sales", F.col("l_suppkey") % 5).alias("rt"),
+        _cat("Col", (F.col("l_suppkey") + ln * 10) % 30).alias("rc"),
+        _cat("M", F.col("l_orderkey"), F.when(ln > 4, F.lit("_4")).otherwise(F.lit("_1"))).alias("rm"))
+    rt, rc, rm, kk = F.col("rt"), F.col("rc"), F.col("rm"), F.col("k")
+    expr = (F.when(kk == 0, _cat("SUM(", rt, "[", rc, "])"))
+            .when(kk == 1, _cat("SUM([", rc, "])"))
+            .when(kk == 2, _cat("SUM('", rt, "'[", rc, "])"))
+            .when(kk == 3, _cat("SUM(Fact", rt, "[", rc, "]) + Other[", rc, "]"))
+            .when(kk == 4, _cat("[", rm, "]"))
+            .when(kk == 5, _cat(F.col("TableName"), "[", rm, "] + 1"))
+            .otherwise(_cat("[", rc, "] + '", rt, "'[", rc, "]")))
+    measures = li.select("ModelId", "TableName", "MeasureName", expr.alias("Expression"),
+                         (ln % 4 == 0).alias("IsHidden"))
+    is_m = kk.isin(4, 5)
+    deps = li.select(
+        "ModelId", F.when(ln == 7, F.lit("Calc Column")).otherwise(F.lit("Measure")).alias("ObjectType"), "TableName",
+        F.col("MeasureName").alias("ObjectName"),
+        F.when(is_m, F.lit("Measure")).otherwise(F.lit("Column")).alias("ReferencedObjectType"),
+        F.when(is_m, F.col("TableName")).when(kk == 6, F.lit("Other")).otherwise(rt).alias("ReferencedTable"),
+        F.when(is_m, rm).otherwise(rc).alias("ReferencedObject"))
+    size = F.col("p_size")
+    columns = part.select(
+        _cat("model-", F.col("p_partkey") % 20).alias("ModelId"),
+        F.when(size % 6 == 5, F.lit("FactSales0")).otherwise(_cat("Sales", size % 5)).alias("TableName"),
+        _cat("Col", F.col("p_partkey") % 30).alias("ColumnName")).distinct()
+    return {"measures": measures, "columns": columns, "dependencies": deps}
+
+
 def measures_from_lineitem(lineitem: DataFrame) -> DataFrame:
     """Model measure metadata (one measure per line item, DAX-like text from
     ten templates) for the measure-text rules."""
