@@ -539,7 +539,7 @@ def q_latest_order_per_customer(spark, sf):
 
 # =========================================================================== lineage graph
 from ..operators import lineage as G  # noqa: E402
-from ..session import materialize  # noqa: E402
+from ..session import materialize, spread  # noqa: E402
 from .standins import EDGES_SQL, NAMES_SQL, lineage_edges_from_tpch, lineage_names  # noqa: E402
 
 HIERARCHY_SQL = """
@@ -1537,11 +1537,11 @@ def q_widely_shared_items(spark, sf):
 
 # =========================================================================== gateway logs
 def _qe(spark, sf):
-    return T.build_query_execution(SI.query_execution_logs_from_lineitem(load(spark, sf, "lineitem")))
+    return T.build_query_execution(SI.query_execution_logs_from_lineitem(spread(load(spark, sf, "lineitem"))))
 
 
 def _qs(spark, sf):
-    return T.build_query_start(SI.query_start_logs_from_lineitem(load(spark, sf, "lineitem")))
+    return T.build_query_start(SI.query_start_logs_from_lineitem(spread(load(spark, sf, "lineitem"))))
 
 
 @register("gateway_query_execution", "T15, P10, P13", sql=with_(SI.QUERY_EXECUTION_SQL) + """
@@ -1645,7 +1645,7 @@ FROM lineitem
 """)
 def q_gateway_mashup(spark, sf):
     """Mashup evaluation fact: number-list rows summed, end date, key."""
-    m = T.build_mashup_evaluation(SI.mashup_logs_from_lineitem(load(spark, sf, "lineitem")))
+    m = T.build_mashup_evaluation(SI.mashup_logs_from_lineitem(spread(load(spark, sf, "lineitem"))))
     return m.select("RequestId", "QueryTrackingId", "TotalRowsSum", "EndDate", "RequestTrackingKey", "TotalBytes",
                     "`TotalProcessorTime(ms)`")
 
@@ -1662,7 +1662,7 @@ SELECT ma.*, e.requests FROM ma LEFT JOIN e USING (EndDate)
 """)
 def q_gateway_mashup_by_date(spark, sf):
     """Mashup measures per end date with the requests executed that day."""
-    m = T.build_mashup_evaluation(SI.mashup_logs_from_lineitem(load(spark, sf, "lineitem")))
+    m = T.build_mashup_evaluation(SI.mashup_logs_from_lineitem(spread(load(spark, sf, "lineitem"))))
     m = m.withColumns({c: F.col(f"`{c}`").cast("long") for c in ("AverageCommit(byte)", "MaxCommit(byte)",
                                                                  "AverageWorkingSet(byte)", "MaxWorkingSet(byte)",
                                                                  "AveragePercentProcessorTime")})
@@ -1710,7 +1710,7 @@ FROM lineitem
 """)
 def q_gateway_aggregations(spark, sf):
     """Aggregation-report fact: data sources parsed, values typed, duplicate rows removed."""
-    a = T.build_query_execution_aggregation(SI.aggregation_logs_from_lineitem(load(spark, sf, "lineitem")))
+    a = T.build_query_execution_aggregation(SI.aggregation_logs_from_lineitem(spread(load(spark, sf, "lineitem"))))
     return a.select("GatewayObjectId", "AggregationStartTimeUTC", "AggregationEndTimeUTC", "Success",
                     "`AverageQueryExecutionDuration(ms)`", "Count", "`DataSource.kind`", "`DataSource.path`",
                     "AggregationEndDate").distinct()
@@ -1817,7 +1817,7 @@ SELECT ModelId, RuleId, count(*) AS violations, count(DISTINCT MeasureName) AS o
 """)
 def q_measure_rule_violations(spark, sf):
     """Measure-text best-practice rules over a measure catalogue, counted per model and rule."""
-    meta = {**_empty_meta(spark), "measures": SI.measures_from_lineitem(load(spark, sf, "lineitem"))}
+    meta = {**_empty_meta(spark), "measures": SI.measures_from_lineitem(spread(load(spark, sf, "lineitem")))}
     v = B.bpa(meta, MEASURE_RULES)
     return v.groupBy("ModelId", "RuleId").agg(F.count(F.lit(1)).alias("violations"),
                                               F.count_distinct("ObjectName").alias("objects"))
@@ -2131,7 +2131,7 @@ FROM lineitem
 def q_gateway_logs_from_files(spark, sf):
     """Report logs written as CSV files whose headers differ (one set lacks
     DataSource, another report's files sit alongside), read by name per file."""
-    logs = SI.query_execution_logs_from_lineitem(load(spark, sf, "lineitem"))
+    logs = SI.query_execution_logs_from_lineitem(spread(load(spark, sf, "lineitem")))
     base = _scratch(spark, "gateway-logs")
     opts = dict(header=True, quote='"', escape='"')
     even = F.col("QueryTrackingId").substr(2, 5).cast("int") % 2 == 0

@@ -65,3 +65,14 @@ def materialize(df, tag: str, fallback: str | None = None):
     path = f"{base}/govlake-{tag}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
+
+
+def spread(df):
+    """Round-robin an input that yields fewer scan splits than the session
+    has cores (a small file, or one whose single row group cannot be split)
+    so the narrow work after the scan runs on every core.  A large input has
+    far more splits than cores and is returned unchanged, so at scale this
+    adds no shuffle.  Column pruning and filters still reach the scan (both
+    are pushed through a repartition)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
