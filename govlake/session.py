@@ -37,14 +37,19 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     """Return the reliable checkpoint folder, wiring it into the SparkContext.
 
     The cluster names a shared folder in ``spark.checkpoint.dir``; we use it
-    as given.  Only when it is unset (tests, a bare local session) do we fall
-    back to ``fallback``.  Never a machine-local temp folder on a cluster.
+    as given.  Only when it is unset in a local session (tests, the bench) do
+    we fall back to ``fallback``; on a cluster an unset folder is an error,
+    never a machine-local temp folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not conf_dir and fallback and not sc.master.startswith("local"):
+        # a fallback is a machine-local folder: executors on other hosts would
+        # each write their own copy and lose it with the host
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     target = conf_dir or fallback
     if not target:
         raise RuntimeError("spark.checkpoint.dir is unset and no fallback folder was given")
