@@ -34,7 +34,10 @@ def read_report_logs(spark: SparkSession, folder: str, report: str, cols: list[s
                    F.col("_metadata.file_path").alias("_file"),
                    F.col("_metadata.file_name").alias("_fname"),
                    F.monotonically_increasing_id().alias("_seq")))
-    # one task reads one multiLine file in order, so _seq orders rows within a file
+    # one task reads one multiLine file in order, so _seq orders rows within a
+    # file.  The per-file window holds no more rows than the task that read the
+    # file (a multiLine file is never split); the alternatives without it
+    # either parse every file twice or pull a whole file into one row.
     w = Window.partitionBy("_file").orderBy("_seq")
     numbered = raw.withColumn("_rn", F.row_number().over(w))
     headers = numbered.filter(F.col("_rn") == 1).select("_file", F.col("_v").alias("_h"))
