@@ -488,21 +488,36 @@ def _rx_literal(c: Column) -> Column:
 def r38(m):
     """A measure references a column (per its dependencies) with a bare
     ``[Column]`` that is not directly preceded by ``Table`` or ``'Table'``
-    for any table of the model having a column of that name."""
-    cols = m["columns"].select("ModelId", "TableName", "ColumnName")
-    q = _rx_literal(F.col("TableName"))
-    # one negative-lookbehind pattern per (model, column name); the table list
-    # is bounded by the tables of one model
-    pats = cols.groupBy("ModelId", "ColumnName").agg(
-        F.concat(F.lit("(?<!"), F.concat_ws("|", F.collect_set(F.concat(q, F.lit("|'"), q, F.lit("'")))),
-                 F.lit(r")\["), _rx_literal(F.col("ColumnName")), F.lit(r"\]")).alias("_pat"))
-    pairs = (_measure_refs(m, "COLUMN")
-             .join(cols.select("ModelId", F.col("TableName").alias("ReferencedTable"),
-                               F.col("ColumnName").alias("ReferencedObject")),
-                   ["ModelId", "ReferencedTable", "ReferencedObject"], "left_semi")
-             .join(pats.withColumnRenamed("ColumnName", "ReferencedObject"), ["ModelId", "ReferencedObject"]))
-    hits = pairs.filter(F.expr("_e rlike _pat")).select("ModelId", "TableName", "MeasureName")
-    ms = m["measures"].join(hits, ["ModelId", "TableName", "MeasureName"], "left_semi")
+    for any table of the model having a column of that name.
+
+    Every occurrence of ``[Column]`` is located by position; for each
+    distinct table-name length L of that column's tables, the L (and L + 2,
+    quoted) characters before it are equi-joined with the model's (column,
+    table) pairs.  An occurrence no candidate matches is bare.  Nothing is
+    collected per group: rows grow with occurrences x distinct name lengths."""
+    cols = m["columns"].select("ModelId", "TableName", "ColumnName").distinct()
+    ref_cols = cols.select("ModelId", F.col("TableName").alias("ReferencedTable"), F.col("ColumnName").alias("ReferencedObject"))
+    pairs = (_measure_refs(m, "COLUMN").join(ref_cols, ["ModelId", "ReferencedTable", "ReferencedObject"], "left_semi")
+             .withColumn("_tok", F.concat(F.lit("["), F.col("ReferencedObject"), F.lit("]"))))
+    key = ["ModelId", "TableName", "MeasureName", "ReferencedObject", "_p"]
+    # split on the literal token: occurrence i starts after parts 0..i and i tokens
+    parts = pairs.withColumn("_parts", F.split("_e", _rx_literal(F.col("_tok")), -1))
+    occ = parts.select("ModelId", "TableName", "MeasureName", "ReferencedObject", "_e", F.explode(F.expr(
+        "CASE WHEN size(_parts) > 1 THEN transform(sequence(0, size(_parts) - 2), i -> "
+        "aggregate(slice(_parts, 1, i + 1), 0, (a, x) -> a + length(x)) + i * length(_tok) + 1) END")).alias("_p"))
+    # the referenced column exists, so every occurrence has at least one length
+    lens = cols.select("ModelId", F.col("ColumnName").alias("ReferencedObject"), F.length("TableName").alias("_l")).distinct()
+    quoted = F.expr("substr(_e, _p - _l - 2, _l + 2)")
+    cand = occ.join(lens, ["ModelId", "ReferencedObject"]).select(*key, F.explode(F.array(
+        F.when(F.col("_p") > F.col("_l"), F.expr("substr(_e, _p - _l, _l)")),
+        F.when((F.col("_p") > F.col("_l") + 2) & quoted.startswith("'") & quoted.endswith("'"),
+               F.expr("substr(_e, _p - _l - 1, _l)")))).alias("_t"))
+    tabs = cols.select("ModelId", F.col("ColumnName").alias("ReferencedObject"), F.col("TableName").alias("_t"),
+                       F.lit(True).alias("_hit"))
+    per_occ = (cand.join(tabs, ["ModelId", "ReferencedObject", "_t"], "left").groupBy(*key)
+               .agg(F.max(F.coalesce(F.col("_hit"), F.lit(False))).alias("_qualified")))
+    bare = per_occ.filter(~F.col("_qualified")).select("ModelId", "TableName", "MeasureName")
+    ms = m["measures"].join(bare, ["ModelId", "TableName", "MeasureName"], "left_semi")
     return _out(ms, 38, "Measure", "TableName", "MeasureName")
 
 
