@@ -37,8 +37,11 @@ def lookup(left: DataFrame, right: DataFrame, on, cols: dict[str, str] | None =
 
 def pair_within(left: DataFrame, right: DataFrame, scope: str, left_cols: dict[str, str],
                 right_cols: dict[str, str]) -> DataFrame:
-    """Pair each left row with the right rows of the same ``scope``
-    (e.g. workspace); the right side is required (inner)."""
+    """Pair each designated left row (e.g. the staging lakehouse of a
+    workspace, chosen by the caller's filter) with the right rows of the same
+    ``scope``; the right side is required (inner).  The output is designated
+    rows x group size, so ``left`` must be the designated few per scope -
+    pairing a group with itself would emit all pairs of the group."""
     l = left.select(F.col(scope).alias("_scope"), *[F.col(k).alias(v) for k, v in left_cols.items()])
     r = right.select(F.col(scope).alias("_scope"), *[F.col(k).alias(v) for k, v in right_cols.items()])
     return l.join(r, "_scope").drop("_scope")
