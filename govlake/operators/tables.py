@@ -85,7 +85,9 @@ def build_workspaces(records: DataFrame, domains: DataFrame | None = None) -> Da
     ws = upper_keys(ws, ["WorkspaceId", "CapacityId"])
     if domains is not None:
         d = project(domains, {"id": "WorkspaceId", "domainId": "DomainId"}, {})
-        d = upper_keys(d, ["WorkspaceId", "DomainId"]).dropDuplicates(["WorkspaceId"])
+        # one domain per workspace; a repeated workspace keeps its least domain
+        # (a fixed choice, aggregated per task before the shuffle)
+        d = upper_keys(d, ["WorkspaceId", "DomainId"]).groupBy("WorkspaceId").agg(F.min("DomainId").alias("DomainId"))
         ws = ws.join(d, "WorkspaceId", "left")
     return ws
 
