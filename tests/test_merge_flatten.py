@@ -143,3 +143,15 @@ def test_merge_strategies_agree(spark):
                lambda st: M.upsert_soft_delete(t, s, ["id"], now=NOW, strategy=st)):
         assert rows(fn("broadcast")) == rows(fn("shuffle"))
     assert M.source_fits_broadcast(s) and not M.source_fits_broadcast(s, budget_bytes=16)
+
+
+def test_pair_designated_within_scope(spark):
+    from govlake.operators import joins as J
+    lh = spark.createDataFrame(
+        [("w1", "StagingLakehouseForDataflows_1", "s1"), ("w1", "Sales", "a"), ("w1", "Finance", "b"),
+         ("w2", "Ops", "c"), ("w2", "StagingLakehouseForDataflows_2", "s2"), ("w2", "StagingLakehouseForDataflows_3", "s3"),
+         ("w3", "Lonely", "d")], "ws string, name string, id string")
+    staging = F.col("name").startswith("StagingLakehouseForDataflows")
+    p = J.pair_within(lh.filter(staging), lh.filter(~staging), "ws", {"id": "up"}, {"id": "down"})
+    # designated x others of the same scope; staging rows are never paired with each other
+    assert rows(p, ["up", "down"]) == [("s1", "a"), ("s1", "b"), ("s2", "c"), ("s3", "c")]
