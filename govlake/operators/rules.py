@@ -480,11 +480,6 @@ def _measure_refs(m, ref_type: str) -> DataFrame:
     return d.join(ms, ["ModelId", "TableName", "MeasureName"])
 
 
-def _rx_literal(c: Column) -> Column:
-    """``c`` with regex metacharacters escaped (a literal in a pattern)."""
-    return F.regexp_replace(c, r"([\\^$.|?*+()\[\]{}])", r"\\$1")
-
-
 def r38(m):
     """A measure references a column (per its dependencies) with a bare
     ``[Column]`` that is not directly preceded by ``Table`` or ``'Table'``
@@ -500,11 +495,13 @@ def r38(m):
     pairs = (_measure_refs(m, "COLUMN").join(ref_cols, ["ModelId", "ReferencedTable", "ReferencedObject"], "left_semi")
              .withColumn("_tok", F.concat(F.lit("["), F.col("ReferencedObject"), F.lit("]"))))
     key = ["ModelId", "TableName", "MeasureName", "ReferencedObject", "_p"]
-    # split on the literal token: occurrence i starts after parts 0..i and i tokens
-    parts = pairs.withColumn("_parts", F.split("_e", _rx_literal(F.col("_tok")), -1))
+    # positions of every '[' (split on a constant pattern: bracket i starts after
+    # parts 0..i and i brackets), kept where the token starts
+    parts = pairs.withColumn("_parts", F.split("_e", r"\[", -1))
     occ = parts.select("ModelId", "TableName", "MeasureName", "ReferencedObject", "_e", F.explode(F.expr(
-        "CASE WHEN size(_parts) > 1 THEN transform(sequence(0, size(_parts) - 2), i -> "
-        "aggregate(slice(_parts, 1, i + 1), 0, (a, x) -> a + length(x)) + i * length(_tok) + 1) END")).alias("_p"))
+        "filter(transform(sequence(0, greatest(size(_parts) - 2, 0)), i -> "
+        "aggregate(slice(_parts, 1, i + 1), 0, (a, x) -> a + length(x)) + i + 1), "
+        "p -> size(_parts) > 1 AND substr(_e, p, length(_tok)) = _tok)")).alias("_p"))
     # the referenced column exists, so every occurrence has at least one length
     lens = cols.select("ModelId", F.col("ColumnName").alias("ReferencedObject"), F.length("TableName").alias("_l")).distinct()
     quoted = F.expr("substr(_e, _p - _l - 2, _l + 2)")
