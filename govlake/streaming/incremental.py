@@ -55,19 +55,30 @@ def read_current(spark: SparkSession, base: str, schema: StructType | None = Non
     return spark.read.parquet(f"{base.rstrip('/')}/{VERSION_PREFIX}{vs[-1]:08d}")
 
 
-def _write_version(df: DataFrame, base: str, version: int) -> None:
-    df.write.mode("overwrite").parquet(f"{base.rstrip('/')}/{VERSION_PREFIX}{version:08d}")
-
-
-def merge_batch_fn(base: str, merge: Callable[[DataFrame | None, DataFrame], DataFrame]):
-    """A ``foreachBatch`` function applying ``merge(current, batch)``."""
+def _write_version(df: DataFrame, base: str, version: int, partition_by: list[str] | None = None) -> None:
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(f"{base.rstrip('/')}/{VERSION_PREFIX}{version:08d}")
+
+
+def merge_batch_fn(base: str, merge: Callable[[DataFrame | None, DataFrame], DataFrame],
+                   partition_by: list[str] | None = None):
+    """A ``foreachBatch`` function applying ``merge(current, batch)``; with
+    ``partition_by`` each version is written partitioned (e.g. by date, so
+    readers' date filters prune folders)."""
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         version = epoch_id + 1
         # replayed epoch: rebuild from the version before it, never from itself
         prior = [v for v in committed_versions(spark, base) if v < version]
         current = (spark.read.parquet(f"{base.rstrip('/')}/{VERSION_PREFIX}{prior[-1]:08d}") if prior else None)
-        _write_version(merge(current, batch), base, version)
+        if current is not None and partition_by:
+            # partition values come back type-inferred: restore the batch's types
+            types = {f.name: f.dataType for f in batch.schema.fields}
+            current = current.select(*[F.col(c).cast(types[c]).alias(c) if c in partition_by and c in types else F.col(c)
+                                       for c in current.columns])
+        _write_version(merge(current, batch), base, version, partition_by)
     return run
 
 
@@ -93,10 +104,11 @@ def upsert_stream(spark: SparkSession, landing: str, schema: StructType, array_f
 
 
 def replace_since_stream(spark: SparkSession, landing: str, schema: StructType, array_field: str, base: str,
-                         date_col: str, checkpoint: str, prepare: Callable[[DataFrame], DataFrame] | None = None
-                         ) -> StreamingQuery:
+                         date_col: str, checkpoint: str, prepare: Callable[[DataFrame], DataFrame] | None = None,
+                         partition_by_date: bool = False) -> StreamingQuery:
     """Stream activity envelopes and apply the high-water-mark replace (M1)
-    per micro-batch; ``prepare`` turns raw records into table rows (e.g. T1)."""
+    per micro-batch; ``prepare`` turns raw records into table rows (e.g. T1).
+    ``partition_by_date`` writes each version partitioned by ``date_col``."""
     raw = spark.readStream.schema(schema).option("multiline", "true").option("maxFilesPerTrigger", 1).json(landing)
     rows = raw.select(F.explode(F.col(array_field)).alias("d")).select("d.*")
     if prepare is not None:
@@ -105,5 +117,5 @@ def replace_since_stream(spark: SparkSession, landing: str, schema: StructType,
     def merge(current: DataFrame | None, batch: DataFrame) -> DataFrame:
         return batch if current is None else M.replace_since(current, batch, date_col)
 
-    return (rows.writeStream.foreachBatch(merge_batch_fn(base, merge))
+    return (rows.writeStream.foreachBatch(merge_batch_fn(base, merge, [date_col] if partition_by_date else None))
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

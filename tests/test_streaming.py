@@ -55,3 +55,26 @@ def test_replace_since_stream(spark, tmp_path):
     q.awaitTermination(120)
     cur = S.read_current(spark, f"{tmp_path}/gold")
     assert rows(cur, ["Id", "v"]) == [("1", 1), ("3", 30), ("4", 40)]
+
+
+def test_replace_since_stream_partitioned_by_date(spark, tmp_path):
+    landing = f"{tmp_path}/landing"
+    os.makedirs(landing)
+    feeds = [[{"Id": "1", "d": "2024-01-01", "v": 1}, {"Id": "2", "d": "2024-01-05", "v": 2}],
+             [{"Id": "3", "d": "2024-01-05", "v": 30}, {"Id": "4", "d": "2024-01-06", "v": 40}]]
+    for i, recs in enumerate(feeds):
+        with open(f"{landing}/{i}.json", "w") as f:
+            json.dump({"activityEventEntities": recs}, f)
+        os.utime(f"{landing}/{i}.json", (1_700_000_000 + i * 100, 1_700_000_000 + i * 100))
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import _parse_datatype_string
+    schema = _parse_datatype_string("activityEventEntities array<struct<Id:string,d:string,v:bigint>>")
+    q = S.replace_since_stream(spark, landing, schema, "activityEventEntities", f"{tmp_path}/gold", "d",
+                               f"{tmp_path}/ckpt", partition_by_date=True)
+    q.awaitTermination(120)
+    cur = S.read_current(spark, f"{tmp_path}/gold")
+    assert rows(cur, ["Id", "v"]) == [("1", 1), ("3", 30), ("4", 40)]
+    assert sorted(p for p in os.listdir(f"{tmp_path}/gold/v00000002") if p.startswith("d=")) == \
+        ["d=2024-01-01", "d=2024-01-05", "d=2024-01-06"]
+    plan = cur.filter(F.col("d") >= "2024-01-05")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(d" in plan
