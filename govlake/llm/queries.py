@@ -2,11 +2,30 @@
 
 from __future__ import annotations
 
-from . import packing, token_counts
+import functools
+
+from . import jaccard, packing, sharding, token_counts, warc
+from .stage import importable
+
+
+def _query(fn):
+    @functools.wraps(fn)
+    def run(spark, sf_dir):
+        importable(spark)
+        return fn(spark, sf_dir)
+
+    return run
+
 
 QUERIES = {
     "op2_pack_documents": packing.q_op2,
+    "op4_hilbert_shards": sharding.q_op4,
     "op7_token_counts": token_counts.q_op7,
+    "op8_jaccard_components": jaccard.q_op8,
+    "op10_warc_round_trip": warc.q_op10,
 }
+QUERIES = {name: _query(fn) for name, fn in QUERIES.items()}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_jaccard_components": jaccard.SQL_OP8,
+}
