@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import functools
 
-from . import jaccard, packing, sharding, token_counts, warc
+from . import jaccard, packing, sharding, substring, token_counts, warc
 from .stage import importable
 
 
@@ -19,6 +19,7 @@ def _query(fn):
 
 QUERIES = {
     "op2_pack_documents": packing.q_op2,
+    "op3_substring_dedup": substring.q_op3,
     "op4_hilbert_shards": sharding.q_op4,
     "op7_token_counts": token_counts.q_op7,
     "op8_jaccard_components": jaccard.q_op8,
@@ -27,5 +28,6 @@ QUERIES = {
 QUERIES = {name: _query(fn) for name, fn in QUERIES.items()}
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_substring_dedup": substring.SQL_OP3,
     "op8_jaccard_components": jaccard.SQL_OP8,
 }
