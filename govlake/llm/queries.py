@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import functools
 
-from . import jaccard, packing, sharding, substring, token_counts, warc
+from . import jaccard, packing, pii, quality, sharding, substring, token_counts, warc
 from .stage import importable
 
 
@@ -21,6 +21,8 @@ QUERIES = {
     "op2_pack_documents": packing.q_op2,
     "op3_substring_dedup": substring.q_op3,
     "op4_hilbert_shards": sharding.q_op4,
+    "op5_host_quality": quality.q_op5,
+    "op6_pii_spans": pii.q_op6,
     "op7_token_counts": token_counts.q_op7,
     "op8_jaccard_components": jaccard.q_op8,
     "op10_warc_round_trip": warc.q_op10,
@@ -29,5 +31,6 @@ QUERIES = {name: _query(fn) for name, fn in QUERIES.items()}
 
 ORACLE_SQL: dict[str, str] = {
     "op3_substring_dedup": substring.SQL_OP3,
+    "op5_host_quality": quality.SQL_OP5,
     "op8_jaccard_components": jaccard.SQL_OP8,
 }
