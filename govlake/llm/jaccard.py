@@ -9,15 +9,20 @@ documents link when their sets' Jaccard similarity is at least
    over all documents), else by hash.
 2. Documents with equal sets are one class (16-byte set digest).  Classes with
    an identical prefix and size are one group, whatever their number.
-3. Groups that share a prefix shingle are candidates: within each shingle's
-   run, sorted by size, a group is first paired with the one before it, under
-   the size and the position filter.  Candidates are expanded to classes and
-   verified on their whole texts, and links give first components.
-4. What is left are pairs of classes that share a prefix shingle (or the whole
+3. Groups that share prefix shingles are candidates: within each shingle's
+   run, sorted by size, a group is first paired with the one before it.
+   Candidates that pass the size and the count filter are expanded to classes
+   and verified on their whole texts, and links give first components.
+4. What is left are pairs of classes that share prefix shingles (or the whole
    prefix, inside a group) and lie in different components: all of these that
    pass the filters are verified too.  So no link between components is lost,
    and no family of near copies is ever expanded into all its pairs.
 
+The count filter: of sets x and y let x's prefix end first in the common
+order.  Then x's shingles outside both prefixes are at most those after its
+prefix, so the shared prefix shingles must make up the rest of the overlap
+that the threshold asks for.
+
 ``all_links`` keeps also the pairs inside components and so returns every link.
 
 Cases: null and empty texts and texts without words have no shingle and link
@@ -136,11 +141,19 @@ def _verify(width: int, num: int, den: int):
     return run
 
 
-def _fits(num: int, den: int, n: str, pos: str, m: str, qos: str):
-    """Size and position filter for sets of n <= m with their first common shingle at pos and qos."""
-    size = F.col(n) * den >= F.col(m) * num
-    most = F.least(F.col(n) - F.col(pos), F.col(m) - F.col(qos))
-    return size & (most * (num + den) >= (F.col(n) + F.col(m)) * num)
+def _prefix(n, num: int, den: int):
+    """Length of the prefix of a set of n."""
+    return n - F.ceil(n * num / den) + 1
+
+
+def _size_fits(num: int, den: int, n: str, m: str):
+    return (F.least(n, m) * den >= F.greatest(n, m) * num) if n != m else F.lit(True)
+
+
+def _count_fits(num: int, den: int, n: str, m: str, shared):
+    """Whether ``shared`` prefix shingles may be enough for sets of n and m."""
+    after = [F.col(k) - _prefix(F.col(k), num, den) for k in (n, m)]
+    return (shared + F.greatest(*after)) * (num + den) >= (F.col(n) + F.col(m)) * num
 
 
 def jaccard_join(docs: DataFrame, width: int = 5, num: int = 3, den: int = 4, all_links: bool = False, id_col: str = "doc_id",
@@ -160,58 +173,61 @@ def jaccard_join(docs: DataFrame, width: int = 5, num: int = 3, den: int = 4, al
                     .withColumn("cid", F.monotonically_increasing_id()), "jaccard-classes")
 
     # prefix shingles that more than one group has; a row keeps the group before it in its shingle's run
-    tokens = rows.where("prefix IS NOT NULL").select("n", "tag", F.posexplode("prefix").alias("pos", "token"))
+    tokens = rows.where("prefix IS NOT NULL").select("n", "tag", F.explode("prefix").alias("token"))
     run = Window.partitionBy("token").orderBy("n", "tag")
-    for k in ("n", "tag", "pos"):
+    for k in ("n", "tag"):
         tokens = tokens.withColumn(f"before_{k}", F.lag(k).over(run))
     tokens = tokens.withColumn("after_n", F.lead("n").over(run)).withColumn("after_tag", F.lead("tag").over(run))
     other = lambda k: F.col(f"{k}_n").isNotNull() & ((F.col(f"{k}_n") != F.col("n")) | (F.col(f"{k}_tag") != F.col("tag")))
     shared = stage(tokens.where(other("before") | other("after")).select(
-        "token", "n", "tag", "pos", *[F.when(other("before"), F.col(f"before_{k}")).alias(f"before_{k}") for k in ("n", "tag", "pos")]), "jaccard-tokens")
+        "token", "n", "tag", *[F.when(other("before"), F.col(f"before_{k}")).alias(f"before_{k}") for k in ("n", "tag")]), "jaccard-tokens")
 
     groups = classes.groupBy("n", "tag").agg(F.min("cid").alias("head"), F.count(F.lit(1)).alias("members"))
     crowded = groups.where("members > 1")
     inside = classes.join(crowded, ["n", "tag"]).where("cid != head")
-    next_to = shared.where(F.col("before_n").isNotNull() & _fits(num, den, "before_n", "before_pos", "n", "pos")).select(
-        "n", "tag", "before_n", "before_tag").distinct()
+    # half of what the filter asks for is enough here: a run's neighbour may change from shingle to shingle
+    next_to = shared.where(F.col("before_n").isNotNull() & _size_fits(num, den, "before_n", "n")).groupBy(
+        "n", "tag", "before_n", "before_tag").agg(F.count(F.lit(1)).alias("c")).where(_count_fits(num, den, "before_n", "n", F.col("c") * 2))
     heads = groups.select("n", "tag", F.col("head").alias("a"))
     first = next_to.join(heads, ["n", "tag"]).join(
         groups.select(F.col("n").alias("before_n"), F.col("tag").alias("before_tag"), F.col("head").alias("b")), ["before_n", "before_tag"])
     first = stage(first.select("a", "b").unionByName(inside.select(F.col("cid").alias("a"), F.col("head").alias("b"))).select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "jaccard-first")
 
-    # the texts of every class that is in some pair: of groups with a shared shingle, or of crowded ones
-    touched = classes.join(shared.select("n", "tag").unionByName(crowded.select("n", "tag")).distinct(), ["n", "tag"], "left_semi")
-    touched = stage(touched.select("cid", "key"), "jaccard-touched")
-    bit = F.conv(F.hex(F.substring("key", 1, 4)), 16, 10).cast("long")
-    wanted = np.zeros(1 << WANTED_BITS, bool)
-    for r in touched.select(F.shiftright(bit, 32 - WANTED_BITS).alias("bit")).distinct().toLocalIterator():
-        wanted[r.bit] = True
-    bodies = texts.select("text").mapInArrow(_texts_of(width, wanted), "key binary, text binary").join(touched, "key")
-    bodies = stage(bodies.groupBy("cid").agg(F.first("text").alias("text")), "jaccard-bodies")
-
     def verified(pairs: DataFrame, tag: str) -> DataFrame:
-        ends = [bodies.select(F.col("cid").alias(k), F.col("text").alias(f"text_{k}")) for k in "ab"]
-        return stage(pairs.join(ends[1], "b").join(ends[0], "a").select("a", "b", "text_a", "text_b").mapInArrow(
-            _verify(width, num, den), "a long, b long"), tag)
-
-    links = verified(first, "jaccard-links1")
+        """The pairs (in the shared folder) that link; only texts of their classes are read again and sent."""
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct().join(classes.select("cid", "key"), "cid")
+        ends = stage(ends, f"{tag}-ends")
+        bit = F.shiftright(F.conv(F.hex(F.substring("key", 1, 4)), 16, 10).cast("long"), 32 - WANTED_BITS)
+        wanted = np.zeros(1 << WANTED_BITS, bool)
+        for r in ends.select(bit.alias("bit")).distinct().toLocalIterator():
+            wanted[r.bit] = True
+        found = texts.select("text").mapInArrow(_texts_of(width, wanted), "key binary, text binary").join(ends, "key")
+        bodies = stage(found.groupBy("cid").agg(F.first("text").alias("text")), f"{tag}-texts")
+        of = [bodies.select(F.col("cid").alias(k), F.col("text").alias(f"text_{k}")) for k in "ab"]
+        return stage(pairs.join(of[1], "b").join(of[0], "a").select("a", "b", "text_a", "text_b").mapInArrow(
+            _verify(width, num, den), "a long, b long"), f"{tag}-links")
+
+    links = verified(first, "jaccard1")
     known = stage(connected_components(links).withColumnsRenamed({"node": "cid", "component": "comp"}), "jaccard-comp1")
     labelled = stage(classes.join(known, "cid", "left").withColumn("comp", F.coalesce("comp", "cid")), "jaccard-labelled")
 
-    # classes by shared shingle, and by group where it has several
-    slot = shared.select("token", "n", "tag", "pos").distinct().join(labelled.select("n", "tag", "cid", "comp"), ["n", "tag"])
-    slot = slot.unionByName(labelled.join(crowded.select("n", "tag"), ["n", "tag"]).select(
-        "n", "tag", F.col("tag").alias("token"), F.lit(0).alias("pos"), "cid", "comp"))
+    # classes by shared shingle, where its run has more than one component
     split = "cid" if all_links else "comp"
+    slot = shared.select("token", "n", "tag").distinct().join(labelled.select("n", "tag", "cid", "comp"), ["n", "tag"])
     open_tokens = slot.groupBy("token").agg(F.min(split).alias("lo"), F.max(split).alias("hi")).where("lo < hi").select("token")
-    slot = stage(slot.join(open_tokens, "token").select("token", "n", "pos", "cid", "comp"), "jaccard-slots")
-    x = slot.select("token", *[F.col(c).alias(f"{c}_x") for c in ("n", "pos", "cid", "comp")])
-    y = slot.select("token", *[F.col(c).alias(f"{c}_y") for c in ("n", "pos", "cid", "comp")])
-    rest = x.join(y, "token").where((F.col(f"{split}_x") != F.col(f"{split}_y")) & _fits(num, den, "n_x", "pos_x", "n_y", "pos_y")
-                                    & ((F.col("n_x") < F.col("n_y")) | (F.col("cid_x") < F.col("cid_y"))))
-    rest = rest.select(F.least("cid_x", "cid_y").alias("a"), F.greatest("cid_x", "cid_y").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    links = links.unionByName(verified(rest, "jaccard-links2"))
+    slot = stage(slot.join(open_tokens, "token").select("token", "n", "cid", "comp"), "jaccard-slots")
+    apart = (F.col(f"{split}_x") != F.col(f"{split}_y")) & (F.col("cid_x") < F.col("cid_y"))
+    ends = lambda df, k: [F.col(c).alias(f"{c}_{k}") for c in ("n", "cid", "comp")]
+    across = slot.select("token", *ends(slot, "x")).join(slot.select("token", *ends(slot, "y")), "token").where(
+        apart & _size_fits(num, den, "n_x", "n_y")).groupBy("cid_x", "cid_y", "n_x", "n_y").agg(F.count(F.lit(1)).alias("c")).where(
+        _count_fits(num, den, "n_x", "n_y", F.col("c")))
+    # classes of one group share its whole prefix
+    packed = labelled.join(crowded.select("n", "tag"), ["n", "tag"])
+    together = packed.select("n", "tag", *ends(packed, "x")[1:]).join(packed.select("n", "tag", *ends(packed, "y")[1:]), ["n", "tag"]).where(apart)
+    rest = across.select(F.col("cid_x").alias("a"), F.col("cid_y").alias("b")).unionByName(
+        together.select(F.col("cid_x").alias("a"), F.col("cid_y").alias("b"))).distinct().join(first, ["a", "b"], "left_anti")
+    links = links.unionByName(verified(stage(rest, "jaccard-rest"), "jaccard2"))
 
     comp = connected_components(links).withColumnsRenamed({"node": "cid"})
     named = classes.join(comp, "cid", "left").withColumn("component", F.coalesce("component", "cid"))

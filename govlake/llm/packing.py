@@ -47,8 +47,9 @@ def _cut(name: str, capacity: int, end_id: int):
         lib = opened(BytePairIds, name)
         for b in batches:
             cols = ([], [], [], [], [])
-            for doc, text in zip(b.column("id").to_pylist(), b.column("text").to_pylist()):
-                ids = lib.ids(text or "") + end
+            encoded = lib.ids([t or "" for t in b.column("text").to_pylist()])
+            for doc, ids in zip(b.column("id").to_pylist(), encoded):
+                ids += end
                 n = len(ids) // 4
                 at, step = 0, (n - 1) % capacity + 1
                 for piece in range(-(-n // capacity)):
@@ -255,7 +256,7 @@ def pack(pieces: DataFrame, capacity: int = 1024, block_pieces: int = 40_000, is
     from pyspark.sql import Window
 
     ranked = short.withColumn("rank", F.row_number().over(Window.partitionBy("block", "length").orderBy("_no")))
-    placed = ranked.join(slots, ["block", "length", "rank"]).withColumn(
+    placed = ranked.join(slots.hint("merge"), ["block", "length", "rank"]).withColumn(
         "sequence_id", (F.col("bin") * n_blocks + F.col("block")) * 2 + 1)
     own = full.withColumn("sequence_id", F.col("_no") * 2).withColumn("offset", F.lit(0).cast("long"))
     keep = [*pieces.columns, "sequence_id", "offset"]

@@ -11,28 +11,38 @@ from __future__ import annotations
 
 import re
 import struct
+from itertools import chain
 
 from .stage import tokenizer_path
 
-#: Entries of a worker's memo; beyond, it is emptied and filled anew.
-MEMO = 400_000
+#: Entries of each of a memo's two generations.
+MEMO = 300_000
 
 #: White space on both sides of a space: its pre-token would cross a cut.
 _RUN = re.compile(r"\s (?:\s|$)|  ")
+#: White space beside a line break, or a break at the end: likewise.
+_BREAK = re.compile(r"\s\n|\n\s|\n$")
 
 
 class _Memo(dict):
-    """chunk -> value, made by ``make`` when it is missing; bounded."""
+    """chunk -> value; bounded: a full generation becomes the old one.
+
+    What is asked for again moves back into the young generation, so frequent
+    chunks stay.
+    """
 
     def __init__(self, make):
         super().__init__()
-        self.make = make
+        self.make, self.old = make, {}
 
     def __missing__(self, chunk):
-        if len(self) >= MEMO:
-            self.clear()
-        value = self.make(chunk)
+        value = self.old.get(chunk)
+        if value is None:
+            value = self.make(chunk)
         if len(chunk) <= 64:
+            if len(self) >= MEMO:
+                self.old = dict(self)
+                self.clear()
             self[chunk] = value
         return value
 
@@ -47,20 +57,50 @@ class BytePairIds:
         self.lib.no_truncation()
         self.lib.no_padding()
         self.special = tuple(t.content for t in self.lib.get_added_tokens_decoder().values())
-        self.memo = _Memo(self._whole)
-
-    def _whole(self, text: str) -> bytes:
-        ids = self.lib.encode(text, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def ids(self, text: str) -> bytes:
-        if not text:
-            return b""
+        self.memo = _Memo(self._chunk)
+        self.fresh: dict[str, bytes] = {}
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        found = (e.ids for e in self.lib.encode_batch_fast(texts, add_special_tokens=False))
+        return [struct.pack(f"<{len(ids)}I", *ids) for ids in found]
+
+    @staticmethod
+    def _split(chunk: str) -> tuple[str, str]:
+        """Points and commas after a letter are a pre-token of their own."""
+        word = chunk.rstrip(".,")
+        return (word, chunk[len(word):]) if word[-1:].isalpha() else (chunk, "")
+
+    def _chunk(self, chunk: str) -> bytes:
+        if (value := self.fresh.get(chunk)) is not None:
+            return value
+        word, tail = self._split(chunk)
+        return self.memo[word] + self.memo[tail] if tail else self._encode([chunk])[0]
+
+    def _chunks(self, text: str) -> list[str] | None:
+        """The text's pre-token groups; None if it must be encoded whole."""
         if _RUN.search(text) or any(s in text for s in self.special):
-            return self._whole(text)
-        first, *rest = text.split(" ")
-        memo = self.memo
-        return (memo[first] if first else b"") + b"".join([memo[" " + w] for w in rest])
+            return None
+        out = []
+        for k, line in enumerate(text.split("\n") if "\n" in text and not _BREAK.search(text) else (text,)):
+            first, *rest = line.split(" ")
+            if k:
+                out.append("\n")
+            if first:
+                out.append(first)
+            out += [" " + w for w in rest]
+        return out
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; what the memo lacks is encoded in one call."""
+        chunks = [self._chunks(t) for t in texts]
+        own: dict[str, bytes] = dict.fromkeys(chain.from_iterable(c for c in chunks if c))
+        lack = [x for x in own if x not in self.memo and x not in self.memo.old]
+        words = list({self._split(x)[0] for x in lack})
+        self.fresh = dict(zip(words, self._encode(words)))
+        for x in own:
+            own[x] = self.memo[x]
+        self.fresh = {}
+        return [b"".join(map(own.__getitem__, c)) if c is not None else self._encode([t])[0] for c, t in zip(chunks, texts)]
 
 
 class PieceCounts:
