@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .stage import stage
-from .words import runs, words
+from .words import with_runs, words
 
 WIDTH = 8
 SYMBOLS = "#*$%&|<>"
@@ -61,7 +61,7 @@ def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
     for s in SYMBOLS:
         marked = F.replace(marked, F.lit(s), F.lit(""))
     df = base.withColumn("_w", words(text)).withColumn("_lines", F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
-    df = df.withColumn("_h", runs("_w", WIDTH))
+    df = with_runs(df, "_w", "_h", WIDTH)
     df = df.withColumns({
         "n_words": F.size("_w").cast("long"),
         "word_chars": F.length(F.array_join("_w", "")).cast("long"),
@@ -142,7 +142,8 @@ WITH w AS (
   SELECT doc_id, source, coalesce(text, '') AS t,
     list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
 g AS (SELECT doc_id, unnest(range(1, len(w) - 6)) AS i, w FROM w WHERE len(w) >= 8),
-d AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(w[i:i+7], ' ')) AS c FROM g),
+x AS (SELECT doc_id, i, array_to_string(w[i:i+7], ' ') AS s FROM g),
+d AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS c FROM x),
 r AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM d WHERE c > 1) GROUP BY doc_id),
 l AS (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM w),
 m AS (

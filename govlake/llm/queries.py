@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import functools
 
-from . import jaccard, packing, pii, quality, sharding, substring, token_counts, warc
+from . import contamination, jaccard, packing, pii, quality, sharding, substring, token_counts, warc
 from .stage import importable
 
 
@@ -25,6 +25,7 @@ QUERIES = {
     "op6_pii_spans": pii.q_op6,
     "op7_token_counts": token_counts.q_op7,
     "op8_jaccard_components": jaccard.q_op8,
+    "op9_benchmark_contamination": contamination.q_op9,
     "op10_warc_round_trip": warc.q_op10,
 }
 QUERIES = {name: _query(fn) for name, fn in QUERIES.items()}
@@ -33,4 +34,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_substring_dedup": substring.SQL_OP3,
     "op5_host_quality": quality.SQL_OP5,
     "op8_jaccard_components": jaccard.SQL_OP8,
+    "op9_benchmark_contamination": contamination.SQL_OP9,
 }

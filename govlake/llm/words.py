@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Runs of these separate words.
@@ -15,16 +15,33 @@ def words(text: str | Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), GAP), lambda w: w != "")
 
 
-def runs(word_col: str, width: int) -> Column:
-    """A 64-bit hash of each run of ``width`` words of an array column, in order; none if there are fewer."""
+def with_runs(df: DataFrame, word_col: str, out: str, width: int) -> DataFrame:
+    """Adds a 64-bit hash of each run of ``width`` words of an array column, in order; none if there are fewer.
+
+    Words are hashed once, then runs of 1, 2, 4, ... words are doubled by
+    hashing two neighbours; each level is a column of its own, so that it is
+    computed once a row.
+    """
+    size = F.size(word_col)
+    shifted = lambda c, k: F.slice(F.col(c), F.lit(k + 1), F.greatest(size - k, F.lit(0)))
+    pair = lambda a, b: F.xxhash64(a, b)
+    df = df.withColumn("_run1", F.transform(word_col, lambda x: F.xxhash64(x)))
+    k = 1
+    while k * 2 <= width:
+        df = df.withColumn(f"_run{k * 2}", F.zip_with(F.col(f"_run{k}"), shifted(f"_run{k}", k), pair))
+        k *= 2
+    run, done, level = F.col(f"_run{k}"), k, k // 2
+    while done < width:
+        if done + level <= width:
+            run = F.zip_with(run, shifted(f"_run{level}", done), pair)
+            done += level
+        level //= 2
+    run = F.when(size >= width, F.slice(run, F.lit(1), F.greatest(size - (width - 1), F.lit(0)))).otherwise(F.array().cast("array<bigint>"))
+    return df.withColumn(out, run).drop(*[c for c in df.columns if c.startswith("_run")])
+
+
+def with_shingles(df: DataFrame, word_col: str, out: str, width: int) -> DataFrame:
+    """Adds the hashes of the distinct ``width``-word shingles; fewer words are one shingle, no words none."""
     w = F.col(word_col)
-    return F.when(F.size(w) >= width, F.transform(
-        F.sequence(F.lit(1), F.size(w) - (width - 1)),
-        lambda i: F.xxhash64(*[F.element_at(w, i + j) for j in range(width)]))).otherwise(F.array().cast("array<bigint>"))
-
-
-def shingles(word_col: str, width: int) -> Column:
-    """Hashes of the distinct ``width``-word shingles; fewer words are one shingle, no words none."""
-    w = F.col(word_col)
-    return F.when(F.size(w) >= width, F.array_distinct(runs(word_col, width))).when(
-        F.size(w) > 0, F.array(F.xxhash64(F.array_join(w, "\n"), F.size(w)))).otherwise(F.array().cast("array<bigint>"))
+    return with_runs(df, word_col, out, width).withColumn(out, F.when(F.size(w) >= width, F.array_distinct(out)).when(
+        F.size(w) > 0, F.array(F.xxhash64(F.array_join(w, "\n"), F.size(w)))).otherwise(F.array().cast("array<bigint>")))
