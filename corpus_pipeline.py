@@ -5,27 +5,68 @@ but the last return the columns of ``documents``):
 
 1. quality rules (operator 5): documents that it rejects go;
 2. n-gram Jaccard join (operator 8): of each group of near duplicates the
-   document with the smallest id stays (of repeated rows one);
-3. benchmark decontamination (operator 9): documents that hold a benchmark
-   item go;
-4. PII (operator 6): found spans are replaced in the text;
-5. best-fit packing (operator 2): the kept texts as token sequences.
+   document with the smallest id stays (of its repeated rows one), and every
+   document without a shingle;
+3. benchmark decontamination (operator 9): documents that hold an item go;
+4. PII (operator 6): the spans found are replaced in the text by their kind;
+   ``n_chars`` follows the text;
+5. best-fit packing (operator 2): the texts left, as pieces of token sequences.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
-STAGES: list = []
+from govlake.llm import contamination, jaccard, packing, pii, quality
+from govlake.llm.stage import importable, stage
 
-#: SQL can't run the tokenizer of the last stage, nor regular expressions with positions.
+
+def keep_sound(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.apply_rules(docs).where("kept").select(*docs.columns)
+
+
+def keep_one_of_each_group(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component the rows with its smallest (id, text hash), once; rows without a shingle all stay."""
+    importable(spark)
+    mark = F.xxhash64(F.coalesce("text", F.lit("")))
+    members = jaccard.near_duplicates(docs.select(F.struct("doc_id", mark.alias("mark")).alias("row"), "text"), id_col="row")
+    heads = members.where((F.col("n_shingles") == 0) | (F.col("component_id") == F.col("row"))).select(
+        F.col("row.doc_id").alias("_id"), F.col("row.mark").alias("_head"), (F.col("n_shingles") == 0).alias("_blank")).distinct()
+    kept = docs.withColumn("_mark", mark).join(stage(heads, "corpus-heads"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_head")))
+    again = F.row_number().over(Window.partitionBy("doc_id", "_mark").orderBy(F.lit(0)))
+    return kept.withColumn("_again", again).where((F.col("_again") == 1) | F.col("_blank")).select(*docs.columns)
+
+
+def drop_benchmarks(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return contamination.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mask_personal_data(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    clean = pii.sanitise(docs)
+    changed = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))
+    return clean.withColumn("n_chars", changed).select(*docs.columns) if "n_chars" in docs.columns else clean
+
+
+def pack(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    importable(spark)
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("quality_rules", keep_sound),
+    ("near_duplicates", keep_one_of_each_group),
+    ("benchmark_decontamination", drop_benchmarks),
+    ("pii", mask_personal_data),
+    ("packing", pack),
+]
+
+#: SQL can't run the tokenizer of the last stage; tests/llm/test_pipeline.py has a brute-force version of all stages.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir: str) -> DataFrame:
-    """All stages over the ``documents`` of ``sf_dir``; rows of the last."""
-    from govlake.llm.stage import stage
-
+    """All stages over the ``documents`` of ``sf_dir``; the rows of the last."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, step) in enumerate(STAGES):
         docs = step(spark, docs, sf_dir)

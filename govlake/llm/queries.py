@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import functools
 
-from . import contamination, jaccard, packing, pii, quality, sharding, substring, token_counts, warc
+from . import contamination, jaccard, packing, pii, quality, secrets, sharding, substring, token_counts, warc
 from .stage import importable
 
 
@@ -18,6 +18,7 @@ def _query(fn):
 
 
 QUERIES = {
+    "op1_secret_scan": secrets.q_op1,
     "op2_pack_documents": packing.q_op2,
     "op3_substring_dedup": substring.q_op3,
     "op4_hilbert_shards": sharding.q_op4,
