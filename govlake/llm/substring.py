@@ -11,7 +11,8 @@ start).  Steps:
    they fall into; they travel as packed arrays, one row for each batch of
    documents and part, about six bytes a probe.
 2. A probe is a hit if a block elsewhere has its hash.  Hits go back to their
-   documents and are extended to the windows around them.
+   documents, packed again by the bucket of (id, text hash) that the
+   document's row goes to as well, and are extended to the windows around them.
 3. Extended windows with the same words (64-bit hash) meet in one part again;
    all but the earliest are repeats.  Inside a batch only the earliest is
    sent, so a passage that a third of all documents hold is one entry a batch.
@@ -41,7 +42,9 @@ from .stage import stage
 
 BATCH = 500
 #: A part of the hash space is cut into so many slices, taken one after another.
-SLICES = 8
+SLICES = 4
+#: Entries that a task gathers before it sends them on.
+HELD = 2_000_000
 PACKED = "part int, slice int, kind int, keys binary, ids binary, marks binary, runs binary, places binary"
 _NAMES = ["part", "slice", "kind", "keys", "ids", "marks", "runs", "places"]
 _TYPES = [pa.int32(), pa.int32(), pa.int32(), *[pa.binary()] * 5]
@@ -62,9 +65,9 @@ def _runs(doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, np.diff(np.append(at, len(doc)))
 
 
-def _packed(ids: np.ndarray, marks: np.ndarray, doc: np.ndarray, place: np.ndarray) -> tuple[bytes, bytes, bytes, bytes]:
-    """Entries in order of document and place: the documents once each, entries by their gaps."""
-    at, n = _runs(doc)
+def _packed(ids: np.ndarray, marks: np.ndarray, doc: np.ndarray, place: np.ndarray, run: np.ndarray | None = None) -> tuple[bytes, bytes, bytes, bytes]:
+    """Entries in order of document and place: the documents once each (ids and marks at ``doc``), entries by their gaps."""
+    at, n = _runs(doc if run is None else run)
     gap = np.diff(place, prepend=0)
     gap[at] = place[at]
     return ids[doc[at]].tobytes(), marks[doc[at]].tobytes(), _planes(n), _planes(gap)
@@ -128,14 +131,49 @@ def _blocks_and_probes(window: int, parts: int):
     return run
 
 
-def _hits(window: int):
-    """Of rows in order of (slice, kind): the probes with a block elsewhere, by document."""
+class _Outbox:
+    """Gathers (id, mark, place) and packs them by the bucket of the document's row."""
+
+    def __init__(self, parts: int):
+        self.parts, self.held, self.n = parts, [], 0
+
+    def put(self, ids: np.ndarray, marks: np.ndarray, place: np.ndarray) -> None:
+        self.held.append((ids, marks, place))
+        self.n += len(ids)
+
+    def full(self) -> bool:
+        return self.n >= HELD
+
+    def rows(self) -> pa.RecordBatch:
+        out: list[tuple] = []
+        if self.n:
+            ids, marks, place = (np.concatenate(x) for x in zip(*self.held))
+            bucket = (ids ^ marks) % self.parts
+            order = np.lexsort((place, marks, ids, bucket))
+            ids, marks, place, bucket = ids[order], marks[order], place[order], bucket[order]
+            doc = _change(ids, marks)
+            at, n = _runs(bucket)
+            out = [(int(bucket[a]), 0, 0, b"", *_packed(ids[a:a + k], marks[a:a + k], np.arange(k), place[a:a + k], doc[a:a + k]))
+                   for a, k in zip(at.tolist(), n.tolist())]
+        self.held, self.n = [], 0
+        return _frame(out)
+
+
+def _change(ids: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """A number for each run of equal (id, mark)."""
+    if not len(ids):
+        return np.zeros(0, np.int64)
+    return np.concatenate([[0], np.cumsum((np.diff(ids) != 0) | (np.diff(marks) != 0))])
+
+
+def _hits(window: int, parts: int):
+    """Of rows in order of (slice, kind): the probes with a block elsewhere, to their documents."""
     block = (window + 1) // 2
 
     def run(batches):
         piece, index, counts, ready = None, [], [], None
+        out = _Outbox(parts)
         for b in batches:
-            out: list[tuple] = []
             for row in zip(*(b.column(c).to_pylist() for c in _NAMES[1:])):
                 if row[0] != piece:
                     piece, index, counts, ready = row[0], [], [], None
@@ -152,55 +190,65 @@ def _hits(window: int):
                 probe = np.frombuffer(row[2], np.uint32)
                 at = np.minimum(np.searchsorted(ready[0], probe), len(ready[0]) - 1)
                 found = np.flatnonzero(ready[0][at] == probe)
-                if not len(found):
-                    continue
-                ids, marks, place = _unpacked(*row[3:])
-                found = found[ready[1][at[found]] > (place[found] % block == 0)]  # an aligned probe meets its own block
-                out += _by_document(ids[found], marks[found], place[found])
-            yield _documents(out)
+                if len(found):
+                    ids, marks, place = _unpacked(*row[3:])
+                    found = found[ready[1][at[found]] > (place[found] % block == 0)]  # an aligned probe meets its own block
+                    out.put(ids[found], marks[found], place[found])
+            if out.full():
+                yield out.rows()
+        yield out.rows()
 
     return run
 
 
-def _by_document(ids: np.ndarray, marks: np.ndarray, place: np.ndarray) -> list[tuple]:
-    at, n = _runs(_change(ids, marks))
-    return [(int(ids[a]), int(marks[a]), _planes(place[a:a + k])) for a, k in zip(at.tolist(), n.tolist())]
-
-
-def _change(ids: np.ndarray, marks: np.ndarray) -> np.ndarray:
-    """A number for each run of equal (id, mark)."""
-    if not len(ids):
-        return np.zeros(0, np.int64)
-    return np.concatenate([[0], np.cumsum((np.diff(ids) != 0) | (np.diff(marks) != 0))])
-
-
-def _documents(rows: list[tuple]) -> pa.RecordBatch:
-    cols = zip(*rows) if rows else [[]] * 3
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary()))], ["id", "mark", "places"])
-
-
 # ------------------------------------------------------------------ steps 2 and 3
-def _around(hits: list[bytes], words: int, window: int) -> np.ndarray:
+def _around(place: np.ndarray, words: int, window: int) -> np.ndarray:
     """Starts of the windows of a document that hold a hit."""
     block = (window + 1) // 2
     edge = np.zeros(words + 2, np.int64)
-    for x in hits:
-        place = _unplanes(x).astype(np.int64)
-        np.add.at(edge, np.maximum(place - (window - block), 0), 1)
-        np.add.at(edge, place + 1, -1)
+    np.add.at(edge, np.maximum(place - (window - block), 0), 1)
+    np.add.at(edge, place + 1, -1)
     return np.flatnonzero(np.cumsum(edge[: max(words - window + 1, 0)]) > 0)
 
 
+def _addressed(batches):
+    """Of rows in order of kind - what was sent to documents, then the documents: each batch of documents with its places."""
+    held: list[tuple] = []
+    found = None
+    for b in batches:
+        kinds = b.column("kind").to_numpy(zero_copy_only=False)
+        n = int((kinds == 0).sum())
+        if n:
+            held += [_unpacked(*x) for x in zip(*(b.column(c).slice(0, n).to_pylist() for c in _NAMES[4:]))]
+        if n == b.num_rows:
+            continue
+        if found is None:
+            found = {}
+            if held:
+                ids, marks, place = (np.concatenate(x) for x in zip(*held))
+                order = np.lexsort((place, marks, ids))
+                ids, marks, place = ids[order], marks[order], place[order]
+                at, k = _runs(_change(ids, marks))
+                found = {(i, m): place[a:a + c] for i, m, a, c in zip(ids[at].tolist(), marks[at].tolist(), at.tolist(), k.tolist())}
+            held = []
+        docs = b.slice(n)
+        ids, marks = docs.column("id").to_pylist(), docs.column("mark").to_pylist()
+        yield docs, [found.get(k) for k in zip(ids, marks)]
+
+
 def _windows(window: int, parts: int):
     """The windows around hits, the earliest of a batch to its part (kind 1); the others are repeats (kind 2)."""
 
     def run(batches):
-        for b in batches:
+        for b, hits in _addressed(batches):
+            with_hits = np.array([x is not None for x in hits], bool)
+            if not with_hits.any():
+                continue
+            b = b.filter(pa.array(with_hits))
             ids, marks, texts = _columns(b)
-            hits = b.column("hits").to_pylist()
             h, _, _, bounds = word_hashes(texts)
             r = rolling(h, window)
-            starts = [_around(x, int(n), window) for x, n in zip(hits, np.diff(bounds))]
+            starts = [_around(x, int(n), window) for x, n in zip([x for x in hits if x is not None], np.diff(bounds))]
             doc = np.repeat(np.arange(len(texts)), [len(x) for x in starts])
             place = np.concatenate([np.zeros(0, np.int64), *starts])
             key = r[place + bounds[doc]] if len(place) else np.zeros(0, np.uint64)
@@ -226,48 +274,51 @@ def _firsts(key: np.ndarray, ids: np.ndarray, place: np.ndarray) -> np.ndarray:
     return (ids == np.repeat(ids[at], n)) & (place == np.repeat(place[at], n))
 
 
-def _repeats(batches):
-    """Of rows in order of slice: the windows that also start earlier, by document."""
-    piece, held = None, []
+def _repeats(parts: int):
+    """Of rows in order of slice: the windows that also start earlier, to their documents."""
 
-    def judged() -> list[tuple]:
-        key, ids, marks, place = (np.concatenate(x) for x in zip(*held))
-        order = np.lexsort((marks, place, ids, key))
-        later = order[~_firsts(key[order], ids[order], place[order])]
-        later = later[np.lexsort((place[later], marks[later], ids[later]))]
-        return _by_document(ids[later], marks[later], place[later])
+    def run(batches):
+        piece, held, out = None, [], _Outbox(parts)
 
-    for b in batches:
-        out: list[tuple] = []
-        for row in zip(*(b.column(c).to_pylist() for c in _NAMES[1:])):
-            if row[1] == 2:
-                out += _by_document(*_unpacked(*row[3:]))
-                continue
-            if row[0] != piece:
-                out += judged() if held else []
-                piece, held = row[0], []
-            held.append((np.frombuffer(row[2], np.uint64), *_unpacked(*row[3:])))
-        yield _documents(out)
-    if held:
-        yield _documents(judged())
+        def judge() -> None:
+            key, ids, marks, place = (np.concatenate(x) for x in zip(*held))
+            order = np.lexsort((place, ids, key))
+            later = order[~_firsts(key[order], ids[order], place[order])]
+            out.put(ids[later], marks[later], place[later])
+
+        for b in batches:
+            for row in zip(*(b.column(c).to_pylist() for c in _NAMES[1:])):
+                if row[1] == 2:
+                    out.put(*_unpacked(*row[3:]))
+                    continue
+                if row[0] != piece:
+                    if held:
+                        judge()
+                    piece, held = row[0], []
+                held.append((np.frombuffer(row[2], np.uint64), *_unpacked(*row[3:])))
+            if out.full():
+                yield out.rows()
+        if held:
+            judge()
+        yield out.rows()
+
+    return run
 
 
 # ------------------------------------------------------------------ step 4
 def _cut(window: int):
     def run(batches):
-        for b in batches:
-            texts, repeats = as_bytes(b.column("text")), b.column("repeats").to_pylist()
+        for b, repeats in _addressed(batches):
+            texts = as_bytes(b.column("text"))
             cols: tuple[list, list, list, list, list] = ([], [], [], [], [])
-            for text, found in zip(texts, repeats):
+            for text, place in zip(texts, repeats):
                 words = text.split()
                 spans: list[list[int]] = []
                 kept = words
-                if found:
+                if place is not None:
                     edge = np.zeros(len(words) + 1, np.int64)
-                    for x in found:
-                        place = _unplanes(x).astype(np.int64)
-                        np.add.at(edge, place, 1)
-                        np.add.at(edge, place + window, -1)
+                    np.add.at(edge, place, 1)
+                    np.add.at(edge, place + window, -1)
                     gone = np.cumsum(edge)[:-1] > 0
                     kept = [w for w, g in zip(words, gone.tolist()) if not g]
                     at, n = _runs(gone)
@@ -276,7 +327,7 @@ def _cut(window: int):
                 for c, v in zip(cols, (len(words), len(words) - len(kept), rest, hashlib.sha256(rest).hexdigest(), spans)):
                     c.append(v)
             yield pa.RecordBatch.from_arrays(
-                [b.column("id"), *[pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary(), pa.string(), pa.list_(pa.list_(pa.int32()))))]],
+                [b.column("given"), *[pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary(), pa.string(), pa.list_(pa.list_(pa.int32()))))]],
                 ["id", "n_words", "n_removed", "kept", "kept_sha256", "spans"])
 
     return run
@@ -292,17 +343,19 @@ def dedup_substrings(docs: DataFrame, window: int = 20, id_col: str = "doc_id",
     rows = docs.select(F.col(id_col).cast("long").alias("given"), F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("id"),
                        F.xxhash64(text).alias("mark"), text.alias("text"))
 
-    def met(df: DataFrame, how) -> DataFrame:
-        return df.repartitionById(parts, F.col("part")).sortWithinPartitions("slice", "kind").mapInArrow(how, "id long, mark long, places binary")
-
-    probes = rows.select("id", "mark", "text").mapInArrow(_blocks_and_probes(window, parts), PACKED)
-    hits = stage(met(probes, _hits(window)), "substring-hits")
-    by_doc = hits.groupBy("id", "mark").agg(F.collect_set("places").alias("hits"))  # as much as the document's words
-    found = rows.select("id", "mark", "text").join(by_doc, ["id", "mark"]).mapInArrow(_windows(window, parts), PACKED)
-    repeats = stage(met(found, _repeats), "substring-repeats")
-    by_doc = repeats.groupBy("id", "mark").agg(F.collect_set("places").alias("repeats"))
-    joined = rows.join(by_doc, ["id", "mark"], "left").select(F.col("given").alias("id"), "text", "repeats")
-    out = joined.mapInArrow(_cut(window), "id long, n_words long, n_removed long, kept binary, kept_sha256 string, spans array<array<int>>")
+    def met(df: DataFrame, how, tag: str) -> DataFrame:
+        """Rows of a part of the hash space together; what comes of them is small."""
+        return stage(df.repartitionById(parts, F.col("part")).sortWithinPartitions("slice", "kind").mapInArrow(how, PACKED), tag)
+
+    def addressed(sent: DataFrame) -> DataFrame:
+        """The documents behind what was sent to them: both sides go to the bucket of (id, mark)."""
+        own = rows.withColumn("part", F.pmod(F.col("id").bitwiseXOR(F.col("mark")), F.lit(parts)).cast("int")).withColumn("kind", F.lit(1))
+        both = sent.unionByName(own, allowMissingColumns=True)
+        return both.repartitionById(parts, F.col("part")).sortWithinPartitions("kind").select("kind", "given", "id", "mark", "text", *_NAMES[4:])
+
+    hits = met(rows.select("id", "mark", "text").mapInArrow(_blocks_and_probes(window, parts), PACKED), _hits(window, parts), "substring-hits")
+    repeats = met(addressed(hits).mapInArrow(_windows(window, parts), PACKED), _repeats(parts), "substring-repeats")
+    out = addressed(repeats).mapInArrow(_cut(window), "id long, n_words long, n_removed long, kept binary, kept_sha256 string, spans array<array<int>>")
     return out.select(F.col("id").alias(id_col), "n_words", "n_removed", F.col("kept").cast("string").alias("kept"), "kept_sha256", "spans")
 
 
