@@ -84,14 +84,17 @@ def latest_snapshot(df: DataFrame, stamp_col: str, by: list | None = None) -> Da
 
 # A12 / A13 ----------------------------------------------------------------------
 def exact_sum(value: Column, decimals: int | None) -> Column:
-    """Sum; with ``decimals`` the double sum is rounded to that many places,
-    which is exact when every addend has at most that many decimals (money,
-    quantities), so the result does not depend on summation order."""
-    s = F.sum(value)
+    """Sum as a double; with ``decimals`` the addends are summed as decimals of
+    that many places, so the result does not depend on summation order and is
+    exact up to 38 digits (beyond, the sum raises an error)."""
+    return _sum_as(F.sum, value, decimals)
+
+
+def _sum_as(agg, value: Column, decimals: int | None) -> Column:
+    """``agg(value)``, where ``agg`` may also be a windowed sum."""
     if decimals is None:
-        return s
-    q = float(10 ** decimals)
-    return F.floor(s * q + 0.5) / q
+        return agg(value)
+    return agg(value.cast(f"decimal(38,{decimals})")).cast("double")
 
 
 def exact_avg(value: Column, decimals: int | None) -> Column:
@@ -196,8 +199,7 @@ def trailing_average(df: DataFrame, item_col: str, date_col: str, value: Column,
     if decimals is None:
         avg = F.avg("daily_value").over(w)
     else:
-        q = float(10 ** decimals)
-        avg = (F.floor(F.sum("daily_value").over(w) * q + 0.5) / q) / F.count("daily_value").over(w)
+        avg = _sum_as(lambda c: F.sum(c).over(w), F.col("daily_value"), decimals) / F.count("daily_value").over(w)
     out = daily.withColumn("trailing_avg", avg)
     return out.withColumn("trend_ratio", ddivide(F.col("trailing_avg") - F.col("daily_value"), F.col("trailing_avg")))
 
@@ -360,8 +362,9 @@ def distribution_stats(df: DataFrame, col: str, by: list | None = None, prefix:
     stats = df.groupBy(*by).agg(exact_avg(c, decimals).alias(f"{p}_avg"),
                                 F.min(c).alias(f"{p}_min"), F.max(c).alias(f"{p}_max"),
                                 exact_sum(c, decimals).alias(f"{p}_sum"), F.count(c).alias(f"{p}_count"))
+    from .windows import _join_null_safe
     med = exact_median(df, col, by, f"{p}_median")
-    return stats.join(med, by, "left") if by else _join_scalar(stats, med)
+    return _join_null_safe(stats, med, by) if by else _join_scalar(stats, med)
 
 
 def _join_scalar(left: DataFrame, one_row: DataFrame) -> DataFrame:
@@ -421,13 +424,14 @@ def counter_averages(df: DataFrame, name_col: str, value_col: str, counters: dic
         for out, cn in counters.items()])
 
 
-def success_ratio(df: DataFrame, request_col: str, status_col: str, success_value="Y",
+def success_ratio(df: DataFrame, request_col: str, status_col: str, success_value="Y", failure_value="N",
                   by: list | None = None) -> DataFrame:
-    """Distinct requests, distinct failed requests and the success ratio."""
+    """Distinct requests, distinct failed requests (status ``failure_value``;
+    other values are neither) and the success ratio."""
     ok = F.col(status_col) == success_value
     return df.groupBy(*(by or [])).agg(
         F.count_distinct(request_col).alias("requests"),
-        F.count_distinct(F.when(~ok, F.col(request_col))).alias("failed_requests"),
+        F.count_distinct(F.when(F.col(status_col) == failure_value, F.col(request_col))).alias("failed_requests"),
         ddivide(F.count_distinct(F.when(ok, F.col(request_col))), F.count_distinct(request_col)).alias("success_ratio"))
 
 
@@ -444,21 +448,20 @@ def time_measures(df: DataFrame, cols: list[str], by: list | None = None, unit:
 def item_vs_all(df: DataFrame, item_col: str, date_col: str, value: Column, today,
                 item_days: int = 7, all_days: int = 90, decimals: int | None = None) -> DataFrame:
     """Per item: average daily value over the last ``item_days`` against the
-    average daily value of *all* items over ``all_days`` (item filter
-    removed): difference, percentage and sign.  The all-items baseline is
-    a scalar subquery."""
+    average of all (item, day) sums of the last ``all_days`` (item filter
+    removed, day ``today - all_days`` included): difference, percentage and
+    whether it is above.  The all-items baseline is a scalar subquery."""
     t = _lit_date(today)
     d = F.to_date(F.col(date_col))
     daily = df.groupBy(item_col, d.alias("Date")).agg(exact_sum(value, decimals).alias("v"))
-    base = (daily.filter((F.col("Date") > F.date_sub(t, all_days)) & (F.col("Date") <= t))
-            .groupBy("Date").agg(exact_sum(F.col("v"), decimals).alias("v"))
+    base = (daily.filter((F.col("Date") >= F.date_sub(t, all_days)) & (F.col("Date") <= t))
             .select(exact_avg(F.col("v"), decimals)).scalar())
-    recent = (daily.filter((F.col("Date") > F.date_sub(t, item_days)) & (F.col("Date") <= t))
+    recent = (daily.filter((F.col("Date") >= F.date_sub(t, item_days)) & (F.col("Date") <= t))
               .groupBy(item_col).agg(exact_avg(F.col("v"), decimals).alias("item_avg")))
     out = recent.withColumn("all_avg", base)
     diff = F.col("item_avg") - F.col("all_avg")
     return out.withColumns({"difference": diff, "difference_pct": ddivide(diff, F.col("all_avg")),
-                            "sign": F.signum(diff)})
+                            "above": diff > 0})
 
 
 # A39 ---------------------------------------------------------------------------

@@ -49,51 +49,23 @@ def replace_since(existing: DataFrame, new: DataFrame, date_col: str) -> DataFra
 
 
 # ---------------------------------------------------------------------------
-BROADCAST_BUDGET_BYTES = 128 * 1024 * 1024
-
-
-def _width(dt) -> int:
-    """Estimated bytes per value of a type (strings and nested types get a
-    generous allowance so the row bound errs on the small side)."""
-    from pyspark.sql import types as T
-    if isinstance(dt, (T.StringType, T.BinaryType)):
-        return 64
-    if isinstance(dt, T.StructType):
-        return sum(_width(f.dataType) for f in dt.fields)
-    if isinstance(dt, (T.ArrayType, T.MapType)):
-        return 256
-    if isinstance(dt, (T.BooleanType, T.ByteType)):
-        return 1
-    if isinstance(dt, (T.ShortType,)):
-        return 2
-    if isinstance(dt, (T.IntegerType, T.FloatType, T.DateType)):
-        return 4
-    if isinstance(dt, T.DecimalType):
-        return 16
-    return 8
-
-
-def source_fits_broadcast(source: DataFrame, budget_bytes: int = BROADCAST_BUDGET_BYTES) -> bool:
-    """True when the source is provably small enough to broadcast: at most
-    ``budget_bytes / estimated row width`` rows (checked with a limited count,
-    which stops reading once the bound is exceeded)."""
-    width = max(sum(_width(f.dataType) for f in source.schema.fields), 8)
-    max_rows = max(budget_bytes // width, 1)
-    return source.limit(max_rows + 1).count() <= max_rows
+def _once(s: DataFrame, keys: list[str], flag: str) -> DataFrame:
+    """``s`` with ``flag`` = true on every row; a key that occurs twice raises
+    (as a MERGE would).  Keys with a null match nothing, so they may repeat.
+    The window runs on the key partitioning that the join needs anyway."""
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    whole = F.lit(True)
+    for k in keys:
+        whole = whole & F.col(k).isNotNull()
+    return s.withColumn("_n", n).withColumn(flag, F.when(whole & (F.col("_n") > 1), F.raise_error(F.lit(
+        "duplicate source key in merge")).cast("boolean")).otherwise(F.lit(True))).drop("_n")
 
 
 def _merge(target: DataFrame, source: DataFrame, keys: list[str], *, update_cols: list[str] | None = None,
            insert: bool = True, soft_delete: bool = False, now=None, check_unique: bool = True,
-           deleted_col: str = "is_deleted", modified_col: str = "modified_at", strategy: str = "auto") -> DataFrame:
-    """Shared merge core.
-
-    ``strategy="shuffle"``: one full-outer join, both sides hash-partitioned
-    by key (any sizes).  ``strategy="broadcast"``: the source is broadcast;
-    matched target rows come from a broadcast inner join, unmatched ones from
-    a broadcast anti-join, and inserts from the source anti-joined with the
-    (source-bounded) matched keys - the large target is scanned but never
-    shuffled.  ``"auto"`` picks broadcast when :func:`source_fits_broadcast`.
-    """
+           deleted_col: str = "is_deleted", modified_col: str = "modified_at") -> DataFrame:
+    """Shared merge core: one full-outer join that reads target and source
+    once, both hash-partitioned by key; skewed keys are split by AQE."""
     ts = _lit_ts(now)
     if soft_delete:
         source = source.withColumns({modified_col: ts, deleted_col: F.lit(False)})
@@ -101,19 +73,11 @@ def _merge(target: DataFrame, source: DataFrame, keys: list[str], *, update_cols
             target = target.withColumn(deleted_col, F.lit(None).cast("boolean"))
         if modified_col not in target.columns:
             target = target.withColumn(modified_col, F.lit(None).cast("timestamp"))
-    if strategy == "auto":
-        strategy = "broadcast" if source_fits_broadcast(source) else "shuffle"
     t_cols, s_cols = target.columns, source.columns
     cols = t_cols + [c for c in s_cols if c not in t_cols]
     s = source.select(*[_q(c).alias(f"s__{c}") for c in s_cols], F.lit(True).alias("s__present"))
     if check_unique:
-        # a MERGE with two source rows for one target row is an error; the
-        # window runs on the source's key partitioning (reused by a shuffle join)
-        w = Window.partitionBy(*[f"s__{k}" for k in keys])
-        s = s.withColumn("s__n", F.count(F.lit(1)).over(w))
-        s = s.withColumn("s__present", F.when(F.col("s__n") > 1,
-                                               F.raise_error(F.lit("duplicate source key in merge"))
-                                               .cast("boolean")).otherwise(F.lit(True))).drop("s__n")
+        s = _once(s, [f"s__{k}" for k in keys], "s__present")
     t = target.select(*[_q(c).alias(f"t__{c}") for c in t_cols], F.lit(True).alias("t__present"))
     cond = None
     for k in keys:
@@ -142,47 +106,25 @@ def _merge(target: DataFrame, source: DataFrame, keys: list[str], *, update_cols
                  .otherwise(tc if tc is not None else F.lit(None)))
         out.append(v.alias(c))
 
-    def finish(j: DataFrame) -> DataFrame:
-        res = j.select(*out, sp.alias("_sp"), tp.alias("_tp"))
-        if not insert:
-            res = res.filter(F.col("_tp"))
-        return res.drop("_sp", "_tp")
-
-    if strategy == "shuffle":
-        return finish(t.join(s, cond, "full_outer"))
-
-    # broadcast strategy: three disjoint parts, no shuffle of the target
-    s_b = F.broadcast(s)
-    null_s = [F.lit(None).cast(f.dataType).alias(f.name) for f in s.schema.fields]
-    null_t = [F.lit(None).cast(f.dataType).alias(f.name) for f in t.schema.fields]
-    matched = t.join(s_b, cond, "inner")
-    s_keys = F.broadcast(s.select(*[f"s__{k}" for k in keys]))
-    t_only = t.join(s_keys, cond, "left_anti").select("*", *null_s)
-    m_keys = F.broadcast(matched.select(*[F.col(f"s__{k}").alias(f"m__{k}") for k in keys]))
-    m_cond = None
-    for k in keys:
-        e = F.col(f"s__{k}") == F.col(f"m__{k}")
-        m_cond = e if m_cond is None else m_cond & e
-    s_only = s.join(m_keys, m_cond, "left_anti").select(*null_t, "*")
-    return finish(matched).unionByName(finish(t_only)).unionByName(finish(s_only))
+    merged = t.join(s, cond, "full_outer").select(*out, tp.alias("_tp"))
+    return (merged if insert else merged.filter(F.col("_tp"))).drop("_tp")
 
 
-def upsert_soft_delete(target: DataFrame, source: DataFrame, keys: list[str], now=None,
-                       strategy: str = "auto") -> DataFrame:
+def upsert_soft_delete(target: DataFrame, source: DataFrame, keys: list[str], now=None) -> DataFrame:
     """M2: matched -> all source values and ``modified_at = now``;
     not matched -> inserted; not matched by source -> ``is_deleted = True``
     and modified time set, once (rows already deleted are left alone)."""
-    return _merge(target, source, keys, soft_delete=True, now=now, strategy=strategy)
+    return _merge(target, source, keys, soft_delete=True, now=now)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], update_cols: list[str] | None = None,
-           check_unique: bool = True, strategy: str = "auto") -> DataFrame:
+           check_unique: bool = True) -> DataFrame:
     """M3/M4: insert new keys, update matched rows.
 
     Columns are the union of both schemas.  ``update_cols`` limits which
     columns a match overwrites; the others keep the target's values.
     """
-    return _merge(target, source, keys, update_cols=update_cols, check_unique=check_unique, strategy=strategy)
+    return _merge(target, source, keys, update_cols=update_cols, check_unique=check_unique)
 
 
 def insert_new(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
@@ -193,11 +135,12 @@ def insert_new(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFra
 
 def update_from(target: DataFrame, source: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
     """M6: set ``cols`` from the source where the key matches (the column is
-    added first when absent); unmatched target rows keep their values."""
+    added first when absent); unmatched target rows keep their values.  A
+    repeated source key raises, as in M2-M4."""
     for c in cols:
         if c not in target.columns:
             target = target.withColumn(c, F.lit(None).cast(source.schema[c].dataType))
-    s = source.select(*keys, *[F.col(c).alias(f"u__{c}") for c in cols], F.lit(True).alias("u__hit"))
+    s = _once(source.select(*keys, *[F.col(c).alias(f"u__{c}") for c in cols]), keys, "u__hit")
     j = target.join(s, on=keys, how="left")
     return j.select(*[F.when(F.col("u__hit"), F.col(f"u__{c}")).otherwise(F.col(c)).alias(c)
                       if c in cols else _q(c) for c in target.columns])

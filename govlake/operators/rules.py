@@ -185,26 +185,6 @@ def _bidi(r: DataFrame | None = None) -> Column:
 
 # ---------------------------------------------------------------------------- B1 columns
 
-
-
-
-
-
-
-
-
-
-
-
-
-
-
-
-
-
-
-
-
 
 # ---------------------------------------------------------------------------- B2 columns vs others
 def r7(m):
@@ -267,10 +247,6 @@ def _with_col_types(m) -> DataFrame:
                             F.col("DataType").alias("ToType")), ["ModelId", "ToTable", "ToColumn"], "left")
 
 
-
-
-
-
 def r24(m):
     r = _with_col_types(m)
     return _out(r.filter(~F.col("FromType").eqNullSafe(F.col("ToType"))), 24, "Relationship", "FromTable", _rel_name())
@@ -307,8 +283,6 @@ def r40(m):
 # ---------------------------------------------------------------------------- B4 RLS
 
 
-
-
 # ---------------------------------------------------------------------------- B5 tables
 def _tables_rel_flags(m) -> DataFrame:
     ends = _rel_ends(m)
@@ -360,12 +334,6 @@ def r12(m):
     return _out(t, 12, "Table", "TableName", "TableName")
 
 
-
-
-
-
-
-
 def r20(m):
     p = m["partitions"].groupBy("ModelId", "TableName").agg(F.count(F.lit(1)).alias("_n"))
     t = (m["tables"].join(p, ["ModelId", "TableName"]).join(_direct_lake(m), "ModelId", "left")
@@ -425,30 +393,6 @@ def r22(m):
 # ---------------------------------------------------------------------------- B8 measure text
 
 
-
-
-
-
-
-
-
-
-
-
-
-
-
-
-
-
-
-
-
-
-
-
-
-
 # ---------------------------------------------------------------------------- B9 measures vs measures
 def r31(m):
     ms = m["measures"]
@@ -548,18 +492,6 @@ def _named_objects(m) -> DataFrame:
     return t.unionByName(c).unionByName(ms).unionByName(p).unionByName(h)
 
 
-
-
-
-
-
-
-
-
-
-
-
-
 # ---------------------------------------------------------------------------- per-row rules
 def _frame(kind: str, m: dict) -> DataFrame:
     """The object table a per-row rule reads, with the helper columns its
@@ -590,9 +522,8 @@ ROW_RULES: dict[int, tuple[str, Callable[[], Column]]] = {
     25: ("columns", lambda: (F.col("Type") == "Data") & (F.length(_s("SourceColumn")) == 0)),
     46: ("columns", lambda: F.col("ColumnName").rlike("(?i)date") & (F.col("DataType") == "DateTime")
          & (_s("FormatString") != "mm/dd/yyyy")),
-    # operator precedence as written: Int64 or Decimal or (Double and summarized and visible)
-    47: ("columns", lambda: (F.col("DataType") == "Int64") | (F.col("DataType") == "Decimal")
-         | ((F.col("DataType") == "Double") & (_s("SummarizeBy") != "None") & ~F.col("ColHidden"))),
+    47: ("columns", lambda: F.col("DataType").isin("Int64", "Decimal", "Double")
+         & (_s("SummarizeBy") != "None") & ~F.col("ColHidden")),
     49: ("columns", lambda: (F.length(_s("DataCategory")) == 0) & _geo(F.col("ColumnName"))),
     54: ("columns", lambda: F.col("ColumnName").rlike("(?i)month") & ~F.col("ColumnName").rlike("(?i)months")
          & (F.col("DataType") == "String") & (F.length(_s("SortByColumn")) == 0)),

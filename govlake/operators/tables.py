@@ -173,7 +173,7 @@ def build_refreshables(records: DataFrame) -> dict[str, DataFrame]:
                      _col_or_null(ex, "medianDuration", "double").alias("RefreshMedianDuration"),
                      _col_or_null(ex, "refreshCount", "long").alias("RefreshCount"))
     summ = summ.filter(F.col("ConsideredStartTime").isNotNull()
-                       & (F.coalesce(F.col("ConsideredEndDate").cast("string"), F.lit("")) != "0001-01-01"))
+                       & (F.col("ConsideredEndDate").cast("string") != "0001-01-01"))  # a null end date goes too
     summ = summ.withColumn("ConsiderationDurationSeconds",
                            duration_s("ConsideredStartTime", "ConsideredEndTime")).dropDuplicates()
     lr = lambda f, t="string": _col_or_null(ex, f"lastRefresh.{f}", t)
@@ -562,14 +562,14 @@ def build_query_start(logs: DataFrame) -> dict[str, DataFrame]:
                      "SemanticModelId", F.col("src.ReportId").alias("ReportId"), F.col("src.VisualId").alias("VisualId"),
                      F.col("src.HostProperties.ConsumptionMethod").alias("ConsumptionMethod"),
                      F.col("src.HostProperties.UserSession").alias("UserSession"))
-    mapping = context_pivot(evaluation, ["DatasetId", "WorkspaceId"])
-    hosts = context_pivot(evaluation, ["HostContextType"])
+    mapping = context_pivot(evaluation, ["DatasetId", "WorkspaceId"]).withColumnRenamed("DatasetId", "SemanticModelId")
+    hosts = context_pivot(evaluation, ["Host Context Type"])
     return {"fact": fact, "datasources": sources, "texts": texts, "evaluation_context": evaluation,
             "application_context": app, "service_mapping": mapping, "host_types": hosts}
 
 
-def context_pivot(kv: DataFrame, keys: list[str], by: str = "RequestId") -> DataFrame:
-    """One row per request, one column per context key (a pivot with the
+def context_pivot(kv: DataFrame, keys: list[str], by: str = "RequestTrackingKey") -> DataFrame:
+    """One row per tracked request, one column per context key (a pivot with the
     key list given, so no distinct-values pass).  A key repeated with
     different values keeps the greatest value."""
     return kv.filter(F.col("key").isin(keys)).groupBy(by).pivot("key", keys).agg(F.max("value"))
@@ -615,31 +615,45 @@ def build_calc_dependencies(deps: DataFrame, tables: DataFrame, object_types: Da
     return j.drop("_tn1", "_tn2", "_oe1", "_oe2")
 
 
+#: The marks that the query list puts before names and types.
+QUERY_MARKS = {"parameter": "🎚️", "table": "📘", "expression": "✏️"}
+
+
 # T24 / T25 ----------------------------------------------------------------------------
 def build_query_list(expressions: DataFrame, partitions: DataFrame) -> DataFrame:
-    """Expressions UNION partitions in one shape (Name, Kind, Expression, Source)."""
-    e = expressions.select(F.col("Name"), F.lit("Expression").alias("Kind"), F.col("Expression"),
-                           F.lit("expressions").alias("Source"))
-    p = partitions.select(F.col("Name"), F.lit("Partition").alias("Kind"), F.col("QueryDefinition").alias("Expression"),
-                          F.lit("partitions").alias("Source"))
-    return e.unionByName(p).distinct()
+    """Partitions and expressions in one shape (OriginalName, Name,
+    QueryGroupId, Type, Expression); repeated rows stay.
+
+    ``partitions`` carry their TableName; an expression of type ``P`` is a
+    parameter, any other a shared expression.
+    """
+    p = partitions.select(F.col("TableName").alias("OriginalName"), F.concat(F.lit(f"{QUERY_MARKS['table']} "), F.col("TableName")).alias("Name"),
+                          F.col("QueryGroupID").alias("QueryGroupId"), F.lit(f"{QUERY_MARKS['table']} Table (Partitions)").alias("Type"),
+                          F.col("QueryDefinition").alias("Expression"))
+    is_parameter = F.col("ExpressionType") == "P"
+    mark = F.when(is_parameter, QUERY_MARKS["parameter"]).otherwise(QUERY_MARKS["expression"])
+    e = expressions.select(F.col("Name").alias("OriginalName"), F.concat_ws(" ", mark, F.col("Name")).alias("Name"),
+                           F.col("QueryGroupID").alias("QueryGroupId"),
+                           F.concat_ws(" ", mark, F.when(is_parameter, "Parameter").otherwise("Shared Expression")).alias("Type"), F.col("Expression"))
+    return p.unionByName(e)
 
 
 def build_folder_list(query_groups: DataFrame, default_folder: str = "(No folder)") -> DataFrame:
-    """The default folder row combined with the query groups."""
-    spark = query_groups.sparkSession
-    d = spark.createDataFrame([(-1, default_folder)], "ID long, Folder string")
-    return d.unionByName(query_groups.select(F.col("ID").cast("long"), F.col("Folder")))
+    """The default folder row combined with the query groups (ID and ModelID are texts)."""
+    cols = ("ID", "ModelID", "Folder", "Description")
+    default = query_groups.sparkSession.createDataFrame([("-1", None, default_folder, None)], ", ".join(f"{c} string" for c in cols))
+    own = [F.col(c).cast("string").alias(c) if c in query_groups.columns else F.lit(None).cast("string").alias(c) for c in cols]
+    return default.unionByName(query_groups.select(*own))
 
 
 # T27 ----------------------------------------------------------------------------
 def build_archive_candidates(items: DataFrame, workspaces: DataFrame, item_type: str,
-                             workspace_filter: str | None = None) -> DataFrame:
-    """Live items of one type, optionally in workspaces whose name
-    contains ``workspace_filter``, with their workspace name, ordered."""
+                             workspace: str | None = None) -> DataFrame:
+    """Live items of one type, optionally of the workspace of that exact
+    name, with their workspace name, by workspace name descending."""
     i = items.filter((F.col("type") == item_type) & ~F.coalesce(F.col("is_deleted"), F.lit(False))) \
         if "is_deleted" in items.columns else items.filter(F.col("type") == item_type)
     j = i.join(workspaces.select(F.col("WorkspaceId").alias("workspaceId"), "WorkspaceName"), "workspaceId", "left")
-    if workspace_filter:
-        j = j.filter(F.col("WorkspaceName").contains(workspace_filter))
-    return j.orderBy("WorkspaceName", "name")
+    if workspace is not None:
+        j = j.filter(F.col("WorkspaceName") == workspace)
+    return j.orderBy(F.desc("WorkspaceName"), "name")

@@ -543,28 +543,25 @@ def q_latest_order_per_customer(spark, sf):
 
 # =========================================================================== lineage graph
 from ..operators import lineage as G  # noqa: E402
-from ..session import materialize, spread  # noqa: E402
+from ..session import materialize  # noqa: E402
 from .standins import EDGES_SQL, NAMES_SQL, lineage_edges_from_tpch, lineage_names  # noqa: E402
 
+# one row an id and side: the name and type of the source with the least rank that has them
 HIERARCHY_SQL = """
+known AS (
+  SELECT id AS k, 1 AS rank, name AS label, Type AS kind FROM items
+  UNION ALL SELECT ReportId, 2, Name, NULL FROM reports
+  UNION ALL SELECT DatasourceId, 3, coalesce(path, extensionDataSourcePath, server), DataSourceType FROM sources),
+named AS (
+  SELECT k, down, arg_min(label, rank) FILTER (label IS NOT NULL) AS label, arg_min(kind, rank) FILTER (kind IS NOT NULL) AS kind
+  FROM known, (SELECT unnest([true, false]) AS down) WHERE down OR rank <> 2 GROUP BY k, down),
 hierarchy AS (
-  SELECT DISTINCT h.UpStreamId, h.UpStreamWorkspaceId,
-    coalesce(a_up.name, d_up.path, d_up.extensionDataSourcePath, d_up.server, h.UpStreamId) AS UpStreamName,
-    coalesce(a_up.Type, d_up.DataSourceType, h.UpStreamType) AS UpStreamType,
-    coalesce(w_up.WorkspaceName, 'Data Source') AS UpStreamWorkspaceName,
-    h.DownStreamId, h.DownStreamWorkspaceId,
-    coalesce(a_down.name, r_app.Name, d_down.path, d_down.extensionDataSourcePath, d_down.server, h.DownStreamId) AS DownStreamName,
-    coalesce(a_down.Type, d_down.DataSourceType, h.DownStreamType) AS DownStreamType,
-    coalesce(w_down.WorkspaceName, 'Data Source') AS DownStreamWorkspaceName,
-    h.SourceDF
-  FROM edges h
-  LEFT JOIN workspaces w_down ON w_down.WorkspaceId = h.DownStreamWorkspaceId
-  LEFT JOIN workspaces w_up ON w_up.WorkspaceId = h.UpStreamWorkspaceId
-  LEFT JOIN items a_down ON a_down.id = h.DownStreamId
-  LEFT JOIN items a_up ON a_up.id = h.UpStreamId
-  LEFT JOIN sources d_down ON d_down.DatasourceId = h.DownStreamId
-  LEFT JOIN sources d_up ON d_up.DatasourceId = h.UpStreamId
-  LEFT JOIN reports r_app ON r_app.ReportId = h.DownStreamId
+  SELECT DISTINCT e.UpStreamId, e.UpStreamWorkspaceId, coalesce(u.label, e.UpStreamId) AS UpStreamName, coalesce(u.kind, e.UpStreamType) AS UpStreamType,
+    coalesce((SELECT min(WorkspaceName) FROM workspaces WHERE WorkspaceId = e.UpStreamWorkspaceId), 'Data Source') AS UpStreamWorkspaceName,
+    e.DownStreamId, e.DownStreamWorkspaceId, coalesce(d.label, e.DownStreamId) AS DownStreamName, coalesce(d.kind, e.DownStreamType) AS DownStreamType,
+    coalesce((SELECT min(WorkspaceName) FROM workspaces WHERE WorkspaceId = e.DownStreamWorkspaceId), 'Data Source') AS DownStreamWorkspaceName,
+    e.SourceDF
+  FROM edges e LEFT JOIN named u ON u.k = e.UpStreamId AND NOT u.down LEFT JOIN named d ON d.k = e.DownStreamId AND d.down
 )"""
 
 HITEMS_SQL = """
@@ -594,9 +591,8 @@ paths AS (
 )"""
 
 
-# Used only when the session names no spark.checkpoint.dir (local runs);
-# on a cluster the shared folder from the session is used.
-LOCAL_CHECKPOINTS = "/tmp/govlake-checkpoints"
+# the session's shared folder; a local session without one gets its own
+LOCAL_CHECKPOINTS = None
 
 
 def _lineage_inputs(spark, sf):
@@ -977,7 +973,7 @@ FROM silver GROUP BY 1
 """)
 def q_activity_success_ratio(spark, sf):
     """Distinct requests, failed requests and success ratio per day."""
-    return A.success_ratio(_activities(spark, sf), "Id", "IsSuccess", True, by=["CreationDate"])
+    return A.success_ratio(_activities(spark, sf), "Id", "IsSuccess", True, False, by=["CreationDate"])
 
 
 @register("event_counter_averages", "A33", sql=f"""
@@ -996,17 +992,16 @@ def q_event_counter_averages(spark, sf):
 
 @register("supplier_vs_all", "A38", sql=f"""
 WITH d AS (SELECT l_suppkey, CAST(l_shipdate AS DATE) AS Date, {rnd_sql(f'sum({REV})', 4)} AS v FROM lineitem GROUP BY 1, 2),
-b AS (SELECT {rnd_sql('sum(v)', 4)} / count(v) AS all_avg FROM (
-        SELECT Date, {rnd_sql('sum(v)', 4)} AS v FROM d
-        WHERE Date > DATE '{SHIP_TODAY}' - INTERVAL 90 DAY AND Date <= DATE '{SHIP_TODAY}' GROUP BY 1)),
+b AS (SELECT {rnd_sql('sum(v)', 4)} / count(v) AS all_avg FROM d
+      WHERE Date >= DATE '{SHIP_TODAY}' - INTERVAL 90 DAY AND Date <= DATE '{SHIP_TODAY}'),
 r AS (SELECT l_suppkey, {rnd_sql('sum(v)', 4)} / count(v) AS item_avg FROM d
-      WHERE Date > DATE '{SHIP_TODAY}' - INTERVAL 7 DAY AND Date <= DATE '{SHIP_TODAY}' GROUP BY 1)
+      WHERE Date >= DATE '{SHIP_TODAY}' - INTERVAL 7 DAY AND Date <= DATE '{SHIP_TODAY}' GROUP BY 1)
 SELECT l_suppkey, item_avg, all_avg, item_avg - all_avg AS difference,
-       CASE WHEN all_avg <> 0 THEN (item_avg - all_avg) / all_avg END AS difference_pct, CAST(sign(item_avg - all_avg) AS DOUBLE) AS sign
+       CASE WHEN all_avg <> 0 THEN (item_avg - all_avg) / all_avg END AS difference_pct, item_avg - all_avg > 0 AS above
 FROM r, b
 """)
 def q_supplier_vs_all(spark, sf):
-    """Each supplier's 7-day daily average against the 90-day all-supplier average."""
+    """Each supplier's 7-day daily average against the 90-day average of all suppliers' days."""
     return A.item_vs_all(load(spark, sf, "lineitem"), "l_suppkey", "l_shipdate", _rev(), SHIP_TODAY, decimals=4)
 
 
@@ -1256,7 +1251,7 @@ v AS (
   UNION ALL SELECT ModelId, 46, 'Column', TableName, ColumnName FROM c
             WHERE regexp_matches(ColumnName, '(?i)date') AND DataType = 'DateTime' AND FormatString <> 'mm/dd/yyyy'
   UNION ALL SELECT ModelId, 47, 'Column', TableName, ColumnName FROM c
-            WHERE DataType = 'Int64' OR DataType = 'Decimal' OR (DataType = 'Double' AND SummarizeBy <> 'None' AND NOT IsHidden)
+            WHERE DataType IN ('Int64', 'Decimal', 'Double') AND SummarizeBy <> 'None' AND NOT IsHidden
   UNION ALL SELECT ModelId, 57, 'Column', TableName, ColumnName FROM c
             WHERE (starts_with(lower(ColumnName), 'is') AND DataType = 'Int64' AND NOT IsHidden)
                OR (ends_with(lower(ColumnName), ' flag') AND DataType <> 'String' AND NOT IsHidden)
@@ -1541,11 +1536,11 @@ def q_widely_shared_items(spark, sf):
 
 # =========================================================================== gateway logs
 def _qe(spark, sf):
-    return T.build_query_execution(SI.query_execution_logs_from_lineitem(spread(load(spark, sf, "lineitem"))))
+    return T.build_query_execution(SI.query_execution_logs_from_lineitem(load(spark, sf, "lineitem")))
 
 
 def _qs(spark, sf):
-    return T.build_query_start(SI.query_start_logs_from_lineitem(spread(load(spark, sf, "lineitem"))))
+    return T.build_query_start(SI.query_start_logs_from_lineitem(load(spark, sf, "lineitem")))
 
 
 @register("gateway_query_execution", "T15, P10, P13", sql=with_(SI.QUERY_EXECUTION_SQL) + """
@@ -1587,7 +1582,7 @@ FROM qe GROUP BY 1
 """)
 def q_gateway_success(spark, sf):
     """Distinct and failed requests and the success ratio per gateway."""
-    return A.success_ratio(_qe(spark, sf), "RequestId", "Success", "Y", by=["GatewayObjectId"])
+    return A.success_ratio(_qe(spark, sf), "RequestId", "Success", by=["GatewayObjectId"])
 
 
 @register("gateway_query_texts", "T17, P17", sql=with_(SI.QUERY_START_SQL) + """
@@ -1604,7 +1599,7 @@ SELECT GatewayObjectId, RequestId, QueryTrackingId, RequestId || QueryTrackingId
        'DatasetId' AS key, 'm' || CAST(pk % 50 AS VARCHAR) AS value FROM qs
 UNION ALL SELECT GatewayObjectId, RequestId, QueryTrackingId, RequestId || QueryTrackingId, 'svc', 'WorkspaceId',
        'w' || CAST(sk % 10 AS VARCHAR) FROM qs
-UNION ALL SELECT GatewayObjectId, RequestId, QueryTrackingId, RequestId || QueryTrackingId, 'svc', 'HostContextType',
+UNION ALL SELECT GatewayObjectId, RequestId, QueryTrackingId, RequestId || QueryTrackingId, 'svc', 'Host Context Type',
        CASE WHEN ln % 2 = 0 THEN 'Refresh' ELSE 'Query' END FROM qs
 """)
 def q_gateway_evaluation_context(spark, sf):
@@ -1623,14 +1618,24 @@ def q_gateway_application_context(spark, sf):
 
 
 @register("gateway_service_mapping", "T20", sql=with_(SI.QUERY_START_SQL) + """
-SELECT RequestId, max('m' || CAST(pk % 50 AS VARCHAR)) AS DatasetId, max('w' || CAST(sk % 10 AS VARCHAR)) AS WorkspaceId
+SELECT RequestId || QueryTrackingId AS RequestTrackingKey, max('m' || CAST(pk % 50 AS VARCHAR)) AS SemanticModelId,
+       max('w' || CAST(sk % 10 AS VARCHAR)) AS WorkspaceId
 FROM qs GROUP BY 1
 """)
 def q_gateway_service_mapping(spark, sf):
-    """Context keys pivoted to columns per request (repeated keys keep the greatest value)."""
+    """Context keys pivoted to columns per tracked request (repeated keys keep the greatest value)."""
     return _qs(spark, sf)["service_mapping"]
 
 
+@register("gateway_host_types", "T20", sql=with_(SI.QUERY_START_SQL) + """
+SELECT RequestId || QueryTrackingId AS RequestTrackingKey, max(CASE WHEN ln % 2 = 0 THEN 'Refresh' ELSE 'Query' END) AS "Host Context Type"
+FROM qs GROUP BY 1
+""")
+def q_gateway_host_types(spark, sf):
+    """Host context type of every tracked request."""
+    return _qs(spark, sf)["host_types"]
+
+
 @register("gateway_request_context", "A36", sql=with_(SI.QUERY_START_SQL) + """
 SELECT RequestId, max('w' || CAST(sk % 10 AS VARCHAR)) AS RefreshWorkspaceId, min('m' || CAST(pk % 50 AS VARCHAR)) AS SemanticModelId
 FROM qs GROUP BY 1
@@ -1649,7 +1654,7 @@ FROM lineitem
 """)
 def q_gateway_mashup(spark, sf):
     """Mashup evaluation fact: number-list rows summed, end date, key."""
-    m = T.build_mashup_evaluation(SI.mashup_logs_from_lineitem(spread(load(spark, sf, "lineitem"))))
+    m = T.build_mashup_evaluation(SI.mashup_logs_from_lineitem(load(spark, sf, "lineitem")))
     return m.select("RequestId", "QueryTrackingId", "TotalRowsSum", "EndDate", "RequestTrackingKey", "TotalBytes",
                     "`TotalProcessorTime(ms)`")
 
@@ -1666,7 +1671,7 @@ SELECT ma.*, e.requests FROM ma LEFT JOIN e USING (EndDate)
 """)
 def q_gateway_mashup_by_date(spark, sf):
     """Mashup measures per end date with the requests executed that day."""
-    m = T.build_mashup_evaluation(SI.mashup_logs_from_lineitem(spread(load(spark, sf, "lineitem"))))
+    m = T.build_mashup_evaluation(SI.mashup_logs_from_lineitem(load(spark, sf, "lineitem")))
     m = m.withColumns({c: F.col(f"`{c}`").cast("long") for c in ("AverageCommit(byte)", "MaxCommit(byte)",
                                                                  "AverageWorkingSet(byte)", "MaxWorkingSet(byte)",
                                                                  "AveragePercentProcessorTime")})
@@ -1714,24 +1719,29 @@ FROM lineitem
 """)
 def q_gateway_aggregations(spark, sf):
     """Aggregation-report fact: data sources parsed, values typed, duplicate rows removed."""
-    a = T.build_query_execution_aggregation(SI.aggregation_logs_from_lineitem(spread(load(spark, sf, "lineitem"))))
+    a = T.build_query_execution_aggregation(SI.aggregation_logs_from_lineitem(load(spark, sf, "lineitem")))
     return a.select("GatewayObjectId", "AggregationStartTimeUTC", "AggregationEndTimeUTC", "Success",
                     "`AverageQueryExecutionDuration(ms)`", "Count", "`DataSource.kind`", "`DataSource.path`",
                     "AggregationEndDate").distinct()
 
 
 @register("model_query_list", "T24, U2", sql=with_(SCAN_SQL) + """
-SELECT DISTINCT 'Total ' || CAST(k AS VARCHAR) AS Name, 'Expression' AS Kind, 'SUM(Sales[Amount])' AS Expression,
-       'expressions' AS Source FROM sc
-UNION
-SELECT DISTINCT 'Sales' || CAST(n AS VARCHAR), 'Partition', 'let x = ' || CAST(k AS VARCHAR), 'partitions' FROM sc
+SELECT OriginalName, CASE WHEN k % 2 = 0 THEN '🎚️ ' ELSE '✏️ ' END || OriginalName AS Name, 'group ' || CAST(k % 3 AS VARCHAR) AS QueryGroupId,
+       CASE WHEN k % 2 = 0 THEN '🎚️ Parameter' ELSE '✏️ Shared Expression' END AS Type, 'SUM(Sales[Amount])' AS Expression
+FROM (SELECT 'Total ' || CAST(k AS VARCHAR) AS OriginalName, k FROM sc)
+UNION ALL
+SELECT 'Sales' || CAST(n AS VARCHAR), '📘 Sales' || CAST(n AS VARCHAR), 'group ' || CAST(k % 3 AS VARCHAR), '📘 Table (Partitions)',
+       'let x = ' || CAST(k AS VARCHAR) FROM sc
 """)
 def q_model_query_list(spark, sf):
-    """Queries of the models: expressions and partition queries in one shape (distinct)."""
+    """Queries of the models: partition queries and expressions in one shape, repeated rows kept."""
     md = build_semantic_model_metadata(_scan(spark, sf))
-    exprs = md["measures"].select(F.col("MeasureName").alias("Name"), "Expression")
+    number = lambda c: F.regexp_extract(c, "([0-9]+)", 1).cast("long")
+    group = lambda c: SI._cat("group ", number(c) % 3).alias("QueryGroupID")
+    exprs = md["measures"].select(F.col("MeasureName").alias("Name"), "Expression", group("MeasureName"),
+                                  F.when(number("MeasureName") % 2 == 0, "P").otherwise("M").alias("ExpressionType"))
     parts = md["partitions"].join(md["tables"].select("TableId", "TableName"), "TableId") \
-        .select(F.col("TableName").alias("Name"), F.col("Expression").alias("QueryDefinition"))
+        .select("TableName", F.col("Expression").alias("QueryDefinition"), group("Expression"))
     return T.build_query_list(exprs, parts)
 
 
@@ -1742,15 +1752,15 @@ WITH i AS (SELECT upper('item-' || CAST(p_partkey AS VARCHAR)) AS id, p_name AS
 w AS (SELECT DISTINCT upper('ws-' || CAST(p_partkey % 30 AS VARCHAR)) AS workspaceId,
              'Workspace ' || CAST(p_partkey % 30 AS VARCHAR) AS WorkspaceName FROM part)
 SELECT i.workspaceId, i.id, i.name, i.type, w.WorkspaceName FROM i LEFT JOIN w USING (workspaceId)
-WHERE w.WorkspaceName LIKE '%1%'
+WHERE w.WorkspaceName = 'Workspace 1'
 """)
 def q_archive_candidates(spark, sf):
-    """Live items of one type in workspaces whose name matches, with the workspace name, ordered."""
+    """Live items of one type in the workspace of that name, with the workspace name, ordered."""
     p = load(spark, sf, "part")
     items = T.build_active_items(SI.active_items_from_parts(p)).select("workspaceId", "id", "name", "type")
     ws = p.select(F.upper(SI._cat("ws-", F.col("p_partkey") % 30)).alias("WorkspaceId"),
                   SI._cat("Workspace ", F.col("p_partkey") % 30).alias("WorkspaceName")).distinct()
-    return T.build_archive_candidates(items, ws, "STANDARD", "1")
+    return T.build_archive_candidates(items, ws, "STANDARD", "Workspace 1")
 
 
 @register("document_coverage", "A29", sql="""
@@ -1821,7 +1831,7 @@ SELECT ModelId, RuleId, count(*) AS violations, count(DISTINCT MeasureName) AS o
 """)
 def q_measure_rule_violations(spark, sf):
     """Measure-text best-practice rules over a measure catalogue, counted per model and rule."""
-    meta = {**_empty_meta(spark), "measures": SI.measures_from_lineitem(spread(load(spark, sf, "lineitem")))}
+    meta = {**_empty_meta(spark), "measures": SI.measures_from_lineitem(load(spark, sf, "lineitem"))}
     v = B.bpa(meta, MEASURE_RULES)
     return v.groupBy("ModelId", "RuleId").agg(F.count(F.lit(1)).alias("violations"),
                                               F.count_distinct("ObjectName").alias("objects"))
@@ -2003,13 +2013,14 @@ def q_calc_dependencies(spark, sf):
 
 
 @register("query_folders", "T25", sql="""
-SELECT CAST(-1 AS BIGINT) AS ID, '(No folder)' AS Folder
-UNION ALL SELECT DISTINCT CAST(p_size % 10 AS BIGINT), 'Folder ' || CAST(p_size % 10 AS VARCHAR) FROM part
+SELECT '-1' AS ID, CAST(NULL AS VARCHAR) AS ModelID, '(No folder)' AS Folder, CAST(NULL AS VARCHAR) AS Description
+UNION ALL SELECT DISTINCT CAST(p_size % 10 AS VARCHAR), '1', 'Folder ' || CAST(p_size % 10 AS VARCHAR), 'Size ' || CAST(p_size % 10 AS VARCHAR) FROM part
 """)
 def q_query_folders(spark, sf):
     """Folder list: the default folder plus the query groups."""
-    groups = load(spark, sf, "part").select((F.col("p_size") % 10).cast("long").alias("ID"),
-                                            SI._cat("Folder ", F.col("p_size") % 10).alias("Folder")).distinct()
+    groups = load(spark, sf, "part").select((F.col("p_size") % 10).cast("long").alias("ID"), F.lit(1).alias("ModelID"),
+                                            SI._cat("Folder ", F.col("p_size") % 10).alias("Folder"),
+                                            SI._cat("Size ", F.col("p_size") % 10).alias("Description")).distinct()
     return T.build_folder_list(groups)
 
 
@@ -2135,7 +2146,7 @@ FROM lineitem
 def q_gateway_logs_from_files(spark, sf):
     """Report logs written as CSV files whose headers differ (one set lacks
     DataSource, another report's files sit alongside), read by name per file."""
-    logs = SI.query_execution_logs_from_lineitem(spread(load(spark, sf, "lineitem")))
+    logs = SI.query_execution_logs_from_lineitem(load(spark, sf, "lineitem"))
     base = _scratch(spark, "gateway-logs")
     opts = dict(header=True, quote='"', escape='"')
     even = F.col("QueryTrackingId").substr(2, 5).cast("int") % 2 == 0

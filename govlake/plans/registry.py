@@ -35,7 +35,8 @@ def rnd(c, d: int) -> Column:
     """Round half up by ``floor(x * 10^d + 0.5) / 10^d`` - the same IEEE steps
     in Spark and in the SQL oracle, so equal inputs give equal outputs."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.floor(c * float(10 ** d) + 0.5) / float(10 ** d)
+    q = float(10 ** d)  # from 2**53 on doubles have no such places (and floor() would end at 2**63)
+    return F.when(F.abs(c) * q < float(2 ** 53), F.floor(c * q + 0.5) / q).otherwise(c)
 
 
 def rnd_sql(expr: str, d: int) -> str:

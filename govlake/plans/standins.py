@@ -577,7 +577,7 @@ def query_start_logs_from_lineitem(lineitem: DataFrame) -> DataFrame:
     ctx = F.to_json(F.struct(F.array(F.struct(
         F.lit("svc").alias("serviceName"),
         F.array(kv("DatasetId", _cat("m", pk % 50)), kv("WorkspaceId", _cat("w", sk % 10)),
-                kv("HostContextType", F.when(ln % 2 == 0, F.lit("Refresh")).otherwise(F.lit("Query"))),
+                kv("Host Context Type", F.when(ln % 2 == 0, F.lit("Refresh")).otherwise(F.lit("Query"))),
                 kv("ApplicationContext", app)).alias("traceIds"))).alias("serviceTraceContexts")))
     start = F.col("l_shipdate") + F.make_dt_interval(F.lit(0), (ok % 24).cast("int"))
     return lineitem.select(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -37,23 +38,18 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     """Return the reliable checkpoint folder, wiring it into the SparkContext.
 
     The cluster names a shared folder in ``spark.checkpoint.dir``; we use it
-    as given.  Only when it is unset in a local session (tests, the bench) do
-    we fall back to ``fallback``; on a cluster an unset folder is an error,
-    never a machine-local temp folder.
+    as given.  Only where it is unset, a local session (tests, the bench) gets
+    ``fallback``, or a temporary folder of its own; on a cluster an unset
+    folder is an error, never a machine-local folder.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not conf_dir and fallback and not sc.master.startswith("local"):
-        # a fallback is a machine-local folder: executors on other hosts would
-        # each write their own copy and lose it with the host
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    target = conf_dir or fallback
+    target = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not target:
-        raise RuntimeError("spark.checkpoint.dir is unset and no fallback folder was given")
-    sc.setCheckpointDir(target)
+        if not sc.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+        target = fallback or tempfile.mkdtemp(prefix="govlake-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(target)
     return sc.getCheckpointDir() or target
 
 
@@ -70,14 +66,3 @@ def materialize(df, tag: str, fallback: str | None = None):
     path = f"{base}/govlake-{tag}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
-
-
-def spread(df):
-    """Round-robin an input that yields fewer scan splits than the session
-    has cores (a small file, or one whose single row group cannot be split)
-    so the narrow work after the scan runs on every core.  A large input has
-    far more splits than cores and is returned unchanged, so at scale this
-    adds no shuffle.  Column pruning and filters still reach the scan (both
-    are pushed through a repartition)."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

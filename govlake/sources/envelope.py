@@ -33,35 +33,38 @@ def read_envelope(spark: SparkSession, path: str, array_fields, schema: StructTy
         reader = reader.schema(schema)
     try:
         raw = reader.json(path)
-    except AnalysisException:
+    except AnalysisException as e:  # a folder without a document has no schema; a wrong path is an error
+        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
         return _empty(spark)
-    for f in fields:
-        if f in raw.columns:
-            return raw.select(F.explode(F.col(f)).alias("d")).select("d.*")
-    return _empty(spark)
+    present = [F.col(f) for f in fields if f in raw.columns]
+    if not present:
+        return _empty(spark)
+    same = len({raw.schema[f].dataType.simpleString() for f in fields if f in raw.columns}) == 1
+    # row by row: a document may carry the later field only
+    return raw.select(F.explode(F.coalesce(*present) if same else present[0]).alias("d")).select("d.*")
 
 
 def latest_leaf(spark: SparkSession, base: str) -> str | None:
     """The leaf folder reached by taking the greatest name at every level.
 
-    The listing is distributed (``binaryFile`` without reading content); only
-    the single winning folder name comes back to the driver.
+    Descends level by level through the file system of the path, listing one
+    folder a level, so older snapshots are never listed.  None if the base is
+    missing or no file lies below it.
     """
-    try:
-        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-                 .load(base).select("path"))
-    except AnalysisException:
-        return None
-    base_uri = base.rstrip("/")
-    bare = base_uri.split(":", 1)[-1] if "://" not in base_uri else base_uri.split("://", 1)[1]
-    bare = "/" + bare.lstrip("/")
-    pos = F.locate(bare, F.col("path"))
-    rel = F.substr(F.col("path"), pos + F.lit(len(bare) + 1))
-    folder = F.regexp_replace(rel, r"/?[^/]*$", "")
-    row = files.select(F.max(F.split(folder, "/")).alias("m")).first()
-    if row is None or row["m"] is None:
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(base)
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not store.exists(path):
         return None
-    return base_uri + ("/" + "/".join(row["m"]) if any(row["m"]) else "")
+    names: list[str] = []
+    while True:
+        entries = [e for e in store.listStatus(path) if not e.getPath().getName().startswith(("_", "."))]
+        folders = [e.getPath().getName() for e in entries if e.isDirectory()]
+        if not folders:
+            return "/".join([base.rstrip("/"), *names]) if entries else None
+        names.append(max(folders))
+        path = jvm.org.apache.hadoop.fs.Path(path, names[-1])
 
 
 def read_latest(spark: SparkSession, base: str, array_fields=None, schema: StructType | None = None,

@@ -14,15 +14,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 
+def _widest_header(spark: SparkSession, folder: str, report: str) -> int:
+    """The largest number of columns that a file's first line names (one number comes to the driver)."""
+    lines = (spark.read.option("pathGlobFilter", f"*{report}*.log").option("recursiveFileLookup", "true")
+             .option("ignoreCorruptFiles", "true").text(folder)
+             .select("value", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("at"),
+                     F.monotonically_increasing_id().alias("n")))
+    first = lines.where("at = 0").groupBy("f").agg(F.min_by("value", "n").alias("header"))
+    return first.agg(F.max(F.size(F.split("header", ",")))).first()[0] or 1
+
+
 def read_report_logs(spark: SparkSession, folder: str, report: str, cols: list[str],
-                     max_cols: int = 64, with_row_number: bool = False) -> DataFrame:
+                     with_row_number: bool = False) -> DataFrame:
     """Rows of all ``*<report>*.log`` files under ``folder``, columns ``cols``.
 
     Missing columns are null, unreadable files are skipped.  With
     ``with_row_number`` a ``FileName`` and 1-based ``RowNumber`` (data rows,
     within the file) are added.
     """
-    raw_names = [f"_c{i}" for i in range(max_cols)]
+    raw_names = [f"_c{i}" for i in range(_widest_header(spark, folder, report))]
     schema = StructType([StructField(n, StringType()) for n in raw_names])
     raw = (spark.read.schema(schema)
            .option("header", "false").option("multiLine", "true")
@@ -53,5 +63,5 @@ def read_report_logs(spark: SparkSession, folder: str, report: str, cols: list[s
 def bad_json_rows(df: DataFrame, col: str, file_col: str = "FileName", row_col: str = "RowNumber") -> DataFrame:
     """File name, row number and text of rows whose ``col`` is not valid JSON."""
     c = F.col(col)
-    bad = c.isNotNull() & (F.trim(c) != "") & F.try_parse_json(c).isNull()
+    bad = F.try_parse_json(c).isNull()  # null and blank texts don't parse either
     return df.filter(bad).select(file_col, row_col, c.alias("Value"))

@@ -2,11 +2,13 @@
 
 New feed files (JSON envelopes) arrive in a landing folder; a file-source
 stream picks them up and each micro-batch is merged into the gold table
-with the batch merge operators (M1-M3).  The merge result of epoch ``e`` is
-written as version ``e + 1`` of the table, so:
+with the batch merge operators (M1-M3).  The merge result is written as the
+version after the last committed one, marked with its stream and epoch, so:
 
 * a micro-batch that fails and is replayed writes the same version again
   (the half-written folder of the failed attempt is replaced);
+* a stream that starts anew from a fresh checkpoint goes on after the
+  versions there are;
 * readers always see a complete version - the newest committed one;
 * the stream's own checkpoint (offsets + commits) lives in the shared
   checkpoint folder, so a restarted query resumes where it stopped.
@@ -14,6 +16,7 @@ written as version ``e + 1`` of the table, so:
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,16 +65,36 @@ def _write_version(df: DataFrame, base: str, version: int, partition_by: list[st
     w.parquet(f"{base.rstrip('/')}/{VERSION_PREFIX}{version:08d}")
 
 
+def _epoch_mark(spark: SparkSession, base: str, version: int, mark: str, put: bool = False) -> bool:
+    """Whether a version carries the mark of a stream's epoch (an empty file
+    that readers skip); ``put`` adds it."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{VERSION_PREFIX}{version:08d}/{mark}")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.createNewFile(path) if put else fs.exists(path)
+
+
 def merge_batch_fn(base: str, merge: Callable[[DataFrame | None, DataFrame], DataFrame],
-                   partition_by: list[str] | None = None):
+                   partition_by: list[str] | None = None, stream: str = ""):
     """A ``foreachBatch`` function applying ``merge(current, batch)``; with
     ``partition_by`` each version is written partitioned (e.g. by date, so
-    readers' date filters prune folders)."""
+    readers' date filters prune folders).
+
+    A new epoch's version follows the last committed one, whatever number the
+    stream gives it, so a stream that starts anew from a fresh checkpoint goes
+    on after the versions there are.  A version is marked with the stream (its
+    checkpoint folder) and epoch: an epoch that is run again rewrites its own
+    version from the one before it."""
+    tag = hashlib.sha256(stream.encode()).hexdigest()[:16]
+
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        version = epoch_id + 1
-        # replayed epoch: rebuild from the version before it, never from itself
-        prior = [v for v in committed_versions(spark, base) if v < version]
+        mark = f"_EPOCH_{tag}_{epoch_id}"
+        done = committed_versions(spark, base)
+        version = done[-1] + 1 if done else 1
+        if done and _epoch_mark(spark, base, done[-1], mark):
+            version = done[-1]
+        prior = [v for v in done if v < version]
         current = (spark.read.parquet(f"{base.rstrip('/')}/{VERSION_PREFIX}{prior[-1]:08d}") if prior else None)
         if current is not None and partition_by:
             # partition values come back type-inferred: restore the batch's types
@@ -79,6 +102,7 @@ def merge_batch_fn(base: str, merge: Callable[[DataFrame | None, DataFrame], Dat
             current = current.select(*[F.col(c).cast(types[c]).alias(c) if c in partition_by and c in types else F.col(c)
                                        for c in current.columns])
         _write_version(merge(current, batch), base, version, partition_by)
+        _epoch_mark(spark, base, version, mark, put=True)
     return run
 
 
@@ -99,7 +123,7 @@ def upsert_stream(spark: SparkSession, landing: str, schema: StructType, array_f
             return (M.upsert_soft_delete(src.limit(0), src, keys, now) if soft_delete else src)
         return M.upsert_soft_delete(current, src, keys, now) if soft_delete else M.upsert(current, src, keys)
 
-    return (rows.writeStream.foreachBatch(merge_batch_fn(base, merge))
+    return (rows.writeStream.foreachBatch(merge_batch_fn(base, merge, stream=checkpoint))
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
@@ -117,5 +141,5 @@ def replace_since_stream(spark: SparkSession, landing: str, schema: StructType,
     def merge(current: DataFrame | None, batch: DataFrame) -> DataFrame:
         return batch if current is None else M.replace_since(current, batch, date_col)
 
-    return (rows.writeStream.foreachBatch(merge_batch_fn(base, merge, [date_col] if partition_by_date else None))
+    return (rows.writeStream.foreachBatch(merge_batch_fn(base, merge, [date_col] if partition_by_date else None, checkpoint))
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

@@ -190,3 +190,23 @@ def test_sum_over_groups_equals_total(spark):
     assert roll.agg(F.sum("last_30d"), F.sum("last_365d")).first()[:] == (whole["last_30d"], whole["last_365d"])
     grouped = A.measure(li, {"q": A.exact_sum(F.col("l_quantity"), 2)}, by=["l_suppkey"]).agg(A.exact_sum(F.col("q"), 2)).first()[0]
     assert grouped == A.measure(li, {"q": A.exact_sum(F.col("l_quantity"), 2)}).first()[0]
+
+
+def test_exact_sums_have_no_ceiling(spark):
+    from govlake.operators import measures as A
+    from govlake.plans.registry import rnd
+    df = spark.createDataFrame([(1, 1e17), (1, 2e17), (2, 0.1), (2, 0.2)], "k int, v double")
+    got = rows(df.groupBy("k").agg(A.exact_sum(F.col("v"), 4).alias("s"), rnd(F.max("v"), 4).alias("m")), ["k", "s", "m"])
+    assert got == [(1, 3e17, 2e17), (2, 0.3, 0.2)]
+
+
+def test_windows_keep_null_groups_and_null_values(spark):
+    from pyspark.sql import Window
+    from govlake.operators import windows as W
+    df = spark.createDataFrame([("a", 1, 10), ("a", None, 20), ("a", 1, 30), (None, 2, 1), (None, 3, 2), (None, None, 3)], "g string, o int, v int")
+    w = Window.partitionBy("g").orderBy(F.col("o").desc())
+    assert rows(W.rank_desc_distributed(df, ["g"], "o"), ["g", "o", "rank"]) == rows(df.withColumn("rank", F.rank().over(w)), ["g", "o", "rank"])
+    t = Window.partitionBy("g").orderBy("o")
+    want = rows(df.withColumn("s", F.sum("v").over(t)), ["g", "o", "s"])
+    assert rows(W.running_total_distributed(df, ["g"], "o", "v", "s"), ["g", "o", "s"]) == want
+    assert rows(W.running_total_grouped(df, ["g"], "o", "v", "s"), ["g", "o", "s"]) == want

@@ -132,17 +132,26 @@ def test_extract_all_rows_and_decode_enum(spark):
     assert rows(d, ["mode"]) == [("7",), ("Import",)]
 
 
-def test_merge_strategies_agree(spark):
-    import random
-    rnd = random.Random(11)
-    t = spark.createDataFrame([(f"k{i}", i, None if i % 5 else True) for i in range(60)] + [(None, -1, False)],
-                              "id string, v int, is_deleted boolean")
-    s = spark.createDataFrame([(f"k{i}", i * 10) for i in rnd.sample(range(40, 90), 30)] + [(None, 7)], "id string, v int")
-    for fn in (lambda st: M.upsert(t.drop("is_deleted"), s, ["id"], strategy=st),
-               lambda st: M.upsert(t.drop("is_deleted"), s, ["id"], update_cols=[], strategy=st),
-               lambda st: M.upsert_soft_delete(t, s, ["id"], now=NOW, strategy=st)):
-        assert rows(fn("broadcast")) == rows(fn("shuffle"))
-    assert M.source_fits_broadcast(s) and not M.source_fits_broadcast(s, budget_bytes=16)
+def test_merge_null_and_repeated_source_keys(spark):
+    import pytest
+    t = spark.createDataFrame([("a", 1), (None, 2)], "id string, v int")
+    nulls = spark.createDataFrame([(None, 7), (None, 8), ("a", 9)], "id string, v int")
+    # null keys match nothing: the target's stays, the source's are inserted
+    assert rows(M.upsert(t, nulls, ["id"])) == sorted([("a", 9), (None, 2), (None, 7), (None, 8)], key=repr)
+    assert M.upsert_soft_delete(t, nulls, ["id"], now=NOW).count() == 4
+    assert rows(M.update_from(t, nulls, ["id"], ["v"])) == sorted([("a", 9), (None, 2)], key=repr)
+    twice = spark.createDataFrame([("a", 1), ("a", 2)], "id string, v int")
+    for fn in (lambda: M.upsert(t, twice, ["id"]), lambda: M.update_from(t, twice, ["id"], ["v"]),
+               lambda: M.upsert_soft_delete(t, twice, ["id"], now=NOW)):
+        with pytest.raises(Exception, match="duplicate source key"):
+            fn().collect()
+
+
+def test_merge_reads_the_target_once(spark, tmp_path):
+    spark.range(100).selectExpr("id", "id * 2 AS v").write.parquet(f"{tmp_path}/t")
+    t = spark.read.parquet(f"{tmp_path}/t")
+    plan = M.upsert(t, spark.range(5).selectExpr("id", "0 AS v"), ["id"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") == 1 and "broadcast" not in plan.lower()
 
 
 def test_pair_designated_within_scope(spark):

@@ -21,24 +21,6 @@ def test_registered_query_not_empty(spark, name):
     assert Q.not_empty(REGISTRY[name].fn(spark, SF_SMALL))
 
 
-def test_spread_only_under_split_inputs(spark):
-    from pyspark.sql import functions as F
-    from conftest import SF_CHECK
-    from govlake.session import spread
-    cores = spark.sparkContext.defaultParallelism
-    one = spark.range(0, 1000, 1, 1)
-    spread_one = spread(one)
-    assert spread_one.rdd.getNumPartitions() == cores
-    assert sorted(r[0] for r in spread_one.collect()) == list(range(1000))
-    many = spark.range(0, 1000, 1, cores * 2)
-    assert spread(many) is many
-    # pruning and filters still reach the scan under the repartition
-    li = spread(spark.read.parquet(f"{SF_CHECK}/lineitem.parquet"))
-    plan = li.filter(F.col("l_quantity") > 10).select("l_orderkey")._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [IsNotNull(l_quantity), GreaterThan(l_quantity,10.0)]" in plan
-    assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double>" in plan
-
-
 def test_checkpoint_dir_prefers_the_configured_folder(spark):
     from govlake.session import ensure_checkpoint_dir
     # the session's folder (set once, as a cluster would) wins over any fallback

@@ -51,7 +51,8 @@ def test_report_logs_by_header_per_file(spark, tmp_path):
                    ("r3", "Y", "QueryExecutionReport_2.log", 1)]
     assert df.filter(F.col("RequestId") == "r3").first()["DataSource"] is None
     bad = logs.bad_json_rows(df, "DataSource")
-    assert rows(bad, ["FileName", "RowNumber"]) == [("QueryExecutionReport_1.log", 2)]
+    # a missing JSON text doesn't parse either
+    assert rows(bad, ["FileName", "RowNumber"]) == [("QueryExecutionReport_1.log", 2), ("QueryExecutionReport_2.log", 1)]
 
 
 def test_write_evolve_and_ensure_columns(spark, tmp_path):
@@ -81,3 +82,28 @@ def test_day_spine_and_static_dims(spark):
     assert dims.day_spine(e, "2024-01-01", "2024-01-04").count() == 8
     sd = dims.static_dims(spark)
     assert sd["capacity_regions"].count() == 30 and sd["size_units"].count() == 4
+
+
+def test_logs_wider_than_any_fixed_width(spark, tmp_path):
+    import os
+    os.makedirs(f"{tmp_path}/wide")
+    names = [f"c{i}" for i in range(200)]
+    _write(f"{tmp_path}/wide/WideReport_1.log", ",".join(names) + "\n" + ",".join(str(i) for i in range(200)) + "\n")
+    _write(f"{tmp_path}/wide/WideReport_2.log", "c199,c0\nz,a\n")
+    df = logs.read_report_logs(spark, f"{tmp_path}/wide", "WideReport", ["c0", "c64", "c199"])
+    assert rows(df) == sorted([("0", "64", "199"), ("a", None, "z")], key=repr)
+
+
+def test_envelope_fallback_row_by_row_and_wrong_path(spark, tmp_path):
+    import os
+
+    import pytest
+    os.makedirs(f"{tmp_path}/env")
+    _write(f"{tmp_path}/env/a.json", '{"Overrides": [{"x": "1"}]}')
+    _write(f"{tmp_path}/env/b.json", '{"value": [{"x": "2"}]}')
+    from govlake.sources import envelope
+    schema = "Overrides array<struct<x:string>>, value array<struct<x:string>>"
+    for sch in (None, schema):
+        assert rows(envelope.read_envelope(spark, f"{tmp_path}/env", ["Overrides", "value"], sch)) == [("1",), ("2",)]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        envelope.read_envelope(spark, f"{tmp_path}/missing", "value")

@@ -38,6 +38,18 @@ def test_replayed_epoch_rewrites_same_version(spark, tmp_path):
     assert rows(S.read_current(spark, base), ["id", "v"]) == [("a", 2), ("b", 3)]
 
 
+def test_fresh_checkpoint_goes_on_after_the_committed_versions(spark, tmp_path):
+    from govlake.operators import merge as M
+    base = f"{tmp_path}/gold"
+    merge = lambda cur, b: b if cur is None else M.upsert(cur, b, ["id"])
+    row = lambda k, v: spark.createDataFrame([(k, v)], "id string, v int")
+    for epoch, k in enumerate("abc"):
+        S.merge_batch_fn(base, merge, stream="first")(row(k, 1), epoch)
+    S.merge_batch_fn(base, merge, stream="second")(row("d", 2), 0)  # restarts at epoch 0
+    assert S.committed_versions(spark, base) == [1, 2, 3, 4]
+    assert rows(S.read_current(spark, base), ["id", "v"]) == [("a", 1), ("b", 1), ("c", 1), ("d", 2)]
+
+
 def test_replace_since_stream(spark, tmp_path):
     landing = f"{tmp_path}/landing"
     os.makedirs(landing)

@@ -157,7 +157,7 @@ def test_gateway_reports(spark, tmp_path):
     a = qs["application_context"].first()
     assert (a["SemanticModelId"], a["ReportId"], a["ConsumptionMethod"]) == ("m1", "r", "Web")
     m = qs["service_mapping"].first()
-    assert (m["DatasetId"], m["WorkspaceId"]) == ("m1", "w1")
+    assert (m["RequestTrackingKey"], m["SemanticModelId"], m["WorkspaceId"]) == ("r1t1", "m1", "w1")
     with open(f"{d}/MashupEvaluationReport_a.log", "w") as f:
         f.write("RequestId,QueryTrackingId,TotalRows,EndTimeUTC\nr1,t1,\"[1,2,3]\",2024-01-02T00:00:00\n")
     me = T.build_mashup_evaluation(read_report_logs(spark, d, "MashupEvaluationReport", T.MASHUP_COLUMNS)).first()
@@ -172,17 +172,20 @@ def test_model_metadata_tables(spark):
     ot = spark.createDataFrame([("MEASURE", "Measure"), ("COLUMN", "Column")], "Enum string, Name string")
     r = T.build_calc_dependencies(deps, tabs, ot).first()
     assert (r["TableID"], r["ReferencedTableID"], r["ObjectTypeName"], r["DependencyKey"]) == (1, 1, "Measure", "Sales-Total")
-    e = spark.createDataFrame([("P1", "x")], "Name string, Expression string")
-    p = spark.createDataFrame([("T", "let")], "Name string, QueryDefinition string")
-    assert T.build_query_list(e, p).count() == 2
-    assert T.build_folder_list(spark.createDataFrame([(1, "F")], "ID long, Folder string")).count() == 2
+    e = spark.createDataFrame([("P1", "x", "P", "g"), ("E1", "y", "M", None)], "Name string, Expression string, ExpressionType string, QueryGroupID string")
+    p = spark.createDataFrame([("T", "let", "g"), ("T", "let", "g")], "TableName string, QueryDefinition string, QueryGroupID string")
+    assert rows(T.build_query_list(e, p), ["Name", "QueryGroupId", "Type"]) == rows(spark.createDataFrame(
+        [("📘 T", "g", "📘 Table (Partitions)")] * 2 + [("🎚️ P1", "g", "🎚️ Parameter"), ("✏️ E1", None, "✏️ Shared Expression")], "a string, b string, c string"))
+    assert rows(T.build_folder_list(spark.createDataFrame([(1, 7, "F", "d")], "ID long, ModelID long, Folder string, Description string"))) == [
+        ("-1", None, "(No folder)", None), ("1", "7", "F", "d")]
     h = spark.createDataFrame([("1", "2024-01-01 10:20:00")], "distributed_statement_id string, start_time string")
     rq = T.build_sql_requests(h).first()
     assert (rq["start_hour"], rq["start_time_15min"]) == (10, dt.datetime(2024, 1, 1, 10, 15))
     items = spark.createDataFrame([("a", "Report", "W1", False), ("b", "Report", "W2", True)],
                                   "name string, type string, workspaceId string, is_deleted boolean")
     wsp = spark.createDataFrame([("W1", "Prod"), ("W2", "Prod")], "WorkspaceId string, WorkspaceName string")
-    assert rows(T.build_archive_candidates(items, wsp, "Report", "Pro"), ["name"]) == [("a",)]
+    assert rows(T.build_archive_candidates(items, wsp, "Report", "Prod"), ["name"]) == [("a",)]
+    assert T.build_archive_candidates(items, wsp, "Report", "Pro").count() == 0
 
 
 def test_datasource_instances(spark, tmp_path):
