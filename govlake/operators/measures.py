@@ -204,6 +204,23 @@ def trailing_average(df: DataFrame, item_col: str, date_col: str, value: Column,
     return out.withColumn("trend_ratio", ddivide(F.col("trailing_avg") - F.col("daily_value"), F.col("trailing_avg")))
 
 
+def window_trend(df: DataFrame, item_col: str | None, date_col: str, today, value: Column | None = None, short: int = 14, long: int = 30,
+                 by: list | None = None, decimals: int | None = None) -> DataFrame:
+    """A measure over the last ``short`` days against the last ``long`` days
+    (today included): both, and ``(short - long) / long``.  With ``item_col``
+    the measure is the average of the (item, day) sums of ``value``, without
+    it the number of rows."""
+    d, t, by = F.to_date(F.col(date_col)), _lit_date(today), list(by or [])
+    if item_col is None:
+        rows, agg = df.withColumn("_d", d), lambda cond: F.count(F.when(cond, 1))
+    else:
+        rows = df.groupBy(*by, item_col, d.alias("_d")).agg(exact_sum(value, decimals).alias("_v"))
+        agg = lambda cond: exact_avg(F.when(cond, F.col("_v")), decimals)
+    last = lambda n: (F.col("_d") >= F.date_sub(t, n)) & (F.col("_d") <= t)
+    out = rows.groupBy(*by).agg(agg(last(short)).alias(f"last_{short}d"), agg(last(long)).alias(f"last_{long}d"))
+    return out.withColumn("trend", ddivide(F.col(f"last_{short}d") - F.col(f"last_{long}d"), F.col(f"last_{long}d")))
+
+
 # A18 / A19 -----------------------------------------------------------------------
 def utilisation(df: DataFrame, used, capacity, by: list | None = None, decimals: int | None = None) -> DataFrame:
     """Total used / total available (blank when nothing is available)."""

@@ -191,6 +191,19 @@ def build_refreshables(records: DataFrame) -> dict[str, DataFrame]:
     return {"main": main, "days": days, "times": times, "summaries": summ, "details": det}
 
 
+# capacities and Git connections ---------------------------------------------------
+def build_capacities(records: DataFrame) -> DataFrame:
+    """Capacities: every column of the records, the id as upper-case CapacityId; rows are kept as they come."""
+    return records.withColumnRenamed("id", "CapacityId").withColumn("CapacityId", F.upper("CapacityId"))
+
+
+def build_git_connections(records: DataFrame) -> DataFrame:
+    """Git connections: workspace (upper case), repository and provider."""
+    return records.select(F.upper("workspaceId").alias("workspaceId"),
+                          _col_or_null(records, "gitProviderDetails.repositoryName").alias("repositoryName"),
+                          _col_or_null(records, "gitProviderDetails.gitProviderType").alias("gitProviderType"))
+
+
 # T9 -----------------------------------------------------------------------------
 def build_widely_shared(records: DataFrame) -> DataFrame:
     """Widely-shared artifacts (published to web, organisation links): the

@@ -2202,3 +2202,110 @@ def q_model_column_structure_rules(spark, sf):
     v = v.withColumn("ObjectName", F.concat_ws(".", "TableName", "ObjectName"))
     return v.groupBy("ModelId", "RuleId").agg(F.count(F.lit(1)).alias("violations"),
                                               F.count_distinct("ObjectName").alias("objects"))
+
+
+# --------------------------------------------------------------------------- all relation kinds of the scan
+def _rel_scan(customer: DataFrame) -> DataFrame:
+    """One workspace a customer, with items and relations of every kind."""
+    k = F.col("c_custkey")
+    t = lambda p, n=k: SI._cat(p, n)
+    rel = lambda a, w: F.struct(a.alias("dependentOnArtifactId"), w.alias("workspaceId"))
+    none = lambda kind: F.lit(None).cast(f"array<struct<{kind}>>")
+    usage = F.array(F.struct(t("ds-", k % 6).alias("datasourceInstanceId")))
+    lakes = F.array(F.struct(t("lh-").alias("id"), F.lit("Sales").alias("name"), F.array(rel(t("src-", k % 7), t("ws-", k % 5))).alias("relations")),
+                    F.struct(t("st-").alias("id"), F.when(k % 4 == 0, t("StagingLakehouseForDataflows_")).otherwise("DataflowsStagingLakehouse").alias("name"),
+                             none("dependentOnArtifactId:string,workspaceId:string").alias("relations")))
+    return customer.select(F.array(F.struct(
+        t("ws-").alias("id"),
+        F.array(F.struct(t("sql-").alias("id"), F.array(rel(t("lh-"), t("ws-"))).alias("relations"))).alias("SQLAnalyticsEndpoint"),
+        lakes.alias("Lakehouse"),
+        F.array(F.struct(t("nb-").alias("id"), F.array(rel(t("lh-"), t("ws-")), rel(t("lh-", k % 3), t("ws-", k % 3))).alias("relations"))).alias("Notebook"),
+        F.array(F.struct(
+            t("sm-").alias("id"),
+            F.when(k % 3 != 0, F.array(F.struct(t("sm-", k % 10).alias("targetDatasetId"), t("ws-", k % 10).alias("groupId")))).alias("upstreamDatasets"),
+            F.array(rel(t("lh-"), t("ws-"))).alias("relations"),
+            F.array(F.struct(t("df-").alias("targetDataflowId"), t("ws-").alias("groupId"))).alias("upstreamDataflows"),
+            usage.alias("datasourceUsages"))).alias("datasets"),
+        F.array(F.struct(t("df-").alias("objectid"), F.when(k % 2 == 0, usage).alias("datasourceUsages"),
+                         F.array(rel(t("lh-"), t("ws-"))).alias("relations"))).alias("dataflows"),
+        F.array(F.struct(t("dp-").alias("id"), F.array(rel(t("nb-"), t("ws-"))).alias("relations"))).alias("DataPipeline"))).alias("workspaces"))
+
+
+_REL_KINDS = (  # (down id, down workspace, down type, up id, up workspace, up type, label, condition)
+    ("'SQL-' || k", "'WS-' || k", "SQLAnalyticsEndpoint", "'LH-' || k", "'WS-' || k", "Relation", "sql_to_rel", ""),
+    ("'LH-' || k", "'WS-' || k", "Lakehouse", "'SRC-' || k % 7", "'WS-' || k % 5", "Relation", "lh_to_rel", ""),
+    ("'NB-' || k", "'WS-' || k", "Notebook", "'LH-' || k", "'WS-' || k", "Relation", "nb_to_rel", ""),
+    ("'NB-' || k", "'WS-' || k", "Notebook", "'LH-' || k % 3", "'WS-' || k % 3", "Relation", "nb_to_rel", ""),
+    ("'SM-' || k", "'WS-' || k", "SemanticModel", "'SM-' || k % 10", "'WS-' || k % 10", "SemanticModel", "sm_to_sm", "k % 3 <> 0"),
+    ("'SM-' || k", "'WS-' || k", "SemanticModel", "'LH-' || k", "'WS-' || k", "Relation", "sm_to_sm", ""),
+    ("'SM-' || k", "'WS-' || k", "SemanticModel", "'DF-' || k", "'WS-' || k", "Dataflow", "sm_to_df", ""),
+    ("'SM-' || k", "'WS-' || k", "SemanticModel", "'DS-' || k % 6", "'DATASOURCE'", "DataSource", "sm_to_source", ""),
+    ("'DF-' || k", "'WS-' || k", "Dataflow", "CASE WHEN k % 2 = 0 THEN 'DS-' || k % 6 END", "NULL", "DataSource", "source_to_df", ""),
+    ("'LH-' || k", "'WS-' || k", "Destination", "'DF-' || k", "'WS-' || k", "Dataflow", "df_to_dest", ""),
+    ("'DP-' || k", "'WS-' || k", "DataPipeline", "NULL", "NULL", "DataSource", "source_to_dp", ""),
+    ("'DP-' || k", "'WS-' || k", "DataPipeline", "'NB-' || k", "'WS-' || k", None, "dp_to_rel", ""),
+    ("'LH-' || k", "'WS-' || k", "Lakehouse", "'ST-' || k", "'WS-' || k", "Lakehouse", "lh_to_lh", "k % 4 = 0"),
+    ("'R-' || k", "'WS-' || k", "Report", "'SM-' || k % 50", "'WS-' || k % 50", "SemanticModel", "r_to_sm", "k % 2 = 0"),
+    ("'R-' || k", "'WS-' || k", "ReportApp", "'R-' || (k - 1)", "'WS-' || k", "Report", "app_to_r", "k % 2 = 1"),
+)
+_REL_SQL = "\nUNION ALL\n".join(
+    f"SELECT {d} AS DownStreamId, {dw} AS DownStreamWorkspaceId, '{dt}' AS DownStreamType, {u} AS UpStreamId, CAST({uw} AS VARCHAR) AS UpStreamWorkspaceId, "
+    f"CAST({'NULL' if ut is None else repr(ut)} AS VARCHAR) AS UpStreamType, '{label}' AS SourceDF FROM c" + (f" WHERE {cond}" if cond else "")
+    for d, dw, dt, u, uw, ut, label, cond in _REL_KINDS)
+
+
+@register("scan_lineage_edges", "G1, J2, J3, U1", sql="WITH c AS (SELECT c_custkey AS k FROM customer)\n" + _REL_SQL)
+def q_scan_lineage_edges(spark, sf):
+    """Edges of all relation kinds of the scan and of the reports, in one pass over the workspaces."""
+    c = load(spark, sf, "customer")
+    k = F.col("c_custkey")
+    t = lambda p, n=k: SI._cat(p, n)
+    reports = c.select(t("r-").alias("ReportId"), t("ws-").alias("WorkspaceId"), F.lit("PowerBIReport").alias("ReportType"),
+                       F.when(k % 2 == 1, t("app-")).alias("AppId"), t("sm-", k % 50).alias("SemanticModelId"), t("r-", k - 1).alias("OriginalReportObjectId"))
+    return G.lineage_edges(_rel_scan(c), reports, c.select(t("sm-").alias("SemanticModelId"), t("ws-").alias("WorkspaceId")))
+
+
+# --------------------------------------------------------------------------- capacities, Git connections, 14 d / 30 d trends
+@register("capacity_table", "S1, P4", sql="""
+SELECT upper('cap-' || CAST(s_suppkey AS VARCHAR)) AS CapacityId, s_name AS displayName, 'F' || CAST(s_nationkey AS VARCHAR) AS sku FROM supplier
+""")
+def q_capacity_table(spark, sf):
+    """Capacities with their upper-case id."""
+    return T.build_capacities(load(spark, sf, "supplier").select(
+        SI._cat("cap-", F.col("s_suppkey")).alias("id"), F.col("s_name").alias("displayName"), SI._cat("F", F.col("s_nationkey")).alias("sku")))
+
+
+@register("git_connections", "S1, P4", sql="""
+SELECT upper('ws-' || CAST(s_suppkey AS VARCHAR)) AS workspaceId, 'repo' || CAST(s_nationkey AS VARCHAR) AS repositoryName,
+       CASE WHEN s_suppkey % 2 = 0 THEN 'GitHub' ELSE 'AzureDevOps' END AS gitProviderType FROM supplier
+""")
+def q_git_connections(spark, sf):
+    """Git connections of the workspaces, provider details promoted to columns."""
+    return T.build_git_connections(load(spark, sf, "supplier").select(
+        SI._cat("ws-", F.col("s_suppkey")).alias("workspaceId"),
+        F.struct(SI._cat("repo", F.col("s_nationkey")).alias("repositoryName"),
+                 F.when(F.col("s_suppkey") % 2 == 0, "GitHub").otherwise("AzureDevOps").alias("gitProviderType")).alias("gitProviderDetails")))
+
+
+@register("supplier_trend_14d_30d", "A17", sql=f"""
+WITH d AS (SELECT l_returnflag, l_suppkey, CAST(l_shipdate AS DATE) AS Date, {rnd_sql(f'sum({REV})', 4)} AS v FROM lineitem GROUP BY 1, 2, 3),
+a AS (SELECT l_returnflag,
+  {rnd_sql(f"sum(v) FILTER (Date >= DATE '{SHIP_TODAY}' - INTERVAL 14 DAY AND Date <= DATE '{SHIP_TODAY}')", 4)}
+    / count(v) FILTER (Date >= DATE '{SHIP_TODAY}' - INTERVAL 14 DAY AND Date <= DATE '{SHIP_TODAY}') AS last_14d,
+  {rnd_sql(f"sum(v) FILTER (Date >= DATE '{SHIP_TODAY}' - INTERVAL 30 DAY AND Date <= DATE '{SHIP_TODAY}')", 4)}
+    / count(v) FILTER (Date >= DATE '{SHIP_TODAY}' - INTERVAL 30 DAY AND Date <= DATE '{SHIP_TODAY}') AS last_30d FROM d GROUP BY 1)
+SELECT *, CASE WHEN last_30d <> 0 THEN (last_14d - last_30d) / last_30d END AS trend FROM a
+""")
+def q_supplier_trend(spark, sf):
+    """Average of the suppliers' days over 14 against 30 days, per return flag."""
+    return A.window_trend(load(spark, sf, "lineitem"), "l_suppkey", "l_shipdate", SHIP_TODAY, _rev(), by=["l_returnflag"], decimals=4)
+
+
+@register("activity_trend_14d_30d", "A17", sql=with_(ACTIVITIES_SQL, ACT_SILVER_SQL) + f"""
+, a AS (SELECT Activity, count(*) FILTER (CreationDate >= DATE '{TODAY}' - INTERVAL 14 DAY AND CreationDate <= DATE '{TODAY}') AS last_14d,
+  count(*) FILTER (CreationDate >= DATE '{TODAY}' - INTERVAL 30 DAY AND CreationDate <= DATE '{TODAY}') AS last_30d FROM silver GROUP BY 1)
+SELECT *, CASE WHEN last_30d <> 0 THEN CAST(last_14d - last_30d AS DOUBLE) / last_30d END AS trend FROM a
+""")
+def q_activity_trend(spark, sf):
+    """Activities of the last 14 against the last 30 days, per activity."""
+    return A.window_trend(_activities(spark, sf), None, "CreationDate", TODAY, by=["Activity"])
