@@ -5,7 +5,7 @@
    most frequent words of 3 to 12 letters.
 2. A second pass takes as candidates the values of assignments to a word like
    ``password`` or ``token``, and tokens of 12 characters or more that hold a
-   digit, each with its features: length, character classes and transitions,
+   digit or have a provider's key format, each with its features: length, character classes and transitions,
    entropy, dictionary coverage, path, and neighbouring words.
 3. Labelled findings train a random forest (Spark ML): a column of known
    labels where the caller has them, else labels by provenance (see
@@ -147,7 +147,7 @@ def _spans(text: str) -> list[tuple[int, int, bool]]:
     taken = sorted(found)
     for m in _TOKEN.finditer(text):
         s, e = m.span()
-        if any(c.isdigit() for c in m.group()) and not any(a < e and s < b for a, b in taken):
+        if (any(c.isdigit() for c in m.group()) or _ISSUED.fullmatch(m.group())) and not any(a < e and s < b for a, b in taken):
             found[s, e] = False
     return sorted((s, e, assigned) for (s, e), assigned in found.items())
 
