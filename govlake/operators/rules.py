@@ -40,6 +40,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 # --- fixed values ---------------------------------------------------------
 # The rule catalogue (RuleId, Category, Scope, Severity, ImpactArea, RuleName).
 RULE_CATALOGUE = [
@@ -609,13 +611,32 @@ def bpa(meta: dict[str, DataFrame], rules: list[int] | None = None) -> DataFrame
     Returns ``(ModelId, RuleId, ObjectType, TableName, ObjectName)``; join
     with :func:`rule_catalogue` for category, severity and impact."""
     ids = sorted(rules or RULES)
+    uses = _Uses(meta)
+    _parts(uses, ids)
+    # a table that several rules read is written once, unless it doesn't come from files
+    again = {k: materialize(meta[k], f"meta-{k}") for k, n in uses.n.items() if n > 1 and meta[k].inputFiles()}
+    return reduce(lambda a, b: a.unionByName(b), _parts({**meta, **again}, ids))
+
+
+class _Uses(dict):
+    """The metadata tables, counting how often each is asked for."""
+
+    def __init__(self, meta: dict[str, DataFrame]):
+        super().__init__(meta)
+        self.n: dict[str, int] = {}
+
+    def __getitem__(self, key: str) -> DataFrame:
+        self.n[key] = self.n.get(key, 0) + 1
+        return super().__getitem__(key)
+
+
+def _parts(meta: dict[str, DataFrame], ids: list[int]) -> list[DataFrame]:
     by_kind: dict[str, list[int]] = {}
     for i in ids:
         if i in ROW_RULES:
             by_kind.setdefault(ROW_RULES[i][0], []).append(i)
     parts = [_row_pass(meta, kind, kind_ids) for kind, kind_ids in by_kind.items()]
-    parts += [RULES[i](meta) for i in ids if i not in ROW_RULES]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    return parts + [RULES[i](meta) for i in ids if i not in ROW_RULES]
 
 
 def violation_counts(violations: DataFrame, catalogue: DataFrame, by: list[str] | None = None) -> DataFrame:
