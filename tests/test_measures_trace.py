@@ -210,3 +210,24 @@ def test_windows_keep_null_groups_and_null_values(spark):
     want = rows(df.withColumn("s", F.sum("v").over(t)), ["g", "o", "s"])
     assert rows(W.running_total_distributed(df, ["g"], "o", "v", "s"), ["g", "o", "s"]) == want
     assert rows(W.running_total_grouped(df, ["g"], "o", "v", "s"), ["g", "o", "s"]) == want
+
+
+def test_item_vs_all_averages_item_days(spark):
+    today = dt.date(2024, 4, 1)
+    df = spark.createDataFrame([("a", today, 10.0), ("b", today, 30.0), ("b", dt.date(2024, 1, 2), 50.0), ("a", dt.date(2024, 1, 1), 99.0)],
+                               "item string, d date, v double")
+    # 2024-01-02 is today - 90 and counts, 2024-01-01 doesn't; the baseline is the mean of three (item, day) sums
+    got = rows(A.item_vs_all(df, "item", "d", F.col("v"), today, decimals=2), ["item", "item_avg", "all_avg", "above"])
+    assert got == [("a", 10.0, 30.0, False), ("b", 30.0, 30.0, False)]
+
+
+def test_success_ratio_counts_only_failures(spark):
+    df = spark.createDataFrame([("r1", "Y"), ("r2", "N"), ("r3", "?"), ("r4", None)], "id string, s string")
+    assert rows(A.success_ratio(df, "id", "s")) == [(4, 1, 0.25)]
+
+
+def test_window_trend(spark):
+    today = dt.date(2024, 4, 1)
+    df = spark.createDataFrame([("a", today, 6.0), ("a", dt.date(2024, 3, 5), 2.0), ("b", dt.date(2024, 1, 1), 9.0)], "item string, d date, v double")
+    assert rows(A.window_trend(df, "item", "d", today, F.col("v"), decimals=2)) == [(6.0, 4.0, 0.5)]
+    assert rows(A.window_trend(df, None, "d", today)) == [(1, 2, -0.5)]

@@ -141,3 +141,12 @@ def test_qualified_reference_rules_match_brute_force(spark):
     assert {(38, "Bare"), (38, "Other"), (38, "Mixed"), (38, "Meta"), (39, "UsesTotal"), (39, "UsesTotalQ")} <= got
     assert (38, "Qual") not in got and (38, "Suffix") not in got and (38, "Unresolved") not in got
     assert (39, "UsesTotalBare") not in got and (39, "WrongTable") not in got
+
+
+def test_rule_47_needs_a_visible_summarised_number(spark):
+    cols = spark.createDataFrame(
+        [("M", "Sales", f"{t}{s}{h}", t, s, h) for t in ("Int64", "Decimal", "Double", "String") for s in ("Sum", "None") for h in (True, False)],
+        "ModelId string, TableName string, ColumnName string, DataType string, SummarizeBy string, IsHidden boolean")
+    m = {**meta(spark), "columns": cols}
+    got = {r["ObjectName"] for r in B.bpa(m, [47]).collect()}
+    assert got == {"Int64SumFalse", "DecimalSumFalse", "DoubleSumFalse"}

@@ -200,3 +200,11 @@ def test_datasource_instances(spark, tmp_path):
     assert out == [("D1", "G1", "Sql", "srv db"), ("D2", None, "Databricks", "Databricks p")]
     mis = _env(spark, tmp_path, "mis", "misconfiguredDatasourceInstances", [{"datasourceId": "x", "datasourceType": "Web"}])
     assert rows(T.build_misconfigured_instances(mis)) == [("X", "Web")]
+
+
+def test_capacities_and_git_connections(spark):
+    cap = T.build_capacities(spark.createDataFrame([("c1", "F64"), ("c1", "F64")], "id string, sku string"))
+    assert rows(cap) == [("C1", "F64")] * 2
+    git = spark.createDataFrame([("w1", ("repo", "GitHub", "main")), ("w2", None)],
+                                "workspaceId string, gitProviderDetails struct<repositoryName:string,gitProviderType:string,branch:string>")
+    assert rows(T.build_git_connections(git)) == sorted([("W1", "repo", "GitHub"), ("W2", None, None)], key=repr)
