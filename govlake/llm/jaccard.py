@@ -10,15 +10,20 @@ documents link when their sets' Jaccard similarity is at least
 2. Documents with equal sets are one class (16-byte set digest).  Classes with
    an identical prefix and size are one group, whatever their number.
 3. Groups that share prefix shingles are candidates: within each shingle's
-   run, sorted by size, a group is first paired with the one before it.
-   Candidates that pass the size and the count filter are expanded to classes
-   and verified on their whole texts, and links give first components.
+   run, sorted by size, a group is first paired with the one before it and
+   with the run's hub, its group with the most frequent shingles (the text
+   that a family of near copies has in common).  Candidates that pass the size
+   and the count filter are expanded to classes and verified on their whole
+   texts, and links give first components.
 4. What is left are pairs of classes that share prefix shingles (or the whole
    prefix, inside a group) and lie in different components: all of these that
-   pass the filters are verified too.  So no link between components is lost,
-   and no family of near copies is ever expanded into all its pairs.
+   pass the size, position and count filter are verified too.  So no link
+   between components is lost, and no family of near copies is ever expanded
+   into all its pairs.
 
-The count filter: of sets x and y let x's prefix end first in the common
+The position filter: at the first shared shingle neither set may have fewer
+shingles left than the overlap that the threshold asks for.  The count filter:
+of sets x and y let x's prefix end first in the common
 order.  Then x's shingles outside both prefixes are at most those after its
 prefix, so the shared prefix shingles must make up the rest of the overlap
 that the threshold asks for.
@@ -85,13 +90,15 @@ def _profiles(width: int, num: int, den: int, heat: np.ndarray):
     def run(batches):
         seen: set[bytes] = set()
         for b in batches:
-            keys, sizes, tags, prefixes = [], [], [], []
+            keys, sizes, tags, hots, prefixes = [], [], [], [], []
             for s in shingle_sets(as_bytes(b.column("text")), width):
                 key, n = _set_key(s), len(s)
-                order = s[np.lexsort((s, heat[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]))]
+                level = heat[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+                order = s[np.lexsort((s, level))]
                 prefix = order[: n - -(-num * n // den) + 1] if n else s
                 keys.append(key)
                 sizes.append(n)
+                hots.append(int(np.count_nonzero(level)))
                 tags.append(int.from_bytes(hashlib.blake2b(prefix.tobytes(), digest_size=8).digest(), "little", signed=True))
                 if key in seen:
                     prefixes.append(None)
@@ -101,7 +108,7 @@ def _profiles(width: int, num: int, den: int, heat: np.ndarray):
                     seen.add(key)
                     prefixes.append(prefix.view(np.int64))
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(tags, pa.int64()),
-                                              pa.array(prefixes, pa.list_(pa.int64()))], ["id", "key", "n", "tag", "prefix"])
+                                              pa.array(hots, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))], ["id", "key", "n", "tag", "hot", "prefix"])
 
     return run
 
@@ -150,6 +157,12 @@ def _size_fits(num: int, den: int, n: str, m: str):
     return (F.least(n, m) * den >= F.greatest(n, m) * num) if n != m else F.lit(True)
 
 
+def _place_fits(num: int, den: int):
+    """Whether a first shared shingle at pos_x and pos_y leaves enough of both sets."""
+    left = F.least(F.col("n_x") - F.col("pos_x"), F.col("n_y") - F.col("pos_y"))
+    return left * (num + den) >= (F.col("n_x") + F.col("n_y")) * num
+
+
 def _count_fits(num: int, den: int, n: str, m: str, shared):
     """Whether ``shared`` prefix shingles may be enough for sets of n and m."""
     after = [F.col(k) - _prefix(F.col(k), num, den) for k in (n, m)]
@@ -168,29 +181,32 @@ def jaccard_join(docs: DataFrame, width: int = 5, num: int = 3, den: int = 4, al
     texts = docs.select(F.col(id_col).cast("long" if kind == "void" else kind).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = texts.dtypes[0][1]
     heat = _heat(texts.select("text"), width)
-    rows = stage(texts.mapInArrow(_profiles(width, num, den, heat), f"id {kind}, key binary, n long, tag long, prefix array<long>"), "jaccard-rows")
+    rows = stage(texts.mapInArrow(_profiles(width, num, den, heat), f"id {kind}, key binary, n long, tag long, hot long, prefix array<long>"), "jaccard-rows")
     classes = stage(rows.where("n > 0").groupBy("key", "n", "tag").agg(F.min("id").alias("doc"))
                     .withColumn("cid", F.monotonically_increasing_id()), "jaccard-classes")
 
-    # prefix shingles that more than one group has; a row keeps the group before it in its shingle's run
-    tokens = rows.where("prefix IS NOT NULL").select("n", "tag", F.explode("prefix").alias("token"))
+    # prefix shingles that more than one group has; a row keeps the group before it in its shingle's run, and the run's hub
+    tokens = rows.where("prefix IS NOT NULL").select("n", "tag", "hot", F.posexplode("prefix").alias("pos", "token"))
     run = Window.partitionBy("token").orderBy("n", "tag")
-    for k in ("n", "tag"):
-        tokens = tokens.withColumn(f"before_{k}", F.lag(k).over(run))
-    tokens = tokens.withColumn("after_n", F.lead("n").over(run)).withColumn("after_tag", F.lead("tag").over(run))
+    hub = F.max(F.struct("hot", "n", "tag")).over(run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    tokens = tokens.select("token", "n", "tag", "pos", *[F.lag(k).over(run).alias(f"before_{k}") for k in ("n", "tag")],
+                           *[F.lead(k).over(run).alias(f"after_{k}") for k in ("n", "tag")], hub.alias("hub"))
     other = lambda k: F.col(f"{k}_n").isNotNull() & ((F.col(f"{k}_n") != F.col("n")) | (F.col(f"{k}_tag") != F.col("tag")))
     shared = stage(tokens.where(other("before") | other("after")).select(
-        "token", "n", "tag", *[F.when(other("before"), F.col(f"before_{k}")).alias(f"before_{k}") for k in ("n", "tag")]), "jaccard-tokens")
+        "token", "n", "tag", "pos", *[F.when(other("before"), F.col(f"before_{k}")).alias(f"before_{k}") for k in ("n", "tag")],
+        F.col("hub.n").alias("hub_n"), F.col("hub.tag").alias("hub_tag")), "jaccard-tokens")
 
     groups = classes.groupBy("n", "tag").agg(F.min("cid").alias("head"), F.count(F.lit(1)).alias("members"))
     crowded = groups.where("members > 1")
     inside = classes.join(crowded, ["n", "tag"]).where("cid != head")
-    # half of what the filter asks for is enough here: a run's neighbour may change from shingle to shingle
-    next_to = shared.where(F.col("before_n").isNotNull() & _size_fits(num, den, "before_n", "n")).groupBy(
-        "n", "tag", "before_n", "before_tag").agg(F.count(F.lit(1)).alias("c")).where(_count_fits(num, den, "before_n", "n", F.col("c") * 2))
+    # half of what the count filter asks for is enough here: a run's neighbour and hub may change from shingle to shingle
+    met = [shared.where(other(k)).select("n", "tag", F.col(f"{k}_n").alias("m"), F.col(f"{k}_tag").alias("mark")).where(_size_fits(num, den, "n", "m"))
+           .groupBy("n", "tag", "m", "mark").agg(F.count(F.lit(1)).alias("c")).where(_count_fits(num, den, "n", "m", F.col("c") * 2))
+           for k in ("before", "hub")]
+    next_to = met[0].unionByName(met[1]).select("n", "tag", "m", "mark").distinct()
     heads = groups.select("n", "tag", F.col("head").alias("a"))
     first = next_to.join(heads, ["n", "tag"]).join(
-        groups.select(F.col("n").alias("before_n"), F.col("tag").alias("before_tag"), F.col("head").alias("b")), ["before_n", "before_tag"])
+        groups.select(F.col("n").alias("m"), F.col("tag").alias("mark"), F.col("head").alias("b")), ["m", "mark"])
     first = stage(first.select("a", "b").unionByName(inside.select(F.col("cid").alias("a"), F.col("head").alias("b"))).select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "jaccard-first")
 
@@ -214,17 +230,18 @@ def jaccard_join(docs: DataFrame, width: int = 5, num: int = 3, den: int = 4, al
 
     # classes by shared shingle, where its run has more than one component
     split = "cid" if all_links else "comp"
-    slot = shared.select("token", "n", "tag").distinct().join(labelled.select("n", "tag", "cid", "comp"), ["n", "tag"])
+    slot = shared.groupBy("token", "n", "tag").agg(F.min("pos").alias("pos")).join(labelled.select("n", "tag", "cid", "comp"), ["n", "tag"])
     open_tokens = slot.groupBy("token").agg(F.min(split).alias("lo"), F.max(split).alias("hi")).where("lo < hi").select("token")
-    slot = stage(slot.join(open_tokens, "token").select("token", "n", "cid", "comp"), "jaccard-slots")
+    slot = stage(slot.join(open_tokens, "token").select("token", "n", "pos", "cid", "comp"), "jaccard-slots")
     apart = (F.col(f"{split}_x") != F.col(f"{split}_y")) & (F.col("cid_x") < F.col("cid_y"))
-    ends = lambda df, k: [F.col(c).alias(f"{c}_{k}") for c in ("n", "cid", "comp")]
-    across = slot.select("token", *ends(slot, "x")).join(slot.select("token", *ends(slot, "y")), "token").where(
-        apart & _size_fits(num, den, "n_x", "n_y")).groupBy("cid_x", "cid_y", "n_x", "n_y").agg(F.count(F.lit(1)).alias("c")).where(
-        _count_fits(num, den, "n_x", "n_y", F.col("c")))
+    ends = lambda df, k: [F.col(c).alias(f"{c}_{k}") for c in ("n", "cid", "comp", "pos") if c in df.columns]
+    across = stage(slot.select("token", *ends(slot, "x")).join(slot.select("token", *ends(slot, "y")), "token").where(
+        apart & _size_fits(num, den, "n_x", "n_y") & _place_fits(num, den)).select("cid_x", "cid_y", "n_x", "n_y").distinct(), "jaccard-across")
+    both = across.join(slot.select("token", F.col("cid").alias("cid_x")), "cid_x").join(slot.select("token", F.col("cid").alias("cid_y")), ["cid_y", "token"])
+    across = both.groupBy("cid_x", "cid_y", "n_x", "n_y").agg(F.count(F.lit(1)).alias("c")).where(_count_fits(num, den, "n_x", "n_y", F.col("c")))
     # classes of one group share its whole prefix
     packed = labelled.join(crowded.select("n", "tag"), ["n", "tag"])
-    together = packed.select("n", "tag", *ends(packed, "x")[1:]).join(packed.select("n", "tag", *ends(packed, "y")[1:]), ["n", "tag"]).where(apart)
+    together = packed.select("n", "tag", *ends(packed, "x")[1:3]).join(packed.select("n", "tag", *ends(packed, "y")[1:3]), ["n", "tag"]).where(apart)
     rest = across.select(F.col("cid_x").alias("a"), F.col("cid_y").alias("b")).unionByName(
         together.select(F.col("cid_x").alias("a"), F.col("cid_y").alias("b"))).distinct().join(first, ["a", "b"], "left_anti")
     links = links.unionByName(verified(stage(rest, "jaccard-rest"), "jaccard2"))
