@@ -47,9 +47,8 @@ def _cut(name: str, capacity: int, end_id: int):
         lib = opened(BytePairIds, name)
         for b in batches:
             cols = ([], [], [], [], [])
-            encoded = lib.ids([t or "" for t in b.column("text").to_pylist()])
-            for doc, ids in zip(b.column("id").to_pylist(), encoded):
-                ids += end
+            for doc, text in zip(b.column("id").to_pylist(), b.column("text").to_pylist()):
+                ids = lib.ids(text or "") + end
                 n = len(ids) // 4
                 at, step = 0, (n - 1) % capacity + 1
                 for piece in range(-(-n // capacity)):
@@ -192,7 +191,7 @@ def _histogram(rows: pd.DataFrame) -> dict[int, int]:
 
 
 def _island(capacity: int, population: int, generations: int, epoch: int):
-    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         block, island = int(key[0]), int(key[1])
         best = _evolve(_histogram(rows), _solutions(rows), capacity, population, generations, random.Random(f"{block}:{island}:{epoch}"))
         return pd.DataFrame({"block": block, "island": island, "content": [list(c) for c in best], "n": list(best.values())})
@@ -203,7 +202,7 @@ def _island(capacity: int, population: int, generations: int, epoch: int):
 def _slots(capacity: int):
     """The best island's bins, dealt out: a row for each slot, by the rank of its piece among those of its length."""
 
-    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         found: dict[int, dict[tuple, int]] = {}
         for island, content, n in zip(rows["island"], rows["content"], rows["n"]):
             found.setdefault(int(island), {})[tuple(int(s) for s in content)] = int(n)

@@ -36,7 +36,10 @@ def test_chunked_ids_equal_the_library(docs):
 
     lib = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
     texts = [t or "" for _, t in docs] + _odd_texts(3000)
-    got = [list(struct.unpack(f"<{len(x) // 4}I", x)) for x in BytePairIds("byte_bpe_50k.json").ids(texts)]
+    texts += ["x" * 5000, "ab " * 5000, " " * 5000 + "a", "é" * 3000]
+    ours = BytePairIds("byte_bpe_50k.json")
+    got = [list(struct.unpack(f"<{len(x) // 4}I", x)) for x in map(ours.ids, texts)]
+    assert ours.fast is not None
     assert got == [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]
 
 
