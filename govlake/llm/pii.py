@@ -135,17 +135,21 @@ def disclosing_terms(docs: DataFrame, base: DataFrame, alpha: float = 0.9, min_s
     # distinct first, in parts: a pair in a third of all documents is one row a task
     support = pairs.select("kind", "entity", "term", "place").distinct().groupBy("kind", "entity", "term").agg(F.count(F.lit(1)).alias("support"))
     together = pairs.select("kind", "entity", "term", "mark").distinct().groupBy("kind", "entity", "term").agg(F.count(F.lit(1)).alias("n"))
-    strong = stage(support.where(F.col("support") >= min_support).join(together, ["kind", "entity", "term"]), "pii-pairs")
     of_entity = base.select("kind", entity.alias("entity"), "mark").distinct().groupBy("kind", "entity").agg(F.count(F.lit(1)).alias("df_e"))
     texts = _keyed(docs, id_col, text_col)
+    n_texts = float(texts.select("mark").distinct().count())
+    ic = F.log2(F.lit(n_texts) / F.col("df_e"))
+    pmi = lambda df_t: F.log2(F.col("n") * F.lit(n_texts) / (F.col(df_t) * F.col("df_e")))
+    # a term is in at least as many texts as it is near entities in: what fails by that number needn't be counted
+    near_any = pairs.select("term", "mark").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("least"))
+    strong = support.where(F.col("support") >= min_support).join(together, ["kind", "entity", "term"]).join(of_entity, ["kind", "entity"]).join(
+        near_any, "term").where((ic > 0) & (pmi("least") >= alpha * ic))
+    strong = stage(strong.select("kind", "entity", "term", "n", "df_e"), "pii-pairs")
     wanted = strong.select("term").distinct()
     words = texts.select("mark", F.explode(F.array_distinct(F.split("text", GAP))).alias("w"))
     words = words.select("mark", F.lower(F.regexp_replace("w", r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")).alias("term"))
     of_term = words.join(wanted, "term", "left_semi").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("df_t"))
-    n_texts = texts.select("mark").distinct().count()
-    pmi = F.log2(F.col("n") * F.lit(float(n_texts)) / (F.col("df_t") * F.col("df_e")))
-    ic = F.log2(F.lit(float(n_texts)) / F.col("df_e"))
-    scored = strong.join(of_entity, ["kind", "entity"]).join(of_term, "term").where((ic > 0) & (pmi >= alpha * ic))
+    scored = strong.join(of_term, "term").where(pmi("df_t") >= alpha * ic)
     return stage(scored.select("kind", "entity", "term", (F.col("n") >= F.col("df_t")).alias("removed")), "pii-terms")
 
 
