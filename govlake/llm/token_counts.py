@@ -71,9 +71,10 @@ def count_tokens(docs: DataFrame, tokenizer: str = "piece_bpe_32k.model", cache:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH))
     new = first.mapInArrow(_encode(tokenizer), "content_digest binary, n_tokens long")
     new.select("content_digest", F.lit(version).alias("tokenizer_digest"), "n_tokens").write.mode("append").parquet(path)
-    # ids and digests are narrow: the second join moves no texts
+    # ids and digests are narrow: the second join moves no texts, and as both sides are
+    # plain tables a digest that a third of all rows have is split by adaptive execution
     sizes = stage(keyed.select("id", "content_digest", F.octet_length("text").cast("long").alias("n_bytes")), "token-sizes")
-    out = sizes.join(stored(), "content_digest")
+    out = sizes.join(stage(stored(), "token-counts"), "content_digest")
     return out.select(F.col("id").alias(id_col), "n_bytes", "n_tokens")
 
 
