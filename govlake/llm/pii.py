@@ -6,9 +6,8 @@ match's place is the sum of the lengths before it, from the text split at the
 pattern's matches.  Then the corpus tells which terms reveal an entity:
 
 1. for each occurrence of an entity the words around it are its context; a
-   term supports an entity by the number of different neighbourhoods (the words
-   right before and after the entity) in which they occur together, so that
-   copies of one document count once;
+   term supports an entity by the number of distinct texts in which they occur
+   together, so that copies of one document count once;
 2. over all documents, with ``df`` counting distinct texts, the pointwise mutual
    information ``log2(n(e,t) * N / (df(t) * df(e)))`` of a term and an entity is
    compared with the entity's information content ``log2(N / df(e))``;
@@ -129,11 +128,10 @@ def disclosing_terms(docs: DataFrame, base: DataFrame, alpha: float = 0.9, min_s
     right = F.split("right", GAP)
     right = F.when(F.length("right") >= REACH, F.slice(right, F.lit(1), F.greatest(F.size(right) - 1, F.lit(0)))).otherwise(right)
     near = base.select("kind", entity.alias("entity"), "mark", F.filter(left, lambda w: w != "").alias("l"), F.filter(right, lambda w: w != "").alias("r"))
-    near = near.select("kind", "entity", "mark", F.xxhash64(F.try_element_at("l", F.lit(-1)), F.try_element_at("r", F.lit(1))).alias("place"),
+    near = near.select("kind", "entity", "mark",
                        F.array_distinct(_terms(F.concat(F.when(F.size("l") > NEAR, F.slice("l", -NEAR, NEAR)).otherwise(F.col("l")), F.slice("r", 1, NEAR)))).alias("terms"))
-    pairs = near.select("kind", "entity", "mark", "place", F.explode("terms").alias("term"))
+    pairs = near.select("kind", "entity", "mark", F.explode("terms").alias("term"))
     # distinct first, in parts: a pair in a third of all documents is one row a task
-    support = pairs.select("kind", "entity", "term", "place").distinct().groupBy("kind", "entity", "term").agg(F.count(F.lit(1)).alias("support"))
     together = pairs.select("kind", "entity", "term", "mark").distinct().groupBy("kind", "entity", "term").agg(F.count(F.lit(1)).alias("n"))
     of_entity = base.select("kind", entity.alias("entity"), "mark").distinct().groupBy("kind", "entity").agg(F.count(F.lit(1)).alias("df_e"))
     texts = _keyed(docs, id_col, text_col)
@@ -142,7 +140,7 @@ def disclosing_terms(docs: DataFrame, base: DataFrame, alpha: float = 0.9, min_s
     pmi = lambda df_t: F.log2(F.col("n") * F.lit(n_texts) / (F.col(df_t) * F.col("df_e")))
     # a term is in at least as many texts as it is near entities in: what fails by that number needn't be counted
     near_any = pairs.select("term", "mark").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("least"))
-    strong = support.where(F.col("support") >= min_support).join(together, ["kind", "entity", "term"]).join(of_entity, ["kind", "entity"]).join(
+    strong = together.where(F.col("n") >= min_support).join(of_entity, ["kind", "entity"]).join(
         near_any, "term").where((ic > 0) & (pmi("least") >= alpha * ic))
     strong = stage(strong.select("kind", "entity", "term", "n", "df_e"), "pii-pairs")
     wanted = strong.select("term").distinct()

@@ -196,6 +196,16 @@ def test_op6_disclosing_terms(spark):
     assert "zanzibarian" not in clean[0].lower() and "<EMAIL>" in clean[0] and clean[100] == dict(texts)[100]
 
 
+def test_op6_entity_behind_one_template(spark):
+    texts = [(i, f"note{i} Quimby email: jane.doe@corp.example.org phone Zanzibarian end{i}") for i in range(12)]
+    texts += [(50, "copy Oblomov ask john@corp.example.org now")] * 5  # copies are one text
+    texts += [(100 + i, f"email or phone the desk about case{i}") for i in range(60)]
+    rows = {r.doc_id: r.spans for r in pii.find_pii(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    for i, t in texts:
+        terms = {t[int(a):int(b)].lower() for k, a, b in (s.split(":") for s in rows[i].split(",") if s) if k == "term"}
+        assert terms == ({"quimby", "zanzibarian"} if i < 50 else set())
+
+
 def test_op6_patterns_take_linear_time(spark):
     texts = [(1, "a" * 300_000), (2, "1" * 300_000), (3, "1." * 100_000), (4, "a@" * 100_000), (5, "+1" * 100_000)]
     rows = {r.doc_id: r for r in pii.find_pii(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
