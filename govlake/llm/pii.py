@@ -5,15 +5,16 @@ card numbers (Luhn) and phone numbers; these are the protected entities.  A
 match's place is the sum of the lengths before it, from the text split at the
 pattern's matches.  Then the corpus tells which terms reveal an entity:
 
-1. for each occurrence of an entity the words around it are its context; a
-   term supports an entity by the number of distinct texts in which they occur
-   together, so that copies of one document count once;
+1. a text's terms are its words without the punctuation around them, and the
+   runs of letters and digits in these; a term supports an entity by the number
+   of distinct texts that hold both, so that copies of one document count once;
 2. over all documents, with ``df`` counting distinct texts, the pointwise mutual
    information ``log2(n(e,t) * N / (df(t) * df(e)))`` of a term and an entity is
    compared with the entity's information content ``log2(N / df(e))``;
-3. a pair with enough support and ``PMI >= alpha * IC`` discloses: wherever the
-   entity occurs in a document, that term gets a span there.  It is removed if
-   it gives the entity away entirely (``PMI >= IC``), else generalised.
+3. a pair with enough support and ``PMI >= alpha * IC`` discloses: every text
+   that holds the term gets a span at each place of it that overlaps no entity
+   (a run inside a marked word none of its own).  The term is removed if it
+   gives the entity away entirely (``PMI >= IC``), else generalised.
 
 Cases: a null or empty text has no spans.  Repeated rows and copies get the
 same spans.  A null id is kept.  An empty table gives an empty result.  Patterns
@@ -28,7 +29,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .stage import stage
-from .words import GAP
 
 KINDS = ("email", "ip", "card", "phone", "term")
 
@@ -44,22 +44,20 @@ PATTERNS = (
 NEEDS = ("@", ".", "", "+")
 
 SPAN = "array<struct<kind: int, start: int, end: int, tag: string>>"
-#: Characters and words of context on each side.
-REACH, NEAR = 120, 5
+#: Terms: from a word's first letter or digit to its last, and the runs of letters and digits in it.
+TERMS = (r"[\p{L}\p{N}](?:[^\x20\x09-\x0D]*[\p{L}\p{N}])?", r"[\p{L}\p{N}]+")
+#: One text in so many gives a lower bound of each term's document frequency.
+GLIMPSE = 8
 
 
 def _occurrences(text: Column, pattern: Column, kind: int) -> Column:
-    """An array of (kind, gap, value, left, right): matches with the length of the text before each, back to the match before."""
+    """An array of (kind, gap, value): matches with the length of the text before each, back to the match before."""
     found = F.regexp_extract_all(text, pattern, F.lit(0))
-    parts = F.split(text, pattern, -1)
-    n = F.size(found)
-    sides = F.zip_with(F.slice(parts, F.lit(1), n), F.slice(parts, F.lit(2), n), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    return F.zip_with(found, sides, lambda x, s: F.struct(
-        F.lit(kind).alias("kind"), F.length(s["a"]).alias("gap"), x.alias("value"),
-        F.right(s["a"], F.lit(REACH)).alias("left"), F.left(s["b"], F.lit(REACH)).alias("right")))
+    before = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
+    return F.zip_with(found, before, lambda x, a: F.struct(F.lit(kind).alias("kind"), F.length(a).alias("gap"), x.alias("value")))
 
 
-_FOUND = "array<struct<kind: int, gap: int, value: string, left: string, right: string>>"
+_FOUND = "array<struct<kind: int, gap: int, value: string>>"
 
 
 def _all_occurrences(text: Column) -> Column:
@@ -104,72 +102,78 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def base_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Checked matches: id, mark, kind (its place in KINDS), start, end, value, left, right; written in the shared folder."""
+    """Checked matches: id, mark, kind (its place in KINDS), start, end, value; written in the shared folder."""
     rows = _keyed(docs, id_col, text_col).withColumn("found", _all_occurrences(F.col("text"))).where(F.size("found") > 0)
     found = rows.select("id", "mark", F.posexplode("found").alias("pos", "f")).select("id", "mark", "pos", "f.*").withColumn("which", F.lit(""))
     found = found.dropDuplicates(["id", "mark", "pos"])  # repeated rows
     return stage(_placed(found).where(_valid(F.col("kind"), F.col("value"))).select(
-        "id", "mark", "kind", "start", "end", "value", "left", "right"), "pii-base")
+        "id", "mark", "kind", "start", "end", "value"), "pii-base")
 
 
-def _terms(words: Column) -> Column:
-    """Lower-case words without the punctuation around them; those with letters only, three at least."""
-    bare = F.transform(words, lambda w: F.lower(F.regexp_replace(w, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")))
-    return F.filter(bare, lambda w: w.rlike(r"^\p{L}{3,}$"))
+def _terms(text: Column) -> Column:
+    """The distinct terms of a text, in lower case."""
+    return F.array_distinct(F.transform(F.concat(*[F.regexp_extract_all(text, F.lit(p), F.lit(0)) for p in TERMS]), F.lower))
 
 
 def disclosing_terms(docs: DataFrame, base: DataFrame, alpha: float = 0.9, min_support: int = 3, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
     """(kind, entity, term, removed): terms that give an entity away, by co-occurrence over all documents."""
-    entity = F.lower("value")
-    # a side that reaches its limit may begin or end inside a word: that word goes
-    left = F.split("left", GAP)
-    left = F.when(F.length("left") >= REACH, F.slice(left, 2, REACH)).otherwise(left)
-    right = F.split("right", GAP)
-    right = F.when(F.length("right") >= REACH, F.slice(right, F.lit(1), F.greatest(F.size(right) - 1, F.lit(0)))).otherwise(right)
-    near = base.select("kind", entity.alias("entity"), "mark", F.filter(left, lambda w: w != "").alias("l"), F.filter(right, lambda w: w != "").alias("r"))
-    near = near.select("kind", "entity", "mark",
-                       F.array_distinct(_terms(F.concat(F.when(F.size("l") > NEAR, F.slice("l", -NEAR, NEAR)).otherwise(F.col("l")), F.slice("r", 1, NEAR)))).alias("terms"))
-    pairs = near.select("kind", "entity", "mark", F.explode("terms").alias("term"))
-    # distinct first, in parts: a pair in a third of all documents is one row a task
-    together = pairs.select("kind", "entity", "term", "mark").distinct().groupBy("kind", "entity", "term").agg(F.count(F.lit(1)).alias("n"))
-    of_entity = base.select("kind", entity.alias("entity"), "mark").distinct().groupBy("kind", "entity").agg(F.count(F.lit(1)).alias("df_e"))
-    texts = _keyed(docs, id_col, text_col)
+    texts = _keyed(docs, id_col, text_col).select("mark", "text")
     n_texts = float(texts.select("mark").distinct().count())
     ic = F.log2(F.lit(n_texts) / F.col("df_e"))
     pmi = lambda df_t: F.log2(F.col("n") * F.lit(n_texts) / (F.col(df_t) * F.col("df_e")))
-    # a term is in at least as many texts as it is near entities in: what fails by that number needn't be counted
-    near_any = pairs.select("term", "mark").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("least"))
-    strong = together.where(F.col("n") >= min_support).join(of_entity, ["kind", "entity"]).join(
-        near_any, "term").where((ic > 0) & (pmi("least") >= alpha * ic))
+    entities = base.select("kind", F.lower("value").alias("entity"), "mark").distinct()
+    # no term has more support than the entity has texts
+    of_entity = entities.groupBy("kind", "entity").agg(F.count(F.lit(1)).alias("df_e")).where((F.col("df_e") >= min_support) & (ic > 0))
+    entities = stage(entities.join(of_entity, ["kind", "entity"]), "pii-entities")
+    due = entities.select("mark").distinct().withColumn("due", F.lit(True))
+    seen = texts.join(due, "mark", "left").where(F.col("due") | (F.pmod("mark", F.lit(GLIMPSE)) == 0))
+    seen = stage(seen.select("mark", F.coalesce("due", F.lit(False)).alias("due"), _terms(F.col("text")).alias("terms")).dropDuplicates(["mark"]), "pii-seen")
+    held = seen.select("mark", "due", F.explode("terms").alias("term"))
+    # a term is in at least as many texts as were seen: what fails by that number needn't be counted
+    least = held.groupBy("term").agg(F.count(F.lit(1)).alias("least"), F.count_if("due").alias("most"))
+    together = entities.join(held.where("due"), "mark").groupBy("kind", "entity", "term").agg(F.count(F.lit(1)).alias("n"), F.first("df_e").alias("df_e"))
+    strong = together.where(F.col("n") >= min_support).join(least.where(F.col("most") >= min_support), "term").where(pmi("least") >= alpha * ic)
     strong = stage(strong.select("kind", "entity", "term", "n", "df_e"), "pii-pairs")
-    wanted = strong.select("term").distinct()
-    words = texts.select("mark", F.explode(F.array_distinct(F.split("text", GAP))).alias("w"))
-    words = words.select("mark", F.lower(F.regexp_replace("w", r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")).alias("term"))
-    of_term = words.join(wanted, "term", "left_semi").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("df_t"))
+    words = texts.select("mark", F.explode(_terms(F.col("text"))).alias("term"))
+    of_term = words.join(strong.select("term").distinct(), "term", "left_semi").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("df_t"))
     scored = strong.join(of_term, "term").where(pmi("df_t") >= alpha * ic)
     return stage(scored.select("kind", "entity", "term", (F.col("n") >= F.col("df_t")).alias("removed")), "pii-terms")
 
 
+def _term_spans(docs: DataFrame, base: DataFrame, terms: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """mark, start, end, tag: the places of disclosing terms in each distinct text that holds one."""
+    texts = _keyed(docs, id_col, text_col).select("mark", "text")
+    holders = texts.select("mark", F.explode(_terms(F.col("text"))).alias("term")).join(terms.select("term").distinct(), "term", "left_semi")
+    # with the entities of the text itself: removed if the term gives all that it discloses there away entirely
+    own = base.select("mark", "kind", F.lower("value").alias("entity")).join(terms, ["kind", "entity"]).select("mark", "term", F.col("removed").cast("int"))
+    due = stage(holders.withColumn("removed", F.lit(None).cast("int")).unionByName(own).groupBy("mark", "term").agg(
+        F.coalesce(F.min("removed"), F.lit(0)).alias("removed")), "pii-due")
+    whole = texts.join(due.select("mark").distinct(), "mark", "left_semi").dropDuplicates(["mark"])
+    found = [whole.select("mark", F.lit(k).alias("which"), F.posexplode(_occurrences(F.col("text"), F.lit(p), 4)).alias("pos", "f")) for k, p in enumerate(TERMS)]
+    found = found[0].unionByName(found[1]).select(F.lit(0).alias("id"), "mark", "which", "pos", "f.*")
+    hits = _placed(found).withColumn("term", F.lower("value")).join(due, ["mark", "term"]).select("mark", "kind", "start", "end", "removed")
+    # entities and terms in one row of places a text: what overlaps an entity goes, then what lies in a term before it
+    entities = base.join(due.select("mark").distinct(), "mark", "left_semi").select("mark", "kind", "start", "end", F.lit(0).alias("removed")).distinct()
+    along = Window.partitionBy("mark").orderBy("start", F.desc("end"), "kind")
+    reached = F.max(F.when(F.col("kind") < 4, F.col("end"))).over(along.rowsBetween(Window.unboundedPreceding, 0))
+    ahead = F.min(F.when(F.col("kind") < 4, F.col("start"))).over(along.rowsBetween(0, Window.unboundedFollowing))
+    places = hits.unionByName(entities).withColumn("reached", reached).withColumn("ahead", ahead)
+    clear = places.where((F.col("kind") == 4) & (F.coalesce("reached", F.lit(0)) <= F.col("start")) & (F.coalesce("ahead", F.col("end")) >= F.col("end")))
+    inside = F.max("end").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    return clear.withColumn("inside", inside).where(F.coalesce("inside", F.lit(0)) < F.col("end")).select(
+        "mark", "start", "end", F.when(F.col("removed") == 1, "").otherwise("<TERM>").alias("tag"))
+
+
 def spans(docs: DataFrame, alpha: float = 0.9, min_support: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, mark, kind, start, end, tag of every span, the method's included (kind 4)."""
     base = base_spans(docs, id_col, text_col)
     terms = disclosing_terms(docs, base, alpha, min_support, id_col, text_col)
     tags = F.element_at(F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS]), F.col("kind") + 1)
     own = base.select("id", "mark", "kind", "start", "end", tags.alias("tag"))
-    # documents that hold an entity, with its terms
-    due = base.select("id", "mark", "kind", F.lower("value").alias("entity")).join(terms, ["kind", "entity"]).groupBy("id", "mark", "term").agg(
-        F.min(F.col("removed").cast("int")).alias("removed"))
-    due = stage(due, "pii-due")
-    pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])\Q"), F.col("term"), F.lit(r"\E(?![\p{L}\p{N}])"))
-    texts = _keyed(docs, id_col, text_col).join(due.withColumnsRenamed({"id": "due_id", "mark": "due_mark"}),
-                                                F.col("id").eqNullSafe(F.col("due_id")) & (F.col("mark") == F.col("due_mark")))
-    hits = texts.select("id", "mark", "removed", F.col("term").alias("which"), F.posexplode(_occurrences(F.col("text"), pattern, 4)).alias("pos", "f"))
-    hits = hits.select("id", "mark", "removed", "which", "pos", "f.*").dropDuplicates(["id", "mark", "which", "pos"])
-    extra = _placed(hits).select("id", "mark", "kind", "start", "end", F.when(F.col("removed") == 1, "").otherwise("<TERM>").alias("tag"))
-    clear = extra.alias("x").join(own.alias("o"), F.col("x.id").eqNullSafe(F.col("o.id")) & (F.col("x.mark") == F.col("o.mark"))
-                                  & (F.col("x.start") < F.col("o.end")) & (F.col("o.start") < F.col("x.end")), "left_anti")
-    return stage(own.unionByName(clear), "pii-spans")
+    extra = stage(_term_spans(docs, base, terms, id_col, text_col), "pii-extra")
+    rows = _keyed(docs, id_col, text_col).select("id", "mark").join(extra.select("mark").distinct(), "mark", "left_semi").distinct()
+    return stage(own.unionByName(rows.join(extra, "mark").select("id", "mark", F.lit(4).alias("kind"), "start", "end", "tag")), "pii-spans")
 
 
 def _by_document(found: DataFrame) -> DataFrame:

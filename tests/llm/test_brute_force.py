@@ -206,6 +206,22 @@ def test_op6_entity_behind_one_template(spark):
         assert terms == ({"quimby", "zanzibarian"} if i < 50 else set())
 
 
+def test_op6_terms_of_whole_texts(spark):
+    far = " ".join(f"filler{k}" for k in range(40))
+    texts = [(i, f"Al-Rashid's note{i} {far} Zanzibarian: {'a@b.co, d@e.fi' if i else 'A@b.co d@e.fi'} and X9 end{i}") for i in range(9)]
+    texts += [(50, "only the Zanzibarian-born one"), (51, "nobody here")] + [(60, "only the zanzibarian, again")] * 2
+    texts += [(100 + i, f"plain {far} and case{i}") for i in range(200)]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    rows = {r.doc_id: r.spans for r in pii.find_pii(df).collect()}
+    terms = lambda i, t: [t[int(a):int(b)] for k, a, b in (s.split(":") for s in rows[i].split(",") if s) if k == "term"]
+    for i, t in texts:
+        want = ["Al-Rashid's", "Zanzibarian", "X9"] if i < 50 else ["Zanzibarian"] if i == 50 else ["zanzibarian"] if i == 60 else []
+        assert terms(i, t) == want, t
+    clean = {r.doc_id: r.text for r in pii.sanitise(df).collect()}
+    assert clean[50] == "only the <TERM>-born one" and clean[60] == "only the <TERM>, again" and clean[100] == dict(texts)[100]
+    assert clean[1] == f" note1 {far} <TERM>: <EMAIL>, <EMAIL> and  end1"
+
+
 def test_op6_patterns_take_linear_time(spark):
     texts = [(1, "a" * 300_000), (2, "1" * 300_000), (3, "1." * 100_000), (4, "a@" * 100_000), (5, "+1" * 100_000)]
     rows = {r.doc_id: r for r in pii.find_pii(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
