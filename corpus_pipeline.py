@@ -39,7 +39,7 @@ def keep_one_of_each_group(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_benchmarks(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return contamination.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return contamination.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), by_text=True)
 
 
 def mask_personal_data(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

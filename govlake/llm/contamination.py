@@ -17,8 +17,9 @@ A document holds an item when at least ``num / den`` of the item's distinct
 Cases: null and empty texts hold nothing and nothing holds them; an item of
 fewer words than ``width`` is one shingle, found only in a document that
 consists of it.  Repeated documents are reported as often as they occur;
-repeated item ids count as one item with the shingles of all.  Null ids
-are kept.  Empty tables give an empty result.  Only the id and text columns
+repeated item ids count as one item with the shingles of all, or, with
+``by_text``, each text under an id as an item of its own.  Null ids are kept;
+items without an id are told apart by their texts.  Empty tables give an empty result.  Only the id and text columns
 are read, so other columns may have any name.
 """
 
@@ -43,9 +44,11 @@ def _hinted(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def _items(benchmark: DataFrame, item_id: str, item_text: str, width: int, num: int, den: int) -> DataFrame:
-    """item, g (a distinct shingle), place (from 1, by hash), need, probes (size of the signature)."""
-    plain = _shingled(benchmark.select(F.col(item_id).alias("item"), F.col(item_text).cast("string").alias("text")), width)
+def _items(benchmark: DataFrame, item_id: str, item_text: str, width: int, num: int, den: int, by_text: bool) -> DataFrame:
+    """item (its id, and the hash of its text where that tells it apart), g (a distinct shingle), place (from 1, by hash), need, probes (size of the signature)."""
+    text = F.col(item_text).cast("string")
+    own = F.when(F.lit(by_text) | F.col(item_id).isNull(), F.xxhash64(text)).otherwise(F.lit(0).cast("long"))
+    plain = _shingled(benchmark.select(F.struct(F.col(item_id).alias("id"), own.alias("own")).alias("item"), text.alias("text")), width)
     whole = plain.select("item", F.explode("s").alias("g")).groupBy("item").agg(F.array_sort(F.collect_set("g")).alias("s"))
     q = F.size("s")
     need = F.ceil(q * num / den).cast("int")
@@ -67,11 +70,11 @@ def _bound(signatures: DataFrame) -> Column:
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 5, num: int = 3, den: int = 4, id_col: str = "doc_id",
-                 text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+                 text_col: str = "text", item_id: str = "item_id", item_text: str = "text", by_text: bool = False) -> DataFrame:
     """(id, mark, item, n_shared, n_item): every document with every item that it holds, a row each; ``mark`` is the hash of the text."""
     text = F.col(text_col).cast("string")
     rows = docs.where(text.isNotNull()).select(F.col(id_col).alias("id"), F.xxhash64(text).alias("mark"), text.alias("text"))
-    items = _items(benchmark, item_id, item_text, width, num, den)
+    items = _items(benchmark, item_id, item_text, width, num, den, by_text)
     n_items = items.count()
     signatures = items.where("place <= probes").select("item", "need", "g")
     sized = _shingled(rows, width).select("id", "mark", "s", F.size("s").alias("n")).withColumn("bound", _bound(signatures))
@@ -95,7 +98,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     found = contaminated(docs, benchmark, id_col=id_col, text_col=text_col, **how).withColumnsRenamed({"id": "found_id", "mark": "found_mark"})
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("mark"))
     return rows.join(found, F.col("id").eqNullSafe(F.col("found_id")) & (F.col("mark") == F.col("found_mark"))).select(
-        F.col("id").alias(id_col), F.col("item").alias(how.get("item_id", "item_id")), "n_shared", "n_item")
+        F.col("id").alias(id_col), F.col("item.id").alias(how.get("item_id", "item_id")), "n_shared", "n_item")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:

@@ -98,6 +98,16 @@ def test_contamination(spark, edges, nothing):
     assert left.columns == edges.columns and left.count() == len(EDGES) - 5
 
 
+def test_contamination_tells_texts_apart(spark):
+    a, b = " ".join(f"a{i}" for i in range(20)), " ".join(f"b{i}" for i in range(20))
+    docs = spark.createDataFrame([(1, f"x {a} y"), (2, f"x {b} y"), (3, "nothing of it is in here")], "doc_id long, text string")
+    nulls = spark.createDataFrame([(None, a), (None, b), (None, a), (None, None)], "item_id long, text string")
+    assert sorted(map(tuple, contamination.find_contamination(docs, nulls).collect())) == [(1, None, 16, 16), (2, None, 16, 16)]
+    one = spark.createDataFrame([(7, a), (7, b), (7, a)], "item_id long, text string")
+    assert sorted(map(tuple, contamination.find_contamination(docs, one, by_text=True).collect())) == [(1, 7, 16, 16), (2, 7, 16, 16)]
+    assert [r.doc_id for r in contamination.decontaminate(docs, one, by_text=True).collect()] == [3]
+
+
 def test_warc(edges, nothing):
     shape = lambda df: df.withColumn("url", F.col("lang"))
     folder, manifest = warc.write_archives(shape(edges), id_col="doc_id", payload_col="text")
