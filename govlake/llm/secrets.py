@@ -3,9 +3,10 @@
 1. One pass over all documents counts byte transitions and words: the
    transitions' log probabilities, and as dictionary the ``dictionary_size``
    most frequent words of 3 to 12 letters.
-2. A second pass takes as candidates the values of assignments to a word like
-   ``password`` or ``token``, and tokens of 12 characters or more that hold a
-   digit or have a provider's key format, each with its features: length, character classes and transitions,
+2. A second pass takes as candidates the values of assignments to a name that
+   holds a word like ``password`` or ``token`` (a quoted value up to its closing
+   quote), and all tokens of 12 characters or more but runs of one character
+   (entropy 0), each with its features: length, character classes and transitions,
    entropy, dictionary coverage, path, and neighbouring words.
 3. Labelled findings train a random forest (Spark ML): a column of known
    labels where the caller has them, else labels by provenance (see
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 
 import numpy as np
@@ -39,8 +41,13 @@ from .stage import stage
 BATCH = 500
 LONGEST = 4096
 
-_NAME = r"passw(?:or)?d|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth"
-_ASSIGNED = re.compile(rf"(?i)\b(?:[a-z0-9]+[_-])*(?:{_NAME})\b[\"']?\s*(?:=|:|=>)\s*[\"']?([^\s\"'<>,;]{{6,}})")
+_NAMES = r"passw(?:or)?d|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth"
+_NAME = re.compile(rf"(?i:{_NAMES})")
+#: A name that has the word as a part of its own (client_secret, dbPassword, tokens; not tokenizer, author).
+_OWN_PART = re.compile(rf"(?:^|[^a-z])(?:{_NAMES})s?(?:$|[^a-z])")
+_HUMP = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
+_KEY = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]++)[\"']?\s*+(?:=>|:=|=|:)\s*+")
+_VALUE = re.compile(r"\"(?P<double>(?:[^\"\\\n]|\\.){6,}+)\"|'(?P<single>(?:[^'\\\n]|\\.){6,}+)'|[\"']?(?P<bare>[^\s\"'<>,;]{6,})")
 _TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{12,}")
 #: Formats that providers give their keys.
 _ISSUED = re.compile(r"(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk-[A-Za-z0-9_-]{20,}|AIza[A-Za-z0-9_-]{35}")
@@ -52,6 +59,7 @@ _PATH_PUBLIC = frozenset("test tests example examples sample samples doc docs fi
 
 FEATURES = ("length", "digits", "uppers", "lowers", "others", "hex", "distinct", "entropy", "class_changes", "mean_transition", "worst_transition",
             "coverage", "after_assignment", "after_quote", "secret_word_near", "public_word_near", "in_address", "path_depth", "path_public")
+_COVERAGE = FEATURES.index("coverage")
 CANDIDATE = "id {kind}, start long, end long, value string, features array<double>, label int"
 
 
@@ -129,7 +137,7 @@ def _features(text: str, start: int, end: int, path: str, log_p: np.ndarray, dic
             float(len(segments)), float(bool(_PATH_PUBLIC & set(segments)))]
 
 
-def _label(text: str, start: int, end: int, assigned: bool) -> int | None:
+def _label(text: str, start: int, end: int, assigned: bool, coverage: float) -> int | None:
     """What a finding's provenance says: 1 for issued key formats and assigned values with a digit, 0 for numbers,
     addresses and plain words; None if it says nothing."""
     value = text[start:end]
@@ -137,17 +145,25 @@ def _label(text: str, start: int, end: int, assigned: bool) -> int | None:
         return 1
     if not any(c.isalpha() for c in value) or "@" in text[max(0, start - 1):start] + text[end:end + 1]:
         return 0
-    if assigned and value.isalpha():
+    if assigned and value.isalpha() or not assigned and coverage == 1:
         return 0
     return None
 
 
 def _spans(text: str) -> list[tuple[int, int, bool]]:
-    found = {m.span(1): True for m in _ASSIGNED.finditer(text)}
+    """(start, end, whether assigned to a name with a secret's word as a part of its own) of each candidate."""
+    found: dict[tuple[int, int], bool] = {}
+    until = 0
+    for m in _KEY.finditer(text):
+        if m.start() >= until and _NAME.search(m[1]) and (v := _VALUE.match(text, m.end())):
+            s, until = v.span(v.lastgroup)
+            found[s, until] = bool(_OWN_PART.search(_HUMP.sub("_", m[1]).lower()))
     taken = sorted(found)
+    ends = [e for _, e in taken]
     for m in _TOKEN.finditer(text):
         s, e = m.span()
-        if (any(c.isdigit() for c in m.group()) or _ISSUED.fullmatch(m.group())) and not any(a < e and s < b for a, b in taken):
+        k = bisect_left(ends, s + 1)  # the first value that ends after the token's start
+        if (k == len(taken) or taken[k][0] >= e) and len(set(m.group())) > 1:
             found[s, e] = False
     return sorted((s, e, assigned) for (s, e), assigned in found.items())
 
@@ -159,8 +175,9 @@ def _scan(log_p: np.ndarray, dictionary: frozenset, kind):
             labels = b.column("known").to_pylist()
             for doc, text, path, known in zip(b.column("id").to_pylist(), b.column("text").to_pylist(), b.column("path").to_pylist(), labels):
                 for s, e, assigned in _spans(text or ""):
-                    label = known if known is not None else _label(text, s, e, assigned)
-                    rows.append((doc, s, e, text[s:e], _features(text, s, e, path or "", log_p, dictionary), label))
+                    x = _features(text, s, e, path or "", log_p, dictionary)
+                    label = known if known is not None else _label(text, s, e, assigned, x[_COVERAGE])
+                    rows.append((doc, s, e, text[s:e], x, label))
             types = (b.schema.field("id").type, pa.int64(), pa.int64(), pa.string(), pa.list_(pa.float64()), pa.int32())
             cols = zip(*rows) if rows else [[]] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["id", "start", "end", "value", "features", "label"])

@@ -373,6 +373,19 @@ def test_op1_held_out_accuracy(spark):
     assert sum(1 for d, s in truth.items() if s and (d, True) in got) >= 0.97 * sum(truth.values())
 
 
+@pytest.mark.parametrize(("text", "value"), [
+    ('dbPassword="hunter2!x"', "hunter2!x"), ('clientSecret: "Zq!hP9Lm"', "Zq!hP9Lm"), ('credentials: "hunter2!x"', "hunter2!x"),
+    ('SECRET_KEY="k&9v!q2#"', "k&9v!q2#"), ('password = "ab;cd12!x"', "ab;cd12!x"), ("my_tokens => 'it <is>, here'", "it <is>, here"),
+    ('foo: apikey="a\\"b;c1,2"', 'a\\"b;c1,2'), ('password="abc123def', "abc123def"), ("see qWxZrTpLmNvBkJ here", "qWxZrTpLmNvBkJ")])
+def test_op1_common_secrets_are_candidates(text, value):
+    assert value in [text[s:e] for s, e, _ in secrets._spans(text)]
+
+
+def test_op1_candidates_take_linear_time():
+    for text in ("token" * 40_000, "token=" * 40_000, 'token="' * 40_000, "token " * 40_000, "token" + " " * 200_000 + "x", "pwd=abcdefg hijklmnopqrst " * 20_000):
+        secrets._spans(text)
+
+
 def test_op1_candidates_are_whole_and_placed(spark, docs):
     got = secrets.candidates(spark.read.parquet(f"{SF}/documents.parquet")).collect()
     text = dict(docs)
