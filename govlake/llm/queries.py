@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import functools
 
-from . import contamination, jaccard, packing, pii, quality, secrets, sharding, substring, token_counts, warc
+from . import alignment, automaton, ball_tree, contamination, jaccard, packing, pii, quality, secrets, sharding, substring, token_counts, warc
 from .stage import importable
 
 
@@ -28,6 +28,9 @@ QUERIES = {
     "op8_jaccard_components": jaccard.q_op8,
     "op9_benchmark_contamination": contamination.q_op9,
     "op10_warc_round_trip": warc.q_op10,
+    "op11_ball_tree_search": ball_tree.q_op11,
+    "op12_token_alignment": alignment.q_op12,
+    "op13_bpe_automaton": automaton.q_op13,
 }
 QUERIES = {name: _query(fn) for name, fn in QUERIES.items()}
 
@@ -36,4 +39,5 @@ ORACLE_SQL: dict[str, str] = {
     "op5_host_quality": quality.SQL_OP5,
     "op8_jaccard_components": jaccard.SQL_OP8,
     "op9_benchmark_contamination": contamination.SQL_OP9,
+    "op11_ball_tree_search": ball_tree.SQL_OP11,
 }
