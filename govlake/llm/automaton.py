@@ -164,16 +164,25 @@ class Automaton:
     def encode(self, word: bytes) -> list[int]:
         """The one path through ``word`` from the start state."""
         n, step, ends = len(word), self.step, self.ends
+        first, beyond, row, width, state_of, token_at = self.first, self.beyond, self.row, self.width, self.state_of, self.token_at
         state = [-2] * (n + 1)
         state[0] = -1
         for i in range(n):
-            here, node = state[i], 0
+            node = 0
+            if i:
+                s = state_of[state[i]]
+                low, high, base = row[s], row[s + 1], s * width
             for j in range(i, n):
                 node = step.get(node << 8 | word[j])
                 if node is None:
                     break
                 token = ends[node]
-                if token >= 0 and state[j + 1] == -2 and self.arc(here, token):
+                if token >= 0 and state[j + 1] == -2:
+                    if i:  # as in arc()
+                        key = base + token_at[token]
+                        at = bisect_right(first, key, low, high)
+                        if at > low and beyond[at - 1] > key:
+                            continue
                     state[j + 1] = token
         ids, at = [], n
         while at:
