@@ -8,10 +8,10 @@ maximum: there a token of A and one of B end at the same byte.  Inside its
 group each token of A is expanded into the tokens of B that it overlaps.
 
 Neither side merges across a single space between two other characters, so a
-text is a row of units that begin with a space, units repeat far more than
-texts do, and each worker keeps a bounded memo of aligned units.  Units that
-are new in a batch are encoded and aligned together, in one pass of numpy.
-Texts for which that law isn't certain are one unit.
+text is a row of units that begin with a space, and units repeat far more than
+texts do.  The distinct units of a run of rows are encoded and aligned together,
+in one pass of numpy, and the rows are put together from them.  Texts for which
+that law isn't certain are one unit.
 
 ``with_link_counts`` needs the corpus: links are summed a block (a run of rows
 of a task, bounded by rows and bytes) and id pair, blocks are summed over the
@@ -29,20 +29,22 @@ from __future__ import annotations
 
 import re
 import uuid
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .automaton import _byte_letters
 from .stage import stage, tokenizer_path
-from .tokens import _Memo, opened
+from .tokens import opened
 
 #: A block's rows and bytes of text (a longer text is a block of its own).
-BLOCK_ROWS, BLOCK_BYTES = 4000, 24 << 20
-#: Rows aligned at once.
-ROWS = 500
+BLOCK_ROWS, BLOCK_BYTES = 2000, 8 << 20
+#: Rows and characters aligned at once.
+ROWS, CHARS = 1000, 4 << 20
 #: White space next to a space, or a space at an end: the text isn't cut into units.
 _WHOLE = re.compile(r"\s | \s|^\s|\s\Z")
 
@@ -72,24 +74,18 @@ def coalesce_intervals(end_a: np.ndarray, end_b: np.ndarray, size_a: np.ndarray,
     return int(new.sum()), group[: len(end_a)], group[len(end_a):], a, b, end_a[a] == end_b[b]
 
 
-class _Unit:
-    """A unit's numbers of tokens and groups, its groups as text, and its linked id pairs (A's id in the upper half)."""
+class _Aligned:
+    """Units in columns: ``numbers`` (tokens of A and B, groups, links), the groups as text, each ending in ``;``, and
+    the linked id pairs (A's id in the upper half); ``place[i]`` is unit i's row there, the last row for one without tokens."""
 
-    __slots__ = ("n_a", "n_b", "n_groups", "groups", "pairs")
+    def __init__(self, place: np.ndarray, numbers: np.ndarray, groups: pa.Array, pairs: np.ndarray):
+        self.place, self.numbers, self.groups, self.pairs = place, numbers, groups, pairs
 
-    def __init__(self, n_a, n_b, n_groups, groups, pairs):
-        self.n_a, self.n_b, self.n_groups, self.groups, self.pairs = n_a, n_b, n_groups, groups, pairs
 
-
-class _Units(_Memo):
-    """unit -> its alignment, remembered in two generations."""
-
-    def __init__(self):
-        super().__init__(None)
-
-    def put(self, unit: str, aligned: _Unit) -> None:
-        self.make = lambda _: aligned
-        self[unit]
+def _joined(texts: pa.Array, bounds: np.ndarray) -> pa.Array:
+    """Runs of a text column, each as one text: the bytes lie there one after another."""
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset: texts.offset + len(texts) + 1][bounds]
+    return pa.LargeStringArray.from_buffers(len(bounds) - 1, pa.py_buffer(ends.tobytes()), texts.buffers()[2])
 
 
 class Aligner:
@@ -113,90 +109,110 @@ class Aligner:
         labels_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.labels = (labels_a, labels_b)
         self.size = tuple(np.array([len(x) for x in side], np.int64) for side in self.labels)
+        #: each id as text with what may stand behind it: another of its side's, or the end of its side's part of a group
+        self.said = pa.array([f"{i}{c}" for side, marks in zip(self.labels, (",|", ",;")) for c in marks for i in range(len(side))], pa.large_string())
         self.by_unit = not any("▁" in p.lstrip("▁") for p in pieces) and self.b.normalize("a  b ") == "▁a▁▁b▁"
-        self.memo = _Units()
-
-    def units(self, text: str) -> list[str]:
-        return [text] if not self.by_unit or "▁" in text or _WHOLE.search(text) else text.split(" ")
-
-    def align(self, units: list[str]) -> list[_Unit | None]:
-        """Each unit aligned; None where a side doesn't give the unit back."""
-        ids = ([e.ids for e in self.a.encode_batch_fast([" " + u for u in units], add_special_tokens=False)], self.b.encode(units, num_threads=1))
-        whole = []
-        for u, one, two in zip(units, *ids):
-            text = b" " + u.encode()
-            whole.append(all(b"".join([labels[i] for i in x]) == text for labels, x in zip(self.labels, (one, two))))
-        kept = tuple([x for x, ok in zip(side, whole) if ok] for side in ids)
-        flat = [np.fromiter((i for x in side for i in x), np.int64) for side in kept]
+
+    def cuts(self, text: str) -> bool:
+        """Whether a text may be cut at its spaces."""
+        return self.by_unit and "▁" not in text and not _WHOLE.search(text)
+
+    def _whole(self, units: list[str], ids: list[list[list[int]]]) -> list[bool]:
+        """Whether the tokens of both sides give back each unit behind its space."""
+        texts = [b" " + u.encode() for u in units]
+        sizes = np.fromiter(map(len, texts), np.int64)
+        every = b"".join(texts)
+        for labels, size, side in zip(self.labels, self.size, ids):
+            flat = list(chain.from_iterable(side))
+            ends = np.append(0, np.cumsum(size[flat]))[np.cumsum(list(map(len, side)))] if flat else np.zeros(len(side), np.int64)
+            if not np.array_equal(ends, np.cumsum(sizes)) or b"".join([labels[i] for i in flat]) != every:
+                return [all(b"".join([table[i] for i in x[k]]) == t for table, x in zip(self.labels, ids)) for k, t in enumerate(texts)]
+        return [True] * len(units)
+
+    def align(self, units: list[str]) -> _Aligned:
+        ids = [[e.ids for e in self.a.encode_batch_fast([" " + u for u in units], add_special_tokens=False)], self.b.encode(units, num_threads=1)] if units else [[], []]
+        whole = np.array(self._whole(units, ids), bool)
+        kept = ids if whole.all() else [[x for x, ok in zip(side, whole) if ok] for side in ids]
+        flat = [np.fromiter(chain.from_iterable(side), np.int64) for side in kept]
         size = [s[f] for s, f in zip(self.size, flat)]
-        n, group_a, group_b, a, b, together = coalesce_intervals(np.cumsum(size[0]), np.cumsum(size[1]), *size)
+        n, *group, a, b, together = coalesce_intervals(np.cumsum(size[0]), np.cumsum(size[1]), *size)
         if not self.overlaps:
             a, b = a[together], b[together]
-        pairs = flat[0][a] << 32 | flat[1][b]
-        # a unit's part of the tokens, of the groups and of the links
-        of = [np.cumsum([0, *map(len, side)]) for side in kept]
-        links = np.searchsorted(a, of[0])
-        groups = np.append(group_a, n)[of[0]].tolist()
-        cuts = [np.searchsorted(g, np.arange(n + 1)).tolist() for g in (group_a, group_b)]
-        text = [list(map(str, f.tolist())) for f in flat]
-        said = [",".join(text[0][p:q]) + "|" + ",".join(text[1][r:s]) for p, q, r, s in zip(cuts[0], cuts[0][1:], cuts[1], cuts[1][1:])]
-        done = iter([_Unit(len(x), len(y), h - g, ";".join(said[g:h]), pairs[p:q].tobytes())
-                     for x, y, g, h, p, q in zip(*kept, groups, groups[1:], links.tolist(), links.tolist()[1:])])
-        return [next(done) if ok else None for ok in whole]
-
-    def rows(self, texts: list[str | None]) -> list[_Unit | None]:
-        """Each text as one unit; None for a text without tokens."""
-        cut = [self.units(t) if t else [] for t in texts]
-        memo, here = self.memo, {}
-        for u in dict.fromkeys(u for units in cut for u in units):
-            here[u] = memo[u] if u in memo or u in memo.old else None
-        fresh = [u for u, known in here.items() if known is None]
-        for u, unit in zip(fresh, self.align(fresh) if fresh else []):
-            here[u] = unit
-            if unit is not None and len(u) <= 64:
-                memo.put(u, unit)
-        out = []
-        for t, units in zip(texts, cut):
-            found = [here[u] for u in units]
-            if None in found:  # a unit that isn't given back: the text decides as a whole
-                found = self.align([t]) if len(units) > 1 else [None]
-            if not found or found[0] is None:
-                out.append(None)
-            elif len(found) == 1:
-                out.append(found[0])
-            else:
-                out.append(_Unit(sum([x.n_a for x in found]), sum([x.n_b for x in found]), sum([x.n_groups for x in found]),
-                                 ";".join([x.groups for x in found]), b"".join([x.pairs for x in found])))
-        return out
+        # the groups as text: in each group A's ids and then B's, each with its mark behind it
+        last = [np.append(g[1:] != g[:-1], True) if len(g) else np.zeros(0, bool) for g in group]
+        width = [len(labels) for labels in self.labels]
+        said = np.concatenate([flat[0] + last[0] * width[0], flat[1] + last[1] * width[1] + 2 * width[0]])
+        said = self.said.take(pa.array(said[np.argsort(np.concatenate([2 * group[0], 2 * group[1] + 1]), kind="stable")]))
+        # a unit's part of the tokens, of the groups and of the links; the row without tokens is the last
+        tokens = [np.cumsum([0, *map(len, side)]) for side in kept]
+        counted = [*tokens, np.append(group[0], n)[tokens[0]], np.searchsorted(a, tokens[0])]
+        numbers = np.array([np.append(np.diff(c), 0) for c in counted], np.int64)
+        both = tokens[0] + tokens[1]
+        place = np.where(whole, np.cumsum(whole) - 1, len(kept[0]))
+        return _Aligned(place, numbers, _joined(said, np.append(both, both[-1])), flat[0][a] << 32 | flat[1][b])
+
+    def columns(self, column: pa.Array, texts: list[str | None]) -> list[pa.Array]:
+        """n_a, n_b, n_groups, n_links, groups, pairs and times of each text."""
+        cut = [k for k, t in enumerate(texts) if t and self.cuts(t)]
+        lists = pc.split_pattern(column.take(pa.array(cut, pa.int64())), pattern=" ")
+        coded = lists.flatten().dictionary_encode()
+        place, bounds = coded.indices.to_numpy().astype(np.int64), lists.offsets.to_numpy().astype(np.int64)
+        units = self.align(coded.dictionary.to_pylist())
+        place = units.place[place]
+        # a text with a unit that isn't given back is decided as a whole, like those that may not be cut
+        lost = np.diff(np.append(0, np.cumsum(place == len(units.groups) - 1))[bounds]) > 0
+        run = {k: i for i, k in enumerate(cut) if not lost[i]}
+        whole = [k for k, t in enumerate(texts) if t and k not in run]
+        more = self.align([texts[k] for k in whole])
+        # runs of units: those of texts that are cut, then whole texts, then one for texts without tokens
+        run |= {k: len(cut) + i for i, k in enumerate(whole)}
+        place = np.concatenate([place, len(units.groups) + np.append(more.place, len(more.groups) - 1)])
+        bounds = np.append(bounds, bounds[-1] + np.arange(1, len(whole) + 2))
+        runs = pa.array([run.get(k, len(bounds) - 2) for k in range(len(texts))], pa.int64())
+        numbers = np.concatenate([units.numbers, more.numbers], axis=1)
+        linked = numbers[3]
+        sums = np.array([np.append(0, np.cumsum(c[place]))[bounds] for c in numbers])
+        groups = pc.ascii_rtrim(_joined(pa.concat_arrays([units.groups, more.groups]).take(pa.array(place)), bounds), characters=";")
+        # a run's distinct pairs
+        pairs, code = np.unique(np.concatenate([units.pairs, more.pairs]), return_inverse=True)
+        n, width = linked[place], max(len(pairs), 1)
+        at = np.repeat(np.append(0, np.cumsum(linked))[place] - np.append(0, np.cumsum(n))[:-1], n) + np.arange(n.sum())
+        key, times = np.unique(np.repeat(np.arange(len(bounds) - 1), np.diff(sums[3])) * width + code[at], return_counts=True)
+        places = pa.array(np.searchsorted(key, np.arange(len(bounds)) * width), pa.int32())
+        lists = [pa.ListArray.from_arrays(places, pa.array(x, kind)) for x, kind in ((pairs[key % width], pa.int64()), (times, pa.int32()))]
+        return [x.take(runs) for x in (*(pa.array(np.diff(c)) for c in sums), groups.cast(pa.string()), *lists)]
 
 
 _COLUMNS = "n_a long, n_b long, n_groups long, n_links long, groups string, pairs array<long>, times array<int>, block string"
 
 
+def _parts(batch: pa.RecordBatch):
+    """The batch in runs of bounded rows and characters (a longer text alone), each with its texts."""
+    texts = batch.column("text").to_pylist()
+    first, chars = 0, 0
+    for k, t in enumerate(texts):
+        if k - first == ROWS or chars and chars + len(t or "") > CHARS:
+            yield batch.slice(first, k - first), texts[first:k]
+            first, chars = k, 0
+        chars += len(t or "")
+    if texts:
+        yield batch.slice(first), texts[first:]
+
+
 def _run(name: tuple):
     def run(batches):
         aligner = opened(Aligner, name)
         block, rows, size = uuid.uuid4().hex, 0, 0
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                b = batch.slice(at, ROWS)
-                texts = b.column("text").to_pylist()
+            for b, texts in _parts(batch):
                 blocks = []
                 for t in texts:
                     rows, size = rows + 1, size + len(t or "")
                     if rows > BLOCK_ROWS or size > BLOCK_BYTES and rows > 1:
                         block, rows, size = uuid.uuid4().hex, 1, len(t or "")
                     blocks.append(block)
-                units = [u or _Unit(0, 0, 0, "", b"") for u in aligner.rows(texts)]
-                links = [np.frombuffer(u.pairs, np.int64) for u in units]
-                distinct = [np.unique(x, return_counts=True) for x in links]
-                places = pa.array(np.cumsum([0, *(len(p) for p, _ in distinct)]), pa.int32())
-                lists = [pa.ListArray.from_arrays(places, pa.array(np.concatenate([d[k] for d in distinct]), kind))
-                         for k, kind in ((0, pa.int64()), (1, pa.int32()))]
-                numbers = [pa.array([getattr(u, c) for u in units], pa.int64()) for c in ("n_a", "n_b", "n_groups")]
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("id"), *numbers, pa.array(map(len, links), pa.int64()), pa.array([u.groups for u in units], pa.string()), *lists, pa.array(blocks)],
-                    ["id", "n_a", "n_b", "n_groups", "n_links", "groups", "pairs", "times", "block"])
+                yield pa.RecordBatch.from_arrays([b.column("id"), *aligner.columns(b.column("text"), texts), pa.array(blocks)], [
+                    "id", "n_a", "n_b", "n_groups", "n_links", "groups", "pairs", "times", "block"])
 
     return run
 
