@@ -38,12 +38,15 @@ def replace_since(existing: DataFrame, new: DataFrame, date_col: str) -> DataFra
 
     cut = min(min date of ``new``, max date of ``existing``); rows of
     ``existing`` at or after the cut are replaced by rows of ``new`` at or
-    after the cut.  The cut is a scalar subquery evaluated once, so no row
-    goes through the driver and no join is needed.  Columns are aligned by
-    name (new columns allowed).
+    after the cut.  A feed without dates has no cut and changes nothing, and
+    existing rows without a date stay; feed rows without one are not loaded.
+    The cut is a scalar subquery evaluated once, so no row goes through the
+    driver and no join is needed.  Columns are aligned by name (new columns
+    allowed).
     """
-    cut = F.least(new.select(F.min(date_col)).scalar(), existing.select(F.max(date_col)).scalar())
-    keep = existing.filter(F.col(date_col) < cut)
+    first = new.select(F.min(date_col)).scalar()
+    cut = F.when(first.isNotNull(), F.least(first, existing.select(F.max(date_col)).scalar()))
+    keep = existing.filter(F.coalesce(F.col(date_col) < cut, F.lit(True)))
     add = new.filter(F.col(date_col) >= cut)
     return keep.unionByName(add, allowMissingColumns=True)
 
@@ -160,16 +163,15 @@ def snapshot_daily(history: DataFrame | None, df: DataFrame, ids: list[str], dat
     """M8: daily snapshot history.
 
     Adds ``Snapshot_Date`` and ``Snapshot_<id> = '<date>_<id>'``; a re-run of
-    a day replaces that day's rows.  Write the result partitioned by
-    ``Snapshot_Date`` with dynamic partition overwrite so only that day's
-    folder is rewritten.
+    a day replaces that day's rows; history rows without a day stay.
+    ``versions.snapshot_day`` rewrites that day's folder only.
     """
     d = str(date)[:10]
     snap = df.withColumn("Snapshot_Date", _lit_date(d))
     snap = snap.withColumns({f"Snapshot_{i}": F.concat(F.lit(d), F.lit("_"), F.col(i)) for i in ids})
     if history is None:
         return snap
-    return history.filter(F.col("Snapshot_Date") != _lit_date(d)).unionByName(snap, allowMissingColumns=True)
+    return history.filter(~F.col("Snapshot_Date").eqNullSafe(_lit_date(d))).unionByName(snap, allowMissingColumns=True)
 
 
 def commit_version(df: DataFrame, base: str, version: int, partition_by: list[str] | None = None) -> str:

@@ -658,9 +658,8 @@ def q_lineage_impact(spark, sf):
     # the edge table feeds both the naming joins and the path search: write it once
     edges = materialize(edges, "edges", LOCAL_CHECKPOINTS)
     h = G.hierarchy(edges, names["workspaces"], names["items"], names["sources"], names["reports"])
-    items = G.hierarchy_items(h)
-    paths = G.shortest_paths(edges, checkpoint_dir=LOCAL_CHECKPOINTS, with_paths=False)
-    return G.impact(items, paths)
+    items = materialize(G.hierarchy_items(h), "items", LOCAL_CHECKPOINTS)
+    return G.reach_measures(edges, items, checkpoint_dir=LOCAL_CHECKPOINTS)
 
 
 # =========================================================================== engine-trace queries
@@ -1434,26 +1433,6 @@ def q_scan_model_columns(spark, sf):
     return build_semantic_model_metadata(_scan(spark, sf))["columns"]
 
 
-SCAN_EDGE_SPECS = [
-    G.EdgeSpec("r_to_sm", "reports", "Report", "datasetId", "SemanticModel", other_ws="datasetWorkspaceId"),
-    G.EdgeSpec("sm_to_source", "datasets", "SemanticModel", "datasourceInstanceId", "DataSource",
-               rel_array="datasourceUsages", other_ws=None),
-]
-
-
-@register("scan_lineage_edges", "G1, U1", sql=with_(SCAN_SQL) + """
-SELECT upper('rep-' || CAST(k AS VARCHAR)) AS DownStreamId, upper(ws) AS DownStreamWorkspaceId, 'Report' AS DownStreamType,
-       upper('sm-' || CAST(k AS VARCHAR)) AS UpStreamId, upper(ws) AS UpStreamWorkspaceId, 'SemanticModel' AS UpStreamType,
-       'r_to_sm' AS SourceDF FROM sc
-UNION ALL
-SELECT upper('sm-' || CAST(k AS VARCHAR)), upper(ws), 'SemanticModel', upper('ds-' || CAST(k % 100 AS VARCHAR)), upper(ws),
-       'DataSource', 'sm_to_source' FROM sc
-""")
-def q_scan_lineage_edges(spark, sf):
-    """Lineage edges extracted from the nested scan by declarative specs."""
-    return G.all_edges(_scan(spark, sf).select(F.array(F.struct("*")).alias("workspaces")), SCAN_EDGE_SPECS)
-
-
 # =========================================================================== small feeds
 from ..operators import tables as T  # noqa: E402
 from . import standins as SI  # noqa: E402
@@ -1748,11 +1727,11 @@ def q_model_query_list(spark, sf):
 @register("archive_candidates", "T27, W6", sql="""
 WITH i AS (SELECT upper('item-' || CAST(p_partkey AS VARCHAR)) AS id, p_name AS name, p_type AS type,
                   upper('ws-' || CAST(p_partkey % 30 AS VARCHAR)) AS workspaceId
-           FROM part WHERE p_partkey % 50 <> 0 AND p_type = 'STANDARD'),
+           FROM part WHERE p_partkey % 50 <> 0 AND p_type = 'MEDIUM'),
 w AS (SELECT DISTINCT upper('ws-' || CAST(p_partkey % 30 AS VARCHAR)) AS workspaceId,
              'Workspace ' || CAST(p_partkey % 30 AS VARCHAR) AS WorkspaceName FROM part)
 SELECT i.workspaceId, i.id, i.name, i.type, w.WorkspaceName FROM i LEFT JOIN w USING (workspaceId)
-WHERE w.WorkspaceName = 'Workspace 1'
+WHERE w.WorkspaceName = 'Workspace 2'
 """)
 def q_archive_candidates(spark, sf):
     """Live items of one type in the workspace of that name, with the workspace name, ordered."""
@@ -1760,7 +1739,7 @@ def q_archive_candidates(spark, sf):
     items = T.build_active_items(SI.active_items_from_parts(p)).select("workspaceId", "id", "name", "type")
     ws = p.select(F.upper(SI._cat("ws-", F.col("p_partkey") % 30)).alias("WorkspaceId"),
                   SI._cat("Workspace ", F.col("p_partkey") % 30).alias("WorkspaceName")).distinct()
-    return T.build_archive_candidates(items, ws, "STANDARD", "Workspace 1")
+    return T.build_archive_candidates(items, ws, "MEDIUM", "Workspace 2")
 
 
 @register("document_coverage", "A29", sql="""

@@ -25,6 +25,8 @@ REGISTRY: dict[str, Query] = {}
 
 def register(name: str, ops: str, sql: str | None = None, headline: bool = False):
     def deco(fn):
+        if name in REGISTRY:
+            raise ValueError(f"a query named {name} is registered already")
         REGISTRY[name] = Query(name, fn, sql, tuple(o.strip() for o in ops.split(",") if o.strip()),
                                headline, (fn.__doc__ or "").strip())
         return fn

@@ -143,3 +143,22 @@ def replace_since_stream(spark: SparkSession, landing: str, schema: StructType,
 
     return (rows.writeStream.foreachBatch(merge_batch_fn(base, merge, [date_col] if partition_by_date else None, checkpoint))
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+def versioned_stream(spark: SparkSession, landing: str, schema: StructType, array_field: str,
+                     step: Callable[[DataFrame, tuple[str, int]], int], checkpoint: str,
+                     prepare: Callable[[DataFrame], DataFrame] | None = None, max_files_per_trigger: int = 1) -> StreamingQuery:
+    """Stream envelope files into a table of :mod:`govlake.operators.versions`, which writes only what a batch touches.
+
+    ``step(batch, mark)`` commits one batch, e.g. ``lambda b, m: V.upsert(table, b, mark=m)``.  The mark (stream and
+    epoch) goes into the version, so an epoch that is run again after its commit changes nothing."""
+    raw = (spark.readStream.schema(schema).option("multiline", "true")
+           .option("maxFilesPerTrigger", max_files_per_trigger).json(landing))
+    rows = raw.select(F.explode(F.col(array_field)).alias("d")).select("d.*")
+    rows = rows if prepare is None else prepare(rows)
+    tag = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
+    def run(batch: DataFrame, epoch: int) -> None:
+        step(batch, (tag, epoch))
+
+    return rows.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
