@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import daily as DY
+from ..operators import drill as DR
 from ..operators import lineage as G
 from ..operators import versions as V
+from ..session import materialize
 from .catalog import (ACT_SILVER_SQL, EDGES_SQL, LOCAL_CHECKPOINTS, MERGE_NOW, PATHS_SQL, _activities, _lineage_inputs, _scratch)
 from .registry import register, with_
 from .standins import ACTIVITIES_SQL, TODAY, load
@@ -142,3 +145,129 @@ def q_lineage_paths_refreshed(spark, sf):
     paths = G.shortest_paths(was, checkpoint_dir=LOCAL_CHECKPOINTS)
     out = G.refresh_paths(paths, was, edges, checkpoint_dir=LOCAL_CHECKPOINTS)
     return out.select("source", "target", F.array_join("path", ">").alias("path"), "length")
+
+
+# --------------------------------------------------------------------------- A4, A14, A15, A40: users over windows
+_WINDOWS_SQL = {f"last_{n}d": f"CreationDate BETWEEN DATE '{TODAY}' - INTERVAL {n} DAY AND DATE '{TODAY}'" for n in (7, 14, 30, 60, 90, 180)} | {
+    f"{when}_{part}": f"date_trunc('{part}', CreationDate) = date_trunc('{part}', DATE '{TODAY}'{back})"
+    for part, months in (("month", 1), ("quarter", 3), ("year", 12)) for when, back in (("current", ""), ("previous", f" - INTERVAL {months} MONTH"))}
+#: a distinct count that takes a missing user as one
+_USERS_SQL = ",\n  ".join(f"count(DISTINCT CASE WHEN {c} THEN u END) + coalesce(max(CASE WHEN {c} AND u IS NULL THEN 1 END), 0) AS {n}" for n, c in _WINDOWS_SQL.items())
+_BLANK_USERS_SQL = "act AS (SELECT Activity, CreationDate, CASE WHEN UserId LIKE '%7' THEN NULL ELSE UserId END AS u FROM silver)"
+
+
+def _users(spark, sf):
+    return _activities(spark, sf).select("Activity", "CreationDate", F.when(~F.col("UserId").endswith("7"), F.col("UserId")).alias("User"))
+
+
+@register("active_users_windows", "A4, A14, A15", sql=with_(ACTIVITIES_SQL, ACT_SILVER_SQL, _BLANK_USERS_SQL) + f"""
+SELECT Activity,
+  {_USERS_SQL}
+FROM act GROUP BY Activity
+""")
+def q_active_users_windows(spark, sf):
+    """Distinct users (a missing one counts) of each activity over six rolling and six calendar windows, from daily bitmaps loaded in two feeds."""
+    users = _users(spark, sf)
+    numbers = V.Buckets(spark, _scratch(spark, "user-numbers"), ["User"], 16)
+    state = V.Versions(spark, _scratch(spark, "user-days"), "day")
+    for feed in ("CreationDate < '2024-01-20'", "CreationDate >= '2024-01-15'"):  # five days are loaded again
+        DY.load_days(state, numbers, users.where(feed), "CreationDate", "User", ["Activity"])
+    return DY.window_users(state.read(), DY.all_windows(TODAY), ["Activity"])
+
+
+@register("active_users_total", "A4, A15", sql=with_(ACTIVITIES_SQL, ACT_SILVER_SQL, _BLANK_USERS_SQL) + f"""
+SELECT {_USERS_SQL.split(",\n  count(DISTINCT CASE WHEN date_trunc")[0]} FROM act
+""")
+def q_active_users_total(spark, sf):
+    """Distinct users of all activities over the rolling windows: the daily bitmaps of the activities are united."""
+    users = _users(spark, sf)
+    numbers = materialize(DY.number_values(users, "User"), "user-numbers", LOCAL_CHECKPOINTS)
+    return DY.window_users(DY.daily_sets(users, "CreationDate", "User", numbers, ["Activity"]), DY.rolling(TODAY))
+
+
+@register("active_users_estimated", "A15, A40", sql=with_(ACTIVITIES_SQL, ACT_SILVER_SQL) + f"""
+SELECT Activity, {", ".join(f"count(DISTINCT CASE WHEN {c} THEN UserId END) AS {n}, true AS {n}_close" for n, c in list(_WINDOWS_SQL.items())[:6])}
+FROM silver GROUP BY Activity
+""")
+def q_active_users_estimated(spark, sf):
+    """The rolling windows from daily sketches (dcount) beside the exact numbers: each estimate lies within five per cent, or one."""
+    a = _activities(spark, sf).select("Activity", "CreationDate", "UserId")
+    numbers = materialize(DY.number_values(a, "UserId"), "user-numbers", LOCAL_CHECKPOINTS)
+    exact = DY.window_users(DY.daily_sets(a, "CreationDate", "UserId", numbers, ["Activity"]), DY.rolling(TODAY), ["Activity"])
+    about = DY.window_users(DY.daily_sketches(a, "CreationDate", "UserId", ["Activity"]), DY.rolling(TODAY), ["Activity"])
+    names = [c for c in exact.columns if c != "Activity"]
+    both = exact.join(about.select("Activity", *[F.col(c).alias(f"{c}_about") for c in names]), "Activity")
+    close = lambda c: F.abs(F.col(c) - F.col(f"{c}_about")) <= F.greatest(F.col(c) * 0.05, F.lit(1.0))
+    return both.select("Activity", *[x for c in names for x in (F.col(c), close(c).alias(f"{c}_close"))])
+
+
+# --------------------------------------------------------------------------- A27, A31
+STORAGE_SQL = """
+tables AS (SELECT s_suppkey AS TableId, s_name AS TableName FROM supplier WHERE s_nationkey < 20),
+l AS (SELECT *, l_suppkey AS TableId, CAST(l_quantity AS BIGINT) AS q FROM lineitem),
+columns_ AS (SELECT TableId FROM l WHERE l_linenumber = 1),
+maps AS (SELECT TableId, q AS RecordCount FROM l WHERE l_linenumber <= 2),
+states AS (SELECT TableId, l_partkey % 1000 AS DistinctStates FROM l WHERE l_linenumber <= 4),
+dict AS (SELECT TableId, CASE WHEN l_returnflag = 'A' THEN 'N/A' ELSE 'DBTYPE_I8' END AS DATATYPE, CASE WHEN l_linestatus = 'O' THEN 'BASIC_DATA' ELSE 'HIERARCHY' END AS COLUMN_TYPE,
+                q * 4096 AS DICTIONARY_SIZE, (l_partkey % 100) / 4.0 AS DICTIONARY_TEMPERATURE FROM l WHERE l_linenumber <= 3),
+segs AS (SELECT TableId, CASE l_linenumber WHEN 1 THEN 'H$T (' WHEN 2 THEN 'U$T (' WHEN 3 THEN 'R$T (' ELSE 'T (' END || CAST(TableId AS VARCHAR) || ')' AS TABLE_ID,
+                l_orderkey % 2 AS SEGMENT_NUMBER, q * 65536 AS USED_SIZE, (l_orderkey % 50) / 2.0 AS TEMPERATURE FROM l),
+parts AS (SELECT TableId, q * 1000 AS DataSize FROM l WHERE l_linenumber = 5)"""
+
+
+def _storage(spark, sf):
+    """Model metadata of a table a supplier: columns, segment maps, column storages, dictionaries, segments, partitions."""
+    line = load(spark, sf, "lineitem").withColumn("q", F.col("l_quantity").cast("long")).withColumn("TableId", F.col("l_suppkey"))
+    at = lambda n: line.where(F.col("l_linenumber") <= n)
+    k = F.col("l_linenumber")
+    mark = F.when(k == 1, "H$T (").when(k == 2, "U$T (").when(k == 3, "R$T (").otherwise("T (")
+    return {
+        "tables": load(spark, sf, "supplier").where("s_nationkey < 20").select(F.col("s_suppkey").alias("TableId"), F.col("s_name").alias("TableName")),
+        "columns": at(1).select("TableId"),
+        "segment_maps": at(2).select("TableId", F.col("q").alias("RecordCount")),
+        "column_storages": at(4).select("TableId", (F.col("l_partkey") % 1000).alias("DistinctStates")),
+        "storage_columns": at(3).select("TableId", F.when(F.col("l_returnflag") == "A", "N/A").otherwise("DBTYPE_I8").alias("DATATYPE"),
+                                        F.when(F.col("l_linestatus") == "O", "BASIC_DATA").otherwise("HIERARCHY").alias("COLUMN_TYPE"),
+                                        (F.col("q") * 4096).alias("DICTIONARY_SIZE"), (F.col("l_partkey") % 100 / 4.0).alias("DICTIONARY_TEMPERATURE")),
+        "segments": line.select("TableId", F.concat(mark, F.col("TableId").cast("string"), F.lit(")")).alias("TABLE_ID"), (F.col("l_orderkey") % 2).alias("SEGMENT_NUMBER"),
+                                (F.col("q") * 65536).alias("USED_SIZE"), (F.col("l_orderkey") % 50 / 2.0).alias("TEMPERATURE")),
+        "partitions": line.where("l_linenumber = 5").select("TableId", (F.col("q") * 1000).alias("DataSize")),
+    }
+
+
+@register("model_table_statistics", "A31", sql=with_(STORAGE_SQL, """
+g AS (SELECT TableId, sum(USED_SIZE) FILTER (substr(TABLE_ID, 2, 1) <> '$') / 1048576.0 AS d, sum(USED_SIZE) FILTER (TABLE_ID LIKE 'H$%' AND SEGMENT_NUMBER = 0) / 1048576.0 AS h,
+             sum(USED_SIZE) FILTER (TABLE_ID LIKE 'U$%') / 1048576.0 AS u, sum(USED_SIZE) FILTER (TABLE_ID LIKE 'R$%') / 1048576.0 AS r FROM segs GROUP BY TableId),
+m AS (SELECT t.TableId, t.TableName, (SELECT nullif(count(*), 0) FROM columns_ c WHERE c.TableId = t.TableId) AS CountColumns,
+        (SELECT sum(RecordCount) FROM maps x WHERE x.TableId = t.TableId)::BIGINT AS CountSegmentRecords,
+        (SELECT sum(DistinctStates) FROM states x WHERE x.TableId = t.TableId)::BIGINT AS SumDistinctCounts,
+        (SELECT sum(DICTIONARY_SIZE) / 1048576.0 FROM dict x WHERE x.TableId = t.TableId AND DATATYPE <> 'N/A' AND COLUMN_TYPE = 'BASIC_DATA') AS SumDictionarySize,
+        d AS SumSegmentUsedSize, h AS SumSegmentHierarchySize, u, r FROM tables t LEFT JOIN g ON g.TableId = t.TableId),
+s AS (SELECT *, CASE WHEN coalesce(SumSegmentUsedSize, SumDictionarySize, SumSegmentHierarchySize, u, r) IS NOT NULL THEN coalesce(SumSegmentUsedSize, 0) + coalesce(SumDictionarySize, 0)
+             + coalesce(SumSegmentHierarchySize, 0) + coalesce(u, 0) + coalesce(r, 0) END AS SumSize FROM m WHERE coalesce(CountColumns, CountSegmentRecords, SumDistinctCounts, SumSegmentUsedSize, u, r) IS NOT NULL)""") + """
+SELECT TableId, TableName, CountColumns, CountSegmentRecords, SumDistinctCounts, SumDictionarySize, SumSegmentUsedSize, SumSegmentHierarchySize, SumSize,
+       SumSize / (SELECT sum(SumSize) FROM s) AS SumSizeRatio,
+       TableName || ' | Col: ' || coalesce(CAST(CountColumns AS VARCHAR), '') || ' | Sum Size: ' || coalesce(CAST(floor(SumSize * 100 + 0.5) / 100 AS VARCHAR), '') || ' MB | Rows: '
+         || coalesce(CAST(CountSegmentRecords AS VARCHAR), '') AS TableStatisticName FROM s
+""")
+def q_model_table_statistics(spark, sf):
+    """Table statistics of the model analyser: five facts of different grain met by table, the share of the selected tables, a caption."""
+    f = _storage(spark, sf)
+    f.pop("partitions")
+    return DR.table_statistics(**f)
+
+
+@register("model_partition_statistics", "A27", sql=with_(STORAGE_SQL) + """
+SELECT TableId, r.* EXCLUDE (k), p.* EXCLUDE (k), c.* EXCLUDE (k), g.* EXCLUDE (k), d.* EXCLUDE (k) FROM (SELECT DISTINCT TableId FROM l) t
+LEFT JOIN (SELECT TableId AS k, sum(RecordCount)::DOUBLE / count(RecordCount) AS AvgRowsByPartition, min(RecordCount) AS MinRowsByPartition, max(RecordCount) AS MaxRowsByPartition,
+                  sum(RecordCount)::BIGINT AS SegmentRecords, median(RecordCount)::DOUBLE AS MedianRowsByPartition FROM maps GROUP BY 1) r ON r.k = TableId
+LEFT JOIN (SELECT TableId AS k, sum(DataSize) / 1048576.0 AS SumDataSizeByPartition, sum(DataSize)::DOUBLE / count(*) / 1048576.0 AS AvgDataSizeByPartition,
+                  sum(DataSize)::DOUBLE / count(*) AS AvgDataSizeByPartitionBytes, median(DataSize) / 1048576.0 AS MedianDataSizeByPartition FROM parts GROUP BY 1) p ON p.k = TableId
+LEFT JOIN (SELECT TableId AS k, sum(DistinctStates)::BIGINT AS Cardinality FROM states GROUP BY 1) c ON c.k = TableId
+LEFT JOIN (SELECT TableId AS k, sum(TEMPERATURE)::DOUBLE / count(*) AS AvgSegmentTemperature FROM segs GROUP BY 1) g ON g.k = TableId
+LEFT JOIN (SELECT TableId AS k, sum(DICTIONARY_TEMPERATURE)::DOUBLE / count(*) AS AvgDictionaryTemperature FROM dict GROUP BY 1) d ON d.k = TableId
+""")
+def q_model_partition_statistics(spark, sf):
+    """Rows and sizes of partitions, segment records, cardinality and temperatures of every table."""
+    f = _storage(spark, sf)
+    return DR.partition_statistics(f["segment_maps"], f["partitions"], f["segments"], f["storage_columns"], f["column_storages"])
