@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import context as CX
 from ..operators import daily as DY
 from ..operators import drill as DR
 from ..operators import lineage as G
@@ -271,3 +272,80 @@ def q_model_partition_statistics(spark, sf):
     """Rows and sizes of partitions, segment records, cardinality and temperatures of every table."""
     f = _storage(spark, sf)
     return DR.partition_statistics(f["segment_maps"], f["partitions"], f["segments"], f["storage_columns"], f["column_storages"])
+
+
+# --------------------------------------------------------------------------- J6, J7: filters over the relationship graph
+STAR = [
+    CX.Relationship("lineitem", "l_orderkey", "orders", "o_orderkey"),
+    CX.Relationship("lineitem", "l_partkey", "part", "p_partkey"),
+    CX.Relationship("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+    CX.Relationship("orders", "o_custkey", "customer", "c_custkey"),
+    CX.Relationship("customer", "c_nationkey", "nation", "n_nationkey"),
+    CX.Relationship("supplier", "s_nationkey", "nation", "n_nationkey", active=False),
+    CX.Relationship("nation", "n_regionkey", "region", "r_regionkey"),
+]
+
+
+def _star(spark, sf):
+    return {t: load(spark, sf, t) for t in ("lineitem", "orders", "part", "supplier", "customer", "nation", "region")}
+
+
+@register("filtered_fact_by_region", "J6, J7", sql="""
+SELECT l_returnflag, count(*) AS lines, sum(CAST(l_quantity AS BIGINT))::BIGINT AS quantity FROM lineitem
+WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_nationkey IN (
+        SELECT n_nationkey FROM nation WHERE n_regionkey IN (SELECT r_regionkey FROM region WHERE r_name IN ('ASIA', 'EUROPE')))))
+  AND l_partkey IN (SELECT p_partkey FROM part WHERE p_type <> 'STANDARD') AND l_linenumber <= 4
+GROUP BY l_returnflag
+""")
+def q_filtered_fact_by_region(spark, sf):
+    """Lines of customers of two regions (four hops away) and of some parts, with a filter of their own: three filters, one programme."""
+    rows = CX.filtered("lineitem", _star(spark, sf), {"region": F.col("r_name").isin("ASIA", "EUROPE"), "part": F.col("p_type") != "STANDARD",
+                                                      "lineitem": F.col("l_linenumber") <= 4}, STAR)
+    return rows.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("lines"), F.sum(F.col("l_quantity").cast("long")).alias("quantity"))
+
+
+@register("filtered_fact_by_supplier_region", "J6, J7", sql="""
+SELECT l_returnflag, count(*) AS lines FROM lineitem
+WHERE l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey IN (SELECT r_regionkey FROM region WHERE r_name = 'ASIA')))
+GROUP BY l_returnflag
+""")
+def q_filtered_fact_by_supplier_region(spark, sf):
+    """The same region reached through the suppliers: their inactive relationship is switched on, the customers' way is left out."""
+    star = [r for r in STAR if (r.many, r.one) != ("customer", "nation")]
+    rows = CX.filtered("lineitem", _star(spark, sf), {"region": F.col("r_name") == "ASIA"}, star, use=["supplier.s_nationkey->nation.n_nationkey"])
+    return rows.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("lines"))
+
+
+@register("nations_of_returned_parts", "J7", sql="""
+SELECT n_name FROM nation WHERE n_nationkey IN (SELECT c_nationkey FROM customer WHERE c_acctbal > 9000 AND c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderkey IN (
+  SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R' AND l_partkey IN (SELECT p_partkey FROM part WHERE p_type = 'STANDARD'))))
+""")
+def q_nations_of_returned_parts(spark, sf):
+    """Filters that travel against the relationships: from parts and returned lines over orders and customers to nations, both ways switched on."""
+    back = ["lineitem.l_orderkey->orders.o_orderkey", "orders.o_custkey->customer.c_custkey", "customer.c_nationkey->nation.n_nationkey"]
+    rows = CX.filtered("nation", _star(spark, sf), {"part": F.col("p_type") == "STANDARD", "lineitem": F.col("l_returnflag") == "R", "customer": F.col("c_acctbal") > 9000}, STAR, both=back)
+    return rows.select("n_name")
+
+
+# --------------------------------------------------------------------------- A1-A9 at several grains
+_FAMILY_SQL = """count(*) AS operations, count(CASE WHEN l_returnflag <> 'A' THEN 1 END) AS live, count(CASE WHEN l_linestatus = 'O' AND l_quantity > 25 THEN 1 END) AS large_open,
+  count(DISTINCT s) + coalesce(max(CASE WHEN s IS NULL THEN 1 END), 0) AS suppliers,
+  count(DISTINCT CASE WHEN l_returnflag = 'R' THEN l_partkey END) + coalesce(max(CASE WHEN l_returnflag = 'R' AND l_partkey IS NULL THEN 1 END), 0) AS returned_parts,
+  CAST(sum(CAST(l_quantity AS DECIMAL(38,2))) AS DOUBLE) AS quantity, CAST(sum(CASE WHEN l_linestatus = 'F' THEN CAST(l_extendedprice AS DECIMAL(38,2)) END) AS DOUBLE) AS finished_price,
+  CAST(sum(CAST(l_discount AS DECIMAL(38,2))) AS DOUBLE) / count(l_discount) AS discount_avg, max(l_extendedprice) AS price_max, min(CASE WHEN l_tax > 0 THEN l_extendedprice END) AS taxed_price_min"""
+_GRAINS = [[], ["line"], ["l_returnflag", "l_linestatus"], ["line", "l_returnflag", "l_linestatus"]]
+
+
+@register("line_measures_by_grain", "A1, A2, A3, A4, A5, A7, A8, A9", sql="WITH f AS (SELECT *, CASE WHEN l_suppkey % 9 = 0 THEN NULL ELSE l_suppkey END AS s, CAST(l_linenumber AS VARCHAR) AS line FROM lineitem)\n" + "\nUNION ALL\n".join(
+    f"SELECT '{','.join(g)}' AS grain, " + ", ".join(c if c in g else f"CAST(NULL AS VARCHAR) AS {c}" for c in ("line", "l_returnflag", "l_linestatus")) + f", {_FAMILY_SQL} FROM f"
+    + (f" GROUP BY {', '.join(g)}" if g else "") for g in _GRAINS))
+def q_line_measures_by_grain(spark, sf):
+    """Counts, conditional and distinct counts, sums, averages and extremes at four grains, from one scan and one declared list."""
+    m, c = CX.Measure, F.col
+    rows = load(spark, sf, "lineitem").withColumns({"s": F.when(c("l_suppkey") % 9 != 0, c("l_suppkey")), "line": c("l_linenumber").cast("string")})
+    return CX.measure_family(rows, {
+        "operations": m("count"), "live": m("count", where=c("l_returnflag") != "A"), "large_open": m("count", where=(c("l_linestatus") == "O") & (c("l_quantity") > 25)),
+        "suppliers": m("distinct", "s"), "returned_parts": m("distinct", "l_partkey", c("l_returnflag") == "R"),
+        "quantity": m("sum", "l_quantity", decimals=2), "finished_price": m("sum", "l_extendedprice", c("l_linestatus") == "F", 2),
+        "discount_avg": m("avg", "l_discount", decimals=2), "price_max": m("max", "l_extendedprice"), "taxed_price_min": m("min", "l_extendedprice", c("l_tax") > 0),
+    }, _GRAINS)
