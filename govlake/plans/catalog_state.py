@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 from ..operators import context as CX
 from ..operators import daily as DY
 from ..operators import drill as DR
+from ..operators import inventory as INV
 from ..operators import lineage as G
 from ..operators import versions as V
 from ..session import materialize
 from .catalog import (ACT_SILVER_SQL, EDGES_SQL, LOCAL_CHECKPOINTS, MERGE_NOW, PATHS_SQL, _activities, _lineage_inputs, _scratch)
+from ..operators.tables import INVENTORY_TABLES, ITEM_USER_TYPES, _spec
 from .registry import register, with_
 from .standins import ACTIVITIES_SQL, TODAY, load
 
@@ -349,3 +351,115 @@ def q_line_measures_by_grain(spark, sf):
         "quantity": m("sum", "l_quantity", decimals=2), "finished_price": m("sum", "l_extendedprice", c("l_linestatus") == "F", 2),
         "discount_avg": m("avg", "l_discount", decimals=2), "price_max": m("max", "l_extendedprice"), "taxed_price_min": m("min", "l_extendedprice", c("l_tax") > 0),
     }, _GRAINS)
+
+
+# --------------------------------------------------------------------------- T10, T11, T13: all tables of the scan in one pass
+#: An item's fields by array, as expressions of its customer k and its number j that both engines read.
+_COMMON_FIELDS = {"id": "CASE WHEN k % 6 = 0 AND j = 2 THEN NULL ELSE '{p}-' || k || '-' || j END", "name": "'{p} ' || k", "description": "CASE WHEN k % 2 = 0 THEN 'about ' || k END",
+                  "state": "'Active'", "lastUpdatedDate": "'2024-01-1' || k % 10 || 'T10:00:00'", "createdDate": "'2023-0' || (1 + k % 9) || '-05T08:00:00'",
+                  "createdById": "'own-' || k % 40", "modifiedById": "'mod-' || j"}
+_MADE = {"configuredById": "'own-' || k % 40", "modifiedById": "'mod-' || j", "modifiedDateTime": "'2024-01-1' || k % 10 || 'T10:00:00'"}
+_ID, _NAME = _COMMON_FIELDS["id"], _COMMON_FIELDS["name"]
+_ITEM_FIELDS = {
+    "users": {"groupUserAccessRight": "'Admin'", "identifier": "'u' || k || '-' || j", "graphId": "'g' || k", "principalType": "'User'", "userType": "'Member'",
+              "emailAddress": "'m' || k", "displayName": "'User ' || k"},
+    "datamarts": {"id": _ID, "name": _NAME, "type": "'Sql'", **_MADE},
+    "datasets": {"id": _ID, "name": _NAME, "configuredById": "'own-' || k % 40", "createdDate": "'2023-0' || (1 + k % 9) || '-05T08:00:00'", "targetStorageMode": "'Abf'", "contentProviderType": "'Pbix'"},
+    "dataflows": {"objectId": _ID, "name": _NAME, "modifiedDateTime": "'2024-01-1' || k % 10 || 'T10:00:00'", "generation": "k % 2 + 1"},
+    "reports": {"id": _ID, "name": _NAME, "datasetId": "'sm-' || k || '-1'", "datasetWorkspaceId": "'ws-' || k", "reportType": "'PowerBIReport'", "createdDateTime": "'2023-0' || (1 + k % 9)",
+                "modifiedDateTime": "'2024-0' || (1 + k % 9)", "modifiedById": "'mod-' || j", "createdById": "'own-' || k % 40", "originalReportObjectId": "'rep-' || k || '-1'", "appId": "CASE WHEN j = 2 THEN 'app-' || k END"},
+    "dashboards": {"id": _ID, "displayName": _NAME, "isReadOnly": "j = 2"},
+    "KQLDatabase": _COMMON_FIELDS,
+    "warehouses": {"id": _ID, "name": _NAME, "description": "'about ' || k", "state": "'Active'", **_MADE},
+} | {a: _COMMON_FIELDS for a in ("Eventhouse", "Lakehouse", "Eventstream", "DataPipeline", "Notebook", "Environment", "Reflex", "MLModel")}
+_USER_FIELDS = {"identifier": "'v' || k || '-' || j", "groupUserAccessRight": "'Viewer'", "artifactUserAccessRight": "CASE WHEN k % 3 = 0 THEN NULL ELSE 'Read' END",
+                "graphId": "'g' || k", "principalType": "'User'", "displayName": "CASE WHEN k % 4 = 0 THEN NULL ELSE 'User ' || k END"}
+_OWN_RIGHT = "CASE WHEN k % 5 = 0 THEN '' WHEN k % 7 = 0 THEN NULL ELSE 'Owner' END"
+_USED = "CASE WHEN k % 8 = 0 THEN NULL ELSE 'ds-' || k % 100 END"
+
+
+def _field(array: str, name: str) -> str:
+    return _ITEM_FIELDS[array][name].replace("{p}", array.lower())
+
+
+def _inventory_scan(spark, sf):
+    """A workspace a customer with two items of each kind; keyless items, missing rights and usages among them."""
+    def struct(fields: dict[str, str]) -> str:
+        return "named_struct(" + ", ".join(f"'{n}', {e}" for n, e in fields.items()) + ")"
+
+    arrays = []
+    for array in _ITEM_FIELDS:
+        fields = {n: _field(array, n) for n in _ITEM_FIELDS[array]}
+        if array in ITEM_USER_TYPES:
+            right = ITEM_USER_TYPES[array]
+            fields["users"] = f"array({struct(_USER_FIELDS | ({right: _OWN_RIGHT} if right not in _USER_FIELDS else {}))})"
+        if array in ("datasets", "dataflows", "reports"):
+            fields["datasourceUsages"] = f"array({struct({'datasourceInstanceId': _USED})})"
+        if array == "Lakehouse":
+            fields["extendedProperties"] = struct({"path": "'abfss://' || k", "tables": "k % 50"})
+            fields["tags"] = "array('a', 'k' || k)"
+        arrays.append(F.expr(f"transform(sequence(1, 2), j -> {struct(fields)})").alias(array))
+    return load(spark, sf, "customer").select(F.col("c_custkey").alias("k")).select(F.expr("'ws-' || k").alias("id"), *arrays)
+
+
+def _inventory_sql(table: str) -> str:
+    spec = _spec(table)
+    array, columns = spec["array"], {"WorkspaceId": "upper('ws-' || k)"}
+    for n in _ITEM_FIELDS[array]:
+        if n not in spec["drop"]:
+            final = spec["rename"].get(n, n)
+            columns[final] = f"upper({_field(array, n)})" if final in spec["upper"] else _field(array, n)
+    if array == "reports":  # the one table that keeps its users, as text
+        columns["users"] = (f"'[{{' || {_USER_FIELDS['identifier']} || ', Viewer, ' || coalesce({_USER_FIELDS['artifactUserAccessRight']}, 'null') || ', g' || k || ', User, ' || "
+                            f"coalesce({_USER_FIELDS['displayName']}, 'null') || ', ' || coalesce({_OWN_RIGHT}, 'null') || '}}]'")
+    if array == "Lakehouse":
+        columns |= {"extendedProperties.path": "'abfss://' || k", "extendedProperties.tables": "k % 50", "tags": "'[a, k' || k || ']'"}
+    columns |= {out: f"substr({columns[source]}, 1, 10)" for out, source in spec["slices"].items() if source in columns}
+    where = f" WHERE {_field(array, spec['key'])} IS NOT NULL" if spec["key"] else ""
+    return "SELECT " + ", ".join(f'{e} AS "{n}"' for n, e in columns.items()) + " FROM (SELECT c_custkey AS k, unnest([1, 2]) AS j FROM customer)" + where
+
+
+def _inventory_query(table: str) -> None:
+    def query(spark, sf):
+        return INV.tagged_rows(_inventory_scan(spark, sf)).where(F.col("table") == table).select(f"`{table}`.*")
+
+    query.__doc__ = f"The {table.replace('_', ' ')} of the tenant scan, from the rows of all tables in one pass."
+    register(f"inventory_{table}", "T10", sql=_inventory_sql(table))(query)
+
+
+for _table in INVENTORY_TABLES:
+    _inventory_query(_table)
+
+_ITEMS_SQL = "(SELECT c_custkey AS k, unnest([1, 2]) AS j FROM customer)"
+
+
+def _item_users_sql(array: str) -> str:
+    right = ITEM_USER_TYPES[array]
+    art, own = _USER_FIELDS["artifactUserAccessRight"], _OWN_RIGHT if right not in _USER_FIELDS else _USER_FIELDS[right]
+    key, name = ("objectId" if array == "dataflows" else "id"), ("displayName" if array == "dashboards" else "name")
+    return (f"SELECT upper('ws-' || k) AS WorkspaceId, upper(coalesce({_field(array, key)}, '')) AS ItemId, '{array}' AS ItemType, {_field(array, name)} AS ItemName, "
+            f"CASE WHEN coalesce({own}, '') <> '' THEN {own} ELSE coalesce({art}, 'Viewer') END AS AccessRight, '' AS EmailAddress, coalesce({_USER_FIELDS['displayName']}, '') AS DisplayName, "
+            f"{_USER_FIELDS['identifier']} AS Identifier, upper({_USER_FIELDS['graphId']}) AS GraphId, 'User' AS PrincipalType, '' AS UserType FROM {_ITEMS_SQL}")
+
+
+@register("inventory_item_users", "T13", sql="\nUNION ALL\n".join(_item_users_sql(a) for a in ITEM_USER_TYPES))
+def q_inventory_item_users(spark, sf):
+    """Every user of every item of the fifteen item types, written and read with all other tables of the scan."""
+    return INV.demultiplex(_inventory_scan(spark, sf), _scratch(spark, "inventory"))["item_users"]
+
+
+def _usage_sql(array: str, key: str, named: str) -> str:
+    return (f"SELECT '{named}' AS kind, upper('ws-' || k) AS WorkspaceId, upper({_field(array, key)}) AS ItemId, upper({_USED}) AS datasourceInstanceId FROM {_ITEMS_SQL} "
+            f"WHERE {_field(array, key)} IS NOT NULL AND k % 8 <> 0")
+
+
+@register("inventory_datasource_bridges", "T11", sql=_usage_sql("datasets", "id", "SemanticModelId") + "\nUNION ALL\n" + _usage_sql("dataflows", "objectId", "DataflowId")
+          + "\nUNION ALL\n" + _usage_sql("reports", "id", "ReportId").replace("upper('ws-' || k) AS WorkspaceId", "NULL"))
+def q_inventory_datasource_bridges(spark, sf):
+    """The three bridges from items to data-source instances: semantic models, dataflows and reports."""
+    tables = INV.demultiplex(_inventory_scan(spark, sf), _scratch(spark, "inventory"))
+    parts = []
+    for name, (_, _, named, spaced) in INV.USAGES.items():
+        space = F.col("WorkspaceId") if spaced else F.lit(None).cast("string")
+        parts.append(tables[name].select(F.lit(named).alias("kind"), space.alias("WorkspaceId"), F.col(named).alias("ItemId"), "datasourceInstanceId"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
