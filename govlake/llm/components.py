@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .stage import stage
+from .stage import free, stage
 
 
 def _state(e: DataFrame) -> tuple:
@@ -30,10 +30,13 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         lower = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(lower, "u").select(F.explode(F.array(
             F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
-        e = stage(small.where("u != v").distinct(), "links")
+        before, e = e, stage(small.where("u != v").distinct(), "links")
+        free(before)
         now = _state(e)
         if now == seen:
             break
         seen = now
     roots = e.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component"))
-    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+    out = e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+    out._staged = e._staged  # for free()
+    return out

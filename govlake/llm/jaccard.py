@@ -40,6 +40,7 @@ hashes have 128 and 64 bits; a link could only change by a hash collision.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 import numpy as np
@@ -49,13 +50,15 @@ from pyspark.sql import functions as F
 
 from .components import connected_components
 from .shingles import as_bytes, shingle_sets
-from .stage import stage
+from .stage import free, stage
 
 BATCH = 500
 #: Buckets of the counter array, and bits of the set of wanted classes: both bounds hold at any input size.
 SKETCH_BITS, WANTED_BITS = 17, 20
 #: Set digests that a task remembers, so as to send the prefix of a repeated set once.
 REMEMBERED = 100_000
+#: Parts of all shingles whose runs are formed one part after another.
+SLICES = 3
 
 
 def _count_buckets(width: int):
@@ -181,32 +184,37 @@ def jaccard_join(docs: DataFrame, width: int = 5, num: int = 3, den: int = 4, al
     texts = docs.select(F.col(id_col).cast("long" if kind == "void" else kind).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = texts.dtypes[0][1]
     heat = _heat(texts.select("text"), width)
-    rows = stage(texts.mapInArrow(_profiles(width, num, den, heat), f"id {kind}, key binary, n long, tag long, hot long, prefix array<long>"), "jaccard-rows")
-    classes = stage(rows.where("n > 0").groupBy("key", "n", "tag").agg(F.min("id").alias("doc"))
-                    .withColumn("cid", F.monotonically_increasing_id()), "jaccard-classes")
+    wide = stage(texts.mapInArrow(_profiles(width, num, den, heat), f"id {kind}, key binary, n long, tag long, hot long, prefix array<long>"), "jaccard-rows")
+    sets = wide.where("n > 0").groupBy("key", "n", "tag").agg(F.min("id").alias("doc"))
+    # a group's prefix travels once, however many tasks and classes hold it
+    groups = stage(wide.where("prefix IS NOT NULL AND n > 0").groupBy("n", "tag").agg(F.first("prefix").alias("prefix"), F.max("hot").alias("hot"))
+                   .withColumn("g", F.monotonically_increasing_id()), "jaccard-groups")
+    classes = stage(sets.join(groups.select("n", "tag", "g"), ["n", "tag"]).select("key", "n", "doc", "g", F.monotonically_increasing_id().alias("cid")), "jaccard-classes")
+    rows = stage(wide.select("id", "key", "n"), "jaccard-members")
+    free(wide)
 
     # prefix shingles that more than one group has; a row keeps the group before it in its shingle's run, and the run's hub
-    tokens = rows.where("prefix IS NOT NULL").select("n", "tag", "hot", F.posexplode("prefix").alias("pos", "token"))
-    run = Window.partitionBy("token").orderBy("n", "tag")
-    hub = F.max(F.struct("hot", "n", "tag")).over(run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    tokens = tokens.select("token", "n", "tag", "pos", *[F.lag(k).over(run).alias(f"before_{k}") for k in ("n", "tag")],
-                           *[F.lead(k).over(run).alias(f"after_{k}") for k in ("n", "tag")], hub.alias("hub"))
-    other = lambda k: F.col(f"{k}_n").isNotNull() & ((F.col(f"{k}_n") != F.col("n")) | (F.col(f"{k}_tag") != F.col("tag")))
-    shared = stage(tokens.where(other("before") | other("after")).select(
-        "token", "n", "tag", "pos", *[F.when(other("before"), F.col(f"before_{k}")).alias(f"before_{k}") for k in ("n", "tag")],
-        F.col("hub.n").alias("hub_n"), F.col("hub.tag").alias("hub_tag")), "jaccard-tokens")
-
-    groups = classes.groupBy("n", "tag").agg(F.min("cid").alias("head"), F.count(F.lit(1)).alias("members"))
-    crowded = groups.where("members > 1")
-    inside = classes.join(crowded, ["n", "tag"]).where("cid != head")
+    tokens = groups.select("g", "n", "hot", F.posexplode("prefix").alias("pos", "token")).select(
+        "token", "g", "n", (F.least("hot", F.lit((1 << 31) - 1)) * F.lit(1 << 32) + F.col("pos")).alias("place"))
+    run = Window.partitionBy("token").orderBy("n", "g")
+    hub = F.max(F.struct(F.shiftright("place", 32).alias("hot"), "n", "g")).over(run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    met = [*[F.lag(k).over(run).alias(f"before_{k}") for k in ("n", "g")], F.lead("g").over(run).alias("after_g"), hub.alias("hub")]
+    # a slice of the shingles at a time: the prefixes are read for each, but only a slice's rows are in shuffle files at once
+    slices = [stage(tokens.where(F.pmod("token", F.lit(SLICES)) == i).select("token", "g", "n", "place", *met).where("before_g IS NOT NULL OR after_g IS NOT NULL").select(
+        "token", "g", "n", F.col("place").bitwiseAND((1 << 32) - 1).alias("pos"), "before_n", "before_g", F.col("hub.n").alias("hub_n"), F.col("hub.g").alias("hub_g")),
+        "jaccard-tokens") for i in range(SLICES)]
+    shared = functools.reduce(DataFrame.unionByName, slices)
+    free(groups)
+
+    heads = classes.groupBy("g").agg(F.min("cid").alias("head"), F.count(F.lit(1)).alias("members"))
+    crowded = heads.where("members > 1")
+    inside = classes.join(crowded, "g").where("cid != head")
     # half of what the count filter asks for is enough here: a run's neighbour and hub may change from shingle to shingle
-    met = [shared.where(other(k)).select("n", "tag", F.col(f"{k}_n").alias("m"), F.col(f"{k}_tag").alias("mark")).where(_size_fits(num, den, "n", "m"))
-           .groupBy("n", "tag", "m", "mark").agg(F.count(F.lit(1)).alias("c")).where(_count_fits(num, den, "n", "m", F.col("c") * 2))
+    met = [shared.where(F.col(f"{k}_g") != F.col("g")).select("g", "n", F.col(f"{k}_g").alias("h"), F.col(f"{k}_n").alias("m")).where(_size_fits(num, den, "n", "m"))
+           .groupBy("g", "n", "h", "m").agg(F.count(F.lit(1)).alias("c")).where(_count_fits(num, den, "n", "m", F.col("c") * 2))
            for k in ("before", "hub")]
-    next_to = met[0].unionByName(met[1]).select("n", "tag", "m", "mark").distinct()
-    heads = groups.select("n", "tag", F.col("head").alias("a"))
-    first = next_to.join(heads, ["n", "tag"]).join(
-        groups.select(F.col("n").alias("m"), F.col("tag").alias("mark"), F.col("head").alias("b")), ["m", "mark"])
+    next_to = met[0].unionByName(met[1]).select("g", "h").distinct()
+    first = next_to.join(heads.select("g", F.col("head").alias("a")), "g").join(heads.select(F.col("g").alias("h"), F.col("head").alias("b")), "h")
     first = stage(first.select("a", "b").unionByName(inside.select(F.col("cid").alias("a"), F.col("head").alias("b"))).select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "jaccard-first")
 
@@ -221,34 +229,41 @@ def jaccard_join(docs: DataFrame, width: int = 5, num: int = 3, den: int = 4, al
         found = texts.select("text").mapInArrow(_texts_of(width, wanted), "key binary, text binary").join(ends, "key")
         bodies = stage(found.groupBy("cid").agg(F.first("text").alias("text")), f"{tag}-texts")
         of = [bodies.select(F.col("cid").alias(k), F.col("text").alias(f"text_{k}")) for k in "ab"]
-        return stage(pairs.join(of[1], "b").join(of[0], "a").select("a", "b", "text_a", "text_b").mapInArrow(
+        links = stage(pairs.join(of[1], "b").join(of[0], "a").select("a", "b", "text_a", "text_b").mapInArrow(
             _verify(width, num, den), "a long, b long"), f"{tag}-links")
+        free(ends, bodies)
+        return links
 
     links = verified(first, "jaccard1")
-    known = stage(connected_components(links).withColumnsRenamed({"node": "cid", "component": "comp"}), "jaccard-comp1")
-    labelled = stage(classes.join(known, "cid", "left").withColumn("comp", F.coalesce("comp", "cid")), "jaccard-labelled")
+    known = connected_components(links)
+    labelled = stage(classes.join(known.withColumnsRenamed({"node": "cid", "component": "comp"}), "cid", "left").withColumn("comp", F.coalesce("comp", "cid")), "jaccard-labelled")
+    free(known)
 
     # classes by shared shingle, where its run has more than one component
     split = "cid" if all_links else "comp"
-    slot = shared.groupBy("token", "n", "tag").agg(F.min("pos").alias("pos")).join(labelled.select("n", "tag", "cid", "comp"), ["n", "tag"])
+    slot = shared.select("token", "g", "pos").join(labelled.select("g", "n", "cid", "comp"), "g")
     open_tokens = slot.groupBy("token").agg(F.min(split).alias("lo"), F.max(split).alias("hi")).where("lo < hi").select("token")
     slot = stage(slot.join(open_tokens, "token").select("token", "n", "pos", "cid", "comp"), "jaccard-slots")
+    free(*slices)
     apart = (F.col(f"{split}_x") != F.col(f"{split}_y")) & (F.col("cid_x") < F.col("cid_y"))
     ends = lambda df, k: [F.col(c).alias(f"{c}_{k}") for c in ("n", "cid", "comp", "pos") if c in df.columns]
     across = stage(slot.select("token", *ends(slot, "x")).join(slot.select("token", *ends(slot, "y")), "token").where(
         apart & _size_fits(num, den, "n_x", "n_y") & _place_fits(num, den)).select("cid_x", "cid_y", "n_x", "n_y").distinct(), "jaccard-across")
     both = across.join(slot.select("token", F.col("cid").alias("cid_x")), "cid_x").join(slot.select("token", F.col("cid").alias("cid_y")), ["cid_y", "token"])
-    across = both.groupBy("cid_x", "cid_y", "n_x", "n_y").agg(F.count(F.lit(1)).alias("c")).where(_count_fits(num, den, "n_x", "n_y", F.col("c")))
+    counted = both.groupBy("cid_x", "cid_y", "n_x", "n_y").agg(F.count(F.lit(1)).alias("c")).where(_count_fits(num, den, "n_x", "n_y", F.col("c")))
     # classes of one group share its whole prefix
-    packed = labelled.join(crowded.select("n", "tag"), ["n", "tag"])
-    together = packed.select("n", "tag", *ends(packed, "x")[1:3]).join(packed.select("n", "tag", *ends(packed, "y")[1:3]), ["n", "tag"]).where(apart)
-    rest = across.select(F.col("cid_x").alias("a"), F.col("cid_y").alias("b")).unionByName(
+    packed = labelled.join(crowded.select("g"), "g")
+    together = packed.select("g", *ends(packed, "x")[1:3]).join(packed.select("g", *ends(packed, "y")[1:3]), "g").where(apart)
+    rest = counted.select(F.col("cid_x").alias("a"), F.col("cid_y").alias("b")).unionByName(
         together.select(F.col("cid_x").alias("a"), F.col("cid_y").alias("b"))).distinct().join(first, ["a", "b"], "left_anti")
-    links = links.unionByName(verified(stage(rest, "jaccard-rest"), "jaccard2"))
+    rest = stage(rest, "jaccard-rest")
+    free(slot, across, first, labelled)
+    links = links.unionByName(verified(rest, "jaccard2"))
 
-    comp = connected_components(links).withColumnsRenamed({"node": "cid"})
-    named = classes.join(comp, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+    comp = connected_components(links)
+    named = classes.join(comp.withColumnsRenamed({"node": "cid"}), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     named = stage(named.select("cid", "key", "n", "doc", "component"), "jaccard-named")
+    free(rest, comp, classes)
     least = named.groupBy("component").agg(F.min("doc").alias("component_id"))
     by_key = stage(named.join(least, "component").select("key", "component_id"), "jaccard-keys")
     members = rows.select("id", "key", F.col("n").alias("n_shingles")).join(by_key, "key", "left").withColumn(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -41,11 +42,40 @@ def new_folder(spark: SparkSession, tag: str) -> str:
     return f"{shared_folder(spark)}/llm-{tag}-{uuid.uuid4().hex}"
 
 
+#: Lists that note the folders of tables staged while they are in use; see :func:`noted`.
+_NOTES: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def noted(paths: list[str]):
+    """Adds the folder of every table that is staged meanwhile to ``paths``."""
+    _NOTES.append(paths)
+    try:
+        yield paths
+    finally:
+        _NOTES.remove(paths)
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Removes folders of staged tables; nobody may read them any more."""
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def free(*tables: DataFrame) -> None:
+    """Removes staged tables after their last reader has ended, so that a job's tables don't pile up."""
+    for df in tables:
+        remove(df.sparkSession, getattr(df, "_staged", []))
+
+
 def stage(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it again.
 
     The rows survive lost executors, later reads prune columns and know the
     table's size, and the shuffles behind the write are freed at its end.
+    :func:`free` removes the table.
     """
     spark = df.sparkSession
     path = new_folder(spark, tag)
@@ -55,7 +85,11 @@ def stage(df: DataFrame, tag: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged = [path]
+    for paths in _NOTES:
+        paths.append(path)
+    return out
 
 
 def tokenizer_path(name: str) -> str:
