@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .stage import stage
+from .stage import private, stage
 from .words import with_shingles, words
 
 #: Signatures are broadcast up to so many rows (16 bytes each); beyond, they are joined by shuffling both sides.
@@ -103,10 +103,11 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The rows of ``docs`` that hold no item."""
-    found = contaminated(docs, benchmark, id_col=id_col, text_col=text_col, **how).select(
-        F.col("id").alias("_found_id"), F.col("mark").alias("_found_mark")).distinct()
-    marked = docs.withColumn("_mark", F.xxhash64(F.col(text_col).cast("string")))
-    return marked.join(found, F.col(id_col).eqNullSafe(F.col("_found_id")) & (F.col("_mark") == F.col("_found_mark")), "left_anti").drop("_mark")
+    own = private(docs)
+    known, held, mark = map(own, ("id", "held", "mark"))
+    found = contaminated(docs, benchmark, id_col=id_col, text_col=text_col, **how).select(F.col("id").alias(known), F.col("mark").alias(held)).distinct()
+    marked = docs.withColumn(mark, F.xxhash64(F.col(text_col).cast("string")))
+    return marked.join(found, F.col(id_col).eqNullSafe(F.col(known)) & (F.col(mark) == F.col(held)), "left_anti").drop(mark)
 
 
 def q_op9(spark, sf_dir: str) -> DataFrame:

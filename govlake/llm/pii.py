@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .stage import stage
+from .stage import private, stage
 
 KINDS = ("email", "ip", "card", "phone", "term")
 
@@ -205,16 +205,18 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     """``docs`` with the spans of their texts replaced by their tags (removed terms by nothing); null texts stay null."""
     found = spans(docs, id_col=id_col, text_col=text_col, **how)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    keyed = docs.drop("_spans", "_id", "_mark", "_doc_mark").withColumn("_doc_mark", F.xxhash64(text))
-    joined = keyed.join(_by_document(found), F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_doc_mark") == F.col("_mark")), "left")
+    own = private(docs)
+    mark, known, held, places = map(own, ("mark", "id", "held", "spans"))
+    by_document = _by_document(found).select(F.col("_id").alias(known), F.col("_mark").alias(held), F.col("_spans").alias(places))
+    joined = docs.withColumn(mark, F.xxhash64(text)).join(by_document, F.col(id_col).eqNullSafe(F.col(known)) & (F.col(mark) == F.col(held)), "left")
     # by start; of overlapping spans the text from the first's start to the last's end goes, once
-    ordered = F.array_sort(F.transform("_spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["tag"].alias("tag"))))
+    ordered = F.array_sort(F.transform(places, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["tag"].alias("tag"))))
     done = F.aggregate(ordered, F.struct(F.lit("").alias("text"), F.lit(0).alias("at")), lambda acc, s: F.when(
         s["end"] <= acc["at"], acc).otherwise(F.struct(
             F.concat(acc["text"], F.when(s["start"] >= acc["at"], F.concat(text.substr(acc["at"] + 1, s["start"] - acc["at"]), s["tag"])).otherwise(""))
             .alias("text"), s["end"].alias("at"))),
         lambda acc: F.concat(acc["text"], text.substr(acc["at"] + 1, F.length(text))))
-    new = F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(done)
+    new = F.when(F.col(places).isNull(), F.col(text_col)).otherwise(done)
     return joined.withColumn(text_col, new).select(*docs.columns)
 
 

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .stage import stage
+from .stage import private, stage
 from .words import with_runs, words
 
 WIDTH = 8
@@ -56,20 +56,22 @@ def _any(rules: dict[str, str]) -> Column:
 def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` plus :data:`MEASURES`; the text is split into words once."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    base = docs.drop(*[c for c in (*MEASURES, "_text", "_w", "_h", "_lines") if c in docs.columns and c != text_col])
+    base = docs.drop(*[c for c in MEASURES if c in docs.columns and c != text_col])
+    own = private(base)
+    w, lines, h = map(own, ("w", "lines", "h"))
     marked = text
-    for s in SYMBOLS:
-        marked = F.replace(marked, F.lit(s), F.lit(""))
-    df = base.withColumn("_w", words(text)).withColumn("_lines", F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
-    df = with_runs(df, "_w", "_h", WIDTH)
+    for symbol in SYMBOLS:
+        marked = F.replace(marked, F.lit(symbol), F.lit(""))
+    df = base.withColumn(w, words(text)).withColumn(lines, F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
+    df = with_runs(df, w, h, WIDTH)
     df = df.withColumns({
-        "n_words": F.size("_w").cast("long"),
-        "word_chars": F.length(F.array_join("_w", "")).cast("long"),
+        "n_words": F.size(w).cast("long"),
+        "word_chars": F.length(F.array_join(w, "")).cast("long"),
         "n_symbols": (F.length(text) - F.length(marked)).cast("long"),
-        "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-        "n_repeat_words": F.when(F.size(F.array_distinct("_h")) == F.size("_h"), F.lit(0)).otherwise(_cover_size("_h")).cast("long"),
+        "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
+        "n_repeat_words": F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(_cover_size(h)).cast("long"),
     })
-    return df.drop("_w", "_h", "_lines")
+    return df.drop(w, lines, h)
 
 
 def _cover_size(hashes: str) -> Column:
@@ -116,16 +118,17 @@ def host_rates(measured: DataFrame, host: str, least_prior: float = 2.0) -> Data
 
 def verdicts(measured: DataFrame, host: str, host_limit: float = 0.5) -> DataFrame:
     """``measured`` (a table with the measures and the host) plus base_failed, host_rate, host_suspect and kept."""
-    rates = stage(host_rates(measured, host).select(F.col("host").alias("_host"), F.col("rate").alias("host_rate")), "quality-hosts")
+    known = private(measured)("host")
+    rates = stage(host_rates(measured, host).select(F.col("host").alias(known), F.col("rate").alias("host_rate")), "quality-hosts")
     # the documents' side is a plain scan, so adaptive execution can split a hot host where the hosts aren't broadcast
-    joined = measured.join(rates, F.col(host).eqNullSafe(F.col("_host")), "left").drop("_host")
+    joined = measured.join(rates, F.col(host).eqNullSafe(F.col(known)), "left").drop(known)
     return joined.withColumns({"base_failed": F.expr(BASE), "host_suspect": F.col("host_rate") > host_limit}).withColumn(
         "kept", ~F.col("base_failed") & ~_any(STRICT) & ~(F.col("host_suspect") & _any(LENIENT)))
 
 
 def apply_rules(docs: DataFrame, host: str = "source", text_col: str = "text", host_limit: float = 0.5) -> DataFrame:
     """``docs`` plus the measures, base_failed, host_rate, host_suspect and kept; written once in the shared folder."""
-    keep = [c for c in docs.columns if c not in ("_host", "base_failed", "host_rate", "host_suspect", "kept")]
+    keep = [c for c in docs.columns if c not in ("base_failed", "host_rate", "host_suspect", "kept")]
     return verdicts(stage(measure(docs.select(*keep), text_col), "quality-measured"), host, host_limit)
 
 

@@ -42,6 +42,15 @@ def new_folder(spark: SparkSession, tag: str) -> str:
     return f"{shared_folder(spark)}/llm-{tag}-{uuid.uuid4().hex}"
 
 
+def private(*frames: DataFrame):
+    """Names for columns of one's own beside those of ``frames``: a prefix that none of their columns begins with."""
+    taken = [c.lower() for df in frames for c in df.columns]
+    mark = "_"
+    while any(c.startswith(mark) for c in taken):
+        mark += "_"
+    return lambda name: mark + name
+
+
 #: Lists that note the folders of tables staged while they are in use; see :func:`noted`.
 _NOTES: list[list[str]] = []
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .stage import private
+
 #: Runs of these separate words.
 GAP = r"[\x20\x09-\x0D]+"
 
@@ -25,19 +27,22 @@ def with_runs(df: DataFrame, word_col: str, out: str, width: int) -> DataFrame:
     size = F.size(word_col)
     shifted = lambda c, k: F.slice(F.col(c), F.lit(k + 1), F.greatest(size - k, F.lit(0)))
     pair = lambda a, b: F.xxhash64(a, b)
-    df = df.withColumn("_run1", F.transform(word_col, lambda x: F.xxhash64(x)))
+    name, levels = private(df), [1]
+    own = lambda k: name(f"run{k}")
+    df = df.withColumn(own(1), F.transform(word_col, lambda x: F.xxhash64(x)))
     k = 1
     while k * 2 <= width:
-        df = df.withColumn(f"_run{k * 2}", F.zip_with(F.col(f"_run{k}"), shifted(f"_run{k}", k), pair))
+        df = df.withColumn(own(k * 2), F.zip_with(F.col(own(k)), shifted(own(k), k), pair))
         k *= 2
-    run, done, level = F.col(f"_run{k}"), k, k // 2
+        levels.append(k)
+    run, done, level = F.col(own(k)), k, k // 2
     while done < width:
         if done + level <= width:
-            run = F.zip_with(run, shifted(f"_run{level}", done), pair)
+            run = F.zip_with(run, shifted(own(level), done), pair)
             done += level
         level //= 2
     run = F.when(size >= width, F.slice(run, F.lit(1), F.greatest(size - (width - 1), F.lit(0)))).otherwise(F.array().cast("array<bigint>"))
-    return df.withColumn(out, run).drop(*[c for c in df.columns if c.startswith("_run")])
+    return df.withColumn(out, run).drop(*map(own, levels))
 
 
 def with_shingles(df: DataFrame, word_col: str, out: str, width: int) -> DataFrame:

@@ -122,3 +122,43 @@ def test_pipeline_stages(spark, edges, nothing, k):
     _, step = corpus_pipeline.STAGES[k]
     assert step(spark, edges, "/root/testdata/sf0.001").columns == edges.columns
     assert step(spark, nothing, "/root/testdata/sf0.001").count() == 0
+
+
+#: Names that the operators use or used for columns of their own, and names of their outputs.
+CLASHES = ["_run_id", "_run1", "_id", "_mark", "_spans", "_w", "_h", "_lines", "_text", "_head", "_host", "_again", "_blank", "_found_id", "_found_mark", "_doc_mark", "__x",
+           "n_words", "n_repeat_words", "kept", "base_failed", "host_rate", "mark", "id", "head", "row", "c0", "c1", "w", "s", "bound"]
+
+
+def _clashing(spark):
+    sound = [" ".join(f"word{i}x{j}" for j in range(40)) for i in range(4)] + ["mail a.b@c.example.org " + " ".join(f"other{j}" for j in range(40))]
+    rows = [(i, t, "en", "host", len(t), *[f"{c}-{i}" for c in CLASHES]) for i, t in enumerate(sound)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in CLASHES))
+
+
+@pytest.mark.parametrize("k", range(4))
+def test_pipeline_stages_keep_clashing_columns(spark, k):
+    docs = _clashing(spark)
+    got = corpus_pipeline.STAGES[k][1](spark, docs, "/root/testdata/sf0.001")
+    assert got.columns == docs.columns
+    values = lambda df: sorted(tuple(r[c] for c in ["doc_id", "lang", "source", *CLASHES]) for r in df.collect())
+    assert values(got) == values(docs)
+
+
+def test_operators_keep_clashing_columns(spark):
+    docs, bench = _clashing(spark), spark.createDataFrame([(1, "never in a document at all")], "item_id long, text string")
+    outputs = {*quality.MEASURES, "base_failed", "host_rate", "host_suspect", "kept"}
+    for df, but in ((quality.apply_rules(docs), outputs), (contamination.decontaminate(docs, bench), set()), (pii.sanitise(docs), {"text"})):
+        same = [c for c in docs.columns if c not in but]
+        assert sorted(map(tuple, df.select(*same).collect())) == sorted(map(tuple, docs.select(*same).collect()))
+
+
+def test_stages_remove_what_the_one_before_left(spark):
+    import os
+
+    docs = _clashing(spark)
+    first = corpus_pipeline.keep_sound(spark, docs, "/root/testdata/sf0.001")
+    left = [p.removeprefix("file:") for p in corpus_pipeline._behind]
+    rows = first.collect()
+    assert left and all(map(os.path.isdir, left))
+    corpus_pipeline.keep_one_of_each_group(spark, spark.createDataFrame(rows, docs.schema), "/root/testdata/sf0.001")
+    assert not any(map(os.path.isdir, left)) and len(corpus_pipeline._behind) >= 1
