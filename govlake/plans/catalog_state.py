@@ -11,7 +11,8 @@ from ..operators import inventory as INV
 from ..operators import lineage as G
 from ..operators import versions as V
 from ..session import materialize
-from .catalog import (ACT_SILVER_SQL, EDGES_SQL, LOCAL_CHECKPOINTS, MERGE_NOW, PATHS_SQL, _activities, _lineage_inputs, _scratch)
+from ..sources import logs as LOGS
+from .catalog import (ACT_SILVER_SQL, EDGES_SQL, LOCAL_CHECKPOINTS, MERGE_NOW, PATHS_SQL, _activities, _lineage_inputs, _rename_parts, _scratch)
 from ..operators.tables import INVENTORY_TABLES, ITEM_USER_TYPES, _spec
 from .registry import register, with_
 from .standins import ACTIVITIES_SQL, TODAY, load
@@ -463,3 +464,20 @@ def q_inventory_datasource_bridges(spark, sf):
         space = F.col("WorkspaceId") if spaced else F.lit(None).cast("string")
         parts.append(tables[name].select(F.lit(named).alias("kind"), space.alias("WorkspaceId"), F.col(named).alias("ItemId"), "datasourceInstanceId"))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+# --------------------------------------------------------------------------- S4: logs read split by split
+@register("gateway_logs_split", "S4", sql="""
+SELECT 'r' || l_orderkey AS RequestId, l_linenumber || chr(10) || 'said "' || l_returnflag || '",' || chr(10) AS Note, CASE WHEN l_linenumber % 2 = 0 THEN l_linestatus END AS Status FROM lineitem
+""")
+def q_gateway_logs_split(spark, sf):
+    """Report logs with line breaks, quotes and commas inside quoted values, and two headers, read by all tasks side by side."""
+    line = load(spark, sf, "lineitem")
+    k = F.col("l_linenumber")
+    rows = line.select(F.concat(F.lit("r"), "l_orderkey").alias("RequestId"), F.concat(k.cast("string"), F.lit('\nsaid "'), "l_returnflag", F.lit('",\n')).alias("Note"),
+                       F.col("l_linestatus").alias("Status"), (k % 2).alias("odd"))
+    base = _scratch(spark, "split-logs")
+    for odd, cols in ((0, ["Status", "RequestId", "Note"]), (1, ["RequestId", "Note"])):
+        rows.where(F.col("odd") == odd).select(*cols).write.options(header=True, quote='"', escape='"').csv(f"{base}/{odd}")
+        _rename_parts(spark, f"{base}/{odd}", f"QueryStartReport_{odd}")
+    return LOGS.read_split_logs(spark, base, "QueryStartReport", ["RequestId", "Note", "Status"])

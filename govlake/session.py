@@ -34,6 +34,14 @@ def build_session(app: str = "govlake", cores: str | int = "*",
     return spark
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it (a no-op where it is installed there)."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH", "")) if x)
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the reliable checkpoint folder, wiring it into the SparkContext.
 
