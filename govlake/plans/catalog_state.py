@@ -11,6 +11,7 @@ from ..operators import inventory as INV
 from ..operators import lineage as G
 from ..operators import versions as V
 from ..session import materialize
+from ..sources import dims as DIM
 from ..sources import logs as LOGS
 from .catalog import (ACT_SILVER_SQL, EDGES_SQL, LOCAL_CHECKPOINTS, MERGE_NOW, PATHS_SQL, _activities, _lineage_inputs, _rename_parts, _scratch)
 from ..operators.tables import INVENTORY_TABLES, ITEM_USER_TYPES, _spec
@@ -478,6 +479,24 @@ def q_gateway_logs_split(spark, sf):
                        F.col("l_linestatus").alias("Status"), (k % 2).alias("odd"))
     base = _scratch(spark, "split-logs")
     for odd, cols in ((0, ["Status", "RequestId", "Note"]), (1, ["RequestId", "Note"])):
-        rows.where(F.col("odd") == odd).select(*cols).write.options(header=True, quote='"', escape='"').csv(f"{base}/{odd}")
+        rows.where(F.col("odd") == odd).select(*cols).write.options(
+            header=True, quote='"', escape='"', ignoreTrailingWhiteSpace=False, ignoreLeadingWhiteSpace=False).csv(f"{base}/{odd}")
         _rename_parts(spark, f"{base}/{odd}", f"QueryStartReport_{odd}")
     return LOGS.read_split_logs(spark, base, "QueryStartReport", ["RequestId", "Note", "Status"])
+
+
+# --------------------------------------------------------------------------- S8: enum names
+_ENUM_LISTS = DIM.ENUMS | {"partition_mode": DIM.PARTITION_MODE_ENUM}
+
+
+def _enum_case(enum: str, shift: int) -> str:
+    code = f"(p_partkey + {shift}) % 21"
+    return "CASE " + code + "".join(f" WHEN {c} THEN '{n}'" for c, n in _ENUM_LISTS[enum]) + f" ELSE CAST({code} AS VARCHAR) END AS {enum}_name"
+
+
+@register("model_enum_names", "S8, P27", sql="SELECT p_partkey, " + ", ".join(_enum_case(e, i) for i, e in enumerate(_ENUM_LISTS)) + " FROM part")
+def q_model_enum_names(spark, sf):
+    """The names beside the codes of all eighteen enums; unknown codes keep their value as text."""
+    k = F.col("p_partkey")
+    coded = load(spark, sf, "part").select("p_partkey", *[((k + i) % 21).alias(e) for i, e in enumerate(_ENUM_LISTS)])
+    return DIM.enum_names(coded, {e: e for e in _ENUM_LISTS}).drop(*_ENUM_LISTS)

@@ -66,9 +66,49 @@ SIZE_UNIT_ROWS = [(1, "bytes", 1), (2, "kilobytes", 1024), (3, "megabytes", 1048
 TIME_UNIT_ROWS = [(1, "milliseconds", 1), (2, "seconds", 1000), (3, "minutes", 60000), (4, "hours", 3600000)]
 # Partition mode enum (Enum, Name).
 PARTITION_MODE_ENUM = [(0, "Import"), (1, "DirectQuery"), (2, "Default"), (3, "Push"), (4, "Dual"), (5, "DirectLake")]
+# The other enum tables of the model's metadata (Enum, Name).
+STATE_ENUM = [(1, "Ready"), (3, "NoData"), (4, "CalculationNeeded"), (5, "SemanticError"), (6, "EvaluationError"), (7, "DependencyError"), (8, "Incomplete"), (9, "SyntaxError")]
+ENCODING_HINT_ENUM = [(0, "Default"), (1, "Hash"), (2, "Value")]
+ENUMS = {
+    "cardinality": [(1, "One"), (2, "Many")],
+    "column_alignment": [(1, "Default"), (2, "Left"), (3, "Right"), (4, "Center")],
+    "column_encoding": ENCODING_HINT_ENUM,
+    "column_encoding_hint": ENCODING_HINT_ENUM,
+    "column_summarize_by": [(1, "Default"), (2, "None"), (3, "Sum"), (4, "Min"), (5, "Max"), (6, "Count"), (7, "Average"), (8, "DistinctCount")],
+    "column_type": [(1, "Data"), (2, "Calculated"), (3, "RowNumber"), (4, "CalculatedTableColumn")],
+    "cross_filtering_behavior": [(1, "OneDirection"), (2, "BothDirection"), (3, "Automatic")],
+    "data_source_impersonation_mode": [(2, "ImpersonateAccount"), (3, "ImpersonateAnonymous"), (4, "ImpersonateCurrentUser"), (5, "ImpersonateServiceAccount"),
+                                       (6, "ImpersonateUnattendedAccount")],
+    "data_source_isolation": [(1, "ReadCommited"), (2, "Snapshot")],
+    "data_source_type": [(1, "Provider"), (2, "Structured")],
+    "data_type": [(1, "Automatic"), (2, "String"), (6, "Int64"), (8, "Double"), (9, "DateTime"), (10, "Decimal"), (11, "Boolean"), (17, "Binary"), (19, "Unknown")],
+    "join_on_date_behavior": [(1, "DateAndTime"), (2, "DatePartOnly")],
+    "partition_type": [(1, "Query"), (2, "Calculated"), (3, "None"), (4, "M"), (5, "Entity"), (7, "CalculationGroup")],
+    "relationship_type": [(1, "SingleColumn")],
+    "security_filtering_behavior": [(1, "OneDirection"), (2, "BothDirection"), (3, "None")],
+    "state": STATE_ENUM,
+    "state_column": STATE_ENUM,
+}
 # --------------------------------------------------------------------------
 
 
+def enum_tables(spark: SparkSession) -> dict[str, DataFrame]:
+    """Every enum table as (Enum, Name), the partition modes among them."""
+    return {n: spark.createDataFrame(rows, "Enum int, Name string") for n, rows in (ENUMS | {"partition_mode": PARTITION_MODE_ENUM}).items()}
+
+
+def enum_names(df: DataFrame, codes: dict[str, str], suffix: str = "_name") -> DataFrame:
+    """``df`` with the name beside each code column (column -> enum), all in one projection without a join;
+    an unknown code keeps its value as text, as the lookup in the table does."""
+    known = ENUMS | {"partition_mode": PARTITION_MODE_ENUM}
+
+    def name(column: str, enum: str) -> Column:
+        pairs = F.create_map(*[x for code, text in known[enum] for x in (F.lit(code).cast("long"), F.lit(text))])
+        return F.coalesce(F.try_element_at(pairs, F.col(column).cast("long")), F.col(column).cast("string"))
+
+    return df.withColumns({f"{c}{suffix}": name(c, enum) for c, enum in codes.items()})
+
+
 def static_dims(spark: SparkSession) -> dict[str, DataFrame]:
     """The small constant lookup tables, as DataFrames.
 

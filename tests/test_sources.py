@@ -6,6 +6,7 @@ import os
 from pyspark.sql import functions as F
 
 from conftest import rows
+from govlake.operators.flatten import decode_enum
 from govlake.sources import dims, envelope, logs, sinks
 
 
@@ -107,3 +108,14 @@ def test_envelope_fallback_row_by_row_and_wrong_path(spark, tmp_path):
         assert rows(envelope.read_envelope(spark, f"{tmp_path}/env", ["Overrides", "value"], sch)) == [("1",), ("2",)]
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         envelope.read_envelope(spark, f"{tmp_path}/missing", "value")
+
+
+def test_enum_tables_and_names(spark):
+    tables = dims.enum_tables(spark)
+    assert len(tables) == 18 and {r["Enum"]: r["Name"] for r in tables["data_type"].collect()}[9] == "DateTime"
+    df = spark.createDataFrame([(1, 2), (99, None)], "state int, kind int")
+    got = dims.enum_names(df, {"state": "state", "kind": "partition_type"}).collect()
+    assert [(r["state_name"], r["kind_name"]) for r in got] == [("Ready", "Calculated"), ("99", None)]
+    codes = spark.range(25).select(F.col("id").cast("int").alias("c"))
+    looked_up = {r["c"]: r["name"] for r in decode_enum(codes, "c", tables["data_type"], "name").collect()}
+    assert looked_up == {r["id"]: r["id_name"] for r in dims.enum_names(spark.range(25), {"id": "data_type"}).collect()}
