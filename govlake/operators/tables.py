@@ -559,24 +559,29 @@ def build_query_start(logs: DataFrame) -> dict[str, DataFrame]:
         .withColumn("RequestTrackingKey", text_key(["RequestId", "QueryTrackingId"]))
     texts = logs.select("RequestId", "QueryTrackingId", key, decode_b64_text("QueryText").alias("QueryText"))
     ctx_t = "struct<serviceTraceContexts:array<struct<serviceName:string,traceIds:array<struct<key:string,value:string>>>>>"
-    ctx = logs.select("GatewayObjectId", "RequestId", "QueryTrackingId", key,
-                      F.explode(F.from_json("EvaluationContext", ctx_t)["serviceTraceContexts"]).alias("s"))
-    kv = ctx.select("GatewayObjectId", "RequestId", "QueryTrackingId", "RequestTrackingKey",
-                    F.col("s.serviceName").alias("serviceName"), F.explode("s.traceIds").alias("t")) \
-        .select("GatewayObjectId", "RequestId", "QueryTrackingId", "RequestTrackingKey", "serviceName",
-                F.col("t.key").alias("key"), F.col("t.value").alias("value"))
-    evaluation = kv.filter(F.col("key") != "ApplicationContext")
+    pair_t = "array<struct<serviceName:string,key:string,value:string>>"
+
+    def pairs(keep) -> DataFrame:
+        """The context's (service, key, value) that ``keep`` lets through, chosen before they become rows."""
+        parsed = F.from_json("EvaluationContext", ctx_t)["serviceTraceContexts"]
+        of = lambda s: F.coalesce(F.transform(F.filter(s["traceIds"], lambda t: keep(t["key"])), lambda t: F.struct(
+            s["serviceName"].alias("serviceName"), t["key"].alias("key"), t["value"].alias("value"))), F.array().cast(pair_t))
+        return logs.select("GatewayObjectId", "RequestId", "QueryTrackingId", key, F.explode(F.flatten(F.transform(parsed, of))).alias("t")).select(
+            "GatewayObjectId", "RequestId", "QueryTrackingId", "RequestTrackingKey", "t.*")
+
+    evaluation = pairs(lambda k: k != "ApplicationContext")
     app_t = ("struct<DatasetId:string,Sources:array<struct<ReportId:string,VisualId:string,"
              "HostProperties:struct<ConsumptionMethod:string,UserSession:string>>>>")
-    app = kv.filter(F.col("key") == "ApplicationContext").withColumn("v", F.from_json("value", app_t))
+    app = pairs(lambda k: k == "ApplicationContext").withColumn("v", F.from_json("value", app_t))
     app = app.select("GatewayObjectId", "RequestId", "QueryTrackingId", "RequestTrackingKey", "serviceName", "key",
                      F.col("v.DatasetId").alias("SemanticModelId"), F.explode_outer("v.Sources").alias("src"))
     app = app.select("GatewayObjectId", "RequestId", "QueryTrackingId", "RequestTrackingKey", "serviceName", "key",
                      "SemanticModelId", F.col("src.ReportId").alias("ReportId"), F.col("src.VisualId").alias("VisualId"),
                      F.col("src.HostProperties.ConsumptionMethod").alias("ConsumptionMethod"),
                      F.col("src.HostProperties.UserSession").alias("UserSession"))
-    mapping = context_pivot(evaluation, ["DatasetId", "WorkspaceId"]).withColumnRenamed("DatasetId", "SemanticModelId")
-    hosts = context_pivot(evaluation, ["Host Context Type"])
+    pivoted = lambda *keys: context_pivot(pairs(lambda k: k.isin(*keys)), list(keys))
+    mapping = pivoted("DatasetId", "WorkspaceId").withColumnRenamed("DatasetId", "SemanticModelId")
+    hosts = pivoted("Host Context Type")
     return {"fact": fact, "datasources": sources, "texts": texts, "evaluation_context": evaluation,
             "application_context": app, "service_mapping": mapping, "host_types": hosts}
 

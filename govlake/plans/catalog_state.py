@@ -16,6 +16,8 @@ from ..sources import logs as LOGS
 from .catalog import (ACT_SILVER_SQL, EDGES_SQL, LOCAL_CHECKPOINTS, MERGE_NOW, PATHS_SQL, _activities, _lineage_inputs, _rename_parts, _scratch)
 from ..operators.tables import INVENTORY_TABLES, ITEM_USER_TYPES, _spec
 from .registry import register, with_
+from ..operators import tables as T
+from . import standins as SI
 from .standins import ACTIVITIES_SQL, TODAY, load
 
 # --------------------------------------------------------------------------- M1 by day
@@ -500,3 +502,35 @@ def q_model_enum_names(spark, sf):
     k = F.col("p_partkey")
     coded = load(spark, sf, "part").select("p_partkey", *[((k + i) % 21).alias(e) for i, e in enumerate(_ENUM_LISTS)])
     return DIM.enum_names(coded, {e: e for e in _ENUM_LISTS}).drop(*_ENUM_LISTS)
+
+
+# --------------------------------------------------------------------------- T17: query-start fact and its data sources
+def _sourced_starts(spark, sf):
+    """Query starts with lists of data sources: two, one, none, and a text that is no list."""
+    line = load(spark, sf, "lineitem")
+    k = F.col("l_linenumber")
+    texts = F.array(F.to_json(F.struct(F.lit("Sql").alias("kind"), SI._cat("srv", F.col("l_suppkey") % 9).alias("path"))),
+                    F.to_json(F.struct(F.lit("Web").alias("ConnectorType"), SI._cat("u", k).alias("a"), F.lit("z").alias("b"))))
+    lists = F.when(k == 7, F.lit("no list")).when(k == 6, F.lit("[]")).otherwise(F.to_json(F.slice(texts, F.lit(1), k % 2 + 1)))
+    absent = [F.lit(None).cast("string").alias(c) for c in ("QueryExecutionStartTimeUTC", "QueryText", "EvaluationContext")]
+    return line.select(SI._cat("gw-", F.col("l_suppkey") % 5).alias("GatewayObjectId"), SI._cat("r", F.col("l_orderkey")).alias("RequestId"),
+                       SI._cat("t", k).alias("QueryTrackingId"), lists.alias("DataSource"), *absent)
+
+
+@register("gateway_query_starts", "T17", sql=with_(SI.QUERY_START_SQL) + """
+SELECT GatewayObjectId, RequestId, QueryTrackingId, start_ts AS QueryExecutionStartTimeUTC, 'Query' AS QueryType, CAST(start_ts AS DATE) AS QueryExecutionStartDate,
+       RequestId || QueryTrackingId AS RequestTrackingKey FROM qs
+""")
+def q_gateway_query_starts(spark, sf):
+    """The query-start fact: start time and date, and the key of the tracked request."""
+    return T.build_query_start(SI.query_start_logs_from_lineitem(load(spark, sf, "lineitem")))["fact"]
+
+
+@register("gateway_query_start_sources", "T17", sql=with_(SI.QUERY_START_SQL) + """
+SELECT GatewayObjectId, RequestId, QueryTrackingId, 'Sql' AS "DataSource.kind", 'srv' || CAST(sk % 9 AS VARCHAR) AS "DataSource.path", RequestId || QueryTrackingId AS RequestTrackingKey FROM qs WHERE ln < 6
+UNION ALL
+SELECT GatewayObjectId, RequestId, QueryTrackingId, 'Web', 'u' || CAST(ln AS VARCHAR) || ';z', RequestId || QueryTrackingId FROM qs WHERE ln < 6 AND ln % 2 = 1
+""")
+def q_gateway_query_start_sources(spark, sf):
+    """The data sources of query starts: a row each of a JSON list, kind and path with their fallbacks; lists that don't parse give none."""
+    return T.build_query_start(_sourced_starts(spark, sf))["datasources"]
