@@ -48,6 +48,8 @@ SPAN = "array<struct<kind: int, start: int, end: int, tag: string>>"
 TERMS = (r"[\p{L}\p{N}](?:[^\x20\x09-\x0D]*[\p{L}\p{N}])?", r"[\p{L}\p{N}]+")
 #: One text in so many gives a lower bound of each term's document frequency.
 GLIMPSE = 8
+#: Occurrences whose lengths are summed up together.
+BLOCK = 128
 
 
 def _occurrences(text: Column, pattern: Column, kind: int) -> Column:
@@ -141,6 +143,24 @@ def disclosing_terms(docs: DataFrame, base: DataFrame, alpha: float = 0.9, min_s
     return stage(scored.select("kind", "entity", "term", (F.col("n") >= F.col("df_t")).alias("removed")), "pii-terms")
 
 
+def _places(texts: DataFrame) -> DataFrame:
+    """mark, term, start, end of the occurrences (``found``) of each text's own ``terms``; others don't become rows.
+
+    An occurrence begins where the lengths before it end.  These are summed up
+    by blocks first, so that a place costs a block and the blocks before it.
+    """
+    texts = texts.where(F.size("found") > 0).withColumn("lengths", F.transform("found", lambda x: x["gap"] + F.length(x["value"])))
+    total = lambda a: F.aggregate(a, F.lit(0), lambda acc, x: acc + x)
+    last = F.floor((F.size("lengths") - 1) / BLOCK).cast("int")
+    texts = texts.withColumn("blocks", F.transform(F.sequence(F.lit(0), last), lambda b: total(F.slice("lengths", b * BLOCK + 1, F.lit(BLOCK)))))
+    own = F.filter(F.transform("found", lambda x, i: F.struct(i.alias("i"), x["gap"].alias("gap"), F.length(x["value"]).alias("n"), F.lower(x["value"]).alias("term"))),
+                   lambda x: F.array_contains(F.col("terms"), x["term"]))
+    block = lambda x: F.floor(x["i"] / BLOCK).cast("int")
+    before = lambda x: total(F.slice("blocks", F.lit(1), block(x))) + total(F.slice("lengths", block(x) * BLOCK + 1, x["i"] - block(x) * BLOCK))
+    rows = texts.select("mark", F.explode(F.transform(own, lambda x: F.struct(x["term"].alias("term"), (before(x) + x["gap"]).alias("start"), x["n"].alias("n")))).alias("x"))
+    return rows.select("mark", "x.term", "x.start", (F.col("x.start") + F.col("x.n")).alias("end"))
+
+
 def _term_spans(docs: DataFrame, base: DataFrame, terms: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """mark, start, end, tag: the places of disclosing terms in each distinct text that holds one."""
     texts = _keyed(docs, id_col, text_col).select("mark", "text")
@@ -150,9 +170,9 @@ def _term_spans(docs: DataFrame, base: DataFrame, terms: DataFrame, id_col: str,
     due = stage(holders.withColumn("removed", F.lit(None).cast("int")).unionByName(own).groupBy("mark", "term").agg(
         F.coalesce(F.min("removed"), F.lit(0)).alias("removed")), "pii-due")
     whole = texts.join(due.select("mark").distinct(), "mark", "left_semi").dropDuplicates(["mark"])
-    found = [whole.select("mark", F.lit(k).alias("which"), F.posexplode(_occurrences(F.col("text"), F.lit(p), 4)).alias("pos", "f")) for k, p in enumerate(TERMS)]
-    found = found[0].unionByName(found[1]).select(F.lit(0).alias("id"), "mark", "which", "pos", "f.*")
-    hits = _placed(found).withColumn("term", F.lower("value")).join(due, ["mark", "term"]).select("mark", "kind", "start", "end", "removed")
+    whole = whole.join(due.groupBy("mark").agg(F.collect_set("term").alias("terms")), "mark")
+    found = [_places(whole.select("mark", "terms", _occurrences(F.col("text"), F.lit(p), 4).alias("found"))) for p in TERMS]
+    hits = found[0].unionByName(found[1]).join(due, ["mark", "term"]).select("mark", F.lit(4).alias("kind"), "start", "end", "removed")
     # entities and terms in one row of places a text: what overlaps an entity goes, then what lies in a term before it
     entities = base.join(due.select("mark").distinct(), "mark", "left_semi").select("mark", "kind", "start", "end", F.lit(0).alias("removed")).distinct()
     along = Window.partitionBy("mark").orderBy("start", F.desc("end"), "kind")

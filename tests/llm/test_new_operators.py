@@ -238,3 +238,18 @@ def test_search_edges(spark, edges, nothing):
     got = sorted(map(tuple, ball_tree.search(edges, items).collect()), key=str)
     assert got == sorted(ranked([r[:2] for r in EDGES], [(1, "one two"), (2, None)]), key=str)
     assert ball_tree.search(nothing, items).count() == 0 and ball_tree.search(edges, items.limit(0)).count() == 0
+
+
+# --- 6: places of terms
+def test_places_over_blocks(spark):
+    """Places of chosen words in texts of none to several blocks of words, beside Python's."""
+    from pyspark.sql import functions as F
+
+    from govlake.llm import pii
+
+    rnd = random.Random(9)
+    values = [" ".join(rnd.choice(["Alpha", "beta", "gamma-ray", "é", "x1"]) for _ in range(n)) for n in (0, 1, 2, 127, 128, 129, 256, 257, 700)]
+    df = frame(spark, values).select(F.col("doc_id").alias("mark"), F.array(F.lit("alpha"), F.lit("gamma-ray")).alias("terms"),
+                                     pii._occurrences(F.col("text"), F.lit(pii.TERMS[0]), 4).alias("found"))
+    got = sorted((r.mark, r.term, r.start, r.end) for r in pii._places(df).collect())
+    assert got == sorted((i, m[0].lower(), *m.span()) for i, t in enumerate(values) for m in re.finditer(r"Alpha|gamma-ray", t))
