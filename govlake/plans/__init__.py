@@ -1,4 +1,4 @@
 """Registered queries (Spark builders + DuckDB oracle SQL)."""
 
 from .registry import REGISTRY, Query  # noqa: F401
-from . import catalog, catalog_state  # noqa: F401  (registers the queries)
+from . import catalog, catalog_rules, catalog_state  # noqa: F401  (registers the queries)
