@@ -254,12 +254,16 @@ def _windows(window: int, parts: int):
             key = r[place + bounds[doc]] if len(place) else np.zeros(0, np.uint64)
             order = np.lexsort((place, ids[doc], key))
             first = _firsts(key[order], ids[doc][order], place[order])
-            later = np.sort(order[~first])
+            later, sent = np.sort(order[~first]), np.sort(order[first])
             rows = []
-            if len(later):
-                rows.append((0, -1, 2, b"", *_packed(ids, marks, doc[later], place[later])))
+            # repeats found here are dealt like the documents that they go to, so that no part gets them all
+            bucket = (ids ^ marks)[doc[later]] % parts
+            order = np.argsort(bucket, kind="stable")
+            later, bucket = later[order], bucket[order]
+            for a, k in zip(*(x.tolist() for x in _runs(bucket))):
+                own = later[a:a + k]
+                rows.append((int(bucket[a]), -1, 2, b"", *_packed(ids, marks, doc[own], place[own])))
             # of repeated rows with one id both are kept here: neither starts earlier
-            sent = np.sort(order[first])
             for part, piece, at in _slices(key[sent], parts):
                 at = sent[at]
                 rows.append((part, piece, 1, key[at].tobytes(), *_packed(ids, marks, doc[at], place[at])))
