@@ -16,11 +16,12 @@ A document holds an item when at least ``num / den`` of the item's distinct
 
 Cases: null and empty texts hold nothing and nothing holds them; an item of
 fewer words than ``width`` is one shingle, found only in a document that
-consists of it.  Repeated documents are reported as often as they occur;
-repeated item ids count as one item with the shingles of all, or, with
-``by_text``, each text under an id as an item of its own.  Null ids are kept;
-items without an id are told apart by their texts.  Empty tables give an empty result.  Only the id and text columns
-are read, so other columns may have any name.
+consists of it.  Repeated documents are reported as often as they occur.  An
+item is an id with a text: equal rows count once, and each of several texts
+under one id (or under none) is searched for and reported on its own; with
+``by_text=False`` an id's texts are one item with the shingles of all.  Empty
+tables give an empty result.  Only the id and text columns are read, so other
+columns may have any name.
 """
 
 from __future__ import annotations
@@ -70,7 +71,7 @@ def _bound(signatures: DataFrame) -> Column:
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 5, num: int = 3, den: int = 4, id_col: str = "doc_id",
-                 text_col: str = "text", item_id: str = "item_id", item_text: str = "text", by_text: bool = False) -> DataFrame:
+                 text_col: str = "text", item_id: str = "item_id", item_text: str = "text", by_text: bool = True) -> DataFrame:
     """(id, mark, item, n_shared, n_item): every document with every item that it holds, a row each; ``mark`` is the hash of the text."""
     text = F.col(text_col).cast("string")
     rows = docs.where(text.isNotNull()).select(F.col(id_col).alias("id"), F.xxhash64(text).alias("mark"), text.alias("text"))
@@ -116,14 +117,14 @@ def q_op9(spark, sf_dir: str) -> DataFrame:
     return find_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-#: The same by definition: shingle texts joined, shared ones counted.
+#: The same by definition: shingle texts joined, shared ones counted for each id and text of an item.
 SQL_OP9 = r"""
-WITH t AS (SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark),
-w AS (SELECT kind, id, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM t WHERE text IS NOT NULL),
-s AS (SELECT kind, id, unnest(CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+WITH t AS (SELECT 'd' AS kind, doc_id AS id, '' AS of, text FROM documents UNION ALL SELECT DISTINCT 'b', item_id, md5(text), text FROM benchmark),
+w AS (SELECT kind, id, of, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM t WHERE text IS NOT NULL),
+s AS (SELECT kind, id, of, unnest(CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
     ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) END) AS g FROM w),
-n AS (SELECT id, count(*) AS n_item FROM s WHERE kind = 'b' GROUP BY id)
+n AS (SELECT id, of, count(*) AS n_item FROM s WHERE kind = 'b' GROUP BY id, of)
 SELECT d.id AS doc_id, b.id AS item_id, count(*) AS n_shared, any_value(n_item) AS n_item
-FROM s d JOIN s b ON d.kind = 'd' AND b.kind = 'b' AND d.g = b.g JOIN n ON n.id = b.id
-GROUP BY d.id, b.id HAVING 4 * count(*) >= 3 * any_value(n_item)
+FROM s d JOIN s b ON d.kind = 'd' AND b.kind = 'b' AND d.g = b.g JOIN n ON n.id IS NOT DISTINCT FROM b.id AND n.of = b.of
+GROUP BY d.id, b.id, b.of HAVING 4 * count(*) >= 3 * any_value(n_item)
 """

@@ -90,12 +90,15 @@ def test_jaccard(edges, nothing):
 def test_contamination(spark, edges, nothing):
     bench = spark.createDataFrame([(1, "two three four five six", "x", 1), (2, None, "x", 1), (3, "", None, None), (None, "short text", "x", 1),
                                    (4, "Lorem ipsum dolor sit amet lorem ipsum", "x", 1), (4, "never seen words in any document", "x", 1)], BENCH)
+    united = sorted(((r.doc_id, r.item_id) for r in contamination.find_contamination(edges, bench, by_text=False).collect()), key=str)
+    assert united == sorted([(1, 1), (2, 1), (None, 1), (6, None), (6, None)], key=str)
     got = sorted(((r.doc_id, r.item_id) for r in contamination.find_contamination(edges, bench).collect()), key=str)
-    assert got == sorted([(1, 1), (2, 1), (None, 1), (6, None), (6, None)], key=str)
+    assert got == sorted(united + [(7, 4), (7, 4), (8, 4)], key=str)  # one of the two texts of item 4
     assert contamination.find_contamination(edges, spark.createDataFrame([], BENCH)).count() == 0
     assert contamination.find_contamination(nothing, bench).count() == 0
     left = contamination.decontaminate(edges, bench)
-    assert left.columns == edges.columns and left.count() == len(EDGES) - 5
+    assert left.columns == edges.columns and left.count() == len(EDGES) - 8
+    assert contamination.decontaminate(edges, bench, by_text=False).count() == len(EDGES) - 5
 
 
 def test_contamination_tells_texts_apart(spark):
@@ -104,8 +107,25 @@ def test_contamination_tells_texts_apart(spark):
     nulls = spark.createDataFrame([(None, a), (None, b), (None, a), (None, None)], "item_id long, text string")
     assert sorted(map(tuple, contamination.find_contamination(docs, nulls).collect())) == [(1, None, 16, 16), (2, None, 16, 16)]
     one = spark.createDataFrame([(7, a), (7, b), (7, a)], "item_id long, text string")
-    assert sorted(map(tuple, contamination.find_contamination(docs, one, by_text=True).collect())) == [(1, 7, 16, 16), (2, 7, 16, 16)]
-    assert [r.doc_id for r in contamination.decontaminate(docs, one, by_text=True).collect()] == [3]
+    assert sorted(map(tuple, contamination.find_contamination(docs, one).collect())) == [(1, 7, 16, 16), (2, 7, 16, 16)]
+    assert [r.doc_id for r in contamination.decontaminate(docs, one).collect()] == [3]
+    assert contamination.find_contamination(docs, one, by_text=False).count() == 0  # each holds half of the united item
+
+
+def test_contamination_sql_tells_texts_apart(spark):
+    import duckdb
+
+    a, b = " ".join(f"a{i}" for i in range(20)), " ".join(f"b{i}" for i in range(20))
+    docs = [(1, f"x {a} y"), (2, f"x {b} y {a}"), (3, "nothing of it is in here"), (4, None)]
+    items = [(7, a), (7, b), (7, a), (None, a), (8, None), (9, "")]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.execute("CREATE TABLE benchmark (item_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", docs)
+    con.executemany("INSERT INTO benchmark VALUES (?, ?)", items)
+    got = contamination.find_contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(con.execute(contamination.SQL_OP9).fetchall(), key=str)
+    assert got.count() == 5
 
 
 def test_warc(edges, nothing):
