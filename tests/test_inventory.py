@@ -52,3 +52,16 @@ def test_missing_arrays_nulls_and_empty_workspaces(spark, tmp_path):
     assert rows(T.build_item_users(scan)) == []
     with pytest.raises(ValueError):
         INV.tagged_rows(spark.createDataFrame([("w",)], "id string"))
+
+
+def test_workspaces_are_dealt_to_all_tasks(spark):
+    scan = _inventory_scan(spark, SF_SMALL)  # one file of a few bytes a key
+    assert scan.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
+
+
+def test_a_filter_on_the_table_goes_below_the_rows(spark, scan):
+    made = INV.tagged_rows(scan).where("table = 'reports'").select("reports.*")
+    lines = made._jdf.queryExecution().executedPlan().toString().splitlines()
+    explodes = [i for i, x in enumerate(lines) if "Generate explode(" in x]
+    kept = [i for i, x in enumerate(lines) if "Filter" in x and "= reports" in x]
+    assert len(explodes) == 2 and len(kept) == 1 and explodes[0] < kept[0] < explodes[1]  # plans run from below
