@@ -20,18 +20,21 @@ def _widest_header(spark: SparkSession, folder: str, report: str) -> int:
              .option("ignoreCorruptFiles", "true").text(folder)
              .select("value", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("at"),
                      F.monotonically_increasing_id().alias("n")))
-    first = lines.where("at = 0").groupBy("f").agg(F.min_by("value", "n").alias("header"))
-    return first.agg(F.max(F.size(F.split("header", ",")))).first()[0] or 1
+    # numbers alone are aggregated: texts, which a hash aggregation can't update in place, would have every line sorted
+    first = lines.where("at = 0").groupBy("f").agg(F.min_by(F.size(F.split("value", ",")), "n").alias("width"))
+    return first.agg(F.max("width")).first()[0] or 1
 
 
 def read_report_logs(spark: SparkSession, folder: str, report: str, cols: list[str],
-                     with_row_number: bool = False) -> DataFrame:
+                     with_row_number: bool = False, checkpoint_dir: str | None = None) -> DataFrame:
     """Rows of all ``*<report>*.log`` files under ``folder``, columns ``cols``.
 
     Missing columns are null, unreadable files are skipped.  With
     ``with_row_number`` a ``FileName`` and 1-based ``RowNumber`` (data rows,
     within the file) are added.
     """
+    from ..session import materialize
+
     raw_names = [f"_c{i}" for i in range(_widest_header(spark, folder, report))]
     schema = StructType([StructField(n, StringType()) for n in raw_names])
     raw = (spark.read.schema(schema)
@@ -44,19 +47,21 @@ def read_report_logs(spark: SparkSession, folder: str, report: str, cols: list[s
                    F.col("_metadata.file_path").alias("_file"),
                    F.col("_metadata.file_name").alias("_fname"),
                    F.monotonically_increasing_id().alias("_seq")))
-    # one task reads one multiLine file in order, so _seq orders rows within a
-    # file.  The per-file window holds no more rows than the task that read the
-    # file (a multiLine file is never split); the alternatives without it
-    # either parse every file twice or pull a whole file into one row.
-    w = Window.partitionBy("_file").orderBy("_seq")
-    numbered = raw.withColumn("_rn", F.row_number().over(w))
-    headers = numbered.filter(F.col("_rn") == 1).select("_file", F.col("_v").alias("_h"))
-    data = numbered.filter(F.col("_rn") > 1).join(headers, "_file")
+    # one task reads one multiLine file in order, so a file's rows have consecutive
+    # numbers, the header the least: no file is sorted, or held, for its row numbers.
+    # Rows are parsed once and written; the headers are a row a file.
+    raw = materialize(raw, "log-rows", checkpoint_dir)
+    first = materialize(raw.groupBy("_file").agg(F.min("_seq").alias("_first")), "log-firsts", checkpoint_dir)
+    few = first.count() <= BROADCAST_SPLITS
+    near = lambda df: F.broadcast(df) if few else df
+    headers = raw.join(near(first), "_file").filter(F.col("_seq") == F.col("_first")).select("_file", "_first", F.col("_v").alias("_h"))
+    headers = materialize(headers, "log-headers", checkpoint_dir)
+    data = raw.join(near(headers), "_file").filter(F.col("_seq") > F.col("_first"))
     # array_position gives 0 when the file lacks the column; element_at(arr, 0) raises, so guard it
     out = [F.when(F.array_position(F.col("_h"), F.lit(c)) > 0,
                   F.element_at(F.col("_v"), F.greatest(F.array_position(F.col("_h"), F.lit(c)).cast("int"), F.lit(1))))
            .alias(c) for c in cols]
-    extra = [F.col("_fname").alias("FileName"), (F.col("_rn") - 1).alias("RowNumber")] if with_row_number else []
+    extra = [F.col("_fname").alias("FileName"), (F.col("_seq") - F.col("_first")).cast("int").alias("RowNumber")] if with_row_number else []
     return data.select(*out, *extra)
 
 

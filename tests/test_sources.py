@@ -119,3 +119,15 @@ def test_enum_tables_and_names(spark):
     codes = spark.range(25).select(F.col("id").cast("int").alias("c"))
     looked_up = {r["c"]: r["name"] for r in decode_enum(codes, "c", tables["data_type"], "name").collect()}
     assert looked_up == {r["id"]: r["id_name"] for r in dims.enum_names(spark.range(25), {"id": "data_type"}).collect()}
+
+
+def test_report_logs_number_rows_without_sorting_a_file(spark, tmp_path):
+    folder = tmp_path / "plain"
+    folder.mkdir()
+    (folder / "MyReport_1.log").write_text('b,a\n"x\ny",1\n,2\n')
+    (folder / "MyReport_2.log").write_text("a,c\n3,z\n")
+    (folder / "MyReport_3.log").write_text("a,b\n")
+    df = logs.read_report_logs(spark, str(folder), "MyReport", ["a", "b"], True)
+    assert sorted(tuple(r) for r in df.collect()) == [("1", "x\ny", "MyReport_1.log", 1), ("2", None, "MyReport_1.log", 2), ("3", None, "MyReport_2.log", 1)]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Sort " not in plan
