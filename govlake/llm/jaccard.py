@@ -26,7 +26,10 @@ shingles left than the overlap that the threshold asks for.  The count filter:
 of sets x and y let x's prefix end first in the common
 order.  Then x's shingles outside both prefixes are at most those after its
 prefix, so the shared prefix shingles must make up the rest of the overlap
-that the threshold asks for.
+that the threshold asks for.  A pair's shared shingles are counted on arrays
+of 16 bits a shingle, which the class brings along whole: a pair is one row,
+not one for each shingle of its sets, and a count too high by equal bits only
+sends a pair to the exact verification.
 
 ``all_links`` keeps also the pairs inside components and so returns every link.
 
@@ -57,6 +60,8 @@ BATCH = 500
 SKETCH_BITS, WANTED_BITS = 17, 20
 #: Set digests that a task remembers, so as to send the prefix of a repeated set once.
 REMEMBERED = 100_000
+#: Bits of a shingle that are enough to count what two prefixes share; fewer only send more pairs to the verification.
+PACKED = 0xFFFF
 #: Parts of all shingles whose runs are formed one part after another.
 SLICES = 3
 
@@ -249,15 +254,18 @@ def jaccard_join(docs: DataFrame, width: int = 5, num: int = 3, den: int = 4, al
     ends = lambda df, k: [F.col(c).alias(f"{c}_{k}") for c in ("n", "cid", "comp", "pos") if c in df.columns]
     across = stage(slot.select("token", *ends(slot, "x")).join(slot.select("token", *ends(slot, "y")), "token").where(
         apart & _size_fits(num, den, "n_x", "n_y") & _place_fits(num, den)).select("cid_x", "cid_y", "n_x", "n_y").distinct(), "jaccard-across")
-    both = across.join(slot.select("token", F.col("cid").alias("cid_x")), "cid_x").join(slot.select("token", F.col("cid").alias("cid_y")), ["cid_y", "token"])
-    counted = both.groupBy("cid_x", "cid_y", "n_x", "n_y").agg(F.count(F.lit(1)).alias("c")).where(_count_fits(num, den, "n_x", "n_y", F.col("c")))
+    # a pair meets each side's shingles as one array of 16 bits each: what of x isn't in y is at most what differs, so the count is never too small
+    packs = stage(slot.groupBy("cid").agg(F.collect_list((F.col("token").bitwiseAND(PACKED) - 0x8000).cast("short")).alias("pack")), "jaccard-packs")
+    pack = lambda k: packs.select(F.col("cid").alias(f"cid_{k}"), F.col("pack").alias(f"pack_{k}"))
+    counted = across.join(pack("x"), "cid_x").join(pack("y"), "cid_y").where(
+        _count_fits(num, den, "n_x", "n_y", F.size("pack_x") - F.size(F.array_except("pack_x", "pack_y"))))
     # classes of one group share its whole prefix
     packed = labelled.join(crowded.select("g"), "g")
     together = packed.select("g", *ends(packed, "x")[1:3]).join(packed.select("g", *ends(packed, "y")[1:3]), "g").where(apart)
     rest = counted.select(F.col("cid_x").alias("a"), F.col("cid_y").alias("b")).unionByName(
         together.select(F.col("cid_x").alias("a"), F.col("cid_y").alias("b"))).distinct().join(first, ["a", "b"], "left_anti")
     rest = stage(rest, "jaccard-rest")
-    free(slot, across, first, labelled)
+    free(slot, packs, across, first, labelled)
     links = links.unionByName(verified(rest, "jaccard2"))
 
     comp = connected_components(links)

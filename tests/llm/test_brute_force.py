@@ -289,6 +289,21 @@ def test_op8_families_of_near_copies(spark, seed):
     assert doc and got | same == links
 
 
+@pytest.mark.parametrize("bits", [0xFFFF, 1])
+def test_op8_counts_a_pair_as_one_row(spark, monkeypatch, bits):
+    """Texts of common passages: what is left to count reads pairs and packed shingles, not a row for each shingle of a pair; equal bits lose no link."""
+    rng = random.Random(5)
+    parts = [" ".join(f"p{k}x{i}" for i in range(12)) for k in range(9)]
+    texts = [" ".join(rng.sample(parts, 5)) for _ in range(40)] + _family(rng, 6, 40, 2)
+    table = list(enumerate(texts))
+    read, stage = {}, jaccard.stage
+    monkeypatch.setattr(jaccard, "PACKED", bits)
+    monkeypatch.setattr(jaccard, "stage", lambda df, tag: (read.setdefault(tag, df.inputFiles() if "rest" in tag else []), stage(df, tag))[1])
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(spark.createDataFrame(table, "doc_id long, text string")).collect()}
+    assert got == _components(table)[0]
+    assert any("jaccard-packs" in f for f in read["jaccard-rest"]) and not any("jaccard-slots" in f for f in read["jaccard-rest"])
+
+
 # ------------------------------------------------------------------ 9: benchmark items of every size in long documents
 def test_op9_finds_short_items_in_long_documents(spark):
     rng = random.Random(4)
